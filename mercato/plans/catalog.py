@@ -64,3 +64,188 @@ def q_dim_region(r: Retail):
 @register("dim_channel")
 def q_dim_channel(r: Retail):
     return dims.dim_channel(r)
+
+
+# ---- promotions / stores / audits ----------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from mercato.functions import exprs as X  # noqa: E402
+from mercato.operators import competitor, cross, forecast, quality, segments  # noqa: E402
+
+
+@register("promo_active")
+def q_promo_active(r: Retail):
+    """PRJ-09: promotion calendar with is_active at the analysis date."""
+    return r.promotions.select("*", X.promo_active(r.as_of).alias("is_active"))
+
+
+@register("promo_overlap")
+def q_promo_overlap(r: Retail):
+    """DQ-06: category-days covered by more than one promotion."""
+    return quality.promo_overlap(r.promotions)
+
+
+@register("store_format")
+def q_store_format(r: Retail):
+    """PRJ-10: stores with their format from the surface."""
+    return r.stores
+
+
+@register("distributions")
+def q_distributions(r: Retail):
+    """AGG-21: store-type, channel and order-status distributions."""
+    return quality.distributions(r)
+
+
+@register("union_audit")
+def q_union_audit(r: Retail):
+    """SET-01 / SRC-13: UNION ALL of row counts of the source tables."""
+    return quality.row_counts(r)
+
+
+@register("order_date_range")
+def q_order_date_range(r: Retail):
+    """SRC-13: min / max order date and order count."""
+    return r.orders.agg(F.min("order_date").alias("min_date"), F.max("order_date").alias("max_date"),
+                        F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("distinct_lists")
+def q_distinct_lists(r: Retail):
+    """AGG-17: distinct promotion names."""
+    return r.promotions.select("promo_name").distinct()
+
+
+@register("orphan_items")
+def q_orphan_items(r: Retail):
+    """DQ-02 / JOI-13: orders without lines (left_anti) and duplicate keys."""
+    return quality.key_checks(r)
+
+
+# ---- competitor ----------------------------------------------------------
+@register("competitor_summary")
+def q_competitor_summary(r: Retail):
+    """AGG-14: average gap and cheaper count per competitor."""
+    return competitor.summary(r.competitor_prices)
+
+
+@register("competitor_latest")
+def q_competitor_latest(r: Retail):
+    """PRJ-24: latest snapshot month rows."""
+    return X.decimals_to_double(competitor.latest_snapshot(r.competitor_prices))
+
+
+@register("price_gap")
+def q_price_gap(r: Retail):
+    """PRJ-12: gap % recomputed from the floored competitor price."""
+    return X.decimals_to_double(competitor.price_gap(r.competitor_prices))
+
+
+@register("competitor_reprice")
+def q_competitor_reprice(r: Retail):
+    """PRJ-13: competitor price re-derived from the gap."""
+    return X.decimals_to_double(competitor.reprice(r.competitor_prices))
+
+
+@register("median_prices")
+def q_median_prices(r: Retail):
+    """AGG-22 / RPT-06: median our vs competitor price per category (latest month)."""
+    return competitor.median_prices(competitor.latest_snapshot(r.competitor_prices))
+
+
+# ---- customers -----------------------------------------------------------
+@register("rfm_features")
+def q_rfm_features(r: Retail):
+    """AGG-12: RFM features per customer."""
+    return segments.rfm_features(r)
+
+
+@register("rfm_winsorised")
+def q_rfm_winsorised(r: Retail):
+    """ML-01: features with NULL->0 and p99 clip."""
+    return segments.winsorise(segments.rfm_features(r))
+
+
+@register("segments_rule")
+def q_segments_rule(r: Retail):
+    """Score-labelled segments (SQL-checkable stand-in of ML-05)."""
+    return segments.rule_segments(r)
+
+
+@register("segment_counts")
+def q_segment_counts(r: Retail):
+    """AGG-16: customers per segment."""
+    return segments.segment_counts(segments.rule_segments(r))
+
+
+@register("customer_segments", rows_only=True)
+def q_customer_segments(r: Retail):
+    """ML-02..05: K-Means segments (iterative; rows-only check)."""
+    return segments.kmeans_segments(r)
+
+
+# ---- forecast ------------------------------------------------------------
+@register("daily_actuals")
+def q_daily_actuals(r: Retail):
+    """AGG-06: units per product and day."""
+    return forecast.daily_actuals(r)
+
+
+@register("top_skus")
+def q_top_skus(r: Retail):
+    """AGG-13 / SRT-04: top 200 products by volume."""
+    return forecast.top_skus(r)
+
+
+@register("forecast_baseline")
+def q_forecast_baseline(r: Retail):
+    """ML-07: weekday-mean baseline for the 90 held-out days."""
+    return forecast.forecast_baseline(r)
+
+
+@register("forecast_vs_actual")
+def q_forecast_vs_actual(r: Retail):
+    """AGG-07: gold_forecast_vs_actual over the baseline forecast."""
+    return forecast.forecast_vs_actual(r, forecast.forecast_baseline(r))
+
+
+@register("demand_forecast", rows_only=True)
+def q_demand_forecast(r: Retail):
+    """ML-06: per-SKU seasonal model for the top 200 SKUs (applyInPandas)."""
+    return forecast.demand_forecast(r, cutoff=forecast.cutoff_of(r))
+
+
+# ---- cross-entity --------------------------------------------------------
+def _double_risk(r: Retail):
+    from mercato.operators.inventory import gold_inventory_status
+    return cross.double_risk(r.products, gold_inventory_status(r), r.competitor_prices)
+
+
+@register("double_risk")
+def q_double_risk(r: Retail):
+    """AGG-08: gold_double_risk_products."""
+    return _double_risk(r)
+
+
+@register("double_risk_cheapest")
+def q_double_risk_cheapest(r: Retail):
+    """AGG-08 variant: cheapest competitor per product x store."""
+    return cross.double_risk_cheapest(_double_risk(r))
+
+
+def _champions(r: Retail, same_store: bool):
+    from mercato.operators.inventory import gold_inventory_status
+    return cross.champion_stockout_alert(segments.rule_segments(r), r.order_lines, r.products, r.stores,
+                                         gold_inventory_status(r), same_store=same_store)
+
+
+@register("champion_stockout_alert")
+def q_champion_stockout_alert(r: Retail):
+    """AGG-09: gold_champion_stockout_alert (source semantics)."""
+    return _champions(r, False)
+
+
+@register("champion_alert_same_store")
+def q_champion_alert_same_store(r: Retail):
+    """AGG-09 with the inventory joined on (store, product)."""
+    return _champions(r, True)
