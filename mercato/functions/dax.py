@@ -29,3 +29,16 @@ def count_rows_if(cond: Column) -> Column:
 def count_rows_if0(cond: Column) -> Column:
     """COALESCE(COUNTROWS(FILTER(...)), 0)."""
     return F.count_if(cond)
+
+
+def dsum(col: str | Column, scale: int = 2) -> Column:
+    """Exact sum of a fixed-point column (cents, tenths) returned as double:
+    summed as DECIMAL so the total does not depend on row order."""
+    x = F.col(col) if isinstance(col, str) else col
+    return F.sum(x.cast(f"decimal(18,{scale})")).cast("double")
+
+
+def davg(col: str | Column, scale: int = 2) -> Column:
+    """AVERAGE of a fixed-point column: exact sum / non-blank count."""
+    x = F.col(col) if isinstance(col, str) else col
+    return F.try_divide(dsum(x, scale), F.nullif(F.count(x), F.lit(0)))

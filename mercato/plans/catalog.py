@@ -249,3 +249,108 @@ def q_champion_stockout_alert(r: Retail):
 def q_champion_alert_same_store(r: Retail):
     """AGG-09 with the inventory joined on (store, product)."""
     return _champions(r, True)
+
+
+# ---- measures (MEA-*) and time intelligence (WIN-03..05) ----------------
+from mercato.operators import measures as M  # noqa: E402
+from mercato.operators import timeintel as T  # noqa: E402
+from mercato.operators.inventory import gold_inventory_status  # noqa: E402
+
+SALES_MEASURES = ["total_revenue", "total_margin", "gross_margin_pct", "nb_orders", "units_sold",
+                  "avg_basket", "avg_discount_pct"]
+
+
+@register("mea_sales_by_year")
+def q_mea_sales_by_year(r: Retail):
+    """MEA-01..07 per year."""
+    s = sales.gold_sales_daily(r).withColumn("year", F.year("sales_date"))
+    return M.evaluate(s, SALES_MEASURES, by=["year"])
+
+
+@register("mea_sales_by_region_channel")
+def q_mea_sales_by_region_channel(r: Retail):
+    """MEA-01..07 per region x channel (RPT-15 slicers as group keys)."""
+    return M.evaluate(sales.gold_sales_daily(r), SALES_MEASURES, by=["region", "channel"])
+
+
+@register("mea_promo_uplift")
+def q_mea_promo_uplift(r: Retail):
+    """MEA-13 per category."""
+    return M.evaluate(sales.gold_sales_daily(r), ["revenue_uplift_promo"], by=["category"])
+
+
+@register("mea_order_count")
+def q_mea_order_count(r: Retail):
+    """MEA-04 and its true distinct-order variant per year."""
+    s = sales.gold_sales_daily(r).withColumn("year", F.year("sales_date"))
+    a = M.evaluate(s, ["nb_orders"], by=["year"])
+    b = M.true_order_count(r.order_lines.withColumn("year", F.year("order_date")), by=["year"])
+    return a.join(b, "year")
+
+
+@register("mea_inventory_by_region")
+def q_mea_inventory_by_region(r: Retail):
+    """MEA-14..19 per region."""
+    return M.evaluate(gold_inventory_status(r), list(M.MEASURES["inventory"]), by=["region"])
+
+
+@register("mea_inventory_total")
+def q_mea_inventory_total(r: Retail):
+    """MEA-14..19 without filter (KPI cards)."""
+    return M.evaluate(gold_inventory_status(r), list(M.MEASURES["inventory"]))
+
+
+@register("mea_forecast_by_category")
+def q_mea_forecast_by_category(r: Retail):
+    """MEA-20..22 per category."""
+    fva = forecast.forecast_vs_actual(r, forecast.forecast_baseline(r))
+    return M.evaluate(fva, list(M.MEASURES["fva"]), by=["category"])
+
+
+@register("mea_forecast_horizon")
+def q_mea_forecast_horizon(r: Retail):
+    """MEA-23/24: forecast units in the 30 and 90 days from the first forecast day."""
+    fc = forecast.forecast_baseline(r)
+    start = F.date_add(forecast.cutoff_of(r), 1)
+    return M.forecast_window(fc, start, (30, 90))
+
+
+@register("mea_customers")
+def q_mea_customers(r: Retail):
+    """MEA-25..31 over the segment table."""
+    return M.evaluate(segments.rule_segments(r), list(M.MEASURES["customers"]))
+
+
+@register("mea_competitor_by_category")
+def q_mea_competitor_by_category(r: Retail):
+    """MEA-32..35 per category (all snapshot months)."""
+    return M.evaluate(r.competitor_prices, list(M.MEASURES["competitor"]), by=["category"])
+
+
+def _series(r: Retail):
+    return T.daily_revenue(sales.gold_sales_daily(r), dims.dim_calendar(r), r.as_of)
+
+
+@register("mea_time_intel_daily")
+def q_mea_time_intel_daily(r: Retail):
+    """MEA-08/09/10/12: MTD, QTD, YTD and 30-day rolling revenue per day."""
+    return T.period_to_date(_series(r))
+
+
+@register("mea_vs_ly_daily")
+def q_mea_vs_ly_daily(r: Retail):
+    """MEA-11 at day grain."""
+    return T.vs_last_year_daily(_series(r))
+
+
+@register("mea_vs_ly_monthly")
+def q_mea_vs_ly_monthly(r: Retail):
+    """MEA-11 at month grain (RPT-01 line chart data)."""
+    return T.vs_last_year_monthly(T.monthly_revenue(sales.gold_sales_daily(r)))
+
+
+@register("mea_time_intel_region")
+def q_mea_time_intel_region(r: Retail):
+    """WIN-03/04 per region on the days with sales."""
+    s = T.daily_revenue(sales.gold_sales_daily(r), dims.dim_calendar(r), r.as_of, by=["region"])
+    return T.period_to_date(s, by=["region"])
