@@ -17,7 +17,11 @@ from mercato.functions.dax import blank_sub, count_rows_if, davg, div, dsum
 
 
 def _sales() -> dict[str, Callable[[], Column]]:
-    promo, normal = F.col("is_promo_day") == 1, F.col("is_promo_day") == 0
+    def promo():
+        return F.col("is_promo_day") == 1
+
+    def normal():
+        return F.col("is_promo_day") == 0
     return {
         "total_revenue": lambda: dsum("revenue"),                                   # MEA-01
         "total_margin": lambda: dsum("gross_margin"),                               # MEA-02
@@ -27,53 +31,57 @@ def _sales() -> dict[str, Callable[[], Column]]:
         "avg_basket": lambda: div(dsum("revenue"), F.sum("nb_orders")),             # MEA-06
         "avg_discount_pct": lambda: davg("avg_discount_pct"),                       # MEA-07
         "revenue_uplift_promo": lambda: blank_sub(                                  # MEA-13
-            div(dsum(F.when(promo, F.col("revenue"))), F.count_distinct(F.when(promo, F.col("sales_date")))),
-            div(dsum(F.when(normal, F.col("revenue"))), F.count_distinct(F.when(normal, F.col("sales_date"))))),
+            div(dsum(F.when(promo(), F.col("revenue"))), F.count_distinct(F.when(promo(), F.col("sales_date")))),
+            div(dsum(F.when(normal(), F.col("revenue"))), F.count_distinct(F.when(normal(), F.col("sales_date"))))),
     }
 
 
 def _inventory() -> dict[str, Callable[[], Column]]:
-    st = F.col("stock_status")
+    def st():
+        return F.col("stock_status")
     return {
-        "stockout_rate": lambda: div(count_rows_if(st == "stockout"), F.count(F.lit(1))),  # MEA-14
-        "nb_stockout": lambda: F.count_if(st == "stockout"),                                # MEA-15
-        "stockouts_display": lambda: count_rows_if(st == "stockout"),                       # MEA-16
-        "nb_critical": lambda: F.count_if(st.isin("stockout", "critical")),                 # MEA-17
+        "stockout_rate": lambda: div(count_rows_if(st() == "stockout"), F.count(F.lit(1))),  # MEA-14
+        "nb_stockout": lambda: F.count_if(st() == "stockout"),                                # MEA-15
+        "stockouts_display": lambda: count_rows_if(st() == "stockout"),                       # MEA-16
+        "nb_critical": lambda: F.count_if(st().isin("stockout", "critical")),                 # MEA-17
         "avg_stock": lambda: F.avg("quantity_on_hand"),                                     # MEA-18
         "avg_coverage_days": lambda: davg("coverage_days", 1),                              # MEA-19
     }
 
 
 def _fva() -> dict[str, Callable[[], Column]]:
-    err = F.abs(F.col("actual_qty") - F.col("forecast_qty"))
+    def err():
+        return F.abs(F.col("actual_qty") - F.col("forecast_qty"))
     return {
-        "forecast_accuracy": lambda: F.lit(1) - F.coalesce(div(dsum(err), F.sum("actual_qty")), F.lit(0)),  # MEA-20
-        "mae_forecast": lambda: davg(err),                                                                  # MEA-21
+        "forecast_accuracy": lambda: F.lit(1) - F.coalesce(div(dsum(err()), F.sum("actual_qty")), F.lit(0)),  # MEA-20
+        "mae_forecast": lambda: davg(err()),                                                                  # MEA-21
         "forecast_vs_actual_pct": lambda: F.coalesce(div(F.sum("actual_qty"), dsum("forecast_qty")),        # MEA-22
                                                      F.lit(0)) - 1,
     }
 
 
 def _customers() -> dict[str, Callable[[], Column]]:
-    lab = F.col("segment_label")
+    def lab():
+        return F.col("segment_label")
     return {
         "nb_clients": lambda: F.count_distinct("customer_id"),                              # MEA-25
-        "nb_champions": lambda: count_rows_if(lab == "Champions"),                          # MEA-26
-        "pct_champions": lambda: div(count_rows_if(lab == "Champions"),                     # MEA-27
+        "nb_champions": lambda: count_rows_if(lab() == "Champions"),                          # MEA-26
+        "pct_champions": lambda: div(count_rows_if(lab() == "Champions"),                     # MEA-27
                                      F.count_distinct("customer_id")),
-        "avg_monetary_champions": lambda: davg(F.when(lab == "Champions", F.col("monetary"))),  # MEA-28
+        "avg_monetary_champions": lambda: davg(F.when(lab() == "Champions", F.col("monetary"))),  # MEA-28
         "avg_recency_days": lambda: F.avg("recency_days"),                                  # MEA-29
-        "nb_at_risk": lambda: count_rows_if(lab == "At Risk"),                              # MEA-30
-        "nb_inactive": lambda: count_rows_if(lab == "Inactive"),                            # MEA-31
+        "nb_at_risk": lambda: count_rows_if(lab() == "At Risk"),                              # MEA-30
+        "nb_inactive": lambda: count_rows_if(lab() == "Inactive"),                            # MEA-31
     }
 
 
 def _competitor() -> dict[str, Callable[[], Column]]:
-    ch = F.col("is_cheaper")
+    def ch():
+        return F.col("is_cheaper")
     return {
         "avg_price_gap": lambda: davg("price_gap_pct"),                                     # MEA-32
-        "pct_cheaper": lambda: div(count_rows_if(ch), F.count(F.lit(1))),                   # MEA-33
-        "nb_cheaper": lambda: count_rows_if(ch),                                            # MEA-34
+        "pct_cheaper": lambda: div(count_rows_if(ch()), F.count(F.lit(1))),                   # MEA-33
+        "nb_cheaper": lambda: count_rows_if(ch()),                                            # MEA-34
         "max_gap": lambda: F.max(F.col("price_gap_pct").cast("double")),                    # MEA-35
     }
 

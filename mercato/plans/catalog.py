@@ -354,3 +354,345 @@ def q_mea_time_intel_region(r: Retail):
     """WIN-03/04 per region on the days with sales."""
     s = T.daily_revenue(sales.gold_sales_daily(r), dims.dim_calendar(r), r.as_of, by=["region"])
     return T.period_to_date(s, by=["region"])
+
+
+# ---- question catalogue (Q-*) --------------------------------------------
+from mercato.operators import ops  # noqa: E402
+from mercato.plans import questions as Q  # noqa: E402
+from mercato.plans import reports as R  # noqa: E402
+
+
+def _sales(r: Retail):
+    return sales.gold_sales_daily(r)
+
+
+def _inv(r: Retail):
+    return gold_inventory_status(r)
+
+
+def _fva(r: Retail):
+    return forecast.forecast_vs_actual(r, forecast.forecast_baseline(r))
+
+
+@register("q_01_stores_at_risk")
+def q_01(r: Retail):
+    """Q-01: stores with critical/stockout products (all regions)."""
+    return Q.q01_stores_at_risk(_inv(r))
+
+
+@register("q_01_stores_at_risk_europe")
+def q_01b(r: Retail):
+    """Q-01 with a region filter."""
+    return Q.q01_stores_at_risk(_inv(r), region="EUROPE")
+
+
+@register("q_02_margin_by_category_year")
+def q_02(r: Retail):
+    """Q-02 (flagship): gross margin % by category, year vs prior year."""
+    return Q.q02_margin_by_category_year(_sales(r))
+
+
+@register("q_03_accuracy_price_pressure")
+def q_03(r: Retail):
+    """Q-03: worst accuracy and highest price pressure by category."""
+    return Q.q03_accuracy_and_price_pressure(_fva(r), r.competitor_prices)
+
+
+@register("q_04_stockout_and_cheaper")
+def q_04(r: Retail):
+    """Q-04: products out of stock and cheaper elsewhere."""
+    return Q.q04_stockout_and_cheaper(_double_risk(r))
+
+
+@register("q_05_champions_at_risk")
+def q_05(r: Retail):
+    """Q-05: champions who bought products now in stockout, per customer."""
+    return Q.q05_champions_at_risk(_champions(r, False))
+
+
+@register("q_05_summary")
+def q_05s(r: Retail):
+    """Q-05: count and LTV at risk, customers deduplicated."""
+    return Q.q05_summary(Q.q05_champions_at_risk(_champions(r, False)))
+
+
+@register("q_07_store_counts")
+def q_07(r: Retail):
+    return Q.q07_store_counts(r.stores)
+
+
+@register("q_08_promotions_active")
+def q_08(r: Retail):
+    """Q-08: promotions running on the analysis date."""
+    return Q.q08_promotions_active(r.promotions, r.as_of)
+
+
+@register("q_09_category_products")
+def q_09(r: Retail):
+    return Q.q09_category_products(r.products)
+
+
+@register("q_10_champion_customers")
+def q_10(r: Retail):
+    return Q.q10_customers_in_segment(segments.rule_segments(r))
+
+
+@register("q_11_cheaper_at_bonprix")
+def q_11(r: Retail):
+    return Q.q11_cheaper_at(r.competitor_prices, "BonPrix")
+
+
+@register("q_11_undercut_beyond_10pct")
+def q_11b(r: Retail):
+    return Q.q11_cheaper_at(r.competitor_prices, None, min_undercut_pct=10.0)
+
+
+@register("q_12_low_accuracy")
+def q_12(r: Retail):
+    return Q.q12_low_accuracy(_fva(r))
+
+
+@register("q_12_worst10")
+def q_12b(r: Retail):
+    return Q.q12_worst(_fva(r))
+
+
+@register("q_13_top_forecast")
+def q_13(r: Retail):
+    return Q.q13_top(forecast.forecast_baseline(r), F.date_add(forecast.cutoff_of(r), 1))
+
+
+@register("q_13_high_daily_demand")
+def q_13b(r: Retail):
+    return Q.q13_high_daily(forecast.forecast_baseline(r), F.date_add(forecast.cutoff_of(r), 1))
+
+
+@register("q_14_stores_rain")
+def q_14(r: Retail):
+    return Q.q14_stores_with_weather(r.stores, r.weather, r.as_of)
+
+
+@register("q_15_kpis")
+def q_15(r: Retail):
+    return Q.q15_kpis(_sales(r), _inv(r), _fva(r), r.competitor_prices, r.as_of)
+
+
+@register("q_16_year_over_year")
+def q_16(r: Retail):
+    return Q.q16_year_over_year(_sales(r))
+
+
+@register("q_16_quarter_over_quarter")
+def q_16b(r: Retail):
+    return Q.q16_quarter_over_quarter(_sales(r))
+
+
+@register("q_17_best_periods")
+def q_17(r: Retail):
+    return Q.q17_best_periods(_sales(r))
+
+
+@register("q_18_month_over_month")
+def q_18(r: Retail):
+    return Q.q18_month_over_month(_sales(r))
+
+
+@register("q_18_ytd_vs_ly")
+def q_18b(r: Retail):
+    return Q.q18_ytd_vs_ly(_sales(r), r.as_of)
+
+
+@register("q_19_promo_yoy")
+def q_19(r: Retail):
+    return Q.q19_promo_year_over_year(_sales(r))
+
+
+@register("q_21_top_stores")
+def q_21(r: Retail):
+    return Q.q21_top_stores(_sales(r))
+
+
+@register("q_21_regions_by_stockout")
+def q_21b(r: Retail):
+    return Q.q21_regions_by_stockout(_inv(r))
+
+
+@register("q_21_categories_by_margin")
+def q_21c(r: Retail):
+    return Q.q21_categories_by_margin(_sales(r))
+
+
+@register("q_22_low_coverage_stores")
+def q_22(r: Retail):
+    return Q.q22_low_coverage_stores(_inv(r))
+
+
+@register("q_23_segments_by_ltv")
+def q_23(r: Retail):
+    return Q.q23_segments_by_ltv(segments.rule_segments(r))
+
+
+@register("q_24_promo_uplift")
+def q_24(r: Retail):
+    return Q.q24_promo_uplift(_sales(r), r.promotions)
+
+
+@register("q_25_critical_undercut")
+def q_25(r: Retail):
+    return Q.q25_critical_undercut(_double_risk(r), None)
+
+
+@register("q_29_urgent_stores")
+def q_29(r: Retail):
+    return Q.q29_urgent_stores(_inv(r))
+
+
+# ---- operational tables (STR-04..08, AGG-18..20, Q-06/26/27/28) -----------
+def _transfers(r: Retail):
+    return ops.transfer_proposals(_inv(r), r.as_of)
+
+
+def _offers(r: Retail):
+    return ops.retention_offers(segments.rule_segments(r), r.order_lines, r.products, r.as_of)
+
+
+@register("stock_alerts")
+def q_stock_alerts(r: Retail):
+    return ops.stock_alerts(_inv(r), r.as_of)
+
+
+@register("transfer_proposals")
+def q_transfer_proposals(r: Retail):
+    return _transfers(r)
+
+
+@register("retention_offers")
+def q_retention_offers(r: Retail):
+    return X.decimals_to_double(_offers(r))
+
+
+@register("incidents")
+def q_incidents(r: Retail):
+    return ops.incidents(r)
+
+
+@register("sales_spike")
+def q_sales_spike(r: Retail):
+    return ops.sales_spikes(ops.pos_events(r))
+
+
+@register("pos_silence")
+def q_pos_silence(r: Retail):
+    return ops.pos_silences(ops.pos_events(r))
+
+
+@register("transfers_by_status")
+def q_transfers_by_status(r: Retail):
+    """AGG-18 / Q-06."""
+    return ops.transfers_by_status(_transfers(r))
+
+
+@register("alerts_by_severity")
+def q_alerts_by_severity(r: Retail):
+    """AGG-19 / Q-26."""
+    return ops.alerts_by_severity(ops.active_alerts(r, _inv(r)))
+
+
+@register("q_26_stores_most_alerts")
+def q_26(r: Retail):
+    """Q-26: stores by number of active alerts (top 10)."""
+    a = ops.active_alerts(r, _inv(r)).where(F.col("status") == "active")
+    return (a.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_alerts"))
+            .join(r.stores.select("store_id", F.col("name").alias("store_name"), "region"), "store_id")
+            .orderBy(F.desc("n_alerts"), "store_id").limit(10))
+
+
+@register("q_26_open_incidents")
+def q_26b(r: Retail):
+    """Q-26: open incidents per store."""
+    return ops.incidents(r).where(F.col("status") == "open").groupBy("store_id") \
+        .agg(F.count(F.lit(1)).alias("open_incidents"))
+
+
+@register("offers_this_week")
+def q_offers_this_week(r: Retail):
+    """AGG-20 / Q-27."""
+    return ops.offers_this_week(_offers(r), r.as_of.cast("timestamp_ntz"))
+
+
+@register("q_28_regions_stockout_transfers")
+def q_28(r: Retail):
+    return Q.q28_regions_stockout_transfers(_inv(r), _transfers(r), r.stores)
+
+
+# ---- report data sets (RPT-*) --------------------------------------------
+@register("rpt_02_top_stores")
+def rpt_02(r: Retail):
+    return R.rpt02_top_stores(_sales(r))
+
+
+@register("rpt_02_top_stores_sliced")
+def rpt_02b(r: Retail):
+    """RPT-02 with the year / channel slicers (RPT-15)."""
+    return R.rpt02_top_stores(_sales(r), year=2000, channel="in_store")
+
+
+@register("rpt_03_region_map")
+def rpt_03(r: Retail):
+    return R.rpt03_region_map(_sales(r))
+
+
+@register("rpt_05_category_region")
+def rpt_05(r: Retail):
+    return R.rpt05_category_region_matrix(_inv(r))
+
+
+@register("rpt_07_actual_vs_forecast")
+def rpt_07(r: Retail):
+    return R.rpt07_actual_vs_forecast(_fva(r))
+
+
+@register("rpt_09_weather_revenue")
+def rpt_09(r: Retail):
+    return R.rpt09_weather_revenue(_sales(r), r.stores, r.weather)
+
+
+@register("rpt_10_future_forecast")
+def rpt_10(r: Retail):
+    return R.rpt10_future_forecast(forecast.forecast_baseline(r), forecast.cutoff_of(r))
+
+
+@register("rpt_11_segment_bubble")
+def rpt_11(r: Retail):
+    return R.rpt11_segment_bubble(segments.rule_segments(r))
+
+
+@register("rpt_12_format_category_stockout")
+def rpt_12(r: Retail):
+    return R.rpt12_format_category_stockout(_inv(r), r.stores)
+
+
+@register("rpt_13_gap_category_competitor")
+def rpt_13(r: Retail):
+    return R.rpt13_gap_category_competitor(r.competitor_prices)
+
+
+@register("rpt_14_store_category")
+def rpt_14(r: Retail):
+    return R.rpt14_store_category(_sales(r))
+
+
+@register("rpt_14_store_monthly")
+def rpt_14b(r: Retail):
+    return R.rpt14_store_monthly(_sales(r))
+
+
+@register("rpt_14_top_products")
+def rpt_14c(r: Retail):
+    return R.rpt14_top_products(r.order_lines, r.products)
+
+
+@register("weather")
+def q_weather(r: Retail):
+    """SRC-01 stand-in: daily weather per city over the sales range."""
+    return r.weather

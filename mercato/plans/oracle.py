@@ -397,3 +397,233 @@ SELECT region, date, """ + PTD_SQL.format(p="region,", pp="PARTITION BY region")
 FROM (SELECT d.region, d.date, c.year, c.month_num, c.quarter, d.revenue
       FROM (SELECT region, sales_date AS date, SUM(CAST(revenue AS DECIMAL(18,2))) AS revenue FROM g_sales GROUP BY 1, 2) d
       JOIN dim_calendar c ON c.date = d.date) s""")
+
+# ---- questions ------------------------------------------------------------
+GM_PCT = DIV(DSUM("gross_margin"), DSUM("revenue"))
+q("q_01_stores_at_risk", """
+SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, COUNT_IF(stock_status = 'stockout') AS n_stockout
+FROM g_inventory WHERE stock_status IN ('stockout', 'critical') GROUP BY 1, 2, 3""")
+q("q_01_stores_at_risk_europe", """
+SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, COUNT_IF(stock_status = 'stockout') AS n_stockout
+FROM g_inventory WHERE stock_status IN ('stockout', 'critical') AND region = 'EUROPE' GROUP BY 1, 2, 3""")
+q("q_02_margin_by_category_year", f"""
+WITH g AS (SELECT category, CAST(YEAR(sales_date) AS INT) AS year, {GM_PCT} AS gross_margin_pct FROM g_sales GROUP BY 1, 2)
+SELECT g.category, g.year, g.gross_margin_pct, p.gross_margin_pct AS gross_margin_pct_ly,
+       g.gross_margin_pct < p.gross_margin_pct AS declining
+FROM g LEFT JOIN g p ON p.category = g.category AND p.year + 1 = g.year""")
+q("q_03_accuracy_price_pressure", f"""
+WITH a AS (SELECT category, 1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) AS forecast_accuracy FROM g_fva GROUP BY 1),
+     p AS (SELECT category, {DAVG('price_gap_pct')} AS avg_price_gap FROM v_competitor_prices GROUP BY 1),
+     x AS (SELECT a.category, a.forecast_accuracy, p.avg_price_gap,
+                  CAST(RANK() OVER (ORDER BY a.forecast_accuracy ASC NULLS LAST) AS INT) AS accuracy_rank,
+                  CAST(RANK() OVER (ORDER BY p.avg_price_gap ASC NULLS LAST) AS INT) AS pressure_rank
+           FROM a JOIN p ON a.category = p.category)
+SELECT *, accuracy_rank + pressure_rank AS combined_rank FROM x""")
+q("q_04_stockout_and_cheaper", "SELECT * FROM g_double_risk WHERE stock_status = 'stockout'")
+view("v_q05", """
+SELECT customer_id, lifetime_value, recency_days, frequency, COUNT(DISTINCT product_id) AS n_products
+FROM g_champion WHERE stock_status = 'stockout' GROUP BY 1, 2, 3, 4
+""")
+q("q_05_champions_at_risk", "SELECT * FROM v_q05")
+q("q_05_summary", f"SELECT COUNT(*) AS n_customers, {DSUM('lifetime_value')} AS ltv_at_risk FROM v_q05")
+q("q_07_store_counts", "SELECT region, city, store_type, COUNT(*) AS n_stores FROM v_stores GROUP BY 1, 2, 3")
+q("q_08_promotions_active", "SELECT * FROM v_promotions WHERE (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date")
+q("q_09_category_products", f"SELECT category, COUNT(*) AS n_active_products, {DAVG('unit_price')} AS avg_unit_price FROM v_products WHERE is_active GROUP BY 1")
+q("q_10_champion_customers", "SELECT customer_id, segment_label, monetary, recency_days, frequency FROM v_segments WHERE segment_label = 'Champions'")
+CHEAPER_SQL = """SELECT product_id, product_name, category, competitor, CAST(our_price AS DOUBLE) AS our_price,
+       CAST(competitor_price AS DOUBLE) AS competitor_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct
+FROM v_competitor_prices WHERE snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices) AND is_cheaper"""
+q("q_11_cheaper_at_bonprix", CHEAPER_SQL + " AND competitor = 'BonPrix'")
+q("q_11_undercut_beyond_10pct", CHEAPER_SQL + " AND price_gap_pct < -10.0")
+view("v_prod_acc", f"""
+SELECT product_id, product_name, category, 1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) AS forecast_accuracy,
+       {DAVG('ABS(actual_qty - forecast_qty)')} AS mae_forecast
+FROM g_fva GROUP BY 1, 2, 3
+""")
+q("q_12_low_accuracy", "SELECT * FROM v_prod_acc WHERE forecast_accuracy < 0.75")
+q("q_12_worst10", "SELECT * FROM v_prod_acc ORDER BY forecast_accuracy, product_id LIMIT 10")
+view("v_fc30", f"""
+SELECT product_id, {DSUM('forecast_qty')} AS forecast_units, {DSUM('forecast_qty')} / 30 AS units_per_day
+FROM v_forecast WHERE forecast_date BETWEEN (SELECT cutoff FROM v_cutoff) + 1 AND (SELECT cutoff FROM v_cutoff) + 30 GROUP BY 1
+""")
+q("q_13_top_forecast", "SELECT * FROM v_fc30 ORDER BY forecast_units DESC, product_id LIMIT 10")
+q("q_13_high_daily_demand", "SELECT * FROM v_fc30 WHERE units_per_day > 50.0")
+q("q_14_stores_rain", """
+SELECT s.store_id, s.name AS store_name, s.region, s.city, w.date, w.rainfall_mm, w.weather_condition
+FROM v_stores s JOIN v_weather w ON w.city = s.city
+WHERE w.date = (SELECT as_of FROM v_as_of) AND w.weather_condition = 'pluie'""")
+q("q_15_kpis", f"""
+SELECT {GM_PCT} AS gross_margin_pct, {DIV(DSUM('revenue'), 'SUM(nb_orders)')} AS avg_basket,
+       (SELECT 1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) FROM g_fva) AS forecast_accuracy,
+       (SELECT COUNT_IF(stock_status = 'stockout') FROM g_inventory) AS nb_stockout,
+       (SELECT {DAVG('coverage_days', 1)} FROM g_inventory) AS avg_coverage_days,
+       (SELECT {DIV(CNT('is_cheaper'), 'COUNT(*)')} FROM v_competitor_prices) AS pct_cheaper,
+       (SELECT {DSUM('revenue')} FROM g_sales WHERE YEAR(sales_date) = YEAR((SELECT as_of FROM v_as_of)) AND sales_date <= (SELECT as_of FROM v_as_of)) AS revenue_ytd
+FROM g_sales""")
+q("q_16_year_over_year", f"""
+WITH y AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1)
+SELECT y.year, y.revenue, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
+FROM y LEFT JOIN y p ON p.year + 1 = y.year""")
+q("q_16_quarter_over_quarter", f"""
+WITH y AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(QUARTER(sales_date) AS INT) AS quarter, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1, 2)
+SELECT y.year, y.quarter, y.revenue, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
+FROM y LEFT JOIN y p ON p.year + 1 = y.year AND p.quarter = y.quarter""")
+q("q_17_best_periods", f"""
+WITH m AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(MONTH(sales_date) AS INT) AS month, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1, 2),
+     bm AS (SELECT year, month AS best_month, revenue AS best_month_revenue FROM
+              (SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY revenue DESC, month) AS rn FROM m) t WHERE rn = 1),
+     qq AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(QUARTER(sales_date) AS INT) AS quarter, {GM_PCT} AS gross_margin_pct FROM g_sales GROUP BY 1, 2),
+     bq AS (SELECT year, quarter AS best_margin_quarter, gross_margin_pct AS best_quarter_margin_pct FROM
+              (SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY gross_margin_pct DESC, quarter) AS rn FROM qq) t WHERE rn = 1)
+SELECT bm.year, bm.best_month, bm.best_month_revenue, bq.best_margin_quarter, bq.best_quarter_margin_pct
+FROM bm JOIN bq ON bm.year = bq.year""")
+q("q_18_month_over_month", f"""
+WITH m AS (SELECT YEAR(sales_date) * 12 + MONTH(sales_date) - 1 AS mi, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1)
+SELECT CAST(m.mi // 12 AS INT) AS year, CAST(m.mi % 12 + 1 AS INT) AS month, m.revenue, p.revenue AS revenue_prev_month,
+       {DIV('m.revenue - p.revenue', 'p.revenue')} AS growth
+FROM m LEFT JOIN m p ON p.mi + 1 = m.mi""")
+q("q_18_ytd_vs_ly", f"""
+WITH a AS (SELECT as_of, CAST(as_of - INTERVAL 12 MONTH AS DATE) AS ly_end FROM v_as_of),
+     x AS (SELECT {DSUM("CASE WHEN YEAR(sales_date) = YEAR(a.as_of) AND sales_date <= a.as_of THEN revenue END")} AS revenue_ytd,
+                  {DSUM("CASE WHEN YEAR(sales_date) = YEAR(a.ly_end) AND sales_date <= a.ly_end THEN revenue END")} AS revenue_ytd_ly
+           FROM g_sales, a
+           WHERE (YEAR(sales_date) = YEAR(a.as_of) AND sales_date <= a.as_of) OR (YEAR(sales_date) = YEAR(a.ly_end) AND sales_date <= a.ly_end))
+SELECT *, {DIV('revenue_ytd - revenue_ytd_ly', 'revenue_ytd_ly')} AS growth FROM x""")
+q("q_19_promo_yoy", f"""
+WITH y AS (SELECT promo_name, CAST(YEAR(sales_date) AS INT) AS year, {DSUM('revenue')} AS revenue, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders
+           FROM g_sales WHERE promo_name IS NOT NULL GROUP BY 1, 2)
+SELECT y.promo_name, y.year, y.revenue, y.nb_orders, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
+FROM y LEFT JOIN y p ON p.promo_name = y.promo_name AND p.year + 1 = y.year""")
+q("q_21_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 5")
+q("q_21_regions_by_stockout", f"""SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, COUNT_IF(stock_status = 'stockout') AS nb_stockout FROM g_inventory GROUP BY 1""")
+q("q_21_categories_by_margin", f"SELECT category, {GM_PCT} AS gross_margin_pct, {DSUM('gross_margin')} AS total_margin FROM g_sales GROUP BY 1")
+q("q_22_low_coverage_stores", f"""
+SELECT * FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1, 2, 3) t WHERE avg_coverage_days < 7.0""")
+q("q_23_segments_by_ltv", f"SELECT segment_label, {DAVG('monetary')} AS avg_ltv, COUNT(*) AS n_customers FROM v_segments GROUP BY 1")
+q("q_24_promo_uplift", f"""
+WITH g AS (SELECT promo_name, {DSUM('revenue')} AS revenue, SUM(nb_orders) AS orders, COUNT(DISTINCT sales_date) AS days FROM g_sales GROUP BY 1),
+     b AS (SELECT revenue / days AS rev, orders / days AS ord FROM g WHERE promo_name IS NULL),
+     t AS (SELECT promo_name, MAX(CAST(traffic_boost AS DOUBLE)) AS traffic_boost FROM v_promotions GROUP BY 1)
+SELECT g.promo_name, g.revenue / g.days AS revenue_per_day, g.revenue / g.days - b.rev AS revenue_uplift_per_day,
+       (g.orders / g.days) / b.ord AS orders_ratio, t.traffic_boost, (g.orders / g.days) / b.ord < t.traffic_boost AS below_expected
+FROM g CROSS JOIN b LEFT JOIN t ON t.promo_name = g.promo_name WHERE g.promo_name IS NOT NULL""")
+q("q_25_critical_undercut", "SELECT * FROM g_double_risk WHERE stock_status = 'critical'")
+q("q_29_urgent_stores", f"""
+SELECT *, avg_coverage_days < 7 AS urgent_replenishment, COALESCE(stockout_rate > 0.05, FALSE) AS critical_situation
+FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days,
+             {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate FROM g_inventory GROUP BY 1, 2, 3) t
+WHERE avg_coverage_days < 7 OR COALESCE(stockout_rate > 0.05, FALSE)""")
+
+# ---- operational tables -----------------------------------------------------
+view("v_stock_alerts", """
+SELECT store_id, product_id, CASE WHEN stock_status = 'stockout' THEN 'stockout' ELSE 'critical_stock' END AS alert_type,
+       CASE WHEN stock_status = 'stockout' THEN 'critical' ELSE 'high' END AS severity,
+       CASE WHEN stock_status = 'stockout' THEN 'Product ' || product_id || ' out of stock at store ' || store_id
+            ELSE 'Product ' || product_id || ' below safety stock at store ' || store_id END AS message,
+       CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS created_at, 'active' AS status
+FROM g_inventory WHERE stock_status IN ('stockout', 'critical')
+""")
+view("v_transfers", """
+WITH short AS (SELECT store_id AS to_store_id, product_id, region, stock_status, reorder_point - quantity_on_hand AS need
+               FROM g_inventory WHERE stock_status IN ('stockout', 'critical')),
+     donors AS (SELECT store_id, product_id, region, quantity_on_hand - reorder_point AS excess FROM g_inventory WHERE quantity_on_hand > reorder_point),
+     br AS (SELECT product_id, region, excess AS r_excess, store_id AS r_store FROM
+              (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, region ORDER BY excess DESC, store_id) AS rn FROM donors) t WHERE rn = 1),
+     bp AS (SELECT product_id, excess AS a_excess, store_id AS a_store FROM
+              (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY excess DESC, store_id) AS rn FROM donors) t WHERE rn = 1)
+SELECT COALESCE(br.r_store, bp.a_store) AS from_store_id, s.to_store_id, s.product_id,
+       CAST(LEAST(GREATEST(s.need, 1), CASE WHEN br.r_store IS NOT NULL THEN br.r_excess ELSE bp.a_excess END) AS INT) AS quantity,
+       CASE WHEN s.stock_status = 'stockout' THEN 'stockout_reflex' ELSE 'critical_stock_reflex' END AS reason,
+       CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS created_at, 'pending' AS status
+FROM short s LEFT JOIN br ON br.product_id = s.product_id AND br.region = s.region LEFT JOIN bp ON bp.product_id = s.product_id
+WHERE COALESCE(br.r_store, bp.a_store) IS NOT NULL
+""")
+view("v_offers", """
+WITH fav AS (SELECT customer_id, category FROM
+               (SELECT customer_id, category, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY spend DESC, category DESC) AS rn
+                FROM (SELECT o.customer_id, p.category, SUM(i.line_total) AS spend FROM v_orders o JOIN v_order_items i ON o.order_id = i.order_id
+                      JOIN v_products p ON p.product_id = i.product_id GROUP BY 1, 2) s) t WHERE rn = 1)
+SELECT s.customer_id, CASE WHEN s.segment_label = 'At Risk' AND s.recency_days > 90 THEN 'loyalty_discount' ELSE 'win_back' END AS offer_type,
+       CASE WHEN s.segment_label = 'At Risk' AND s.recency_days > 90 THEN CAST(15.00 AS DECIMAL(5,2)) ELSE CAST(20.00 AS DECIMAL(5,2)) END AS discount_pct,
+       f.category, CAST((SELECT as_of FROM v_as_of) + 30 AS DATE) AS valid_until, CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS generated_at
+FROM v_segments s LEFT JOIN fav f ON f.customer_id = s.customer_id
+WHERE (s.segment_label = 'At Risk' AND s.recency_days > 90) OR (s.segment_label = 'Inactive' AND s.monetary > 500)
+""")
+view("v_pos", """
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id % (SELECT COUNT(*) FROM supplier) AS store_id, value FROM events WHERE event_type = 'purchase'
+""")
+view("v_incidents", """
+SELECT user_id % (SELECT COUNT(*) FROM supplier) AS store_id, 'pos_error' AS incident_type, 'Error event ' || event_id AS description,
+       CAST(ts AS TIMESTAMP) AS created_at,
+       CASE WHEN ts >= (SELECT MAX(ts) FROM events) - INTERVAL 48 HOUR THEN 'open' ELSE 'resolved' END AS status
+FROM events WHERE event_type = 'error'
+""")
+view("v_spikes", """
+WITH d AS (SELECT store_id, CAST(ts AS DATE) AS day, COUNT(*) AS n FROM v_pos GROUP BY 1, 2),
+     x AS (SELECT *, SUM(n) OVER (PARTITION BY store_id ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING) AS prev FROM d)
+SELECT store_id, CAST(NULL AS BIGINT) AS product_id, 'sales_spike' AS alert_type, 'medium' AS severity,
+       'Unusual sales spike at store ' || store_id AS message, CAST(day + 1 AS TIMESTAMP) AS created_at, 'active' AS status
+FROM x WHERE prev IS NOT NULL AND n * 7 > 3.0 * prev
+""")
+view("v_silences", """
+WITH p AS (SELECT store_id, ts, LAG(ts) OVER (PARTITION BY store_id ORDER BY ts) AS prev_ts FROM v_pos)
+SELECT store_id, CAST(NULL AS BIGINT) AS product_id, 'pos_silence' AS alert_type, 'high' AS severity,
+       'No POS transactions for 45 minutes' AS message, prev_ts + INTERVAL 45 MINUTE AS created_at, 'active' AS status
+FROM p WHERE prev_ts IS NOT NULL AND ts > prev_ts + INTERVAL 45 MINUTE
+""")
+view("v_alerts", """
+SELECT * FROM v_stock_alerts UNION ALL SELECT * FROM v_spikes UNION ALL SELECT * FROM v_silences
+""")
+q("stock_alerts", "SELECT * FROM v_stock_alerts")
+q("transfer_proposals", "SELECT * FROM v_transfers")
+q("retention_offers", "SELECT customer_id, offer_type, CAST(discount_pct AS DOUBLE) AS discount_pct, category, valid_until, generated_at FROM v_offers")
+q("incidents", "SELECT * FROM v_incidents")
+q("sales_spike", "SELECT * FROM v_spikes")
+q("pos_silence", "SELECT * FROM v_silences")
+q("transfers_by_status", "SELECT status, COUNT(*) AS cnt, CAST(SUM(quantity) AS BIGINT) AS total_units FROM v_transfers GROUP BY 1")
+q("alerts_by_severity", """
+SELECT alert_type, severity, COUNT(*) AS cnt,
+       CASE severity WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END AS severity_rank
+FROM v_alerts WHERE status = 'active' GROUP BY 1, 2""")
+q("q_26_stores_most_alerts", """
+SELECT a.store_id, a.n_alerts, s.name AS store_name, s.region
+FROM (SELECT store_id, COUNT(*) AS n_alerts FROM v_alerts WHERE status = 'active' GROUP BY 1) a JOIN v_stores s ON s.store_id = a.store_id
+ORDER BY a.n_alerts DESC, a.store_id LIMIT 10""")
+q("q_26_open_incidents", "SELECT store_id, COUNT(*) AS open_incidents FROM v_incidents WHERE status = 'open' GROUP BY 1")
+q("offers_this_week", """
+SELECT offer_type, COUNT(*) AS cnt, CAST(ROUND(AVG(discount_pct), 1) AS DOUBLE) AS avg_discount
+FROM v_offers WHERE generated_at >= CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) - INTERVAL 7 DAY GROUP BY 1""")
+q("q_28_regions_stockout_transfers", f"""
+WITH r AS (SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate FROM g_inventory GROUP BY 1),
+     t AS (SELECT s.region, COUNT(*) AS pending_transfers FROM v_transfers t JOIN v_stores s ON s.store_id = t.to_store_id WHERE t.status = 'pending' GROUP BY 1)
+SELECT r.region, r.stockout_rate, COALESCE(t.pending_transfers, 0) AS pending_transfers FROM r LEFT JOIN t ON t.region = r.region""")
+
+# ---- reports ------------------------------------------------------------------
+q("rpt_02_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 10")
+q("rpt_02_top_stores_sliced", f"""SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales
+WHERE YEAR(sales_date) = 2000 AND channel = 'in_store' GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 10""")
+q("rpt_03_region_map", f"SELECT region, {DSUM('revenue')} AS total_revenue, {GM_PCT} AS gross_margin_pct FROM g_sales GROUP BY 1")
+q("rpt_05_category_region", f"""SELECT category, region, {CNT("stock_status = 'stockout'")} AS stockouts_display, {DAVG('coverage_days', 1)} AS avg_coverage_days
+FROM g_inventory WHERE region IS NOT NULL GROUP BY 1, 2""")
+q("rpt_07_actual_vs_forecast", f"""SELECT forecast_date, CAST(SUM(actual_qty) AS BIGINT) AS actual_qty, {DSUM('forecast_qty')} AS forecast_qty,
+  {DSUM('forecast_qty_lower')} AS forecast_qty_lower, {DSUM('forecast_qty_upper')} AS forecast_qty_upper FROM g_fva GROUP BY 1""")
+q("rpt_09_weather_revenue", f"""
+SELECT w.weather_condition, {DAVG('w.max_temperature_c', 1)} AS avg_max_temperature_c, {DSUM('g.revenue')} AS total_revenue,
+       CAST(SUM(g.nb_orders) AS BIGINT) AS nb_orders
+FROM g_sales g JOIN v_stores s ON s.store_id = g.store_id JOIN v_weather w ON w.city = s.city AND w.date = g.sales_date
+GROUP BY 1""")
+q("rpt_10_future_forecast", f"""SELECT forecast_date, {DSUM('forecast_qty')} AS forecast_qty, {DSUM('forecast_qty_lower')} AS forecast_qty_lower,
+  {DSUM('forecast_qty_upper')} AS forecast_qty_upper FROM v_forecast WHERE forecast_date > (SELECT cutoff FROM v_cutoff) GROUP BY 1""")
+q("rpt_11_segment_bubble", f"SELECT segment_label, AVG(recency_days) AS avg_recency_days, {DAVG('monetary')} AS avg_ltv, COUNT(DISTINCT customer_id) AS nb_clients FROM v_segments GROUP BY 1")
+q("rpt_12_format_category_stockout", f"""SELECT s.store_type, i.category, {DIV(CNT("i.stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate
+FROM g_inventory i JOIN v_stores s ON s.store_id = i.store_id GROUP BY 1, 2""")
+q("rpt_13_gap_category_competitor", f"SELECT category, competitor, {DAVG('price_gap_pct')} AS avg_price_gap FROM v_competitor_prices GROUP BY 1, 2")
+q("rpt_14_store_category", f"SELECT store_id, category, {DSUM('revenue')} AS total_revenue, {GM_PCT} AS gross_margin_pct FROM g_sales GROUP BY 1, 2")
+q("rpt_14_store_monthly", f"SELECT store_id, CAST(YEAR(sales_date) * 100 + MONTH(sales_date) AS INT) AS year_month_sort, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2")
+q("rpt_14_top_products", """
+WITH g AS (SELECT o.store_id, i.product_id, CAST(ROUND(SUM(i.quantity * i.unit_price * (1 - i.discount_pct * 0.01)), 2) AS DOUBLE) AS revenue,
+                  CAST(SUM(i.quantity) AS BIGINT) AS units_sold
+           FROM v_orders o JOIN v_order_items i ON o.order_id = i.order_id GROUP BY 1, 2),
+     t AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY store_id ORDER BY revenue DESC, product_id) AS INT) AS rank FROM g)
+SELECT t.*, p.name AS product_name, p.category FROM t JOIN v_products p ON p.product_id = t.product_id WHERE rank <= 20""")
+q("weather", "SELECT * FROM v_weather")
