@@ -15,11 +15,9 @@ SALES_KEYS = ["store_id", "store_name", "region", "surface_m2", "store_type", "s
 
 def sales_lines(r: Retail) -> DataFrame:
     """Order lines with store, product and promotion attributes (JOI-01..04)."""
-    products = r.products.select("product_id", "category", "subcategory", "unit_cost")
     stores = r.stores.select("store_id", F.col("name").alias("store_name"), "region",
                              "surface_m2", "store_type")
-    lines = (r.order_items.join(r.orders, "order_id")
-             .join(sized_broadcast(products, key=f"{r.sf_dir}:products"), "product_id")
+    lines = (r.priced_lines.join(r.orders, "order_id")
              .join(sized_broadcast(stores, key=f"{r.sf_dir}:stores"), "store_id"))
     return join_promotions(lines, r.promotions, key=f"{r.sf_dir}:promo_days")
 

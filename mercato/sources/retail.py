@@ -52,6 +52,24 @@ CHANNEL_OF_PRIORITY = {"1-URGENT": "drive", "2-HIGH": "click_and_collect",
 DEFAULT_CHANNEL = "in_store"
 
 
+# Fact tables and the key they are next joined on.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a fact table stored as one file over the cluster.
+
+    A single Parquet file with one row group is one scan task, and every
+    operator fused into that stage then runs single-threaded.  Such a scan
+    is hash-partitioned on the key of its next join (the exchange that join
+    needs anyway when both sides are large).  Tables of many files -- the
+    normal layout at scale -- are left as read."""
+    if len(df.inputFiles()) > 1:
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
 def dec(x: str | int | float, p: int, s: int) -> Column:
     return F.lit(str(x)).cast(f"decimal({p},{s})")
 
@@ -72,7 +90,10 @@ class Retail:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            if name in SPREAD_KEYS:
+                df = spread(df, SPREAD_KEYS[name])
+            self._cache[name] = df
         return self._cache[name]
 
     # -- source system tables -------------------------------------------------
@@ -119,17 +140,29 @@ class Retail:
                         F.col("o_orderstatus").alias("order_status"))
 
     @cached_property
-    def order_items(self) -> DataFrame:
-        """Order lines priced at the product list price (as the source does)."""
-        li, p = self.raw("lineitem"), self.raw("part")
+    def priced_lines(self) -> DataFrame:
+        """Order lines joined once to their product: the order_items columns
+        (priced at the product list price, as the source does) plus the
+        product attributes the facts group by.  The product side is
+        broadcast only below a checked row count."""
+        from mercato.plans.joins import sized_broadcast
+        li = self.raw("lineitem")
+        prod = sized_broadcast(self.products, key=f"{self.sf_dir}:products")
         qty = F.col("l_quantity").cast("int")
-        price = F.col("p_retailprice").cast("decimal(10,2)")
-        line_total = F.round(qty * price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
-        return (li.join(p.select("p_partkey", "p_retailprice"), li.l_partkey == p.p_partkey)
-                .select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-                        qty.alias("quantity"), price.alias("unit_price"),
+        line_total = F.round(qty * F.col("unit_price")
+                             * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
+        return (li.join(prod, li.l_partkey == prod.product_id)
+                .select(F.col("l_orderkey").alias("order_id"), "product_id",
+                        qty.alias("quantity"), "unit_price",
                         (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct"),
-                        line_total.cast("decimal(12,2)").alias("line_total")))
+                        line_total.cast("decimal(12,2)").alias("line_total"),
+                        "category", "subcategory", "unit_cost"))
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        """order_items contract columns."""
+        return self.priced_lines.select("order_id", "product_id", "quantity", "unit_price",
+                                        "discount_pct", "line_total")
 
     @cached_property
     def order_lines(self) -> DataFrame:
