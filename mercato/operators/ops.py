@@ -108,11 +108,20 @@ def incidents(r: Retail, open_hours: int = 48) -> DataFrame:
                     F.when(is_open, "open").otherwise("resolved").alias("status"))
 
 
+def daily_counts(pos: DataFrame) -> DataFrame:
+    """Purchases per store and day."""
+    return pos.groupBy("store_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def sales_spikes(pos: DataFrame, k: float = 3.0, trailing_days: int = 7) -> DataFrame:
     """STR-04 (batch): a store-day whose purchase count exceeds k times the
-    mean of the previous ``trailing_days`` days (missing days count 0).
-    Pre-aggregated to store x day, so the window runs over one row per day."""
-    day = pos.groupBy("store_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    mean of the previous ``trailing_days`` days (missing days count 0)."""
+    return spikes_from_counts(daily_counts(pos), k, trailing_days)
+
+
+def spikes_from_counts(day: DataFrame, k: float = 3.0, trailing_days: int = 7) -> DataFrame:
+    """Spike rule over (store_id, day, n); pre-aggregated, so the window runs
+    over one row per store-day."""
     w = Window.partitionBy("store_id").orderBy(F.unix_date("day")).rangeBetween(-trailing_days, -1)
     x = day.select("*", F.sum("n").over(w).alias("prev"))
     x = x.where(F.col("prev").isNotNull() & (F.col("n") * trailing_days > k * F.col("prev")))

@@ -696,3 +696,56 @@ def rpt_14c(r: Retail):
 def q_weather(r: Retail):
     """SRC-01 stand-in: daily weather per city over the sales range."""
     return r.weather
+
+
+# ---- streaming (STR-01..05) ------------------------------------------------
+from mercato.streaming import jobs as S  # noqa: E402
+
+
+def _events_stream(r: Retail):
+    return S.event_stream(r.spark, r.sf_dir)
+
+
+@register("stream_sales_tumbling")
+def q_stream_sales_tumbling(r: Retail):
+    """STR-03: daily tumbling windows per event type, watermark, closed windows only."""
+    path = S.run_available(S.windowed_totals(_events_stream(r), "1 day"), None, name="tumbling")
+    return r.spark.read.parquet(path)
+
+
+@register("stream_sales_sliding")
+def q_stream_sales_sliding(r: Retail):
+    """STR-03: 1-day windows sliding every 6 hours."""
+    path = S.run_available(S.windowed_totals(_events_stream(r), "1 day", "6 hours"), None, name="sliding")
+    return r.spark.read.parquet(path)
+
+
+@register("stream_pos_sessions")
+def q_stream_pos_sessions(r: Retail):
+    """STR-05: POS activity sessions per store (45-minute gap)."""
+    path = S.run_available(S.pos_sessions(_events_stream(r), r.n_stores), None, name="sessions")
+    return r.spark.read.parquet(path)
+
+
+@register("cdc_state")
+def q_cdc_state(r: Retail):
+    """STR-01 batch semantics: latest change per key, deletes dropped."""
+    e = r.raw("events")
+    return S.cdc_state(S.change_feed(e))
+
+
+@register("stream_cdc_apply")
+def q_stream_cdc_apply(r: Retail):
+    """STR-01: the change feed applied by a foreachBatch stream."""
+    import uuid
+
+    from mercato.session import scratch_path
+    target = scratch_path(r.spark, f"cdc-users-{uuid.uuid4().hex[:8]}")
+    S.cdc_apply_stream(S.change_feed(_events_stream(r)), target)
+    return S.cdc_current(r.spark, target)
+
+
+@register("stream_sales_spike", rows_only=True)
+def q_stream_sales_spike(r: Retail):
+    """STR-04: spike alerts computed per micro-batch over closed daily windows."""
+    return r.spark.read.parquet(S.spike_alerts_stream(_events_stream(r), r.n_stores, None))

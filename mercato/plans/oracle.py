@@ -627,3 +627,31 @@ WITH g AS (SELECT o.store_id, i.product_id, CAST(ROUND(SUM(i.quantity * i.unit_p
      t AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY store_id ORDER BY revenue DESC, product_id) AS INT) AS rank FROM g)
 SELECT t.*, p.name AS product_name, p.category FROM t JOIN v_products p ON p.product_id = t.product_id WHERE rank <= 20""")
 q("weather", "SELECT * FROM v_weather")
+
+
+# ---- streaming --------------------------------------------------------------
+q("stream_sales_tumbling", """
+SELECT * FROM (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
+                      COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
+               FROM events GROUP BY 1, 2, 3) t
+WHERE window_end <= (SELECT MAX(ts) FROM events)""")
+q("stream_sales_sliding", """
+WITH s AS (SELECT ts, event_type, value, UNNEST(generate_series(0, 3)) AS k FROM events),
+     w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS window_start, event_type, value FROM s)
+SELECT * FROM (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, COUNT(*) AS n,
+                      CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value FROM w GROUP BY 1, 2, 3) t
+WHERE window_end <= (SELECT MAX(ts) FROM events)""")
+q("stream_pos_sessions", """
+WITH p AS (SELECT user_id % (SELECT COUNT(*) FROM supplier) AS store_id, ts FROM events WHERE event_type = 'purchase'),
+     g AS (SELECT *, CASE WHEN LAG(ts) OVER (PARTITION BY store_id ORDER BY ts) + INTERVAL 45 MINUTE > ts THEN 0 ELSE 1 END AS new_s FROM p),
+     n AS (SELECT *, SUM(new_s) OVER (PARTITION BY store_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
+SELECT * FROM (SELECT store_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 45 MINUTE AS silence_from, COUNT(*) AS n_events
+               FROM n GROUP BY store_id, sid) t
+WHERE silence_from <= (SELECT MAX(ts) FROM events WHERE event_type = 'purchase')""")
+CDC_SQL = """
+SELECT key, seq, event_type, value, ts FROM (
+  SELECT user_id AS key, event_id AS seq, event_type, value, ts,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) t
+WHERE rn = 1 AND event_type <> 'error'"""
+q("cdc_state", CDC_SQL)
+q("stream_cdc_apply", CDC_SQL)
