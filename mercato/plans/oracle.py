@@ -69,7 +69,7 @@ SELECT store_id, product_id, qty AS quantity_on_hand, safety_stock, reorder_poin
 FROM (SELECT *, CASE WHEN h < 300 THEN 0 WHEN h < 1101 THEN 1 + r % safety_stock WHEN h < 2302 THEN safety_stock + 1 + r % GREATEST(1, reorder_point - safety_stock)
                      ELSE reorder_point + 1 + r % GREATEST(1, 3 * reorder_point) END AS qty
       FROM (SELECT store_id, product_id, sold, days, (store_id * 7919 + product_id * 104729 + 12345) % 10007 AS h, (store_id * 31 + product_id * 17) % 997 AS r,
-                   GREATEST(1, CAST(FLOOR(3 * CAST(sold AS DOUBLE) / days) AS INT)) AS safety_stock, GREATEST(2, CAST(FLOOR(7 * CAST(sold AS DOUBLE) / days) AS INT)) AS reorder_point
+                   GREATEST(1, CAST((3 * sold) // days AS INT)) AS safety_stock, GREATEST(2, CAST((7 * sold) // days AS INT)) AS reorder_point
             FROM v_sp_sales v) a) b
 """)
 view("v_weather", """

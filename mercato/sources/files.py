@@ -47,7 +47,7 @@ def typed(df: DataFrame, types: dict[str, str]) -> Loaded:
     """SRC-06: select then type; unparseable non-empty cells reject the row."""
     cols = [c for c in types if c in df.columns]
     raw = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-    conv = {c: F.try_cast(F.trim(F.col(c)), types[c]) if types[c] != "string" else F.col(c) for c in cols}
+    conv = {c: F.trim(F.col(c)).try_cast(types[c]) if types[c] != "string" else F.col(c) for c in cols}
     bad = reduce(lambda a, b: a | b, [F.col(c).isNotNull() & (F.trim(F.col(c)) != "") & conv[c].isNull()
                                       for c in cols if types[c] != "string"], F.lit(False))
     flagged = raw.withColumn("_bad", bad)

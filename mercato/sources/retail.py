@@ -243,12 +243,13 @@ class Retail:
     def inventory(self) -> DataFrame:
         """Stock on hand per sold store x product pair (deterministic bands)."""
         v = self.store_product_sales
-        adp = F.col("sold").cast("double") / F.col("days")
+        # floor(k * sold / days) in exact integer arithmetic (no float rounding
+        # at integer boundaries)
         v = v.select("store_id", "product_id", "sold", "days",
                      ((F.col("store_id") * 7919 + F.col("product_id") * 104729 + 12345) % 10007).alias("h"),
                      ((F.col("store_id") * 31 + F.col("product_id") * 17) % 997).alias("r"),
-                     F.greatest(F.lit(1), F.floor(3 * adp).cast("int")).alias("safety_stock"),
-                     F.greatest(F.lit(2), F.floor(7 * adp).cast("int")).alias("reorder_point"))
+                     F.greatest(F.lit(1), F.expr("CAST(div(3 * sold, days) AS INT)")).alias("safety_stock"),
+                     F.greatest(F.lit(2), F.expr("CAST(div(7 * sold, days) AS INT)")).alias("reorder_point"))
         h, r, ss, rp = F.col("h"), F.col("r"), F.col("safety_stock"), F.col("reorder_point")
         qty = (F.when(h < 300, F.lit(0))
                .when(h < 1101, 1 + r % ss)

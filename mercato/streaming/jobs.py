@@ -164,13 +164,17 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
 
 
 def cdc_current(spark: SparkSession, target: str) -> DataFrame | None:
-    """The latest committed version of a CDC-applied table (None if none)."""
-    if not os.path.isdir(target):
+    """The latest committed version of a CDC-applied table (None if none).
+    The markers are read through Spark, so the folder may be on any
+    Hadoop-compatible store; only the version number reaches the driver."""
+    from pyspark.errors import AnalysisException
+    try:
+        v = spark.read.schema("v long").json(f"{target.rstrip('/')}/_committed_*").agg(F.max("v")).first()[0]
+    except AnalysisException:
         return None
-    done = sorted(d for d in os.listdir(target) if d.startswith("_committed_"))
-    if not done:
+    if v is None:
         return None
-    return spark.read.parquet(os.path.join(target, "v" + done[-1][len("_committed_"):]))
+    return spark.read.parquet(f"{target.rstrip('/')}/v{v:010d}")
 
 
 # ---- STR-02: incremental file ingestion --------------------------------------
