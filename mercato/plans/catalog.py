@@ -749,3 +749,75 @@ def q_stream_cdc_apply(r: Retail):
 def q_stream_sales_spike(r: Retail):
     """STR-04: spike alerts computed per micro-batch over closed daily windows."""
     return r.spark.read.parquet(S.spike_alerts_stream(_events_stream(r), r.n_stores, None))
+
+
+# ---- entity model (PRJ-21/22, JOI-10..12) -----------------------------------
+from mercato.operators import entities as EN  # noqa: E402
+
+
+@register("ents_store")
+def q_ents_store(r: Retail):
+    return EN.entity_view(r.stores, "Store")
+
+
+@register("ents_product")
+def q_ents_product(r: Retail):
+    return X.decimals_to_double(EN.entity_view(r.products, "Product"))
+
+
+@register("ents_inventory")
+def q_ents_inventory(r: Retail):
+    return EN.entity_view(_inv(r), "InventoryStatus")
+
+
+@register("ents_forecast_vs_actual")
+def q_ents_fva(r: Retail):
+    return EN.entity_view(_fva(r), "ForecastVsActual")
+
+
+@register("ents_demand_forecast")
+def q_ents_demand_forecast(r: Retail):
+    return EN.entity_view(forecast.forecast_baseline(r), "DemandForecast")
+
+
+@register("ents_customer_segment")
+def q_ents_customer_segment(r: Retail):
+    return EN.entity_view(segments.rule_segments(r), "CustomerSegment")
+
+
+@register("ents_competitor_latest")
+def q_ents_competitor_latest(r: Retail):
+    return X.decimals_to_double(EN.entity_view(competitor.latest_snapshot(r.competitor_prices), "CompetitorPrice"))
+
+
+@register("ents_weather_en")
+def q_ents_weather_en(r: Retail):
+    """PRJ-21 + PRJ-22: weather observations, English condition names."""
+    return EN.entity_view(EN.weather_in_english(r.weather), "WeatherObservation")
+
+
+@register("ents_promotion")
+def q_ents_promotion(r: Retail):
+    p = r.promotions.select("*", X.promo_active(r.as_of).alias("is_active"))
+    return X.decimals_to_double(EN.entity_view(p, "Promotion"))
+
+
+@register("ents_tracked_in_inventory")
+def q_ents_tracked_in_inventory(r: Retail):
+    """JOI-12: at-risk inventory rows -> their Product."""
+    src = _inv(r).where(F.col("stock_status").isin(*X.AT_RISK)).select("store_id", "product_id", "stock_status")
+    return X.decimals_to_double(EN.traverse(src, "tracked_in_inventory", r.products))
+
+
+@register("ents_observed_at")
+def q_ents_observed_at(r: Retail):
+    """JOI-12: Store -> WeatherObservation of its city on the analysis date."""
+    w = r.weather.where(F.col("date") == r.as_of).select("city", "date", "weather_condition", "rainfall_mm")
+    return EN.traverse(r.stores.select("store_id", "city"), "observed_at", w)
+
+
+@register("model_sales_weekend")
+def q_model_sales_weekend(r: Retail):
+    """JOI-10: sales related to the calendar; revenue by weekend flag."""
+    s = EN.relate(_sales(r), dims.dim_calendar(r), "sales_date", "date", "sales", "calendar")
+    return M.evaluate(s, ["total_revenue", "nb_orders"], by=["is_weekend"])

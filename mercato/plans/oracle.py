@@ -655,3 +655,37 @@ SELECT key, seq, event_type, value, ts FROM (
 WHERE rn = 1 AND event_type <> 'error'"""
 q("cdc_state", CDC_SQL)
 q("stream_cdc_apply", CDC_SQL)
+
+
+# ---- entity model -------------------------------------------------------------
+q("ents_store", "SELECT store_id, name, city, region, surface_m2 AS Store_Size_m2, store_type AS Store_Format FROM v_stores")
+q("ents_product", """SELECT product_id, name, category AS Product_Category, subcategory AS Product_Subcategory,
+  CAST(unit_price AS DOUBLE) AS Selling_Price, CAST(unit_cost AS DOUBLE) AS Cost_Price, is_active FROM v_products""")
+q("ents_inventory", """SELECT store_id, store_name, region, product_id, product_name, category, quantity_on_hand AS Stock_On_Hand,
+  safety_stock AS Safety_Stock_Threshold, reorder_point AS Reorder_Point, stock_status AS Stock_Health_Status, coverage_days AS Coverage_Days FROM g_inventory""")
+q("ents_forecast_vs_actual", """SELECT product_id, product_name, category, forecast_date AS Forecast_Date, actual_qty AS Actual_Quantity,
+  forecast_qty AS Forecasted_Quantity, forecast_qty_lower AS Forecast_Lower_Bound, forecast_qty_upper AS Forecast_Upper_Bound,
+  forecast_error_pct AS Forecast_Error_Pct, forecast_accuracy AS Forecast_Accuracy FROM g_fva""")
+q("ents_demand_forecast", """SELECT product_id, forecast_date AS Forecast_Date, forecast_qty AS Forecasted_Quantity,
+  forecast_qty_lower AS Forecast_Lower_Bound, forecast_qty_upper AS Forecast_Upper_Bound FROM v_forecast""")
+q("ents_customer_segment", """SELECT customer_id, last_order_date, recency_days AS Days_Since_Last_Purchase, frequency AS Purchase_Frequency,
+  monetary AS Lifetime_Value, avg_basket AS Average_Basket_Size, nb_distinct_products AS Distinct_Products_Bought, segment_id,
+  segment_label AS Customer_Segment FROM v_segments""")
+q("ents_competitor_latest", """SELECT snapshot_month, product_id, product_name, category, competitor AS Competitor_Name, CAST(our_price AS DOUBLE) AS our_price,
+  CAST(price_gap_pct AS DOUBLE) AS Price_Gap_Pct, is_cheaper AS Competitor_Is_Cheaper, CAST(competitor_price AS DOUBLE) AS competitor_price
+FROM v_competitor_prices WHERE snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices)""")
+q("ents_weather_en", """SELECT date, city, region, max_temperature_c AS Max_Temperature_C, min_temperature_c AS Min_Temperature_C,
+  rainfall_mm AS Rainfall_mm, wind_speed_kmh AS Wind_Speed_kmh, is_sunny,
+  CASE weather_condition WHEN 'ensoleillé' THEN 'sunny' WHEN 'nuageux' THEN 'cloudy' WHEN 'pluie' THEN 'rain' WHEN 'couvert' THEN 'overcast' ELSE weather_condition END AS Weather_Condition
+FROM v_weather""")
+q("ents_promotion", """SELECT promo_name, start_date AS Start_Date, end_date AS End_Date, category AS Product_Category, discount_pct AS Discount_Pct,
+  CAST(traffic_boost AS DOUBLE) AS Traffic_Boost_Factor, (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date AS Is_Active FROM v_promotions""")
+q("ents_tracked_in_inventory", """SELECT i.store_id, i.product_id, i.stock_status, p.name AS product_name, p.category AS product_category,
+  p.subcategory AS product_subcategory, CAST(p.unit_price AS DOUBLE) AS product_unit_price, CAST(p.unit_cost AS DOUBLE) AS product_unit_cost,
+  p.is_active AS product_is_active
+FROM g_inventory i JOIN v_products p ON p.product_id = i.product_id WHERE i.stock_status IN ('stockout', 'critical')""")
+q("ents_observed_at", """SELECT s.store_id, s.city, w.date AS weatherobservation_date, w.weather_condition AS weatherobservation_weather_condition,
+  w.rainfall_mm AS weatherobservation_rainfall_mm
+FROM v_stores s JOIN v_weather w ON w.city = s.city WHERE w.date = (SELECT as_of FROM v_as_of)""")
+q("model_sales_weekend", f"""SELECT c.is_weekend, {DSUM('g.revenue')} AS total_revenue, CAST(SUM(g.nb_orders) AS BIGINT) AS nb_orders
+FROM g_sales g LEFT JOIN dim_calendar c ON c.date = g.sales_date GROUP BY 1""")
