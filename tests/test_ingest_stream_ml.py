@@ -75,3 +75,16 @@ def test_kmeans_segments_invariants(spark, sf_dir):
     assert labels == {"Champions", "Loyal", "Warm Prospects", "At Risk", "Inactive"}
     rfm = E.queries()["rfm_features"](spark, sf_dir)
     assert seg.count() == rfm.count()
+
+
+def test_gold_build_counts_match_queries(spark, sf_dir):
+    from mercato.plans.gold import build
+    from mercato.session import scratch_path
+    out = scratch_path(spark, "gold-test")
+    counts = build(spark, sf_dir, out)
+    qs = E.queries()
+    assert counts["gold_sales_daily"] == qs["sales_daily"](spark, sf_dir).count()
+    assert counts["gold_inventory_status"] == qs["inventory_status"](spark, sf_dir).count()
+    assert counts["gold_double_risk_products"] == qs["double_risk"](spark, sf_dir).count()
+    assert counts["dim_calendar"] == spark.read.parquet(f"{out}/dim_calendar").count()
+    assert spark.read.parquet(f"{out}/gold_sales_daily").where("sales_year = 1998").count() > 0
