@@ -821,3 +821,70 @@ def q_model_sales_weekend(r: Retail):
     """JOI-10: sales related to the calendar; revenue by weekend flag."""
     s = EN.relate(_sales(r), dims.dim_calendar(r), "sales_date", "date", "sales", "calendar")
     return M.evaluate(s, ["total_revenue", "nb_orders"], by=["is_weekend"])
+
+
+# ---- remaining operators ------------------------------------------------------
+@register("stock_policy")
+def q_stock_policy(r: Retail):
+    """PRJ-15 + JOI-08: thresholds for every sold store x product pair."""
+    pairs = r.store_product_sales.select("store_id", "product_id")
+    return inventory.stock_policy(pairs, inventory.velocity(r), r.stores)
+
+
+@register("inventory_flags")
+def q_inventory_flags(r: Retail):
+    """PRJ-19 / PRJ-20: coverage rules and colour band per inventory row."""
+    return _inv(r).select("store_id", "product_id", "coverage_days",
+                          X.urgent_replenishment().alias("urgent_replenishment"),
+                          X.overstock().alias("potential_overstock"),
+                          X.coverage_band().alias("coverage_band"))
+
+
+@register("top_stores_per_region")
+def q_top_stores_per_region(r: Retail):
+    """WIN-06: top 3 stores of each region by revenue, with their share of
+    the region (ranked after aggregation, window per region)."""
+    from pyspark.sql import Window
+    g = M.evaluate(_sales(r), ["total_revenue"], by=["region", "store_id", "store_name"])
+    w = Window.partitionBy("region").orderBy(F.desc("total_revenue"), "store_id")
+    x = g.select("*", F.dense_rank().over(w).alias("rank"),
+                 (F.col("total_revenue") / F.sum("total_revenue").over(Window.partitionBy("region"))).alias("share"))
+    return x.where(F.col("rank") <= 3)
+
+
+@register("domain_checks")
+def q_domain_checks(r: Retail):
+    """DQ-01: values outside the allowed domains, counted per check."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+    inv = _inv(r)
+    parts = {"store_type": quality.domain_violations(r.stores, "store_type"),
+             "channel": quality.domain_violations(r.orders, "channel"),
+             "stock_status": quality.domain_violations(inv, "stock_status"),
+             "segment_label": quality.domain_violations(segments.rule_segments(r), "segment_label")}
+    return reduce(_DF.unionAll, [df.agg(F.lit(k).alias("domain"), F.count(F.lit(1)).alias("violations"))
+                                 for k, df in parts.items()])
+
+
+@register("coverage_sanity")
+def q_coverage_sanity(r: Retail):
+    """DQ-05: coverage distribution (no runaway ~2000-day values)."""
+    return _inv(r).agg(F.max("coverage_days").alias("max_coverage"),
+                       F.percentile("coverage_days", 0.99).alias("p99_coverage"),
+                       F.count_if(F.col("coverage_days") > 365).alias("n_over_a_year"))
+
+
+@register("ingest_competitor_roundtrip")
+def q_ingest_competitor_roundtrip(r: Retail):
+    """SRC-04..06: competitor snapshots written as monthly CSV files, then
+    read back through the feed reader (header echo / blank-key cleaning,
+    typing with rejects)."""
+    import uuid
+
+    from mercato.session import scratch_path
+    from mercato.sources import files as FL
+    out = scratch_path(r.spark, f"competitor-csv-{uuid.uuid4().hex[:6]}")
+    X.decimals_to_double(r.competitor_prices).withColumn("source", F.lit("web_scraping")) \
+        .write.option("header", True).partitionBy("snapshot_month").csv(out)
+    return FL.read_competitor(r.spark, out).rows

@@ -689,3 +689,36 @@ q("ents_observed_at", """SELECT s.store_id, s.city, w.date AS weatherobservation
 FROM v_stores s JOIN v_weather w ON w.city = s.city WHERE w.date = (SELECT as_of FROM v_as_of)""")
 q("model_sales_weekend", f"""SELECT c.is_weekend, {DSUM('g.revenue')} AS total_revenue, CAST(SUM(g.nb_orders) AS BIGINT) AS nb_orders
 FROM g_sales g LEFT JOIN dim_calendar c ON c.date = g.sales_date GROUP BY 1""")
+
+
+# ---- remaining operators -----------------------------------------------------------
+q("stock_policy", """
+SELECT v.store_id, v.product_id, GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0)) AS adp,
+       GREATEST(1, CAST(FLOOR(3 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0))) AS INT)) AS safety_stock,
+       GREATEST(2, CAST(FLOOR(7 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0))) AS INT)) AS reorder_point,
+       GREATEST(5, CAST(FLOOR(14 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0)) * LN(s.surface_m2 / 400 + 1)) AS INT)) AS base_stock
+FROM v_sp_sales v JOIN v_stores s ON s.store_id = v.store_id""")
+q("inventory_flags", """
+SELECT store_id, product_id, coverage_days, coverage_days < 7 AS urgent_replenishment, coverage_days > 30 AS potential_overstock,
+       CASE WHEN coverage_days < 7 THEN 'red' WHEN coverage_days < 14 THEN 'orange' WHEN coverage_days < 20 THEN 'yellow'
+            WHEN coverage_days <= 25 THEN 'light_green' ELSE 'green' END AS coverage_band
+FROM g_inventory""")
+q("top_stores_per_region", f"""
+SELECT * FROM (
+  SELECT region, store_id, store_name, total_revenue,
+         CAST(DENSE_RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC, store_id) AS INT) AS rank,
+         total_revenue / SUM(total_revenue) OVER (PARTITION BY region) AS share
+  FROM (SELECT region, store_id, store_name, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3) g) t
+WHERE rank <= 3""")
+q("domain_checks", """
+SELECT 'store_type' AS domain, COUNT(*) AS violations FROM v_stores WHERE store_type NOT IN ('hypermarket', 'supermarket', 'convenience')
+UNION ALL SELECT 'channel', COUNT(*) FROM v_orders WHERE channel NOT IN ('in_store', 'click_and_collect', 'home_delivery', 'drive')
+UNION ALL SELECT 'stock_status', COUNT(*) FROM g_inventory WHERE stock_status NOT IN ('stockout', 'critical', 'low', 'normal')
+UNION ALL SELECT 'segment_label', COUNT(*) FROM v_segments WHERE segment_label NOT IN ('Champions', 'Loyal', 'Warm Prospects', 'At Risk', 'Inactive')""")
+q("coverage_sanity", """
+SELECT MAX(coverage_days) AS max_coverage, quantile_cont(coverage_days, 0.99) AS p99_coverage, COUNT_IF(coverage_days > 365) AS n_over_a_year
+FROM g_inventory""")
+q("ingest_competitor_roundtrip", """
+SELECT snapshot_month, product_id, product_name, category, competitor, CAST(competitor_price AS DOUBLE) AS competitor_price,
+       CAST(our_price AS DOUBLE) AS our_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct, is_cheaper, 'web_scraping' AS source
+FROM v_competitor_prices""")
