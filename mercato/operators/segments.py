@@ -36,12 +36,17 @@ def rfm_features(r: Retail, reference_date: Column | None = None) -> DataFrame:
 
 def winsorise(rfm: DataFrame, q: float = 0.99, features=FEATURES) -> DataFrame:
     """ML-01: NULL -> 0, then clip each feature at its q-quantile (linear
-    interpolation, as pandas).  The quantiles are one global aggregate."""
+    interpolation, as pandas).  Each cap is an exact quantile computed with
+    bounded memory (``mercato.functions.quantile``)."""
+    from mercato.functions.quantile import exact_quantiles
     filled = rfm.select("customer_id", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f)
                                          for f in features])
-    caps = filled.select(*[F.percentile(f, q).alias(f) for f in features])
-    row = caps.select(F.struct(*features).alias("caps")).scalar()
-    return filled.select("customer_id", *[F.least(F.col(f), row.getField(f)).alias(f) for f in features])
+    # the caps read the features several times: materialise them once in the
+    # shared checkpoint folder (cuts the lineage back to the order lines)
+    filled = filled.checkpoint(eager=True)
+    caps = exact_quantiles(filled, list(features), q)
+    return filled.select("customer_id", *[F.least(F.col(f), F.lit(caps[f]).cast("double")).alias(f)
+                                          for f in features])
 
 
 def score(rec: Column, freq: Column, mon: Column, max_rec: Column, max_freq: Column,

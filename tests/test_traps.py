@@ -159,3 +159,16 @@ def test_append_rerun_is_idempotent(spark):
     append_idempotent(batch, "t_weather", ["date", "city"], "month")
     append_idempotent(batch, "t_weather", ["date", "city"], "month")
     assert spark.table("t_weather").count() == 2
+
+
+def test_exact_quantile_matches_percentile(spark):
+    from mercato.functions.quantile import exact_quantile
+    cases = [spark.range(0, n).select((F.col("id") * 7919 % 10007 / 3.0).alias("v")) for n in (1, 2, 4, 10, 101, 20011)]
+    cases.append(spark.range(0, 1000).select((F.col("id") % 3).cast("double").alias("v")))  # heavy ties
+    cases.append(spark.createDataFrame([(float(v),) for v in (1, 2, 3, 10)], "v double"))
+    for df in cases:
+        for q in (0.0, 0.01, 0.5, 0.99):
+            for acc in (10, 10000):
+                got = exact_quantile(df, "v", q, accuracy=acc)
+                want = df.select(F.percentile("v", q)).first()[0]
+                assert abs(got - want) < 1e-9, (df.count(), q, acc, got, want)
