@@ -58,16 +58,19 @@ def score(rec: Column, freq: Column, mon: Column, max_rec: Column, max_freq: Col
 def rule_segments(r: Retail) -> DataFrame:
     """Segment table labelled by score cut points (SQL-checkable stand-in
     for the K-Means labels, same schema as customer_segments)."""
-    rfm = rfm_features(r)
-    mx = rfm.select(F.struct(F.max("recency_days").alias("r"), F.max("frequency").alias("f"),
-                             F.max("monetary").alias("m")).alias("mx")).scalar()
+    # one customer-level table read twice (maxima, then labels): materialise
+    # it once in the shared checkpoint folder
+    rfm = rfm_features(r).checkpoint(eager=True)
+    mx = rfm.agg(F.max("recency_days").alias("r"), F.max("frequency").alias("f"),
+                 F.max("monetary").alias("m")).first()
     s = score(F.col("recency_days").cast("double"), F.col("frequency").cast("double"), F.col("monetary"),
-              mx.getField("r"), mx.getField("f"), mx.getField("m"))
-    seg_id = (F.when(s >= SCORE_CUTS[0], 0).when(s >= SCORE_CUTS[1], 1).when(s >= SCORE_CUTS[2], 2)
-              .when(s >= SCORE_CUTS[3], 3).otherwise(4))
+              F.lit(float(mx["r"])), F.lit(float(mx["f"])), F.lit(float(mx["m"])))
+    sc = F.col("score")
+    seg_id = (F.when(sc >= SCORE_CUTS[0], 0).when(sc >= SCORE_CUTS[1], 1).when(sc >= SCORE_CUTS[2], 2)
+              .when(sc >= SCORE_CUTS[3], 3).otherwise(4))
     labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
-    return rfm.select("*", seg_id.alias("segment_id")).withColumn(
-        "segment_label", F.element_at(labels, F.col("segment_id") + 1))
+    return (rfm.withColumn("score", s).withColumn("segment_id", seg_id).drop("score")
+            .withColumn("segment_label", F.element_at(labels, F.col("segment_id") + 1)))
 
 
 def kmeans_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10,

@@ -257,16 +257,15 @@ def q24_promo_uplift(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     days without promotion; the orders ratio compared to the planned
     traffic boost (below_expected when the ratio is lower)."""
     g = sales.groupBy("promo_name").agg(dsum("revenue").alias("revenue"), F.sum("nb_orders").alias("orders"),
-                                        F.count_distinct("sales_date").alias("days"))
-    base = g.where(F.col("promo_name").isNull()).select(
-        F.struct((F.col("revenue") / F.col("days")).alias("rev"),
-                 (F.col("orders") / F.col("days")).alias("ord")).alias("b")).scalar()
+                                        F.count_distinct("sales_date").alias("days")).cache()  # one row per event
+    b = g.where(F.col("promo_name").isNull()).first()
+    base = {"rev": F.lit(b["revenue"] / b["days"]), "ord": F.lit(b["orders"] / b["days"])}
     boost = promotions.groupBy("promo_name").agg(F.max(F.col("traffic_boost").cast("double")).alias("traffic_boost"))
     p = g.where(F.col("promo_name").isNotNull()).join(boost, "promo_name", "left")
     rev_day = F.col("revenue") / F.col("days")
-    ratio = (F.col("orders") / F.col("days")) / base.getField("ord")
+    ratio = (F.col("orders") / F.col("days")) / base["ord"]
     return p.select("promo_name", rev_day.alias("revenue_per_day"),
-                    (rev_day - base.getField("rev")).alias("revenue_uplift_per_day"),
+                    (rev_day - base["rev"]).alias("revenue_uplift_per_day"),
                     ratio.alias("orders_ratio"), "traffic_boost",
                     (ratio < F.col("traffic_boost")).alias("below_expected"))
 

@@ -121,10 +121,26 @@ class Retail:
             (price * cost_pct * dec("0.01", 3, 2)).cast("decimal(10,2)").alias("unit_cost"),
             (F.col("p_partkey") % 20 != 0).alias("is_active"))
 
+    @cached_property
+    def params(self) -> dict:
+        """Calendar facts of the sales history and the store count, computed
+        once per load (two single-row aggregates) and used as literals, so
+        filters on them fold into constants and reach the Parquet scan."""
+        d = F.col("o_orderdate").cast("date")
+        row = self.raw("orders").agg(
+            F.min(d).alias("lo"), F.max(d).alias("hi"),
+            F.sort_array(F.collect_set(F.year(d))).alias("years"),
+            F.sort_array(F.collect_set(F.struct((F.year(d) * 100 + F.month(d)).alias("ym"),
+                                                F.date_format(d, "yyyy-MM").alias("snapshot_month"))))
+            .alias("months")).first()
+        n = self.raw("supplier").count()
+        return {"lo": row["lo"], "hi": row["hi"], "years": list(row["years"]),
+                "months": [(m["ym"], m["snapshot_month"]) for m in row["months"]], "n_stores": n}
+
     @cached_property
     def n_stores(self) -> Column:
-        """Store count as an uncorrelated scalar subquery (evaluated once)."""
-        return self.raw("supplier").select(F.count(F.lit(1))).scalar()
+        """Store count (the store key space)."""
+        return F.lit(self.params["n_stores"]).cast("bigint")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -172,22 +188,23 @@ class Retail:
     # -- calendars derived from the sales history -----------------------------
     @cached_property
     def years(self) -> Column:
-        """Sorted array of the distinct sales years (bounded by the calendar)."""
-        return self.raw("orders").select(
-            F.sort_array(F.collect_set(F.year("o_orderdate")))).scalar()
+        """Array of the distinct sales years (bounded by the calendar)."""
+        return F.array(*[F.lit(y) for y in self.params["years"]])
 
     @cached_property
     def months(self) -> Column:
-        """Sorted array of (ym, snapshot_month) structs with sales."""
-        d = F.col("o_orderdate").cast("date")
-        return self.raw("orders").select(F.sort_array(F.collect_set(F.struct(
-            (F.year(d) * 100 + F.month(d)).alias("ym"),
-            F.date_format(d, "yyyy-MM").alias("snapshot_month"))))).scalar()
+        """Array of (ym, snapshot_month) structs of the months with sales."""
+        return F.array(*[F.struct(F.lit(ym).alias("ym"), F.lit(m).alias("snapshot_month"))
+                         for ym, m in self.params["months"]])
 
     @cached_property
     def as_of(self) -> Column:
-        """Analysis date: the last sales date (scalar subquery)."""
-        return self.raw("orders").select(F.max(F.col("o_orderdate").cast("date"))).scalar()
+        """Analysis date: the last sales date."""
+        return F.lit(self.params["hi"])
+
+    @cached_property
+    def first_day(self) -> Column:
+        return F.lit(self.params["lo"])
 
     @cached_property
     def promotions(self) -> DataFrame:
@@ -264,7 +281,7 @@ class Retail:
     def weather(self) -> DataFrame:
         """Daily weather per city (nation) over the sales date range."""
         n, r = self.raw("nation"), self.raw("region")
-        start = self.raw("orders").select(F.min(F.col("o_orderdate").cast("date"))).scalar()
+        start = self.first_day
         days = (n.join(r, n.n_regionkey == r.r_regionkey)
                 .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("region"),
                         F.explode(F.sequence(start, self.as_of)).alias("date")))
