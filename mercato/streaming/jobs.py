@@ -130,20 +130,31 @@ def cdc_state(changes: DataFrame, keys=("key",), seq: str = "seq") -> DataFrame:
     return latest_per_key(changes, keys, seq).where(F.col("op") != "delete").drop("op")
 
 
-def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq") -> str:
-    """STR-01: apply a change stream to a Parquet table folder with
-    foreachBatch: latest change per key in the batch, anti-join the current
-    state on the keys, union the upserts, and write the new state as the
-    next version folder (Parquet has no MERGE; a version is complete before
-    readers switch to it).  A stored seq newer than the batch's wins, so a
-    replayed batch is idempotent.  Returns the target folder; read it with
-    ``cdc_current``."""
+def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq",
+                     buckets: int = 64) -> str:
+    """STR-01: apply a change stream to a Parquet table with foreachBatch.
+
+    The state is partitioned into ``buckets`` hash buckets of the key.  Each
+    micro-batch keeps the latest change per key, reads only the buckets its
+    keys fall in (partition pruning), applies upserts and deletes there, and
+    replaces just those bucket partitions (dynamic partition overwrite from
+    a staged copy -- Parquet has no MERGE and cannot overwrite what it
+    reads).  Work per batch is proportional to the touched buckets, not to
+    the whole table.  A stored seq newer than the batch's wins, so a
+    replayed batch is idempotent.  Every touched bucket keeps one marker row
+    (NULL keys), so a bucket whose keys were all deleted is still replaced;
+    ``cdc_current`` filters markers out."""
     spark = changes.sparkSession
+    state = f"{target.rstrip('/')}/state"
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, keys, seq)
-        cur = cdc_current(spark, target)
+        latest = latest_per_key(batch, keys, seq).withColumn("bucket", bucket)
+        touched = latest.select("bucket").distinct()
+        cur = _read_state(spark, state)
         if cur is not None:
+            cur = cur.join(F.broadcast(touched), "bucket", "left_semi").where(F.col("_marker") == F.lit(False))
+            cur = cur.drop("_marker")
             newer = cur.join(latest.select(*keys, F.col(seq).alias("_bseq")), list(keys)) \
                 .where(F.col(seq) >= F.col("_bseq")).select(*keys)
             apply = latest.join(newer, list(keys), "left_anti")
@@ -151,30 +162,42 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
             new = keep.unionByName(apply.where(F.col("op") != "delete").drop("op"))
         else:
             new = latest.where(F.col("op") != "delete").drop("op")
-        new.write.mode("overwrite").parquet(os.path.join(target, f"v{batch_id:010d}"))
-        # commit marker: readers only see versions whose write finished
+        cols = [c for c in new.columns if c != "bucket"]
+        markers = touched.select(*[F.lit(None).cast(new.schema[c].dataType).alias(c) for c in cols],
+                                 F.lit(True).alias("_marker"), "bucket")
+        out = new.select(*cols, F.lit(False).alias("_marker"), "bucket").unionByName(markers)
+        stage = f"{target.rstrip('/')}/_stage/b{batch_id:010d}"
+        out.write.mode("overwrite").partitionBy("bucket").parquet(stage)
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            spark.read.parquet(stage).write.mode("overwrite").partitionBy("bucket").parquet(state)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         spark.createDataFrame([(batch_id,)], "v long").write.mode("overwrite") \
-            .json(os.path.join(target, f"_committed_{batch_id:010d}"))
+            .json(f"{target.rstrip('/')}/_committed/b{batch_id:010d}")
 
     q = (changes.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", os.path.join(target, "_checkpoint"))
+         .option("checkpointLocation", f"{target.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return target
 
 
-def cdc_current(spark: SparkSession, target: str) -> DataFrame | None:
-    """The latest committed version of a CDC-applied table (None if none).
-    The markers are read through Spark, so the folder may be on any
-    Hadoop-compatible store; only the version number reaches the driver."""
+def _read_state(spark: SparkSession, state: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
-        v = spark.read.schema("v long").json(f"{target.rstrip('/')}/_committed_*").agg(F.max("v")).first()[0]
+        return spark.read.parquet(state)
     except AnalysisException:
         return None
-    if v is None:
+
+
+def cdc_current(spark: SparkSession, target: str) -> DataFrame | None:
+    """Current rows of a CDC-applied table (None before the first batch)."""
+    st = _read_state(spark, f"{target.rstrip('/')}/state")
+    if st is None:
         return None
-    return spark.read.parquet(f"{target.rstrip('/')}/v{v:010d}")
+    return st.where(F.col("_marker") == F.lit(False)).drop("_marker", "bucket")
 
 
 # ---- STR-02: incremental file ingestion --------------------------------------

@@ -53,7 +53,8 @@ def test_promotions_csv_active_flag(spark):
 def test_cdc_replay_is_idempotent(spark, sf_dir):
     from mercato.session import scratch_path
     from mercato.streaming import jobs as S
-    target = scratch_path(spark, "cdc-test")
+    import uuid
+    target = scratch_path(spark, f"cdc-test-{uuid.uuid4().hex[:8]}")
     S.cdc_apply_stream(S.change_feed(S.event_stream(spark, sf_dir)), target)
     first = S.cdc_current(spark, target)
     expect = S.cdc_state(S.change_feed(spark.read.parquet(f"{sf_dir}/events.parquet")))
