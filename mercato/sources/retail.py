@@ -315,5 +315,14 @@ def weather_condition(rain: Column, tmax: Column) -> Column:
             .when(tmax > 20, "ensoleillé").otherwise("couvert"))
 
 
+_LOADED: dict = {}
+
+
 def load(spark: SparkSession, sf_dir: str) -> Retail:
-    return Retail(spark, sf_dir)
+    """The retail views over ``sf_dir``, shared by the queries of a session
+    (the table handles and the once-computed calendar facts are reused;
+    no data is cached)."""
+    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _LOADED:
+        _LOADED[key] = Retail(spark, sf_dir)
+    return _LOADED[key]
