@@ -325,7 +325,7 @@ def DIV(a: str, b: str) -> str:
 
 
 def CNT(cond: str) -> str:
-    return f"NULLIF(COUNT_IF({cond}), 0)"
+    return f"NULLIF(CAST(COUNT_IF({cond}) AS BIGINT), 0)"
 
 
 def BSUB(a: str, b: str) -> str:
@@ -339,8 +339,8 @@ SALES_MEASURES_SQL = f"""{DSUM('revenue')} AS total_revenue, {DSUM('gross_margin
 UPLIFT_SQL = BSUB(DIV(DSUM("CASE WHEN is_promo_day = 1 THEN revenue END"), "COUNT(DISTINCT CASE WHEN is_promo_day = 1 THEN sales_date END)"),
                   DIV(DSUM("CASE WHEN is_promo_day = 0 THEN revenue END"), "COUNT(DISTINCT CASE WHEN is_promo_day = 0 THEN sales_date END)"))
 INVENTORY_MEASURES_SQL = f"""{DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate,
-  COUNT_IF(stock_status = 'stockout') AS nb_stockout, {CNT("stock_status = 'stockout'")} AS stockouts_display,
-  COUNT_IF(stock_status IN ('stockout', 'critical')) AS nb_critical, AVG(quantity_on_hand) AS avg_stock,
+  CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout, {CNT("stock_status = 'stockout'")} AS stockouts_display,
+  CAST(COUNT_IF(stock_status IN ('stockout', 'critical')) AS BIGINT) AS nb_critical, AVG(quantity_on_hand) AS avg_stock,
   {DAVG('coverage_days', 1)} AS avg_coverage_days"""
 FVA_MEASURES_SQL = f"""1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) AS forecast_accuracy,
   {DAVG('ABS(actual_qty - forecast_qty)')} AS mae_forecast,
@@ -401,10 +401,10 @@ FROM (SELECT d.region, d.date, c.year, c.month_num, c.quarter, d.revenue
 # ---- questions ------------------------------------------------------------
 GM_PCT = DIV(DSUM("gross_margin"), DSUM("revenue"))
 q("q_01_stores_at_risk", """
-SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, COUNT_IF(stock_status = 'stockout') AS n_stockout
+SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS n_stockout
 FROM g_inventory WHERE stock_status IN ('stockout', 'critical') GROUP BY 1, 2, 3""")
 q("q_01_stores_at_risk_europe", """
-SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, COUNT_IF(stock_status = 'stockout') AS n_stockout
+SELECT store_id, store_name, region, COUNT(*) AS n_products_at_risk, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS n_stockout
 FROM g_inventory WHERE stock_status IN ('stockout', 'critical') AND region = 'EUROPE' GROUP BY 1, 2, 3""")
 q("q_02_margin_by_category_year", f"""
 WITH g AS (SELECT category, CAST(YEAR(sales_date) AS INT) AS year, {GM_PCT} AS gross_margin_pct FROM g_sales GROUP BY 1, 2)
@@ -455,7 +455,7 @@ WHERE w.date = (SELECT as_of FROM v_as_of) AND w.weather_condition = 'pluie'""")
 q("q_15_kpis", f"""
 SELECT {GM_PCT} AS gross_margin_pct, {DIV(DSUM('revenue'), 'SUM(nb_orders)')} AS avg_basket,
        (SELECT 1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) FROM g_fva) AS forecast_accuracy,
-       (SELECT COUNT_IF(stock_status = 'stockout') FROM g_inventory) AS nb_stockout,
+       (SELECT CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) FROM g_inventory) AS nb_stockout,
        (SELECT {DAVG('coverage_days', 1)} FROM g_inventory) AS avg_coverage_days,
        (SELECT {DIV(CNT('is_cheaper'), 'COUNT(*)')} FROM v_competitor_prices) AS pct_cheaper,
        (SELECT {DSUM('revenue')} FROM g_sales WHERE YEAR(sales_date) = YEAR((SELECT as_of FROM v_as_of)) AND sales_date <= (SELECT as_of FROM v_as_of)) AS revenue_ytd
@@ -495,7 +495,7 @@ WITH y AS (SELECT promo_name, CAST(YEAR(sales_date) AS INT) AS year, {DSUM('reve
 SELECT y.promo_name, y.year, y.revenue, y.nb_orders, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
 FROM y LEFT JOIN y p ON p.promo_name = y.promo_name AND p.year + 1 = y.year""")
 q("q_21_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 5")
-q("q_21_regions_by_stockout", f"""SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, COUNT_IF(stock_status = 'stockout') AS nb_stockout FROM g_inventory GROUP BY 1""")
+q("q_21_regions_by_stockout", f"""SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout FROM g_inventory GROUP BY 1""")
 q("q_21_categories_by_margin", f"SELECT category, {GM_PCT} AS gross_margin_pct, {DSUM('gross_margin')} AS total_margin FROM g_sales GROUP BY 1")
 q("q_22_low_coverage_stores", f"""
 SELECT * FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1, 2, 3) t WHERE avg_coverage_days < 7.0""")
@@ -716,7 +716,7 @@ UNION ALL SELECT 'channel', COUNT(*) FROM v_orders WHERE channel NOT IN ('in_sto
 UNION ALL SELECT 'stock_status', COUNT(*) FROM g_inventory WHERE stock_status NOT IN ('stockout', 'critical', 'low', 'normal')
 UNION ALL SELECT 'segment_label', COUNT(*) FROM v_segments WHERE segment_label NOT IN ('Champions', 'Loyal', 'Warm Prospects', 'At Risk', 'Inactive')""")
 q("coverage_sanity", """
-SELECT MAX(coverage_days) AS max_coverage, quantile_cont(coverage_days, 0.99) AS p99_coverage, COUNT_IF(coverage_days > 365) AS n_over_a_year
+SELECT MAX(coverage_days) AS max_coverage, quantile_cont(coverage_days, 0.99) AS p99_coverage, CAST(COUNT_IF(coverage_days > 365) AS BIGINT) AS n_over_a_year
 FROM g_inventory""")
 q("ingest_competitor_roundtrip", """
 SELECT snapshot_month, product_id, product_name, category, competitor, CAST(competitor_price AS DOUBLE) AS competitor_price,
