@@ -74,10 +74,8 @@ def retention_offers(segments: DataFrame, lines: DataFrame, products: DataFrame,
     """STR-08: At Risk with recency > 90 -> loyalty_discount 15 %; Inactive
     with lifetime value > 500 -> win_back 20 %; offered on the customer's
     favourite category."""
-    loyal = X.retention_priority(recency=F.col("recency_days")) if recency_days == 90 else \
-        (F.col("segment_label") == "At Risk") & (F.col("recency_days") > recency_days)
-    back = X.win_back() if min_ltv == 500.0 else \
-        (F.col("segment_label") == "Inactive") & (F.col("monetary") > min_ltv)
+    loyal = (F.col("segment_label") == "At Risk") & (F.col("recency_days") > recency_days)
+    back = (F.col("segment_label") == "Inactive") & (F.col("monetary") > min_ltv)
     s = segments.where(loyal | back).select(
         "customer_id", F.when(loyal, "loyalty_discount").otherwise("win_back").alias("offer_type"),
         F.when(loyal, dec("15.00", 5, 2)).otherwise(dec("20.00", 5, 2)).alias("discount_pct"))

@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import competitor, cross, dims, forecast, inventory, sales, segments
+from mercato.operators import cross, dims, forecast, inventory, sales, segments
 from mercato.sources.retail import Retail, load
 
 # partition columns of the larger gold tables (partition pruning on the
@@ -68,4 +68,3 @@ if __name__ == "__main__":
     from mercato.session import local_session
     s = local_session()
     print(build(s, sys.argv[1], sys.argv[2]))
-    _ = competitor

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
-from mercato.functions.dax import count_rows_if, davg, div, dsum
+from mercato.functions.dax import davg, div, dsum
 from mercato.operators import measures as M
 from mercato.operators.competitor import latest_snapshot
 
@@ -308,5 +308,3 @@ def q29_urgent_stores(inv: DataFrame, coverage_days: float = 7.0, rate: float =
         .withColumn("critical_situation", F.coalesce(X.critical_stockout_rate("stockout_rate"), F.lit(False)))
     return g.where(F.col("urgent_replenishment") | F.col("critical_situation"))
 
-
-_ = count_rows_if
