@@ -745,7 +745,7 @@ def q_stream_cdc_apply(r: Retail):
     return S.cdc_current(r.spark, target)
 
 
-@register("stream_sales_spike", rows_only=True)
+@register("stream_sales_spike")
 def q_stream_sales_spike(r: Retail):
     """STR-04: spike alerts computed per micro-batch over closed daily windows."""
     return r.spark.read.parquet(S.spike_alerts_stream(_events_stream(r), r.n_stores, None))

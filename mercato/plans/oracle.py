@@ -722,3 +722,4 @@ q("ingest_competitor_roundtrip", """
 SELECT snapshot_month, product_id, product_name, category, competitor, CAST(competitor_price AS DOUBLE) AS competitor_price,
        CAST(our_price AS DOUBLE) AS our_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct, is_cheaper, 'web_scraping' AS source
 FROM v_competitor_prices""")
+q("stream_sales_spike", "SELECT * FROM v_spikes WHERE created_at <= (SELECT MAX(ts) FROM events)")
