@@ -888,3 +888,10 @@ def q_ingest_competitor_roundtrip(r: Retail):
     X.decimals_to_double(r.competitor_prices).withColumn("source", F.lit("web_scraping")) \
         .write.option("header", True).partitionBy("snapshot_month").csv(out)
     return FL.read_competitor(r.spark, out).rows
+
+
+@register("q_20_stockout_rate_6_months")
+def q_20(r: Retail):
+    """Q-20: stockout rate per month-end snapshot over the last six months."""
+    snaps = r.inventory_snapshots(6).withColumn("stock_status", X.stock_status())
+    return M.evaluate(snaps, ["stockout_rate", "nb_stockout"], by=["snapshot_ym"])

@@ -723,3 +723,20 @@ SELECT snapshot_month, product_id, product_name, category, competitor, CAST(comp
        CAST(our_price AS DOUBLE) AS our_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct, is_cheaper, 'web_scraping' AS source
 FROM v_competitor_prices""")
 q("stream_sales_spike", "SELECT * FROM v_spikes WHERE created_at <= (SELECT MAX(ts) FROM events)")
+q("q_20_stockout_rate_6_months", f"""
+WITH t AS (SELECT ym AS snapshot_ym FROM (SELECT DISTINCT CAST(YEAR(o_orderdate) * 100 + MONTH(o_orderdate) AS INT) AS ym FROM orders) m
+           WHERE ym < (SELECT YEAR(as_of) * 100 + MONTH(as_of) FROM v_as_of) ORDER BY ym DESC LIMIT 6),
+     monthly AS (SELECT o.store_id, i.product_id, CAST(YEAR(o.order_date) * 100 + MONTH(o.order_date) AS INT) AS ym,
+                        SUM(i.quantity) AS sold, COUNT(DISTINCT o.order_date) AS days
+                 FROM v_order_items i JOIN v_orders o ON o.order_id = i.order_id GROUP BY 1, 2, 3),
+     cum AS (SELECT m.store_id, m.product_id, t.snapshot_ym, SUM(m.sold) AS sold, SUM(m.days) AS days
+             FROM monthly m JOIN t ON m.ym <= t.snapshot_ym GROUP BY 1, 2, 3),
+     v AS (SELECT *, (store_id * 7919 + product_id * 104729 + snapshot_ym * 31 + 12345) % 10007 AS h,
+                  (store_id * 31 + product_id * 17 + snapshot_ym) % 997 AS r,
+                  GREATEST(1, CAST((3 * sold) // days AS INT)) AS safety_stock, GREATEST(2, CAST((7 * sold) // days AS INT)) AS reorder_point
+           FROM cum),
+     s AS (SELECT snapshot_ym, CASE WHEN h < 300 THEN 0 WHEN h < 1101 THEN 1 + r % safety_stock
+                                    WHEN h < 2302 THEN safety_stock + 1 + r % GREATEST(1, reorder_point - safety_stock)
+                                    ELSE reorder_point + 1 + r % GREATEST(1, 3 * reorder_point) END AS qty FROM v)
+SELECT snapshot_ym, {DIV(CNT('qty = 0'), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(qty = 0) AS BIGINT) AS nb_stockout
+FROM s GROUP BY 1""")

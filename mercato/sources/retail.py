@@ -277,6 +277,36 @@ class Retail:
         return v.select("store_id", "product_id", "quantity_on_hand", "safety_stock", "reorder_point",
                         "sold", "days", cov.cast("double").alias("coverage_days"))
 
+    def inventory_snapshots(self, months: int = 6) -> DataFrame:
+        """Month-end stock snapshots for the ``months`` months before the
+        analysis month: for every pair sold up to the snapshot month, the
+        same band rule as ``inventory`` on the cumulative sales to date
+        (month-dependent hash).  Sales are first aggregated per month, then
+        each monthly row is added to the (at most ``months``) snapshots at
+        or after it, so no line is read more than once."""
+        hi = self.params["hi"]
+        cur = hi.year * 100 + hi.month
+        snaps = [ym for ym, _ in self.params["months"] if ym < cur][-months:]
+        lines = self.order_lines.withColumn("ym", F.year("order_date") * 100 + F.month("order_date"))
+        monthly = lines.groupBy("store_id", "product_id", "ym").agg(
+            F.sum("quantity").alias("sold"), F.count_distinct("order_date").alias("days"))
+        targets = F.array(*[F.lit(x) for x in snaps])
+        cum = (monthly.withColumn("snapshot_ym", F.explode(F.filter(targets, lambda t: t >= F.col("ym"))))
+               .groupBy("store_id", "product_id", "snapshot_ym")
+               .agg(F.sum("sold").alias("sold"), F.sum("days").alias("days")))
+        v = cum.select("store_id", "product_id", "snapshot_ym", "sold", "days",
+                       ((F.col("store_id") * 7919 + F.col("product_id") * 104729 + F.col("snapshot_ym") * 31 + 12345)
+                        % 10007).alias("h"),
+                       ((F.col("store_id") * 31 + F.col("product_id") * 17 + F.col("snapshot_ym")) % 997).alias("r"),
+                       F.greatest(F.lit(1), F.expr("CAST(div(3 * sold, days) AS INT)")).alias("safety_stock"),
+                       F.greatest(F.lit(2), F.expr("CAST(div(7 * sold, days) AS INT)")).alias("reorder_point"))
+        h, r, ss, rp = F.col("h"), F.col("r"), F.col("safety_stock"), F.col("reorder_point")
+        qty = (F.when(h < 300, F.lit(0)).when(h < 1101, 1 + r % ss)
+               .when(h < 2302, ss + 1 + r % F.greatest(F.lit(1), rp - ss))
+               .otherwise(rp + 1 + r % F.greatest(F.lit(1), 3 * rp)))
+        return v.select("snapshot_ym", "store_id", "product_id", qty.alias("quantity_on_hand"),
+                        "safety_stock", "reorder_point")
+
     @cached_property
     def weather(self) -> DataFrame:
         """Daily weather per city (nation) over the sales date range."""
