@@ -66,8 +66,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     normal layout at scale -- are left as read."""
     if len(df.inputFiles()) > 1:
         return df
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key)
+    # no explicit count: AQE sizes (coalesces) the partitions of this exchange
+    return df.repartition(key)
 
 
 def dec(x: str | int | float, p: int, s: int) -> Column:

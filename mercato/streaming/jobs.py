@@ -147,21 +147,23 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
     spark = changes.sparkSession
     state = f"{target.rstrip('/')}/state"
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    # the state's schema, and an empty state to start from (so the first
+    # batch reads an empty table instead of a missing path)
+    shape = latest_per_key(changes, keys, seq).drop("op")
+    schema = (shape.withColumn("_marker", F.lit(False)).withColumn("bucket", F.lit(0))).schema
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("bucket").parquet(state)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         latest = latest_per_key(batch, keys, seq).withColumn("bucket", bucket)
         touched = latest.select("bucket").distinct()
-        cur = _read_state(spark, state)
-        if cur is not None:
-            cur = cur.join(F.broadcast(touched), "bucket", "left_semi").where(F.col("_marker") == F.lit(False))
-            cur = cur.drop("_marker")
-            newer = cur.join(latest.select(*keys, F.col(seq).alias("_bseq")), list(keys)) \
-                .where(F.col(seq) >= F.col("_bseq")).select(*keys)
-            apply = latest.join(newer, list(keys), "left_anti")
-            keep = cur.join(apply.select(*keys), list(keys), "left_anti")
-            new = keep.unionByName(apply.where(F.col("op") != "delete").drop("op"))
-        else:
-            new = latest.where(F.col("op") != "delete").drop("op")
+        # the touched buckets of the current state (partition pruning)
+        cur = (spark.read.schema(schema).parquet(state).join(F.broadcast(touched), "bucket", "left_semi")
+               .where(F.col("_marker") == F.lit(False)).drop("_marker"))
+        newer = cur.join(latest.select(*keys, F.col(seq).alias("_bseq")), list(keys)) \
+            .where(F.col(seq) >= F.col("_bseq")).select(*keys)
+        apply = latest.join(newer, list(keys), "left_anti")
+        keep = cur.join(apply.select(*keys), list(keys), "left_anti")
+        new = keep.unionByName(apply.where(F.col("op") != "delete").drop("op"))
         cols = [c for c in new.columns if c != "bucket"]
         markers = touched.select(*[F.lit(None).cast(new.schema[c].dataType).alias(c) for c in cols],
                                  F.lit(True).alias("_marker"), "bucket")
@@ -174,8 +176,6 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
             spark.read.parquet(stage).write.mode("overwrite").partitionBy("bucket").parquet(state)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        spark.createDataFrame([(batch_id,)], "v long").write.mode("overwrite") \
-            .json(f"{target.rstrip('/')}/_committed/b{batch_id:010d}")
 
     q = (changes.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", f"{target.rstrip('/')}/_checkpoint")
