@@ -356,3 +356,20 @@ def load(spark: SparkSession, sf_dir: str) -> Retail:
     if key not in _LOADED:
         _LOADED[key] = Retail(spark, sf_dir)
     return _LOADED[key]
+
+
+def register_views(spark: SparkSession, sf_dir: str, gold: bool = True) -> list[str]:
+    """SRC-16: register the retail tables (and the gold tables) as temporary
+    views so they can be queried with ``spark.sql``; returns the names."""
+    from mercato.operators import dims, inventory, sales
+    r = load(spark, sf_dir)
+    views = {"stores": r.stores, "products": r.products, "orders": r.orders,
+             "order_items": r.order_items, "promotions": r.promotions,
+             "competitor_prices": r.competitor_prices, "inventory": r.inventory, "weather": r.weather}
+    if gold:
+        views.update({"gold_sales_daily": sales.gold_sales_daily(r),
+                      "gold_inventory_status": inventory.gold_inventory_status(r),
+                      "dim_calendar": dims.dim_calendar(r)})
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)

@@ -172,3 +172,16 @@ def test_exact_quantile_matches_percentile(spark):
                 got = exact_quantile(df, "v", q, accuracy=acc)
                 want = df.select(F.percentile("v", q)).first()[0]
                 assert abs(got - want) < 1e-9, (df.count(), q, acc, got, want)
+
+
+def test_sql_over_registered_views(spark, sf_dir):
+    from mercato.sources.retail import register_views
+    names = register_views(spark, sf_dir)
+    assert "gold_sales_daily" in names
+    by_sql = spark.sql("""
+        SELECT YEAR(sales_date) AS yr, ROUND(SUM(revenue) / 1e6, 1) AS rev_m
+        FROM gold_sales_daily GROUP BY YEAR(sales_date)""").collect()
+    from mercato.operators.sales import sales_by_year, gold_sales_daily
+    from mercato.sources.retail import load
+    by_df = {r.yr: r.rev_m for r in sales_by_year(gold_sales_daily(load(spark, sf_dir))).collect()}
+    assert {r.yr: r.rev_m for r in by_sql} == by_df
