@@ -84,7 +84,9 @@ def kmeans_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    rfm = rfm_features(r)
+    # the customer table feeds both the features and the final labels:
+    # materialise it once (lineage cut in the shared checkpoint folder)
+    rfm = rfm_features(r).checkpoint(eager=True)
     w = winsorise(rfm, clip)
     prep = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="raw"),
                             StandardScaler(inputCol="raw", outputCol="features",
