@@ -72,3 +72,39 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float, accuracy: int = 10
 def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) -> float | None:
     """Exact q-quantile of one column."""
     return exact_quantiles(df, [col], q, accuracy)[col]
+
+
+def grouped_exact_quantile(df: DataFrame, keys: list[str], col: str, q: float, out: str,
+                           accuracy: int = 10_000) -> DataFrame:
+    """Exact q-quantile of ``col`` per group of ``keys`` -> (keys..., out).
+
+    The same bracket method per group: a sketch per group (partial
+    aggregation, so a hot group is merged from partial sketches), the
+    bracket widened by one distinct value, then only the bracketed rows
+    are ranked within their group.  The per-group bracket tables hold one
+    row per group and come out of an aggregation, so AQE knows their exact
+    size before planning the joins and broadcasts them only when small."""
+    eps = 3.0 / accuracy
+    x = df.select(*keys, F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    b1 = (x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                               F.percentile_approx("x", [max(0.0, q - eps), min(1.0, q + eps)], accuracy).alias("ab"))
+          .select(*keys, "n", F.col("ab")[0].alias("a"), F.col("ab")[1].alias("b")))
+    b2 = (x.join(b1, keys).groupBy(*keys)
+          .agg(F.first("n").alias("n"),
+               F.coalesce(F.max(F.when(F.col("x") < F.col("a"), F.col("x"))), F.first("a")).alias("lo_v"),
+               F.coalesce(F.min(F.when(F.col("x") > F.col("b"), F.col("x"))), F.first("b")).alias("hi_v")))
+    j = x.join(b2, keys)
+    below = j.groupBy(*keys).agg(F.count_if(F.col("x") < F.col("lo_v")).alias("below"),
+                                 F.first("n").alias("n"))
+    band = (j.where(F.col("x").between(F.col("lo_v"), F.col("hi_v")))
+            .groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")))
+    w = Window.partitionBy(*keys).orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (F.col("n") - 1).cast("double") * F.lit(q)
+    ranked = band.join(below, keys).select(*keys, "x", h.alias("h"),
+                                           (F.sum("c").over(w) + F.col("below")).alias("upto"))
+    picked = ranked.groupBy(*keys).agg(
+        F.min(F.when(F.col("upto") > F.floor("h"), F.col("x"))).alias("v_lo"),
+        F.min(F.when(F.col("upto") > F.ceil("h"), F.col("x"))).alias("v_hi"),
+        F.first("h").alias("h"))
+    return picked.select(*keys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h")))
+                         .alias(out))

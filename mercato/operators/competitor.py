@@ -43,11 +43,9 @@ def summary(cp: DataFrame) -> DataFrame:
 
 
 def median_prices(cp: DataFrame) -> DataFrame:
-    """AGG-22: medians of our and competitor prices per category.
-
-    Exact ``median`` keeps a value->count map per group; prices are cents
-    in a bounded range, so the map is bounded whatever the row count.
-    """
-    return cp.groupBy("category").agg(
-        F.median(F.col("our_price").cast("double")).alias("median_our_price"),
-        F.median(F.col("competitor_price").cast("double")).alias("median_competitor_price"))
+    """AGG-22: medians of our and competitor prices per category, exact, with
+    bounded memory per group (``functions.quantile.grouped_exact_quantile``)."""
+    from mercato.functions.quantile import grouped_exact_quantile
+    ours = grouped_exact_quantile(cp, ["category"], "our_price", 0.5, "median_our_price")
+    theirs = grouped_exact_quantile(cp, ["category"], "competitor_price", 0.5, "median_competitor_price")
+    return ours.join(theirs, "category")

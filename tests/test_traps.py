@@ -185,3 +185,15 @@ def test_sql_over_registered_views(spark, sf_dir):
     from mercato.sources.retail import load
     by_df = {r.yr: r.rev_m for r in sales_by_year(gold_sales_daily(load(spark, sf_dir))).collect()}
     assert {r.yr: r.rev_m for r in by_sql} == by_df
+
+
+def test_grouped_exact_quantile_matches_percentile(spark):
+    from mercato.functions.quantile import grouped_exact_quantile
+    df = spark.range(0, 5003).select((F.col("id") % 4).alias("g"), (F.col("id") * 7919 % 10007 / 7.0).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(9, 1.0), (9, 1.0), (9, 5.0)], "g long, v double"))
+    for q in (0.0, 0.5, 0.99):
+        for acc in (10, 10000):
+            got = {r.g: r.m for r in grouped_exact_quantile(df, ["g"], "v", q, "m", acc).collect()}
+            want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", q).alias("m")).collect()}
+            assert got.keys() == want.keys()
+            assert all(abs(got[k] - want[k]) < 1e-9 for k in want), (q, acc, got, want)
