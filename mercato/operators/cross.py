@@ -70,7 +70,11 @@ def champion_stockout_alert(segments: DataFrame, lines: DataFrame, products: Dat
         x = x.join(rk, (x.product_id == rk.inv_product_id) & (x.store_id == rk.inv_store_id)) \
             .drop("inv_product_id")
     else:
-        x = x.join(risky, cond)
+        # the inventory store is not part of the output: collapse at-risk rows
+        # to their distinct (product, status, coverage, quantity) first, so each
+        # purchase pairs only with distinct stock states of its product
+        states = risky.select("product_id", "stock_status", "coverage_days", "quantity_on_hand").distinct()
+        x = x.join(states, cond)
     p = products.select("product_id", F.col("name").alias("product_name"), "category")
     s = stores.select("store_id", F.col("name").alias("store_name"), "region")
     return (x.join(p, "product_id").join(s, "store_id")
