@@ -895,3 +895,17 @@ def q_20(r: Retail):
     """Q-20: stockout rate per month-end snapshot over the last six months."""
     snaps = r.inventory_snapshots(6).withColumn("stock_status", X.stock_status())
     return M.evaluate(snaps, ["stockout_rate", "nb_stockout"], by=["snapshot_ym"])
+
+
+@register("stream_stock_alerts")
+def q_stream_stock_alerts(r: Retail):
+    """STR-06 on a feed: the inventory status published as files, alerts
+    produced by a stream over them."""
+    import uuid
+
+    from mercato.session import scratch_path
+    feed = scratch_path(r.spark, f"inventory-feed-{uuid.uuid4().hex[:6]}")
+    inv = _inv(r)
+    inv.write.parquet(feed)
+    out = S.run_available(S.stock_alert_stream(r.spark, feed, inv.schema, r.as_of), None, name="stock-alerts")
+    return r.spark.read.parquet(out)
