@@ -909,3 +909,21 @@ def q_stream_stock_alerts(r: Retail):
     inv.write.parquet(feed)
     out = S.run_available(S.stock_alert_stream(r.spark, feed, inv.schema, r.as_of), None, name="stock-alerts")
     return r.spark.read.parquet(out)
+
+
+@register("stream_competitor_ingest")
+def q_stream_competitor_ingest(r: Retail):
+    """STR-02: competitor snapshots dropped as CSV files (the latest month
+    delivered twice) and ingested by a deduplicating stream."""
+    import uuid
+
+    from mercato.session import scratch_path
+    feed = scratch_path(r.spark, f"competitor-feed-{uuid.uuid4().hex[:6]}")
+    from mercato.sources.files import COMPETITOR_TYPES
+    cp = X.decimals_to_double(r.competitor_prices).withColumn("source", F.lit("web_scraping")) \
+        .select(*COMPETITOR_TYPES)  # the feed's column layout
+    cp.write.option("header", True).csv(feed)
+    latest = competitor.latest_snapshot(cp)
+    latest.write.mode("append").option("header", True).csv(feed)  # re-delivered month
+    out = S.run_available(S.competitor_feed_stream(r.spark, feed), None, name="competitor-ingest")
+    return r.spark.read.parquet(out)

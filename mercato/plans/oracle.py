@@ -741,3 +741,4 @@ WITH t AS (SELECT ym AS snapshot_ym FROM (SELECT DISTINCT CAST(YEAR(o_orderdate)
 SELECT snapshot_ym, {DIV(CNT('qty = 0'), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(qty = 0) AS BIGINT) AS nb_stockout
 FROM s GROUP BY 1""")
 q("stream_stock_alerts", "SELECT * FROM v_stock_alerts")
+q("stream_competitor_ingest", QUERIES["ingest_competitor_roundtrip"])

@@ -215,3 +215,21 @@ def stock_alert_stream(spark: SparkSession, folder: str, schema, as_of) -> DataF
     from mercato.operators.ops import stock_alerts
     inv = spark.readStream.schema(schema).parquet(folder)
     return stock_alerts(inv, as_of)
+
+
+# ---- STR-02: competitor feed ingested incrementally ------------------------------
+def competitor_feed_stream(spark: SparkSession, folder: str, watermark: str = "62 days") -> DataFrame:
+    """Monthly competitor CSV drops read as a stream: header echoes and blank
+    keys dropped, typed, and a re-delivered (snapshot_month, product,
+    competitor) row dropped within the watermark (event time = the month)."""
+    from mercato.sources.files import COMPETITOR_TYPES
+    raw = ", ".join(f"{c} string" for c in COMPETITOR_TYPES)
+    # enforceSchema off: each file's header is checked against the layout
+    df = (spark.readStream.schema(raw).option("header", True).option("enforceSchema", False)
+          .option("pathGlobFilter", "*.csv").csv(folder))
+    key = F.trim(F.col("product_id"))
+    clean = df.where(key.isNotNull() & (key != "") & (key != "product_id"))
+    typed = clean.select(*[F.trim(F.col(c)).try_cast(t).alias(c) if t != "string" else F.col(c)
+                           for c, t in COMPETITOR_TYPES.items()])
+    ev = typed.withColumn("month_ts", F.to_timestamp(F.concat("snapshot_month", F.lit("-01"))))
+    return dedup_stream(ev, ["snapshot_month", "product_id", "competitor"], "month_ts", watermark).drop("month_ts")
