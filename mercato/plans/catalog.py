@@ -927,3 +927,16 @@ def q_stream_competitor_ingest(r: Retail):
     latest.write.mode("append").option("header", True).csv(feed)  # re-delivered month
     out = S.run_available(S.competitor_feed_stream(r.spark, feed), None, name="competitor-ingest")
     return r.spark.read.parquet(out)
+
+
+@register("ingest_weather_roundtrip")
+def q_ingest_weather_roundtrip(r: Retail):
+    """SRC-01/02/06 + PRJ-02: daily weather published as JSON-array files
+    under the raw field names, read back through the feed reader."""
+    import uuid
+
+    from mercato.session import scratch_path
+    from mercato.sources import files as FL
+    feed = scratch_path(r.spark, f"weather-feed-{uuid.uuid4().hex[:6]}")
+    FL.write_weather_feed(r.weather, feed)
+    return FL.read_weather(r.spark, feed, suffix="part-*").rows

@@ -742,3 +742,4 @@ SELECT snapshot_ym, {DIV(CNT('qty = 0'), 'COUNT(*)')} AS stockout_rate, CAST(COU
 FROM s GROUP BY 1""")
 q("stream_stock_alerts", "SELECT * FROM v_stock_alerts")
 q("stream_competitor_ingest", QUERIES["ingest_competitor_roundtrip"])
+q("ingest_weather_roundtrip", "SELECT * FROM v_weather")

@@ -56,12 +56,13 @@ def typed(df: DataFrame, types: dict[str, str]) -> Loaded:
     return Loaded(rows, rejects)
 
 
-def read_weather(spark: SparkSession, folder: str) -> Loaded:
+def read_weather(spark: SparkSession, folder: str, suffix: str = "*.json") -> Loaded:
     """SRC-01/02 + PRJ-02: daily files, each a JSON array of records; keep
-    *.json only; one row per record; rename to silver names; type."""
+    files matching ``suffix`` only; one row per record; rename to silver
+    names; type."""
     schema = ", ".join(f"{c} string" for c in WEATHER_RAW)
-    df = (spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json")
-          .option("encoding", "UTF-8").json(folder))
+    df = (spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", suffix)
+          .option("recursiveFileLookup", True).option("encoding", "UTF-8").json(folder))
     return typed(rename_if_present(df, WEATHER_RENAMES), WEATHER_TYPES)
 
 
@@ -90,3 +91,15 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """SET-02: combine files whose headers differ (missing columns -> NULL)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def write_weather_feed(weather: DataFrame, folder: str) -> None:
+    """Publish silver weather rows as the raw feed: one file per day holding
+    a JSON array of that day's records under the raw field names (one
+    group per day, bounded by the number of cities)."""
+    raw = {v: k for k, v in WEATHER_RENAMES.items()}
+    recs = weather.select(*[F.col(c).alias(raw.get(c, c)) for c in weather.columns])
+    recs = recs.withColumn("date", F.col("date").cast("string"))
+    days = recs.groupBy(F.col("date").alias("day")).agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(*WEATHER_RAW)))).alias("value"))
+    days.repartition("day").write.partitionBy("day").text(folder)
