@@ -940,3 +940,17 @@ def q_ingest_weather_roundtrip(r: Retail):
     feed = scratch_path(r.spark, f"weather-feed-{uuid.uuid4().hex[:6]}")
     FL.write_weather_feed(r.weather, feed)
     return FL.read_weather(r.spark, feed, suffix="part-*").rows
+
+
+@register("ingest_promotions_roundtrip")
+def q_ingest_promotions_roundtrip(r: Retail):
+    """SRC-03 + PRJ-09: the promotion calendar published as a UTF-8 CSV with
+    header (carrying a stale is_active column), read back with is_active
+    recomputed for the analysis date."""
+    import uuid
+
+    from mercato.session import scratch_path
+    from mercato.sources import files as FL
+    feed = scratch_path(r.spark, f"promo-feed-{uuid.uuid4().hex[:6]}")
+    r.promotions.withColumn("is_active", F.lit(False)).write.option("header", True).csv(feed)
+    return FL.read_promotions(r.spark, feed, r.as_of).rows

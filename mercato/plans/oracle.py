@@ -743,3 +743,7 @@ FROM s GROUP BY 1""")
 q("stream_stock_alerts", "SELECT * FROM v_stock_alerts")
 q("stream_competitor_ingest", QUERIES["ingest_competitor_roundtrip"])
 q("ingest_weather_roundtrip", "SELECT * FROM v_weather")
+q("ingest_promotions_roundtrip", """
+SELECT promo_name, start_date, end_date, category, CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(traffic_boost AS DOUBLE) AS traffic_boost,
+       (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date AS is_active
+FROM v_promotions""")
