@@ -65,6 +65,9 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
 
 
 if __name__ == "__main__":
-    from mercato.session import local_session
-    s = local_session()
+    # on a cluster: spark-submit -m mercato.plans.gold <sf_dir> <out_dir>; the
+    # master and sizing come from the submission, only semantics are pinned
+    from mercato.session import apply_semantics, ensure_checkpoint_dir
+    s = apply_semantics(SparkSession.builder.appName("mercato-gold").getOrCreate())
+    ensure_checkpoint_dir(s)
     print(build(s, sys.argv[1], sys.argv[2]))
