@@ -66,3 +66,14 @@ def test_sized_broadcast_respects_bound(spark):
     assert "broadcast" in a._jdf.queryExecution().analyzed().toString().lower() or \
         "BroadcastHashJoin" in plan_of(a)
     assert "ResolvedHint" not in b._jdf.queryExecution().analyzed().toString()
+
+
+def test_spread_only_single_file_tables(spark, sf_dir):
+    import tempfile
+    from mercato.sources.retail import spread
+    one = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert "Exchange" in plan_of(spread(one, "o_orderkey"))
+    d = tempfile.mkdtemp()
+    one.repartition(3).write.mode("overwrite").parquet(d)
+    many = spark.read.parquet(d)
+    assert "Exchange" not in plan_of(spread(many, "o_orderkey"))
