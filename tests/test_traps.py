@@ -197,3 +197,15 @@ def test_grouped_exact_quantile_matches_percentile(spark):
             want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", q).alias("m")).collect()}
             assert got.keys() == want.keys()
             assert all(abs(got[k] - want[k]) < 1e-9 for k in want), (q, acc, got, want)
+
+
+def test_relationships_refuse_forbidden_keys(spark):
+    import pytest as _pytest
+    from mercato.operators.entities import check_relationship, relate
+    fact = spark.createDataFrame([(1, "toys")], "store_id long, category string")
+    dim = spark.createDataFrame([(1, "A")], "store_id long, name string")
+    assert relate(fact, dim, "store_id", "store_id", "sales", "stores").columns == ["store_id", "category", "name"]
+    with _pytest.raises(ValueError):
+        check_relationship("sales", "category", "products", "category")
+    with _pytest.raises(ValueError):
+        check_relationship("sales", "store_id", "promotions", "store_id")
