@@ -59,7 +59,8 @@ def q05_champions_at_risk(alert: DataFrame, status: str = "stockout") -> DataFra
     per customer (deduplicated before any LTV sum), by lifetime value."""
     return (alert.where(F.col("stock_status") == status)
             .groupBy("customer_id", "lifetime_value", "recency_days", "frequency")
-            .agg(F.count_distinct("product_id").alias("n_products")))
+            .agg(F.count_distinct("product_id").alias("n_products"))
+            .orderBy(F.desc("lifetime_value"), "customer_id"))  # contact priority
 
 
 def q05_summary(per_customer: DataFrame) -> DataFrame:
