@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm.common import table
+from mercato.llm.common import scratch_dir, table
 from mercato.llm.exact_dedup import exact_dedup
 from mercato.llm.mixing import mix
+from mercato.llm.secrets import find_secrets
 from mercato.llm.sharding import place
+from mercato.llm.warc import round_trip
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,15 +22,26 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = round_trip(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document; a document's text decides nothing, its id does."""
     return place(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "source", "n_chars", "slot", "shard")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op4_warc_archives": op4_warc_archives,
     "op5_shard_documents": op5_shard_documents,
+    "op6_secret_scan": op6_secret_scan,
 }
 
 OP1_SQL = """
@@ -77,4 +90,20 @@ SELECT timed.doc_id, size, source_size, target, (coalesce(n.copies, 0) * size)::
 FROM timed LEFT JOIN n USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_mix_sources": OP2_SQL}
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, body, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         (('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM h
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL,
+    "op2_mix_sources": OP2_SQL,
+    "op4_warc_archives": OP4_SQL,
+}
