@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mercato.llm.common import scratch_dir, table
 from mercato.llm.exact_dedup import exact_dedup
 from mercato.llm.mixing import mix
+from mercato.llm.quality import quality
 from mercato.llm.secrets import find_secrets
 from mercato.llm.sharding import place
+from mercato.llm.toxicity import toxicity
 from mercato.llm.warc import round_trip
 
 
@@ -36,12 +38,22 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_warc_archives": op4_warc_archives,
     "op5_shard_documents": op5_shard_documents,
     "op6_secret_scan": op6_secret_scan,
+    "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
 }
 
 OP1_SQL = """
