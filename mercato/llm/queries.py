@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mercato.llm.common import scratch_dir, table
 from mercato.llm.exact_dedup import exact_dedup
 from mercato.llm.mixing import mix
+from mercato.llm.near_dedup import near_dedup
 from mercato.llm.quality import quality
 from mercato.llm.secrets import find_secrets
 from mercato.llm.sharding import place
@@ -46,6 +47,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents")).drop("text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 OP1_SQL = """

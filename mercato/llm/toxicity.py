@@ -16,12 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm import crf
 from mercato.llm.common import arrow_batches, text_of
 from mercato.llm.labels import PER_LABEL, fold, labelled_sample, without_copies
+from mercato.llm.words import tokens
 
 BEGINNINGS = (4, 5, 6)  # lengths of word beginnings used as features
 SEED_RATIO = 5.0        # times as frequent in toxic documents as in clean ones, for a feature that labels tokens
@@ -31,18 +31,6 @@ THRESHOLD = 0.7
 TRAIN_TOKENS = 250_000  # tokens of labelled sequences the chain learns from: documents in order until they hold so many
 
 
-def tokens(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct tokens, the code of every token, and the token offsets of the texts."""
-    parts = pc.utf8_split_whitespace(texts.cast(pa.large_string()))
-    offsets = np.asarray(parts.offsets).astype(np.int64)
-    flat = parts.flatten()
-    # splitting leaves empty strings at the ends of a text; they are not tokens
-    real = np.asarray(pc.greater(pc.binary_length(flat), 0)) if len(flat) else np.empty(0, bool)
-    upto = np.concatenate([[0], np.cumsum(real)])
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    return coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64), upto[offsets - offsets[0]]
-
-
 def bare(token: str) -> str:
     """The token in lower case without marks at its ends."""
     a, b = 0, len(token)
