@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mercato.llm.bpe import encode
 from mercato.llm.common import scratch_dir, table
 from mercato.llm.exact_dedup import exact_dedup
 from mercato.llm.mixing import mix
@@ -39,6 +41,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_archives": op4_warc_archives,
     "op5_shard_documents": op5_shard_documents,
     "op6_secret_scan": op6_secret_scan,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_near_dedup": op10_near_dedup,
