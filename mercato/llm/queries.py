@@ -13,6 +13,7 @@ from mercato.llm.exact_dedup import exact_dedup
 from mercato.llm.mixing import mix
 from mercato.llm.near_dedup import near_dedup
 from mercato.llm.quality import quality
+from mercato.llm.search import top_k
 from mercato.llm.secrets import find_secrets
 from mercato.llm.sharding import place
 from mercato.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = round_trip(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -60,6 +65,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_top_k_search": op3_top_k_search,
     "op4_warc_archives": op4_warc_archives,
     "op5_shard_documents": op5_shard_documents,
     "op6_secret_scan": op6_secret_scan,
@@ -115,6 +121,20 @@ SELECT timed.doc_id, size, source_size, target, (coalesce(n.copies, 0) * size)::
 FROM timed LEFT JOIN n USING (doc_id)
 """
 
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, body, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
@@ -130,5 +150,6 @@ FROM h
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_mix_sources": OP2_SQL,
+    "op3_top_k_search": OP3_SQL,
     "op4_warc_archives": OP4_SQL,
 }
