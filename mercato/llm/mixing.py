@@ -109,7 +109,8 @@ def _cut(docs: DataFrame, budget: int) -> tuple[list[tuple[float, float, int]],
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: Sequence[int] = WEIGHTS, max_passes: int = 3, seed: str = "mix") -> DataFrame:
+        weights: Sequence[int] = WEIGHTS, max_passes: int = 3, seed: str = "mix",
+        carry: Sequence[str] = ()) -> DataFrame:
     """Decide how many copies of each document the mix takes.
 
     Returns one row per input row: id, source, size (words), source_size,
@@ -119,14 +120,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     id; repeated rows are separate documents.  The total taken is the budget
     (all words of the input) less the part of one copy that no longer fits.
     Reruns take the same rows: the shuffle order is a digest of seed and id.
-    An empty table gives an empty result; other columns are ignored.
+    An empty table gives an empty result; columns named in ``carry`` are
+    carried along and others ignored.
     """
     key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     source = F.col(source_col).cast("string")
     sized = written(docs.select(
         F.col(id_col).alias("id"), F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source)).alias("skey"),
         F.md5(key).alias("shuffle"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.struct(*[F.col(c) for c in carry] or [F.lit(0)]).alias("carried"))
         .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     targets = written(source_targets(sized.groupBy("skey").agg(F.sum("size").alias("source_size")),
                                      weights, max_passes), "mix-targets")
@@ -146,7 +149,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         timed = timed.join(edge.groupBy("row").agg(F.count(F.lit(1)).alias("extra")), "row", "left")
         copies = copies + F.coalesce(F.col("extra"), F.lit(0))
     out = timed.withColumn("copies", copies.cast("long"))
-    return out.select(F.col("id").alias(id_col),
+    return out.select(F.col("id").alias(id_col), *[F.col("carried")[c].alias(c) for c in carry],
                       F.when(F.col("skey") != "1", F.substring("skey", 2, 1 << 30)).alias(source_col),
                       "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
                       F.slice("finishes", F.lit(1), F.col("copies").cast("int")).alias("finish_times"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mercato.llm import crf
 from mercato.llm.common import arrow_batches, text_of
@@ -165,7 +165,7 @@ def score_quality(docs: DataFrame, model: Grader | None, id_col: str = "doc_id",
     arrow_batches(docs.sparkSession)
     names = [c for c in docs.columns if c != score_col] if keep_columns else [id_col]
     base = docs.select(*[F.col(f"`{c}`") for c in names], text_of(text_col).alias("__text"))
-    schema = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in names) + f", `{score_col}` double"
+    schema = T.StructType([*base.schema.fields[:-1], T.StructField(score_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
