@@ -36,7 +36,7 @@ from mercato.llm.common import arrow_batches, scratch_dir, text_of
 # Fixed value: the word pattern of byte-level BPE.
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
-BLOCK_CHARS = 16 << 20  # characters after which a block of documents is closed
+BLOCK_CHARS = 6 << 20  # characters after which a block of documents is closed
 DEAL = 64               # word buckets: tasks that can encode words at the same time, at most
 BLOCK_ROWS = 4          # blocks in an Arrow batch
 
