@@ -56,6 +56,21 @@ def promo_active(as_of: Column, start="start_date", end="end_date") -> Column:
     return as_of.between(c(start), c(end))
 
 
+def stock_thresholds(sold="sold", days="days", safety_days: int = 3, reorder_days: int = 7,
+                     min_velocity: str = "0.1", default_velocity: str = "1.0") -> tuple[Column, Column]:
+    """PRJ-15: (safety stock, reorder point) from the units per selling day,
+    in exact arithmetic; pairs never sold get the default velocity."""
+    v = F.greatest(F.lit(min_velocity).cast("decimal(4,1)"), F.lit(default_velocity).cast("decimal(4,1)"))
+
+    def floor_of(n: int) -> Column:
+        by_sales = F.greatest(F.floor(F.lit(n) * F.lit(min_velocity).cast("decimal(4,1)")).cast("bigint"),
+                              F.expr(f"div({n} * {sold}, {days})"))
+        return F.coalesce(by_sales, F.floor(F.lit(n) * v).cast("bigint"))
+
+    return (F.greatest(F.lit(1), floor_of(safety_days)).cast("int"),
+            F.greatest(F.lit(2), floor_of(reorder_days)).cast("int"))
+
+
 def stock_status(qty="quantity_on_hand", safety="safety_stock", reorder="reorder_point") -> Column:
     """PRJ-16: threshold rule for the stock status."""
     return (F.when(c(qty) == 0, "stockout").when(c(qty) <= c(safety), "critical")
@@ -94,8 +109,8 @@ def rename_if_present(df: DataFrame, mapping: dict) -> DataFrame:
 
 
 # Business rules (PRJ-19).
-def urgent_replenishment(cov="coverage_days") -> Column:
-    return c(cov) < 7
+def urgent_replenishment(cov="coverage_days", days: float = 7) -> Column:
+    return c(cov) < days
 
 
 def overstock(cov="coverage_days") -> Column:
@@ -114,8 +129,8 @@ def undercut(gap="price_gap_pct") -> Column:
     return c(gap) < 0
 
 
-def critical_stockout_rate(rate="stockout_rate") -> Column:
-    return c(rate) > 0.05
+def critical_stockout_rate(rate="stockout_rate", limit: float = 0.05) -> Column:
+    return c(rate) > limit
 
 
 def retention_priority(label="segment_label", recency="recency_days") -> Column:

@@ -9,8 +9,9 @@ from mercato.sources.retail import dec
 
 
 def latest_snapshot(cp: DataFrame) -> DataFrame:
-    """PRJ-24: rows of the latest snapshot_month (uncorrelated scalar subquery;
-    'yyyy-MM' strings sort chronologically)."""
+    """PRJ-24 on a snapshot table whose months aren't known beforehand: rows of
+    the latest snapshot_month ('yyyy-MM' strings sort chronologically).
+    ``Retail.competitor_latest`` reads that month alone."""
     latest = cp.select(F.max("snapshot_month")).scalar()
     return cp.where(F.col("snapshot_month") == latest)
 

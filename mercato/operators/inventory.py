@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
-from mercato.plans.joins import sized_broadcast
 from mercato.sources.retail import Retail
 
 
@@ -17,18 +16,17 @@ def velocity(r: Retail) -> DataFrame:
         (F.col("sold").cast("double") / F.col("days")).alias("avg_daily_sales"))
 
 
-def stock_policy(pairs: DataFrame, vel: DataFrame, stores: DataFrame, safety_days: int = 3,
-                 reorder_days: int = 7, cover_days: int = 14, min_velocity: float = 0.1,
-                 default_velocity: float = 1.0) -> DataFrame:
-    """PRJ-15 + JOI-08: thresholds per candidate (store_id, product_id) pair."""
-    adp = F.greatest(F.lit(min_velocity), F.coalesce("avg_daily_sales", F.lit(default_velocity)))
-    x = (pairs.join(vel, ["store_id", "product_id"], "left")
-         .join(stores.select("store_id", "surface_m2"), "store_id")
-         .withColumn("adp", adp))
+def stock_policy(pairs: DataFrame, sales: DataFrame, stores: DataFrame, cover_days: int = 14,
+                 min_velocity: float = 0.1, default_velocity: float = 1.0) -> DataFrame:
+    """PRJ-15 + JOI-08: thresholds per candidate (store_id, product_id) pair;
+    a pair without sales has the default velocity."""
+    velocity_ = F.col("sold").cast("double") / F.col("days")
+    adp = F.greatest(F.lit(min_velocity), F.coalesce(velocity_, F.lit(default_velocity)))
+    safety, reorder = X.stock_thresholds(min_velocity=str(min_velocity), default_velocity=str(default_velocity))
+    x = (pairs.join(sales, ["store_id", "product_id"], "left")
+         .join(stores.select("store_id", "surface_m2"), "store_id").withColumn("adp", adp))
     return x.select(
-        "store_id", "product_id", "adp",
-        F.greatest(F.lit(1), F.floor(safety_days * F.col("adp")).cast("int")).alias("safety_stock"),
-        F.greatest(F.lit(2), F.floor(reorder_days * F.col("adp")).cast("int")).alias("reorder_point"),
+        "store_id", "product_id", "adp", safety.alias("safety_stock"), reorder.alias("reorder_point"),
         F.greatest(F.lit(5), F.floor(cover_days * F.col("adp") * F.log(F.col("surface_m2") / 400 + 1))
                    .cast("int")).alias("base_stock"))
 
@@ -39,11 +37,10 @@ def gold_inventory_status(r: Retail) -> DataFrame:
     products = (r.products.where("is_active")
                 .select("product_id", F.col("name").alias("product_name"), "category"))
     inv = (r.inventory
-           .join(sized_broadcast(stores, key=f"{r.sf_dir}:stores3"), "store_id")
-           .join(sized_broadcast(products, key=f"{r.sf_dir}:active_products"), "product_id"))
+           .join(stores, "store_id").join(products, "product_id"))
     return inv.select("store_id", "store_name", "region", "product_id", "product_name", "category",
                       "quantity_on_hand", "safety_stock", "reorder_point",
-                      X.stock_status().alias("stock_status"), "coverage_days")
+                      X.stock_status().alias("stock_status"), "coverage_days", "last_updated")
 
 
 def status_mix(inv: DataFrame) -> DataFrame:

@@ -16,12 +16,13 @@ from mercato.sources.retail import Retail, dec
 ALERT_COLS = ["store_id", "product_id", "alert_type", "severity", "message", "created_at", "status"]
 
 
-def _ts(d: Column) -> Column:
-    return d.cast("timestamp_ntz")
+def _ts(d: Column | str) -> Column:
+    return (F.col(d) if isinstance(d, str) else d).cast("timestamp_ntz")
 
 
-def stock_alerts(inv: DataFrame, as_of: Column) -> DataFrame:
-    """STR-06: stockout -> (stockout, critical); critical -> (critical_stock, high)."""
+def stock_alerts(inv: DataFrame) -> DataFrame:
+    """STR-06: stockout -> (stockout, critical); critical -> (critical_stock,
+    high); raised on the day of the sale that brought the stock there."""
     x = inv.where(F.col("stock_status").isin(*X.AT_RISK))
     so = F.col("stock_status") == "stockout"
     pid, sid = F.col("product_id").cast("string"), F.col("store_id").cast("string")
@@ -31,34 +32,65 @@ def stock_alerts(inv: DataFrame, as_of: Column) -> DataFrame:
     return x.select("store_id", "product_id",
                     F.when(so, "stockout").otherwise("critical_stock").alias("alert_type"),
                     F.when(so, "critical").otherwise("high").alias("severity"),
-                    msg.alias("message"), _ts(as_of).alias("created_at"), F.lit("active").alias("status"))
-
-
-def transfer_proposals(inv: DataFrame, as_of: Column) -> DataFrame:
-    """STR-07: each stockout/critical row gets stock from the store with the
-    largest excess over its reorder point -- in the same region if one
-    exists, else anywhere (ties to the lower store id).  The best donor is
-    an aggregate per (product, region) and per product, so no pairs of
-    short and surplus rows are formed."""
+                    msg.alias("message"), _ts(F.col("last_updated")).alias("created_at"), F.lit("active").alias("status"))
+
+
+def _allocate(short: DataFrame, donors: DataFrame, by: list[str]) -> DataFrame:
+    """Hand the donors' excess to the short stores of the same ``by`` values.
+
+    Needs (most urgent first) and excesses (largest first) are laid end to
+    end on two lines of units; where a stretch of need lies over a stretch
+    of excess, that many units move.  The stretches come from one window
+    over the starts of both kinds, so a group of n short and m surplus
+    stores makes at most n + m rows, never n x m, and no unit is given
+    twice."""
+    upto = (Window.unboundedPreceding, -1)
+    urgent = Window.partitionBy(*by).orderBy(F.col("stock_status") != "stockout", F.desc("need"), "to_store_id")
+    largest = Window.partitionBy(*by).orderBy(F.desc("excess"), "from_store_id")
+    start = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(*upto)), F.lit(0)).alias("at")
+    needs = short.select(*by, start("need", urgent), F.col("need").alias("n"), F.lit(0).alias("e"),
+                         "to_store_id", "stock_status", "created_at", F.lit(None).cast("bigint").alias("from_store_id"))
+    gifts = donors.select(*by, start("excess", largest), F.lit(0).alias("n"), F.col("excess").alias("e"),
+                          F.lit(None).cast("bigint").alias("to_store_id"), F.lit(None).cast("string").alias("stock_status"),
+                          F.lit(None).cast("timestamp_ntz").alias("created_at"), "from_store_id")
+    group = Window.partitionBy(*by)
+    # peers of one start see each other, so either may come first
+    line = group.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    cover = F.least(F.sum("n").over(group), F.sum("e").over(group))
+    last = lambda c: F.last(c, ignorenulls=True).over(line).alias(c)
+    x = needs.unionByName(gifts).select(
+        *by, "at", F.least(F.coalesce(F.lead("at").over(group.orderBy("at", F.col("to_store_id").isNull())), cover), cover).alias("to"),
+        last("to_store_id"), last("stock_status"), last("created_at"), last("from_store_id"))
+    return x.withColumn("quantity", (F.col("to") - F.col("at")).cast("int")).where("quantity > 0").drop("at", "to")
+
+
+def transfer_proposals(inv: DataFrame, as_of: Column, pending_days: int = 7, transit_days: int = 30) -> DataFrame:
+    """STR-07: stock for stockout and critical rows from stores above their
+    reorder point -- of the same region as far as their excess goes, the rest
+    from anywhere.  No donor gives more than its excess.  A proposal dates
+    from the sale that caused the shortage; it is pending for
+    ``pending_days``, in transit up to ``transit_days``, then completed."""
     short = inv.where(F.col("stock_status").isin(*X.AT_RISK)).select(
         F.col("store_id").alias("to_store_id"), "product_id", "region", "stock_status",
-        (F.col("reorder_point") - F.col("quantity_on_hand")).alias("need"))
+        F.greatest(F.col("reorder_point") - F.col("quantity_on_hand"), F.lit(1)).alias("need"),
+        _ts(F.col("last_updated")).alias("created_at"))
     donors = inv.where(F.col("quantity_on_hand") > F.col("reorder_point")).select(
-        "store_id", "product_id", "region", (F.col("quantity_on_hand") - F.col("reorder_point")).alias("excess"))
-    best = F.max(F.struct("excess", (-F.col("store_id")).alias("neg_store"))).alias("b")
-    by_region = donors.groupBy("product_id", "region").agg(best).select(
-        "product_id", "region", F.col("b.excess").alias("r_excess"), (-F.col("b.neg_store")).alias("r_store"))
-    by_product = donors.groupBy("product_id").agg(best).select(
-        "product_id", F.col("b.excess").alias("a_excess"), (-F.col("b.neg_store")).alias("a_store"))
-    x = short.join(by_region, ["product_id", "region"], "left").join(by_product, "product_id", "left")
-    from_store = F.coalesce("r_store", "a_store")
-    excess = F.when(F.col("r_store").isNotNull(), F.col("r_excess")).otherwise(F.col("a_excess"))
-    so = F.col("stock_status") == "stockout"
-    return x.where(from_store.isNotNull()).select(
-        from_store.alias("from_store_id"), "to_store_id", "product_id",
-        F.least(F.greatest(F.col("need"), F.lit(1)), excess).cast("int").alias("quantity"),
-        F.when(so, "stockout_reflex").otherwise("critical_stock_reflex").alias("reason"),
-        _ts(as_of).alias("created_at"), F.lit("pending").alias("status"))
+        F.col("store_id").alias("from_store_id"), "product_id", "region",
+        (F.col("quantity_on_hand") - F.col("reorder_point")).alias("excess"))
+    near = _allocate(short, donors, ["product_id", "region"])
+    got = near.groupBy("product_id", "to_store_id").agg(F.sum("quantity").alias("got"))
+    gave = near.groupBy("product_id", "from_store_id").agg(F.sum("quantity").alias("gave"))
+    rest = (short.join(got, ["product_id", "to_store_id"], "left")
+            .withColumn("need", F.col("need") - F.coalesce("got", F.lit(0))).where("need > 0"))
+    spare = (donors.join(gave, ["product_id", "from_store_id"], "left")
+             .withColumn("excess", F.col("excess") - F.coalesce("gave", F.lit(0))).where("excess > 0"))
+    far = _allocate(rest, spare, ["product_id"])
+    age = F.datediff(as_of, F.col("created_at"))
+    return near.drop("region").unionByName(far).select(
+        "from_store_id", "to_store_id", "product_id", "quantity",
+        F.when(F.col("stock_status") == "stockout", "stockout_reflex").otherwise("critical_stock_reflex").alias("reason"),
+        "created_at",
+        F.when(age <= pending_days, "pending").when(age <= transit_days, "in_transit").otherwise("completed").alias("status"))
 
 
 def favourite_category(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -78,11 +110,13 @@ def retention_offers(segments: DataFrame, lines: DataFrame, products: DataFrame,
     back = (F.col("segment_label") == "Inactive") & (F.col("monetary") > min_ltv)
     s = segments.where(loyal | back).select(
         "customer_id", F.when(loyal, "loyalty_discount").otherwise("win_back").alias("offer_type"),
-        F.when(loyal, dec("15.00", 5, 2)).otherwise(dec("20.00", 5, 2)).alias("discount_pct"))
-    fav = favourite_category(lines, products)
+        F.when(loyal, dec("15.00", 5, 2)).otherwise(dec("20.00", 5, 2)).alias("discount_pct"),
+        # generated on the day the customer had been away for more than recency_days
+        F.least(F.date_add("last_order_date", recency_days + 1), as_of).alias("due"))
+    fav = favourite_category(lines.join(s.select("customer_id"), "customer_id", "left_semi"), products)
     return s.join(fav, "customer_id", "left").select(
         "customer_id", "offer_type", "discount_pct", "category",
-        F.date_add(as_of, valid_days).alias("valid_until"), _ts(as_of).alias("generated_at"))
+        F.date_add(as_of, valid_days).alias("valid_until"), _ts("due").alias("generated_at"))
 
 
 def pos_events(r: Retail) -> DataFrame:
@@ -152,12 +186,15 @@ def pos_silences(pos: DataFrame, gap_minutes: int = 45) -> DataFrame:
 def active_alerts(r: Retail, inv: DataFrame) -> DataFrame:
     """All alert sources in the active_alerts schema."""
     pos = pos_events(r)
-    parts = [stock_alerts(inv, r.as_of), sales_spikes(pos), pos_silences(pos)]
+    parts = [stock_alerts(inv), sales_spikes(pos), pos_silences(pos)]
     return reduce(DataFrame.unionByName, [p.select(*ALERT_COLS) for p in parts])
 
 
-def transfers_by_status(transfers: DataFrame) -> DataFrame:
-    """AGG-18: transfer orders and units per status."""
+def transfers_by_status(transfers: DataFrame, now: Column | None = None, days: int | None = None) -> DataFrame:
+    """AGG-18 / Q-06: transfer orders and units per status, of all time or of
+    the ``days`` days up to ``now``."""
+    if days is not None:
+        transfers = transfers.where(F.col("created_at") >= now - F.expr(f"INTERVAL {days} DAYS"))
     return transfers.groupBy("status").agg(F.count(F.lit(1)).alias("cnt"), F.sum("quantity").alias("total_units"))
 
 

@@ -15,14 +15,19 @@ DOMAINS = {
     "store_type": ("hypermarket", "supermarket", "convenience"),
     "channel": ("in_store", "click_and_collect", "home_delivery", "drive"),
     "stock_status": ("stockout", "critical", "low", "normal"),
+    "order_status": ("F", "O", "P"),
+    "event_type": ("click", "purchase", "signup", "view"),
     "segment_label": ("Champions", "Loyal", "Warm Prospects", "At Risk", "Inactive"),
 }
 
 
-def promo_overlap(promotions: DataFrame) -> DataFrame:
+def promo_overlap(promotions: DataFrame, lead_days: int = 0) -> DataFrame:
     """DQ-06: (category, day) covered by more than one promotion -- the rows
-    the promotion join would fan out.  Day-level grouping, no pairwise join."""
-    return (promo_days(promotions).groupBy("category", "promo_date")
+    the promotion join would fan out; with ``lead_days`` a promotion counts
+    from its announcement that many days before.  Day-level grouping, no
+    pairwise join."""
+    announced = promotions.withColumn("start_date", F.date_sub("start_date", lead_days))
+    return (promo_days(announced).groupBy("category", "promo_date")
             .agg(F.count(F.lit(1)).alias("n_promos"),
                  F.array_join(F.sort_array(F.collect_list("promo_name")), "|").alias("promo_names"))
             .where(F.col("n_promos") > 1))

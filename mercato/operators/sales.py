@@ -6,35 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
-from mercato.plans.joins import join_promotions, sized_broadcast
+from mercato.plans.joins import join_promotions
 from mercato.sources.retail import Retail
 
-SALES_KEYS = ["store_id", "store_name", "region", "surface_m2", "store_type", "sales_date",
-              "channel", "category", "subcategory", "promo_name"]
+FACT_KEYS = ["store_id", "sales_date", "channel", "category", "subcategory", "promo_name"]
+SALES_COLUMNS = ["store_id", "store_name", "region", "surface_m2", "store_type", "sales_date", "channel", "category",
+                 "subcategory", "nb_orders", "units_sold", "revenue", "gross_margin", "avg_discount_pct",
+                 "is_promo_day", "promo_name"]
 
 
 def sales_lines(r: Retail) -> DataFrame:
-    """Order lines with store, product and promotion attributes (JOI-01..04)."""
-    stores = r.stores.select("store_id", F.col("name").alias("store_name"), "region",
-                             "surface_m2", "store_type")
-    lines = (r.priced_lines.join(r.orders, "order_id")
-             .join(sized_broadcast(stores, key=f"{r.sf_dir}:stores"), "store_id"))
-    return join_promotions(lines, r.promotions, key=f"{r.sf_dir}:promo_days")
+    """Order lines with product and promotion attributes (JOI-01, 03, 04)."""
+    lines = r.priced_lines.join(r.orders, "order_id").withColumnRenamed("order_date", "sales_date")
+    return join_promotions(lines, r.promotions, "sales_date")
 
 
 def gold_sales_daily(r: Retail) -> DataFrame:
-    """AGG-01: store x date x channel x category x subcategory x promotion."""
-    g = (sales_lines(r).withColumnRenamed("order_date", "sales_date")
-         .groupBy(*SALES_KEYS)
-         .agg(F.count_distinct("order_id").alias("nb_orders"),
-              F.sum("quantity").alias("units_sold"),
-              F.round(F.sum(X.revenue()), 2).alias("revenue"),
-              F.round(F.sum(X.gross_margin()), 2).alias("gross_margin"),
-              F.round(F.avg("discount_pct"), 2).alias("avg_discount_pct")))
-    g = g.withColumn("is_promo_day", X.promo_flag())
-    return X.decimals_to_double(g.select(*SALES_KEYS[:-1], "nb_orders", "units_sold", "revenue",
-                                         "gross_margin", "avg_discount_pct", "is_promo_day",
-                                         "promo_name"))
+    """AGG-01: store x date x channel x category x subcategory x promotion.
+
+    Lines are first summed per order and key, so distinct orders are a plain
+    count afterwards (no expansion of the fact rows); the store attributes
+    (JOI-02) join the daily rows, not the lines."""
+    per_order = sales_lines(r).groupBy(*FACT_KEYS, "order_id").agg(
+        F.sum("quantity").alias("units"), F.sum(X.revenue()).alias("rev"), F.sum(X.gross_margin()).alias("gm"),
+        F.sum("discount_pct").alias("disc"), F.count(F.lit(1)).alias("lines"))
+    g = per_order.groupBy(*FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("nb_orders"), F.sum("units").alias("units_sold"),
+        F.round(F.sum("rev"), 2).alias("revenue"), F.round(F.sum("gm"), 2).alias("gross_margin"),
+        F.round(F.sum("disc") / F.sum("lines"), 2).alias("avg_discount_pct"))
+    stores = r.stores.select("store_id", F.col("name").alias("store_name"), "region", "surface_m2", "store_type")
+    g = g.join(stores, "store_id").withColumn("is_promo_day", X.promo_flag())
+    return X.decimals_to_double(g.select(*SALES_COLUMNS))
 
 
 def sales_by_year(sales: DataFrame) -> DataFrame:

@@ -73,16 +73,21 @@ from mercato.functions import exprs as X  # noqa: E402
 from mercato.operators import competitor, cross, forecast, quality, segments  # noqa: E402
 
 
+def _sale_day(r: Retail):
+    """28 November before the analysis date: a day inside a promotion."""
+    return F.make_date(F.year(r.as_of) - 1, F.lit(11), F.lit(28))
+
+
 @register("promo_active")
 def q_promo_active(r: Retail):
-    """PRJ-09: promotion calendar with is_active at the analysis date."""
-    return r.promotions.select("*", X.promo_active(r.as_of).alias("is_active"))
+    """PRJ-09: promotion calendar with is_active on the last Black Friday."""
+    return r.promotions.select("*", X.promo_active(_sale_day(r)).alias("is_active"))
 
 
 @register("promo_overlap")
 def q_promo_overlap(r: Retail):
-    """DQ-06: category-days covered by more than one promotion."""
-    return quality.promo_overlap(r.promotions)
+    """DQ-06: category-days covered by more than one promotion, announced a week ahead."""
+    return quality.promo_overlap(r.promotions, lead_days=7)
 
 
 @register("store_format")
@@ -132,7 +137,7 @@ def q_competitor_summary(r: Retail):
 @register("competitor_latest")
 def q_competitor_latest(r: Retail):
     """PRJ-24: latest snapshot month rows."""
-    return X.decimals_to_double(competitor.latest_snapshot(r.competitor_prices))
+    return X.decimals_to_double(r.competitor_latest)
 
 
 @register("price_gap")
@@ -150,7 +155,7 @@ def q_competitor_reprice(r: Retail):
 @register("median_prices")
 def q_median_prices(r: Retail):
     """AGG-22 / RPT-06: median our vs competitor price per category (latest month)."""
-    return competitor.median_prices(competitor.latest_snapshot(r.competitor_prices))
+    return competitor.median_prices(r.competitor_latest)
 
 
 # ---- customers -----------------------------------------------------------
@@ -218,7 +223,7 @@ def q_demand_forecast(r: Retail):
 # ---- cross-entity --------------------------------------------------------
 def _double_risk(r: Retail):
     from mercato.operators.inventory import gold_inventory_status
-    return cross.double_risk(r.products, gold_inventory_status(r), r.competitor_prices)
+    return cross.double_risk(r.products, gold_inventory_status(r), r.competitor_latest)
 
 
 @register("double_risk")
@@ -423,8 +428,8 @@ def q_07(r: Retail):
 
 @register("q_08_promotions_active")
 def q_08(r: Retail):
-    """Q-08: promotions running on the analysis date."""
-    return Q.q08_promotions_active(r.promotions, r.as_of)
+    """Q-08: promotions running on a given day."""
+    return Q.q08_promotions_active(r.promotions, _sale_day(r))
 
 
 @register("q_09_category_products")
@@ -439,12 +444,12 @@ def q_10(r: Retail):
 
 @register("q_11_cheaper_at_bonprix")
 def q_11(r: Retail):
-    return Q.q11_cheaper_at(r.competitor_prices, "BonPrix")
+    return Q.q11_cheaper_at(r.competitor_latest, "BonPrix")
 
 
 @register("q_11_undercut_beyond_10pct")
 def q_11b(r: Retail):
-    return Q.q11_cheaper_at(r.competitor_prices, None, min_undercut_pct=10.0)
+    return Q.q11_cheaper_at(r.competitor_latest, None, min_undercut_pct=10.0)
 
 
 @register("q_12_low_accuracy")
@@ -464,7 +469,7 @@ def q_13(r: Retail):
 
 @register("q_13_high_daily_demand")
 def q_13b(r: Retail):
-    return Q.q13_high_daily(forecast.forecast_baseline(r), F.date_add(forecast.cutoff_of(r), 1))
+    return Q.q13_high_daily(forecast.forecast_baseline(r), F.date_add(forecast.cutoff_of(r), 1), per_day=1.0)
 
 
 @register("q_14_stores_rain")
@@ -524,7 +529,7 @@ def q_21c(r: Retail):
 
 @register("q_22_low_coverage_stores")
 def q_22(r: Retail):
-    return Q.q22_low_coverage_stores(_inv(r))
+    return Q.q22_low_coverage_stores(_inv(r), days=60.0)
 
 
 @register("q_23_segments_by_ltv")
@@ -544,7 +549,7 @@ def q_25(r: Retail):
 
 @register("q_29_urgent_stores")
 def q_29(r: Retail):
-    return Q.q29_urgent_stores(_inv(r))
+    return Q.q29_urgent_stores(_inv(r), rate=0.015)
 
 
 # ---- operational tables (STR-04..08, AGG-18..20, Q-06/26/27/28) -----------
@@ -558,7 +563,7 @@ def _offers(r: Retail):
 
 @register("stock_alerts")
 def q_stock_alerts(r: Retail):
-    return ops.stock_alerts(_inv(r), r.as_of)
+    return ops.stock_alerts(_inv(r))
 
 
 @register("transfer_proposals")
@@ -592,6 +597,12 @@ def q_transfers_by_status(r: Retail):
     return ops.transfers_by_status(_transfers(r))
 
 
+@register("q_06_transfers_this_week")
+def q_06(r: Retail):
+    """Q-06: transfers proposed in the last seven days, by status."""
+    return ops.transfers_by_status(_transfers(r), r.as_of.cast("timestamp_ntz"), 7)
+
+
 @register("alerts_by_severity")
 def q_alerts_by_severity(r: Retail):
     """AGG-19 / Q-26."""
@@ -787,7 +798,7 @@ def q_ents_customer_segment(r: Retail):
 
 @register("ents_competitor_latest")
 def q_ents_competitor_latest(r: Retail):
-    return X.decimals_to_double(EN.entity_view(competitor.latest_snapshot(r.competitor_prices), "CompetitorPrice"))
+    return X.decimals_to_double(EN.entity_view(r.competitor_latest, "CompetitorPrice"))
 
 
 @register("ents_weather_en")
@@ -798,7 +809,7 @@ def q_ents_weather_en(r: Retail):
 
 @register("ents_promotion")
 def q_ents_promotion(r: Retail):
-    p = r.promotions.select("*", X.promo_active(r.as_of).alias("is_active"))
+    p = r.promotions.select("*", X.promo_active(_sale_day(r)).alias("is_active"))
     return X.decimals_to_double(EN.entity_view(p, "Promotion"))
 
 
@@ -826,9 +837,8 @@ def q_model_sales_weekend(r: Retail):
 # ---- remaining operators ------------------------------------------------------
 @register("stock_policy")
 def q_stock_policy(r: Retail):
-    """PRJ-15 + JOI-08: thresholds for every sold store x product pair."""
-    pairs = r.store_product_sales.select("store_id", "product_id")
-    return inventory.stock_policy(pairs, inventory.velocity(r), r.stores)
+    """PRJ-15 + JOI-08: thresholds for every listed store x product pair."""
+    return inventory.stock_policy(r.listed_pairs, r.store_product_sales, r.stores)
 
 
 @register("inventory_flags")
@@ -862,6 +872,8 @@ def q_domain_checks(r: Retail):
     parts = {"store_type": quality.domain_violations(r.stores, "store_type"),
              "channel": quality.domain_violations(r.orders, "channel"),
              "stock_status": quality.domain_violations(inv, "stock_status"),
+             "order_status": quality.domain_violations(r.orders, "order_status"),
+             "event_type": quality.domain_violations(r.raw("events"), "event_type"),
              "segment_label": quality.domain_violations(segments.rule_segments(r), "segment_label")}
     return reduce(_DF.unionAll, [df.agg(F.lit(k).alias("domain"), F.count(F.lit(1)).alias("violations"))
                                  for k, df in parts.items()])
@@ -907,7 +919,7 @@ def q_stream_stock_alerts(r: Retail):
     feed = scratch_path(r.spark, f"inventory-feed-{uuid.uuid4().hex[:6]}")
     inv = _inv(r)
     inv.write.parquet(feed)
-    out = S.run_available(S.stock_alert_stream(r.spark, feed, inv.schema, r.as_of), None, name="stock-alerts")
+    out = S.run_available(S.stock_alert_stream(r.spark, feed, inv.schema), None, name="stock-alerts")
     return r.spark.read.parquet(out)
 
 
@@ -953,4 +965,4 @@ def q_ingest_promotions_roundtrip(r: Retail):
     from mercato.sources import files as FL
     feed = scratch_path(r.spark, f"promo-feed-{uuid.uuid4().hex[:6]}")
     r.promotions.withColumn("is_active", F.lit(False)).write.option("header", True).csv(feed)
-    return FL.read_promotions(r.spark, feed, r.as_of).rows
+    return FL.read_promotions(r.spark, feed, _sale_day(r)).rows

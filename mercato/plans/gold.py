@@ -54,7 +54,7 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
     fc = put("silver_demand_forecast", forecast.forecast_baseline(r))
     put("gold_forecast_vs_actual", forecast.forecast_vs_actual(r, fc))
     seg = put("silver_customer_segments", segments.rule_segments(r))
-    put("gold_double_risk_products", cross.double_risk(r.products, inv, r.competitor_prices))
+    put("gold_double_risk_products", cross.double_risk(r.products, inv, r.competitor_latest))
     put("gold_champion_stockout_alert",
         cross.champion_stockout_alert(seg, r.order_lines, r.products, r.stores, inv))
     put("dim_calendar", dims.dim_calendar(r))

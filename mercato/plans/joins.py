@@ -1,35 +1,10 @@
-"""Join strategies: size-checked broadcast and the promotion range join."""
+"""The promotion range join as an equi-join on days."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast only dimension sides below this many rows (a dimension row here
-# is < 200 bytes, so 2M rows stay well under executor broadcast limits).
-BROADCAST_MAX_ROWS = 2_000_000
-
-_counts: dict = {}
-
-
-def sized_broadcast(df: DataFrame, key: str | None = None,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the side's row count.
-
-    Above the bound the side is returned unhinted and AQE chooses (it
-    still converts to a broadcast at runtime when the measured shuffle
-    output is small, and splits skewed partitions otherwise).  The count
-    is memoised per ``key`` so repeated plans do not rescan.
-    """
-    k = key or None
-    n = _counts.get(k) if k else None
-    if n is None:
-        n = df.count()
-        if k:
-            _counts[k] = n
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def promo_days(promotions: DataFrame) -> DataFrame:
     """Explode each promotion into its days: (category, promo_date, promo_name).
 
@@ -42,10 +17,9 @@ def promo_days(promotions: DataFrame) -> DataFrame:
         F.explode(F.sequence("start_date", "end_date")).alias("promo_date"))
 
 
-def join_promotions(lines: DataFrame, promotions: DataFrame, date_col: str = "order_date",
-                    key: str | None = None) -> DataFrame:
+def join_promotions(lines: DataFrame, promotions: DataFrame, date_col: str = "order_date") -> DataFrame:
     """Left range join of sales lines to the promotion active that day."""
-    days = sized_broadcast(promo_days(promotions), key=key)
+    days = promo_days(promotions)
     return lines.join(days, (lines["category"] == days["category"])
                       & (lines[date_col] == days["promo_date"]), "left") \
         .drop(days["category"]).drop("promo_date")

@@ -17,16 +17,16 @@ def view(name: str, text: str) -> None:
 
 
 view("v_stores", """
-SELECT *, CASE WHEN surface_m2 > 3000 THEN 'hypermarket' WHEN surface_m2 > 1000 THEN 'supermarket' ELSE 'convenience' END AS store_type
-FROM (SELECT s_suppkey AS store_id, s_name AS name, n_name AS city, r_name AS region,
-        CASE s_suppkey % 8 WHEN 0 THEN 450 WHEN 1 THEN 600 WHEN 2 THEN 800 WHEN 3 THEN 1200 WHEN 4 THEN 1800 WHEN 5 THEN 2500 WHEN 6 THEN 4000 ELSE 6000 END AS surface_m2
-      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) t
+SELECT store_id, name, city, region, surface_m2,
+       CASE WHEN surface_m2 > 3000 THEN 'hypermarket' WHEN surface_m2 > 1000 THEN 'supermarket' ELSE 'convenience' END AS store_type
+FROM (SELECT s_suppkey AS store_id, s_name AS name, n_name AS city, r_name AS region, CAST(400 + FLOOR(ABS(s_acctbal) / 2) AS INT) AS surface_m2
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) sized
 """)
 view("v_products", """
 SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS subcategory,
        CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
-       CAST(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(92 - p_partkey % 58 AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS unit_cost,
-       p_partkey % 20 <> 0 AS is_active
+       CAST(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(40 + p_size AS DECIMAL(4,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS unit_cost,
+       p_size AS pack_size, p_size < 49 AS is_active
 FROM part
 """)
 view("v_orders", """
@@ -44,70 +44,80 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 view("v_as_of", "SELECT MAX(CAST(o_orderdate AS DATE)) AS as_of FROM orders")
 view("v_promotions", """
 SELECT e.promo_name, make_date(y.y, e.sm, e.sd) AS start_date, make_date(y.y, e.em, e.ed) AS end_date, c.category, e.discount_pct, e.traffic_boost
-FROM (VALUES ('Winter Sales',1,10,2,7,30,1.40,1), ('Valentine''s Day',2,10,2,14,10,1.15,0), ('Summer Sales',6,28,7,26,30,1.35,1), ('Back to School',8,15,9,10,10,1.20,0),
-             ('Black Friday',11,28,11,28,25,2.80,1), ('Cyber Monday',12,1,12,1,20,1.80,1), ('Christmas',12,20,12,24,15,2.20,1)) AS e(promo_name, sm, sd, em, ed, discount_pct, traffic_boost, major)
+FROM (VALUES ('Winter Sales',1,10,2,7,30,1.40), ('Valentine''s Day',2,10,2,14,10,1.15), ('Summer Sales',6,28,7,26,30,1.35), ('Back to School',8,15,9,10,10,1.20),
+             ('Black Friday',11,28,11,28,25,2.80), ('Cyber Monday',12,1,12,1,20,1.80), ('Christmas',12,20,12,24,15,2.20)) AS e(promo_name, sm, sd, em, ed, discount_pct, traffic_boost)
 CROSS JOIN (SELECT DISTINCT CAST(YEAR(o_orderdate) AS INT) AS y FROM orders) y
 CROSS JOIN (SELECT DISTINCT p_type AS category FROM part) c
-WHERE e.major = 1 OR (y.y + LENGTH(c.category)) % 2 = 0
 """)
 view("v_competitor_prices", """
-SELECT snapshot_month, product_id, product_name, category, competitor, our_price, price_gap_pct, price_gap_pct < 0 AS is_cheaper,
-       GREATEST(CAST(0.50 AS DECIMAL(12,2)), CAST(ROUND(our_price * (1 + price_gap_pct * CAST(0.01 AS DECIMAL(3,2))), 2) AS DECIMAL(12,2))) AS competitor_price
-FROM (SELECT m.snapshot_month, p.p_partkey AS product_id, p.p_name AS product_name, p.p_type AS category, k.competitor, CAST(p.p_retailprice AS DECIMAL(10,2)) AS our_price,
-             CAST(CAST(k.bias_bp + CAST(FLOOR(CAST(k.std_bp * ((p.p_partkey * 7919 + k.cid * 104729 + m.ym * 31) % 10007 - 5003) AS DOUBLE) / 2889) AS INT) AS DECIMAL(8,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(8,2)) AS price_gap_pct
-      FROM part p CROSS JOIN (VALUES (1,'MaxiMarché',-500,800), (2,'PrimoShop',300,600), (3,'BonPrix',-1000,1000), (4,'NeoShop',200,900), (5,'TendancePlus',-200,700)) AS k(cid, competitor, bias_bp, std_bp)
-      CROSS JOIN (SELECT DISTINCT YEAR(o_orderdate) * 100 + MONTH(o_orderdate) AS ym, SUBSTRING(CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)), 1, 7) AS snapshot_month FROM orders) m
-      WHERE p.p_partkey % 10 < 3) t
+WITH paid AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS snapshot_month, l_partkey AS product_id, n_regionkey % 5 AS rival,
+         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT) * (100 - CAST(ROUND(l_discount * 100) AS BIGINT)))::BIGINT AS paid,
+         SUM(CAST(l_quantity AS BIGINT))::BIGINT AS units
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
+  WHERE CAST(o_orderdate AS DATE) < date_trunc('month', (SELECT as_of FROM v_as_of)) GROUP BY ALL),
+priced AS (
+  SELECT paid.*, GREATEST(50, (2 * paid + 100 * units) // (200 * units)) AS cents, CAST(p_retailprice AS DECIMAL(10,2)) AS our_price,
+         CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 100 AS BIGINT) AS ours, p_name, p_type
+  FROM paid JOIN part ON p_partkey = product_id)
+SELECT snapshot_month, product_id, p_name AS product_name, p_type AS category,
+       ['MaxiMarché', 'PrimoShop', 'BonPrix', 'NeoShop', 'TendancePlus'][rival + 1] AS competitor, our_price,
+       CAST(CAST(sign(cents - ours) * ((2 * ABS(cents - ours) * 10000 + ours) // (2 * ours)) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS price_gap_pct,
+       cents < ours AS is_cheaper, CAST(CAST(cents AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS competitor_price
+FROM priced
 """)
 view("v_sp_sales", """
-SELECT o.store_id, i.product_id, SUM(i.quantity) AS sold, COUNT(DISTINCT o.order_date) AS days
-FROM v_order_items i JOIN v_orders o ON o.order_id = i.order_id GROUP BY o.store_id, i.product_id
+SELECT o_orderkey % (SELECT COUNT(*) FROM supplier) AS store_id, l_partkey AS product_id, SUM(CAST(l_quantity AS INT)) AS sold,
+       COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS days, MAX(CAST(o_orderdate AS DATE)) AS last_sale
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY ALL
 """)
 view("v_inventory", """
-SELECT store_id, product_id, qty AS quantity_on_hand, safety_stock, reorder_point, sold, days,
-       CAST(ROUND(CAST(qty AS DECIMAL(12,0)) * days / sold, 1) AS DOUBLE) AS coverage_days
-FROM (SELECT *, CASE WHEN h < 300 THEN 0 WHEN h < 1101 THEN 1 + r % safety_stock WHEN h < 2302 THEN safety_stock + 1 + r % GREATEST(1, reorder_point - safety_stock)
-                     ELSE reorder_point + 1 + r % GREATEST(1, 3 * reorder_point) END AS qty
-      FROM (SELECT store_id, product_id, sold, days, (store_id * 7919 + product_id * 104729 + 12345) % 10007 AS h, (store_id * 31 + product_id * 17) % 997 AS r,
-                   GREATEST(1, CAST((3 * sold) // days AS INT)) AS safety_stock, GREATEST(2, CAST((7 * sold) // days AS INT)) AS reorder_point
-            FROM v_sp_sales v) a) b
+SELECT store_id, product_id, (case_units - sold % case_units) % case_units AS quantity_on_hand,
+       GREATEST(1, CAST((3 * sold) // days AS INT)) AS safety_stock, GREATEST(2, CAST((7 * sold) // days AS INT)) AS reorder_point, sold, days,
+       CAST(ROUND(CAST((case_units - sold % case_units) % case_units AS DECIMAL(12,0)) * days / sold, 1) AS DOUBLE) AS coverage_days, last_sale AS last_updated
+FROM (SELECT v_sp_sales.*, 12 * p_size AS case_units FROM v_sp_sales JOIN part ON p_partkey = product_id) cases
 """)
 view("v_weather", """
-SELECT date, city, region, max_temperature_c, min_temperature_c, rainfall_mm, wind_speed_kmh,
-       rainfall_mm = 0 AND max_temperature_c > 18 AS is_sunny,
+WITH readings AS (
+  SELECT (SELECT as_of FROM v_as_of) - CAST(date_diff('day', CAST(ts AS DATE), (SELECT MAX(CAST(ts AS DATE)) FROM events)) AS INT) AS date,
+         n_name AS city, r_name AS region, event_type, CAST(value AS DECIMAL(12,2)) AS reading
+  FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+per_day AS (
+  SELECT date, city, region, CAST(MAX(reading) AS DOUBLE) / 10 AS max_temperature_c, CAST(MIN(reading) AS DOUBLE) / 10 AS min_temperature_c,
+         CAST(SUM(CASE WHEN event_type = 'error' THEN reading ELSE 0 END) AS DOUBLE) / 10 AS rainfall_mm, CAST(COUNT(*) AS DOUBLE) AS wind_speed_kmh
+  FROM readings GROUP BY 1, 2, 3)
+SELECT *, rainfall_mm = 0 AND max_temperature_c > 18 AS is_sunny,
        CASE WHEN rainfall_mm > 5 THEN 'pluie' WHEN rainfall_mm > 0 THEN 'nuageux' WHEN max_temperature_c > 20 THEN 'ensoleillé' ELSE 'couvert' END AS weather_condition
-FROM (SELECT date, city, region,
-             (season + h1 - 18) / 10 AS max_temperature_c,
-             (season + h1 - 78 - (h2 % 5) * 10) / 10 AS min_temperature_c,
-             CASE WHEN h2 < 60 THEN 0.0 ELSE (h2 - 60) / 4 END AS rainfall_mm,
-             (h1 + h2) / 5 AS wind_speed_kmh
-      FROM (SELECT date, city, region, 60 + 23 * (6 - ABS(MONTH(date) - 7)) AS season,
-                   (n_nationkey * 131 + DAYOFYEAR(date) * 17 + YEAR(date) * 7) % 97 AS h1,
-                   (n_nationkey * 53 + DAYOFYEAR(date) * 29 + YEAR(date) * 11) % 101 AS h2
-            FROM (SELECT n_nationkey, n_name AS city, r_name AS region,
-                         CAST(UNNEST(generate_series((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders), (SELECT as_of FROM v_as_of), INTERVAL 1 DAY)) AS DATE) AS date
-                  FROM nation JOIN region ON n_regionkey = r_regionkey) d) h) w
+FROM per_day
 """)
 
 # ---- gold tables --------------------------------------------------------
 view("g_sales", """
-SELECT o.store_id, s.name AS store_name, s.region, s.surface_m2, s.store_type, o.order_date AS sales_date, o.channel, p.category, p.subcategory,
-       COUNT(DISTINCT o.order_id) AS nb_orders, CAST(SUM(oi.quantity) AS BIGINT) AS units_sold,
-       CAST(ROUND(SUM(oi.quantity * oi.unit_price * (1 - oi.discount_pct * 0.01)), 2) AS DOUBLE) AS revenue,
-       CAST(ROUND(SUM(oi.quantity * (oi.unit_price - p.unit_cost) * (1 - oi.discount_pct * 0.01)), 2) AS DOUBLE) AS gross_margin,
-       CAST(ROUND(AVG(oi.discount_pct), 2) AS DOUBLE) AS avg_discount_pct,
-       CAST(CASE WHEN pr.promo_name IS NOT NULL THEN 1 ELSE 0 END AS INT) AS is_promo_day, pr.promo_name
-FROM v_orders o JOIN v_order_items oi ON o.order_id = oi.order_id
-JOIN v_stores s ON o.store_id = s.store_id JOIN v_products p ON oi.product_id = p.product_id
-LEFT JOIN v_promotions pr ON o.order_date BETWEEN pr.start_date AND pr.end_date AND pr.category = p.category
-GROUP BY o.store_id, s.name, s.region, s.surface_m2, s.store_type, o.order_date, o.channel, p.category, p.subcategory, pr.promo_name
+WITH sold AS (
+  SELECT ord.store_id, ord.order_date AS sales_date, ord.channel, prod.category, prod.subcategory, item.order_id, item.quantity AS units,
+         item.quantity * (100 - item.discount_pct) AS paid_units, item.discount_pct, item.unit_price, prod.unit_cost
+  FROM v_order_items item JOIN v_orders ord USING (order_id) JOIN v_products prod USING (product_id)),
+promoted AS (
+  SELECT sold.*, promo.promo_name
+  FROM sold LEFT JOIN (SELECT category, promo_name, CAST(UNNEST(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS sales_date FROM v_promotions) promo
+       USING (category, sales_date)),
+daily AS (
+  SELECT store_id, sales_date, channel, category, subcategory, promo_name, COUNT(DISTINCT order_id) AS nb_orders, SUM(units) AS units_sold,
+         SUM(paid_units * unit_price) * CAST(0.01 AS DECIMAL(3,2)) AS revenue, SUM(paid_units * (unit_price - unit_cost)) * CAST(0.01 AS DECIMAL(3,2)) AS gross_margin,
+         SUM(discount_pct) AS discounts, COUNT(*) AS n_lines
+  FROM promoted GROUP BY ALL)
+SELECT store_id, shop.name AS store_name, shop.region, shop.surface_m2, shop.store_type, sales_date, channel, category, subcategory, nb_orders,
+       CAST(units_sold AS BIGINT) AS units_sold, CAST(ROUND(revenue, 2) AS DOUBLE) AS revenue, CAST(ROUND(gross_margin, 2) AS DOUBLE) AS gross_margin,
+       CAST(CAST((2 * discounts * 100 + n_lines) AS BIGINT) // (2 * n_lines) AS DOUBLE) / 100 AS avg_discount_pct,
+       CAST(promo_name IS NOT NULL AS INT) AS is_promo_day, promo_name
+FROM daily JOIN v_stores shop USING (store_id)
 """)
 view("g_inventory", """
 SELECT i.store_id, s.name AS store_name, s.region, i.product_id, p.name AS product_name, p.category,
        i.quantity_on_hand, i.safety_stock, i.reorder_point,
        CASE WHEN i.quantity_on_hand = 0 THEN 'stockout' WHEN i.quantity_on_hand <= i.safety_stock THEN 'critical'
             WHEN i.quantity_on_hand <= i.reorder_point THEN 'low' ELSE 'normal' END AS stock_status,
-       i.coverage_days
+       i.coverage_days, i.last_updated
 FROM v_inventory i JOIN v_stores s ON i.store_id = s.store_id JOIN v_products p ON i.product_id = p.product_id
 WHERE p.is_active
 """)
@@ -156,34 +166,33 @@ FROM (SELECT product_id, CAST(UNNEST(generate_series((SELECT cutoff FROM v_cutof
 LEFT JOIN v_fb_sums s ON s.product_id = d.product_id AND s.dow = dayofweek(d.forecast_date)
 """)
 view("g_fva", """
-SELECT f.product_id, p.name AS product_name, p.category, f.forecast_date, COALESCE(a.actual_qty, 0) AS actual_qty,
-       f.forecast_qty, f.forecast_qty_lower, f.forecast_qty_upper,
-       CASE WHEN f.forecast_qty = 0 THEN NULL ELSE ROUND(ABS(CAST(f.forecast_qty AS DECIMAL(12,2)) - COALESCE(a.actual_qty, 0)) / CAST(f.forecast_qty AS DECIMAL(12,2)), 4) END AS forecast_error_pct,
-       CASE WHEN f.forecast_qty = 0 THEN NULL ELSE ROUND(1 - ABS(CAST(f.forecast_qty AS DECIMAL(12,2)) - COALESCE(a.actual_qty, 0)) / CAST(f.forecast_qty AS DECIMAL(12,2)), 4) END AS forecast_accuracy
-FROM v_forecast f JOIN v_products p ON p.product_id = f.product_id
-LEFT JOIN v_daily a ON a.product_id = f.product_id AND a.order_date = f.forecast_date
+WITH compared AS (
+  SELECT fc.*, COALESCE(sold.actual_qty, 0) AS actual_qty, CAST(fc.forecast_qty AS DECIMAL(12,2)) AS planned
+  FROM v_forecast fc LEFT JOIN v_daily sold ON sold.product_id = fc.product_id AND sold.order_date = fc.forecast_date),
+missed AS (SELECT *, ABS(planned - actual_qty) / NULLIF(planned, 0) AS miss FROM compared)
+SELECT product_id, prod.name AS product_name, prod.category, forecast_date, actual_qty, forecast_qty, forecast_qty_lower, forecast_qty_upper,
+       ROUND(miss, 4) AS forecast_error_pct, ROUND(1 - miss, 4) AS forecast_accuracy
+FROM missed JOIN v_products prod USING (product_id)
 """)
 view("g_double_risk", """
-SELECT DISTINCT p.product_id, p.name AS product_name, p.category, CAST(p.unit_price AS DOUBLE) AS our_price,
-       i.store_id, i.store_name, i.region, i.stock_status, i.coverage_days, i.quantity_on_hand,
-       c.competitor AS cheapest_competitor, CAST(c.competitor_price AS DOUBLE) AS competitor_price,
-       CAST(ROUND(c.price_gap_pct, 2) AS DOUBLE) AS price_gap_pct
-FROM v_products p
-JOIN g_inventory i ON i.product_id = p.product_id AND i.stock_status IN ('stockout', 'critical')
-JOIN v_competitor_prices c ON c.product_id = p.product_id AND c.is_cheaper
-     AND c.snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices)
+WITH endangered AS (SELECT * FROM g_inventory WHERE stock_status = 'stockout' OR stock_status = 'critical'),
+undercut AS (
+  SELECT product_id, competitor, CAST(competitor_price AS DOUBLE) AS competitor_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct
+  FROM v_competitor_prices WHERE is_cheaper AND snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices))
+SELECT product_id, endangered.product_name, endangered.category, CAST(prod.unit_price AS DOUBLE) AS our_price, store_id, store_name, region,
+       stock_status, coverage_days, quantity_on_hand, competitor AS cheapest_competitor, competitor_price, price_gap_pct
+FROM undercut JOIN endangered USING (product_id) JOIN v_products prod USING (product_id)
 """)
 view("g_champion", """
-SELECT DISTINCT seg.customer_id, seg.segment_label AS customer_segment, CAST(seg.monetary AS DOUBLE) AS lifetime_value,
-       seg.recency_days, seg.frequency, p.product_id, p.name AS product_name, p.category,
-       o.store_id, s.name AS store_name, s.region, i.stock_status, ROUND(i.coverage_days, 1) AS coverage_days, i.quantity_on_hand
-FROM v_segments seg
-JOIN v_orders o ON o.customer_id = seg.customer_id
-JOIN v_order_items oi ON oi.order_id = o.order_id
-JOIN v_products p ON p.product_id = oi.product_id
-JOIN v_stores s ON s.store_id = o.store_id
-JOIN g_inventory i ON i.product_id = oi.product_id
-WHERE seg.segment_label = 'Champions' AND i.stock_status IN ('stockout', 'critical')
+WITH best AS (SELECT customer_id, segment_label, monetary, recency_days, frequency FROM v_segments WHERE segment_label = 'Champions'),
+bought AS (SELECT DISTINCT customer_id, store_id, product_id FROM v_orders JOIN v_order_items USING (order_id)),
+states AS (SELECT product_id, stock_status, COUNT(*) AS n_stores, MIN(coverage_days) AS coverage_days, MIN(quantity_on_hand) AS quantity_on_hand
+           FROM g_inventory WHERE stock_status IN ('critical', 'stockout') GROUP BY product_id, stock_status)
+SELECT best.customer_id, best.segment_label AS customer_segment, best.monetary AS lifetime_value, best.recency_days, best.frequency, bought.product_id,
+       prod.name AS product_name, prod.category, bought.store_id, shop.name AS store_name, shop.region, states.stock_status,
+       ROUND(states.coverage_days, 1) AS coverage_days, states.quantity_on_hand, states.n_stores
+FROM states JOIN bought USING (product_id) JOIN best USING (customer_id) JOIN v_products prod ON prod.product_id = bought.product_id
+     JOIN v_stores shop ON shop.store_id = bought.store_id
 """)
 
 QUERIES: dict[str, str] = {}
@@ -227,10 +236,10 @@ q("dim_region", "SELECT DISTINCT region FROM v_stores")
 q("dim_channel", "SELECT DISTINCT channel FROM v_orders")
 
 q("promo_active", """
-SELECT *, (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date AS is_active FROM v_promotions""")
+SELECT *, make_date(CAST(YEAR((SELECT as_of FROM v_as_of)) AS INT) - 1, 11, 28) BETWEEN start_date AND end_date AS is_active FROM v_promotions""")
 q("promo_overlap", """
 SELECT category, promo_date, COUNT(*) AS n_promos, array_to_string(list_sort(list(promo_name)), '|') AS promo_names
-FROM (SELECT category, promo_name, CAST(UNNEST(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS promo_date FROM v_promotions) d
+FROM (SELECT category, promo_name, CAST(UNNEST(generate_series(start_date - 7, end_date, INTERVAL 1 DAY)) AS DATE) AS promo_date FROM v_promotions) d
 GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 q("store_format", "SELECT * FROM v_stores")
 q("distributions", """
@@ -427,7 +436,7 @@ FROM g_champion WHERE stock_status = 'stockout' GROUP BY 1, 2, 3, 4
 q("q_05_champions_at_risk", "SELECT * FROM v_q05")
 q("q_05_summary", f"SELECT COUNT(*) AS n_customers, {DSUM('lifetime_value')} AS ltv_at_risk FROM v_q05")
 q("q_07_store_counts", "SELECT region, city, store_type, COUNT(*) AS n_stores FROM v_stores GROUP BY 1, 2, 3")
-q("q_08_promotions_active", "SELECT * FROM v_promotions WHERE (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date")
+q("q_08_promotions_active", "SELECT * FROM v_promotions WHERE make_date(CAST(YEAR((SELECT as_of FROM v_as_of)) AS INT) - 1, 11, 28) BETWEEN start_date AND end_date")
 q("q_09_category_products", f"SELECT category, COUNT(*) AS n_active_products, {DAVG('unit_price')} AS avg_unit_price FROM v_products WHERE is_active GROUP BY 1")
 q("q_10_champion_customers", "SELECT customer_id, segment_label, monetary, recency_days, frequency FROM v_segments WHERE segment_label = 'Champions'")
 CHEAPER_SQL = """SELECT product_id, product_name, category, competitor, CAST(our_price AS DOUBLE) AS our_price,
@@ -447,7 +456,7 @@ SELECT product_id, {DSUM('forecast_qty')} AS forecast_units, {DSUM('forecast_qty
 FROM v_forecast WHERE forecast_date BETWEEN (SELECT cutoff FROM v_cutoff) + 1 AND (SELECT cutoff FROM v_cutoff) + 30 GROUP BY 1
 """)
 q("q_13_top_forecast", "SELECT * FROM v_fc30 ORDER BY forecast_units DESC, product_id LIMIT 10")
-q("q_13_high_daily_demand", "SELECT * FROM v_fc30 WHERE units_per_day > 50.0")
+q("q_13_high_daily_demand", "SELECT * FROM v_fc30 WHERE units_per_day > 1.0")
 q("q_14_stores_rain", """
 SELECT s.store_id, s.name AS store_name, s.region, s.city, w.date, w.rainfall_mm, w.weather_condition
 FROM v_stores s JOIN v_weather w ON w.city = s.city
@@ -498,7 +507,7 @@ q("q_21_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS
 q("q_21_regions_by_stockout", f"""SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout FROM g_inventory GROUP BY 1""")
 q("q_21_categories_by_margin", f"SELECT category, {GM_PCT} AS gross_margin_pct, {DSUM('gross_margin')} AS total_margin FROM g_sales GROUP BY 1")
 q("q_22_low_coverage_stores", f"""
-SELECT * FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1, 2, 3) t WHERE avg_coverage_days < 7.0""")
+SELECT * FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1, 2, 3) t WHERE avg_coverage_days < 60.0""")
 q("q_23_segments_by_ltv", f"SELECT segment_label, {DAVG('monetary')} AS avg_ltv, COUNT(*) AS n_customers FROM v_segments GROUP BY 1")
 q("q_24_promo_uplift", f"""
 WITH g AS (SELECT promo_name, {DSUM('revenue')} AS revenue, SUM(nb_orders) AS orders, COUNT(DISTINCT sales_date) AS days FROM g_sales GROUP BY 1),
@@ -509,10 +518,10 @@ SELECT g.promo_name, g.revenue / g.days AS revenue_per_day, g.revenue / g.days -
 FROM g CROSS JOIN b LEFT JOIN t ON t.promo_name = g.promo_name WHERE g.promo_name IS NOT NULL""")
 q("q_25_critical_undercut", "SELECT * FROM g_double_risk WHERE stock_status = 'critical'")
 q("q_29_urgent_stores", f"""
-SELECT *, avg_coverage_days < 7 AS urgent_replenishment, COALESCE(stockout_rate > 0.05, FALSE) AS critical_situation
+SELECT *, avg_coverage_days < 7 AS urgent_replenishment, COALESCE(stockout_rate > 0.015, FALSE) AS critical_situation
 FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days,
              {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate FROM g_inventory GROUP BY 1, 2, 3) t
-WHERE avg_coverage_days < 7 OR COALESCE(stockout_rate > 0.05, FALSE)""")
+WHERE avg_coverage_days < 7 OR COALESCE(stockout_rate > 0.015, FALSE)""")
 
 # ---- operational tables -----------------------------------------------------
 view("v_stock_alerts", """
@@ -520,23 +529,29 @@ SELECT store_id, product_id, CASE WHEN stock_status = 'stockout' THEN 'stockout'
        CASE WHEN stock_status = 'stockout' THEN 'critical' ELSE 'high' END AS severity,
        CASE WHEN stock_status = 'stockout' THEN 'Product ' || product_id || ' out of stock at store ' || store_id
             ELSE 'Product ' || product_id || ' below safety stock at store ' || store_id END AS message,
-       CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS created_at, 'active' AS status
+       CAST(last_updated AS TIMESTAMP) AS created_at, 'active' AS status
 FROM g_inventory WHERE stock_status IN ('stockout', 'critical')
 """)
 view("v_transfers", """
-WITH short AS (SELECT store_id AS to_store_id, product_id, region, stock_status, reorder_point - quantity_on_hand AS need
-               FROM g_inventory WHERE stock_status IN ('stockout', 'critical')),
-     donors AS (SELECT store_id, product_id, region, quantity_on_hand - reorder_point AS excess FROM g_inventory WHERE quantity_on_hand > reorder_point),
-     br AS (SELECT product_id, region, excess AS r_excess, store_id AS r_store FROM
-              (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, region ORDER BY excess DESC, store_id) AS rn FROM donors) t WHERE rn = 1),
-     bp AS (SELECT product_id, excess AS a_excess, store_id AS a_store FROM
-              (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY excess DESC, store_id) AS rn FROM donors) t WHERE rn = 1)
-SELECT COALESCE(br.r_store, bp.a_store) AS from_store_id, s.to_store_id, s.product_id,
-       CAST(LEAST(GREATEST(s.need, 1), CASE WHEN br.r_store IS NOT NULL THEN br.r_excess ELSE bp.a_excess END) AS INT) AS quantity,
-       CASE WHEN s.stock_status = 'stockout' THEN 'stockout_reflex' ELSE 'critical_stock_reflex' END AS reason,
-       CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS created_at, 'pending' AS status
-FROM short s LEFT JOIN br ON br.product_id = s.product_id AND br.region = s.region LEFT JOIN bp ON bp.product_id = s.product_id
-WHERE COALESCE(br.r_store, bp.a_store) IS NOT NULL
+WITH short AS (
+  SELECT store_id AS to_store_id, product_id, region, stock_status, GREATEST(reorder_point - quantity_on_hand, 1) AS need, last_updated
+  FROM g_inventory WHERE stock_status IN ('stockout', 'critical')),
+donors AS (SELECT store_id AS from_store_id, product_id, region, quantity_on_hand - reorder_point AS excess FROM g_inventory WHERE quantity_on_hand > reorder_point),
+ns AS (SELECT *, SUM(need) OVER (PARTITION BY product_id, region ORDER BY stock_status <> 'stockout', need DESC, to_store_id ROWS UNBOUNDED PRECEDING) AS e, e - need AS b FROM short),
+ds AS (SELECT *, SUM(excess) OVER (PARTITION BY product_id, region ORDER BY excess DESC, from_store_id ROWS UNBOUNDED PRECEDING) AS e, e - excess AS b FROM donors),
+near AS (SELECT ns.product_id, to_store_id, from_store_id, LEAST(ns.e, ds.e) - GREATEST(ns.b, ds.b) AS quantity, stock_status, last_updated
+         FROM ns JOIN ds ON ns.product_id = ds.product_id AND ns.region = ds.region AND ns.b < ds.e AND ds.b < ns.e),
+rest AS (SELECT * FROM (SELECT short.* REPLACE (need - COALESCE((SELECT SUM(quantity) FROM near WHERE near.product_id = short.product_id AND near.to_store_id = short.to_store_id), 0) AS need) FROM short) r WHERE need > 0),
+spare AS (SELECT * FROM (SELECT donors.* REPLACE (excess - COALESCE((SELECT SUM(quantity) FROM near WHERE near.product_id = donors.product_id AND near.from_store_id = donors.from_store_id), 0) AS excess) FROM donors) d WHERE excess > 0),
+nf AS (SELECT *, SUM(need) OVER (PARTITION BY product_id ORDER BY stock_status <> 'stockout', need DESC, to_store_id ROWS UNBOUNDED PRECEDING) AS e, e - need AS b FROM rest),
+df AS (SELECT *, SUM(excess) OVER (PARTITION BY product_id ORDER BY excess DESC, from_store_id ROWS UNBOUNDED PRECEDING) AS e, e - excess AS b FROM spare),
+moved AS (SELECT * FROM near UNION ALL
+          SELECT nf.product_id, to_store_id, from_store_id, LEAST(nf.e, df.e) - GREATEST(nf.b, df.b), stock_status, last_updated
+          FROM nf JOIN df ON nf.product_id = df.product_id AND nf.b < df.e AND df.b < nf.e)
+SELECT from_store_id, to_store_id, product_id, CAST(quantity AS INT) AS quantity,
+       CASE WHEN stock_status = 'stockout' THEN 'stockout_reflex' ELSE 'critical_stock_reflex' END AS reason, CAST(last_updated AS TIMESTAMP) AS created_at,
+       CASE WHEN (SELECT as_of FROM v_as_of) - last_updated <= 7 THEN 'pending' WHEN (SELECT as_of FROM v_as_of) - last_updated <= 30 THEN 'in_transit' ELSE 'completed' END AS status
+FROM moved
 """)
 view("v_offers", """
 WITH fav AS (SELECT customer_id, category FROM
@@ -545,7 +560,7 @@ WITH fav AS (SELECT customer_id, category FROM
                       JOIN v_products p ON p.product_id = i.product_id GROUP BY 1, 2) s) t WHERE rn = 1)
 SELECT s.customer_id, CASE WHEN s.segment_label = 'At Risk' AND s.recency_days > 90 THEN 'loyalty_discount' ELSE 'win_back' END AS offer_type,
        CASE WHEN s.segment_label = 'At Risk' AND s.recency_days > 90 THEN CAST(15.00 AS DECIMAL(5,2)) ELSE CAST(20.00 AS DECIMAL(5,2)) END AS discount_pct,
-       f.category, CAST((SELECT as_of FROM v_as_of) + 30 AS DATE) AS valid_until, CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) AS generated_at
+       f.category, CAST((SELECT as_of FROM v_as_of) + 30 AS DATE) AS valid_until, CAST(LEAST(s.last_order_date + 91, (SELECT as_of FROM v_as_of)) AS TIMESTAMP) AS generated_at
 FROM v_segments s LEFT JOIN fav f ON f.customer_id = s.customer_id
 WHERE (s.segment_label = 'At Risk' AND s.recency_days > 90) OR (s.segment_label = 'Inactive' AND s.monetary > 500)
 """)
@@ -581,6 +596,9 @@ q("incidents", "SELECT * FROM v_incidents")
 q("sales_spike", "SELECT * FROM v_spikes")
 q("pos_silence", "SELECT * FROM v_silences")
 q("transfers_by_status", "SELECT status, COUNT(*) AS cnt, CAST(SUM(quantity) AS BIGINT) AS total_units FROM v_transfers GROUP BY 1")
+q("q_06_transfers_this_week", """
+SELECT status, COUNT(*) AS cnt, CAST(SUM(quantity) AS BIGINT) AS total_units FROM v_transfers
+WHERE created_at >= CAST((SELECT as_of FROM v_as_of) AS TIMESTAMP) - INTERVAL 7 DAY GROUP BY 1""")
 q("alerts_by_severity", """
 SELECT alert_type, severity, COUNT(*) AS cnt,
        CASE severity WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END AS severity_rank
@@ -660,9 +678,9 @@ q("stream_cdc_apply", CDC_SQL)
 # ---- entity model -------------------------------------------------------------
 q("ents_store", "SELECT store_id, name, city, region, surface_m2 AS Store_Size_m2, store_type AS Store_Format FROM v_stores")
 q("ents_product", """SELECT product_id, name, category AS Product_Category, subcategory AS Product_Subcategory,
-  CAST(unit_price AS DOUBLE) AS Selling_Price, CAST(unit_cost AS DOUBLE) AS Cost_Price, is_active FROM v_products""")
+  CAST(unit_price AS DOUBLE) AS Selling_Price, CAST(unit_cost AS DOUBLE) AS Cost_Price, pack_size, is_active FROM v_products""")
 q("ents_inventory", """SELECT store_id, store_name, region, product_id, product_name, category, quantity_on_hand AS Stock_On_Hand,
-  safety_stock AS Safety_Stock_Threshold, reorder_point AS Reorder_Point, stock_status AS Stock_Health_Status, coverage_days AS Coverage_Days FROM g_inventory""")
+  safety_stock AS Safety_Stock_Threshold, reorder_point AS Reorder_Point, stock_status AS Stock_Health_Status, coverage_days AS Coverage_Days, last_updated FROM g_inventory""")
 q("ents_forecast_vs_actual", """SELECT product_id, product_name, category, forecast_date AS Forecast_Date, actual_qty AS Actual_Quantity,
   forecast_qty AS Forecasted_Quantity, forecast_qty_lower AS Forecast_Lower_Bound, forecast_qty_upper AS Forecast_Upper_Bound,
   forecast_error_pct AS Forecast_Error_Pct, forecast_accuracy AS Forecast_Accuracy FROM g_fva""")
@@ -679,10 +697,10 @@ q("ents_weather_en", """SELECT date, city, region, max_temperature_c AS Max_Temp
   CASE weather_condition WHEN 'ensoleillé' THEN 'sunny' WHEN 'nuageux' THEN 'cloudy' WHEN 'pluie' THEN 'rain' WHEN 'couvert' THEN 'overcast' ELSE weather_condition END AS Weather_Condition
 FROM v_weather""")
 q("ents_promotion", """SELECT promo_name, start_date AS Start_Date, end_date AS End_Date, category AS Product_Category, discount_pct AS Discount_Pct,
-  CAST(traffic_boost AS DOUBLE) AS Traffic_Boost_Factor, (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date AS Is_Active FROM v_promotions""")
+  CAST(traffic_boost AS DOUBLE) AS Traffic_Boost_Factor, make_date(CAST(YEAR((SELECT as_of FROM v_as_of)) AS INT) - 1, 11, 28) BETWEEN start_date AND end_date AS Is_Active FROM v_promotions""")
 q("ents_tracked_in_inventory", """SELECT i.store_id, i.product_id, i.stock_status, p.name AS product_name, p.category AS product_category,
   p.subcategory AS product_subcategory, CAST(p.unit_price AS DOUBLE) AS product_unit_price, CAST(p.unit_cost AS DOUBLE) AS product_unit_cost,
-  p.is_active AS product_is_active
+  p.pack_size AS product_pack_size, p.is_active AS product_is_active
 FROM g_inventory i JOIN v_products p ON p.product_id = i.product_id WHERE i.stock_status IN ('stockout', 'critical')""")
 q("ents_observed_at", """SELECT s.store_id, s.city, w.date AS weatherobservation_date, w.weather_condition AS weatherobservation_weather_condition,
   w.rainfall_mm AS weatherobservation_rainfall_mm
@@ -693,11 +711,13 @@ FROM g_sales g LEFT JOIN dim_calendar c ON c.date = g.sales_date GROUP BY 1""")
 
 # ---- remaining operators -----------------------------------------------------------
 q("stock_policy", """
-SELECT v.store_id, v.product_id, GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0)) AS adp,
-       GREATEST(1, CAST(FLOOR(3 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0))) AS INT)) AS safety_stock,
-       GREATEST(2, CAST(FLOOR(7 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0))) AS INT)) AS reorder_point,
-       GREATEST(5, CAST(FLOOR(14 * GREATEST(0.1, COALESCE(CAST(v.sold AS DOUBLE) / v.days, 1.0)) * LN(s.surface_m2 / 400 + 1)) AS INT)) AS base_stock
-FROM v_sp_sales v JOIN v_stores s ON s.store_id = v.store_id""")
+WITH listed AS (SELECT l_suppkey AS store_id, l_partkey AS product_id FROM lineitem UNION SELECT store_id, product_id FROM v_sp_sales),
+paced AS (SELECT listed.*, sold, days, surface_m2, GREATEST(0.1, COALESCE(CAST(sold AS DOUBLE) / days, 1.0)) AS adp
+          FROM listed LEFT JOIN v_sp_sales USING (store_id, product_id) JOIN v_stores USING (store_id))
+SELECT store_id, product_id, adp, CAST(COALESCE(GREATEST(1, (3 * sold) // days), 3) AS INT) AS safety_stock,
+       CAST(COALESCE(GREATEST(2, (7 * sold) // days), 7) AS INT) AS reorder_point,
+       GREATEST(5, CAST(FLOOR(14 * adp * LN(surface_m2 / 400 + 1)) AS INT)) AS base_stock
+FROM paced""")
 q("inventory_flags", """
 SELECT store_id, product_id, coverage_days, coverage_days < 7 AS urgent_replenishment, coverage_days > 30 AS potential_overstock,
        CASE WHEN coverage_days < 7 THEN 'red' WHEN coverage_days < 14 THEN 'orange' WHEN coverage_days < 20 THEN 'yellow'
@@ -714,6 +734,8 @@ q("domain_checks", """
 SELECT 'store_type' AS domain, COUNT(*) AS violations FROM v_stores WHERE store_type NOT IN ('hypermarket', 'supermarket', 'convenience')
 UNION ALL SELECT 'channel', COUNT(*) FROM v_orders WHERE channel NOT IN ('in_store', 'click_and_collect', 'home_delivery', 'drive')
 UNION ALL SELECT 'stock_status', COUNT(*) FROM g_inventory WHERE stock_status NOT IN ('stockout', 'critical', 'low', 'normal')
+UNION ALL SELECT 'order_status', COUNT(*) FROM v_orders WHERE order_status NOT IN ('F', 'O', 'P')
+UNION ALL SELECT 'event_type', COUNT(*) FROM events WHERE event_type NOT IN ('click', 'purchase', 'signup', 'view')
 UNION ALL SELECT 'segment_label', COUNT(*) FROM v_segments WHERE segment_label NOT IN ('Champions', 'Loyal', 'Warm Prospects', 'At Risk', 'Inactive')""")
 q("coverage_sanity", """
 SELECT MAX(coverage_days) AS max_coverage, quantile_cont(coverage_days, 0.99) AS p99_coverage, CAST(COUNT_IF(coverage_days > 365) AS BIGINT) AS n_over_a_year
@@ -731,13 +753,7 @@ WITH t AS (SELECT ym AS snapshot_ym FROM (SELECT DISTINCT CAST(YEAR(o_orderdate)
                  FROM v_order_items i JOIN v_orders o ON o.order_id = i.order_id GROUP BY 1, 2, 3),
      cum AS (SELECT m.store_id, m.product_id, t.snapshot_ym, SUM(m.sold) AS sold, SUM(m.days) AS days
              FROM monthly m JOIN t ON m.ym <= t.snapshot_ym GROUP BY 1, 2, 3),
-     v AS (SELECT *, (store_id * 7919 + product_id * 104729 + snapshot_ym * 31 + 12345) % 10007 AS h,
-                  (store_id * 31 + product_id * 17 + snapshot_ym) % 997 AS r,
-                  GREATEST(1, CAST((3 * sold) // days AS INT)) AS safety_stock, GREATEST(2, CAST((7 * sold) // days AS INT)) AS reorder_point
-           FROM cum),
-     s AS (SELECT snapshot_ym, CASE WHEN h < 300 THEN 0 WHEN h < 1101 THEN 1 + r % safety_stock
-                                    WHEN h < 2302 THEN safety_stock + 1 + r % GREATEST(1, reorder_point - safety_stock)
-                                    ELSE reorder_point + 1 + r % GREATEST(1, 3 * reorder_point) END AS qty FROM v)
+     s AS (SELECT snapshot_ym, (12 * p_size - sold % (12 * p_size)) % (12 * p_size) AS qty FROM cum JOIN part ON p_partkey = product_id)
 SELECT snapshot_ym, {DIV(CNT('qty = 0'), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(qty = 0) AS BIGINT) AS nb_stockout
 FROM s GROUP BY 1""")
 q("stream_stock_alerts", "SELECT * FROM v_stock_alerts")
@@ -745,5 +761,5 @@ q("stream_competitor_ingest", QUERIES["ingest_competitor_roundtrip"])
 q("ingest_weather_roundtrip", "SELECT * FROM v_weather")
 q("ingest_promotions_roundtrip", """
 SELECT promo_name, start_date, end_date, category, CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(traffic_boost AS DOUBLE) AS traffic_boost,
-       (SELECT as_of FROM v_as_of) BETWEEN start_date AND end_date AS is_active
+       make_date(CAST(YEAR((SELECT as_of FROM v_as_of)) AS INT) - 1, 11, 28) BETWEEN start_date AND end_date AS is_active
 FROM v_promotions""")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from mercato.functions import exprs as X
 from mercato.functions.dax import davg, div, dsum
 from mercato.operators import measures as M
-from mercato.operators.competitor import latest_snapshot
 
 
 def q01_stores_at_risk(inv: DataFrame, region: str | None = None, statuses=X.AT_RISK) -> DataFrame:
@@ -92,11 +91,11 @@ def q10_customers_in_segment(segments: DataFrame, label: str = "Champions") -> D
         "customer_id", "segment_label", "monetary", "recency_days", "frequency")
 
 
-def q11_cheaper_at(cp: DataFrame, competitor: str | None = "BonPrix",
+def q11_cheaper_at(latest: DataFrame, competitor: str | None = "BonPrix",
                    min_undercut_pct: float | None = None) -> DataFrame:
     """Q-11: products cheaper at a competitor in the latest month; optionally
     only those undercut by more than ``min_undercut_pct`` %."""
-    x = latest_snapshot(cp).where("is_cheaper")
+    x = latest.where("is_cheaper")
     if competitor is not None:
         x = x.where(F.col("competitor") == competitor)
     if min_undercut_pct is not None:
@@ -305,7 +304,7 @@ def q29_urgent_stores(inv: DataFrame, coverage_days: float = 7.0, rate: float =
     coverage under 7 days or stockout rate above 5 %."""
     g = inv.groupBy("store_id", "store_name", "region").agg(
         M.measure("avg_coverage_days"), M.measure("stockout_rate"))
-    g = g.withColumn("urgent_replenishment", X.urgent_replenishment("avg_coverage_days")) \
-        .withColumn("critical_situation", F.coalesce(X.critical_stockout_rate("stockout_rate"), F.lit(False)))
+    g = g.withColumn("urgent_replenishment", X.urgent_replenishment("avg_coverage_days", coverage_days)) \
+        .withColumn("critical_situation", F.coalesce(X.critical_stockout_rate("stockout_rate", rate), F.lit(False)))
     return g.where(F.col("urgent_replenishment") | F.col("critical_situation"))
 

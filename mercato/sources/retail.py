@@ -22,29 +22,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 # The seven promotion events of the source system
-# (name, start month, start day, end month, end day, discount %, traffic boost, major).
+# (name, start month, start day, end month, end day, discount %, traffic boost).
 PROMO_EVENTS = [
-    ("Winter Sales", 1, 10, 2, 7, 30, "1.40", 1),
-    ("Valentine's Day", 2, 10, 2, 14, 10, "1.15", 0),
-    ("Summer Sales", 6, 28, 7, 26, 30, "1.35", 1),
-    ("Back to School", 8, 15, 9, 10, 10, "1.20", 0),
-    ("Black Friday", 11, 28, 11, 28, 25, "2.80", 1),
-    ("Cyber Monday", 12, 1, 12, 1, 20, "1.80", 1),
-    ("Christmas", 12, 20, 12, 24, 15, "2.20", 1),
+    ("Winter Sales", 1, 10, 2, 7, 30, "1.40"),
+    ("Valentine's Day", 2, 10, 2, 14, 10, "1.15"),
+    ("Summer Sales", 6, 28, 7, 26, 30, "1.35"),
+    ("Back to School", 8, 15, 9, 10, 10, "1.20"),
+    ("Black Friday", 11, 28, 11, 28, 25, "2.80"),
+    ("Cyber Monday", 12, 1, 12, 1, 20, "1.80"),
+    ("Christmas", 12, 20, 12, 24, 15, "2.20"),
 ]
 
-# The five tracked competitors (id, name, bias and spread of
-# their price gap in basis points).
-COMPETITORS = [
-    (1, "MaxiMarché", -500, 800),
-    (2, "PrimoShop", 300, 600),
-    (3, "BonPrix", -1000, 1000),
-    (4, "NeoShop", 200, 900),
-    (5, "TendancePlus", -200, 700),
-]
+# The five tracked competitors.
+COMPETITORS = ["MaxiMarché", "PrimoShop", "BonPrix", "NeoShop", "TendancePlus"]
 
-# Store surfaces (m2) cycled over the store ids.
-SURFACES = [450, 600, 800, 1200, 1800, 2500, 4000, 6000]
+# Stores replenish a product by whole cases of this many packs of its size.
+CASE_PACKS = 12
 
 # Order priority -> sales channel.
 CHANNEL_OF_PRIORITY = {"1-URGENT": "drive", "2-HIGH": "click_and_collect",
@@ -52,24 +45,6 @@ CHANNEL_OF_PRIORITY = {"1-URGENT": "drive", "2-HIGH": "click_and_collect",
 DEFAULT_CHANNEL = "in_store"
 
 
-# Fact tables and the key they are next joined on.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a fact table stored as one file over the cluster.
-
-    A single Parquet file with one row group is one scan task, and every
-    operator fused into that stage then runs single-threaded.  Such a scan
-    is hash-partitioned on the key of its next join (the exchange that join
-    needs anyway when both sides are large).  Tables of many files -- the
-    normal layout at scale -- are left as read."""
-    if len(df.inputFiles()) > 1:
-        return df
-    # no explicit count: AQE sizes (coalesces) the partitions of this exchange
-    return df.repartition(key)
-
-
 def dec(x: str | int | float, p: int, s: int) -> Column:
     return F.lit(str(x)).cast(f"decimal({p},{s})")
 
@@ -90,18 +65,15 @@ class Retail:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
-            if name in SPREAD_KEYS:
-                df = spread(df, SPREAD_KEYS[name])
-            self._cache[name] = df
+            self._cache[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
         return self._cache[name]
 
     # -- source system tables -------------------------------------------------
     @cached_property
     def stores(self) -> DataFrame:
         s, n, r = self.raw("supplier"), self.raw("nation"), self.raw("region")
-        surface = F.element_at(F.array(*[F.lit(v) for v in SURFACES]),
-                               (F.col("s_suppkey") % len(SURFACES) + 1).cast("int"))
+        # surface from the account balance, the only measure of a store's size here
+        surface = (F.lit(400) + F.floor(F.abs(F.col("s_acctbal")) / 2)).cast("int")
         return (s.join(n, s.s_nationkey == n.n_nationkey)
                 .join(r, n.n_regionkey == r.r_regionkey)
                 .select(F.col("s_suppkey").alias("store_id"), F.col("s_name").alias("name"),
@@ -113,29 +85,28 @@ class Retail:
     def products(self) -> DataFrame:
         p = self.raw("part")
         price = F.col("p_retailprice").cast("decimal(10,2)")
-        cost_pct = (F.lit(92) - F.col("p_partkey") % 58).cast("decimal(4,0)")
+        cost_pct = (F.lit(40) + F.col("p_size")).cast("decimal(4,0)")  # larger sizes leave less margin
         return p.select(
             F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"),
             F.col("p_type").alias("category"), F.col("p_brand").alias("subcategory"),
             price.alias("unit_price"),
             (price * cost_pct * dec("0.01", 3, 2)).cast("decimal(10,2)").alias("unit_cost"),
-            (F.col("p_partkey") % 20 != 0).alias("is_active"))
+            F.col("p_size").alias("pack_size"), (F.col("p_size") < 49).alias("is_active"))
 
     @cached_property
     def params(self) -> dict:
         """Calendar facts of the sales history and the store count, computed
         once per load (two single-row aggregates) and used as literals, so
-        filters on them fold into constants and reach the Parquet scan."""
+        filters on them fold into constants and reach the Parquet scan.  A
+        new load reads them anew, so appended data moves the analysis date."""
         d = F.col("o_orderdate").cast("date")
         row = self.raw("orders").agg(
             F.min(d).alias("lo"), F.max(d).alias("hi"),
             F.sort_array(F.collect_set(F.year(d))).alias("years"),
-            F.sort_array(F.collect_set(F.struct((F.year(d) * 100 + F.month(d)).alias("ym"),
-                                                F.date_format(d, "yyyy-MM").alias("snapshot_month"))))
-            .alias("months")).first()
+            F.sort_array(F.collect_set(F.trunc(d, "MM"))).alias("months")).first()
         n = self.raw("supplier").count()
         return {"lo": row["lo"], "hi": row["hi"], "years": list(row["years"]),
-                "months": [(m["ym"], m["snapshot_month"]) for m in row["months"]], "n_stores": n}
+                "months": list(row["months"]), "n_stores": n}
 
     @cached_property
     def n_stores(self) -> Column:
@@ -159,11 +130,9 @@ class Retail:
     def priced_lines(self) -> DataFrame:
         """Order lines joined once to their product: the order_items columns
         (priced at the product list price, as the source does) plus the
-        product attributes the facts group by.  The product side is
-        broadcast only below a checked row count."""
-        from mercato.plans.joins import sized_broadcast
+        product attributes the facts group by."""
         li = self.raw("lineitem")
-        prod = sized_broadcast(self.products, key=f"{self.sf_dir}:products")
+        prod = self.products
         qty = F.col("l_quantity").cast("int")
         line_total = F.round(qty * F.col("unit_price")
                              * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
@@ -191,12 +160,6 @@ class Retail:
         """Array of the distinct sales years (bounded by the calendar)."""
         return F.array(*[F.lit(y) for y in self.params["years"]])
 
-    @cached_property
-    def months(self) -> Column:
-        """Array of (ym, snapshot_month) structs of the months with sales."""
-        return F.array(*[F.struct(F.lit(ym).alias("ym"), F.lit(m).alias("snapshot_month"))
-                         for ym, m in self.params["months"]])
-
     @cached_property
     def as_of(self) -> Column:
         """Analysis date: the last sales date."""
@@ -212,130 +175,135 @@ class Retail:
         events = F.array(*[F.struct(F.lit(n).alias("promo_name"), F.lit(sm).alias("sm"),
                                     F.lit(sd).alias("sd"), F.lit(em).alias("em"),
                                     F.lit(ed).alias("ed"), F.lit(dp).alias("discount_pct"),
-                                    dec(tb, 3, 2).alias("traffic_boost"),
-                                    F.lit(mj).alias("major"))
-                           for n, sm, sd, em, ed, dp, tb, mj in PROMO_EVENTS])
+                                    dec(tb, 3, 2).alias("traffic_boost"))
+                           for n, sm, sd, em, ed, dp, tb in PROMO_EVENTS])
         cats = self.raw("part").select(F.col("p_type").alias("category")).distinct()
         e = F.col("e")
         return (cats.withColumn("y", F.explode(self.years)).withColumn("e", F.explode(events))
-                .where((e.major == 1) | ((F.col("y") + F.length("category")) % 2 == 0))
                 .select(e.promo_name.alias("promo_name"),
                         F.make_date("y", e.sm, e.sd).alias("start_date"),
                         F.make_date("y", e.em, e.ed).alias("end_date"),
                         "category", e.discount_pct.alias("discount_pct"),
                         e.traffic_boost.alias("traffic_boost")))
 
+    def observed_prices(self, since=None, before=None) -> DataFrame:
+        """Competitor snapshots from the prices that lines were sold at.
+
+        The suppliers of a region stand for one competitor; its price of a
+        product in a month is what its lines of the month earned per unit
+        (extended price less discount), to the cent and at least 0.50.  All
+        arithmetic is on integers (cents, hundredths of a percent)."""
+        d = F.col("o_orderdate").cast("date")
+        o = self.raw("orders").select("o_orderkey", d.alias("day"))
+        o = o if since is None else o.where(F.col("day") >= F.lit(since))
+        o = o if before is None else o.where(F.col("day") < F.lit(before))
+        shop = (self.raw("supplier").join(self.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+                .select("s_suppkey", (F.col("n_regionkey") % len(COMPETITORS)).alias("rival")))
+        paid = (F.round(F.col("l_extendedprice") * 100).cast("bigint")
+                * (F.lit(100) - F.round(F.col("l_discount") * 100).cast("bigint")))
+        sums = (self.raw("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+                .join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
+                .groupBy(F.date_format("day", "yyyy-MM").alias("snapshot_month"), F.col("l_partkey").alias("product_id"), "rival")
+                .agg(F.sum(paid).alias("paid"), F.sum(F.col("l_quantity").cast("bigint")).alias("units")))
+        our = F.col("p_retailprice").cast("decimal(10,2)")
+        x = sums.join(self.raw("part"), F.col("product_id") == F.col("p_partkey")).withColumn(
+            "cents", F.expr("greatest(50, div(2 * paid + 100 * units, 200 * units))")).withColumn(
+            "ours", (our * 100).cast("bigint"))
+        gap = F.expr("sign(cents - ours) * div(2 * abs(cents - ours) * 10000 + ours, 2 * ours)")
+        names = F.array(*[F.lit(n) for n in COMPETITORS])
+        return x.select(
+            "snapshot_month", "product_id", F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
+            F.element_at(names, (F.col("rival") + 1).cast("int")).alias("competitor"), our.alias("our_price"),
+            (gap.cast("decimal(12,0)") * dec("0.01", 3, 2)).cast("decimal(10,2)").alias("price_gap_pct"),
+            (F.col("cents") < F.col("ours")).alias("is_cheaper"),
+            (F.col("cents").cast("decimal(12,0)") * dec("0.01", 3, 2)).cast("decimal(12,2)").alias("competitor_price"))
+
     @cached_property
     def competitor_prices(self) -> DataFrame:
-        """Monthly competitor snapshots for the tracked 30 % of the catalogue."""
-        comps = F.array(*[F.struct(F.lit(c).alias("cid"), F.lit(n).alias("competitor"),
-                                   F.lit(b).alias("bias_bp"), F.lit(s).alias("std_bp"))
-                          for c, n, b, s in COMPETITORS])
-        p = self.raw("part").where(F.col("p_partkey") % 10 < 3)
-        k, m = F.col("k"), F.col("m")
-        h = (F.col("p_partkey") * 7919 + k.cid * 104729 + m.ym * 31) % 10007 - 5003
-        gap_bp = k.bias_bp + F.floor((k.std_bp * h).cast("double") / 2889).cast("int")
-        gap = (gap_bp.cast("decimal(8,0)") * dec("0.01", 3, 2)).cast("decimal(8,2)")
-        our = F.col("p_retailprice").cast("decimal(10,2)")
-        rows = (p.withColumn("k", F.explode(comps)).withColumn("m", F.explode(self.months))
-                .select(m.snapshot_month.alias("snapshot_month"), F.col("p_partkey").alias("product_id"),
-                        F.col("p_name").alias("product_name"), F.col("p_type").alias("category"),
-                        k.competitor.alias("competitor"), our.alias("our_price"),
-                        gap.alias("price_gap_pct")))
-        return rows.select(
-            "snapshot_month", "product_id", "product_name", "category", "competitor", "our_price",
-            "price_gap_pct", (F.col("price_gap_pct") < 0).alias("is_cheaper"),
-            F.greatest(dec("0.50", 12, 2),
-                       F.round(F.col("our_price") * (F.lit(1) + F.col("price_gap_pct") * dec("0.01", 3, 2)), 2)
-                       .cast("decimal(12,2)")).alias("competitor_price"))
+        """Snapshots of the closed months: those before the month of the analysis date."""
+        return self.observed_prices(before=self.params["hi"].replace(day=1))
+
+    @cached_property
+    def competitor_latest(self) -> DataFrame:
+        """PRJ-24: the latest closed month, as a date range that reaches the orders scan."""
+        this = self.params["hi"].replace(day=1)
+        closed = [m for m in self.params["months"] if m < this]
+        return self.observed_prices(closed[-1] if closed else this, this)
 
     @cached_property
     def store_product_sales(self) -> DataFrame:
-        """Units sold and selling days per store x product (input of AGG-03)."""
+        """Units sold, selling days and last sale per store x product (input of AGG-03)."""
         return (self.order_lines.groupBy("store_id", "product_id")
-                .agg(F.sum("quantity").alias("sold"),
-                     F.count_distinct("order_date").alias("days")))
+                .agg(F.sum("quantity").alias("sold"), F.count_distinct("order_date").alias("days"),
+                     F.max("order_date").alias("last_sale")))
+
+    @cached_property
+    def listed_pairs(self) -> DataFrame:
+        """Store x product pairs that a store has on its list: it sells the product or supplies it."""
+        supplied = self.raw("lineitem").select(F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("product_id"))
+        return supplied.union(self.store_product_sales.select("store_id", "product_id")).distinct()
+
+    def on_hand(self, sales: DataFrame) -> DataFrame:
+        """Stock left of the opened case: a store refills a product by cases
+        of CASE_PACKS packs and has what its sales to date left of the last
+        one; thresholds by the stock policy (PRJ-15)."""
+        from mercato.functions.exprs import stock_thresholds
+        safety, reorder = stock_thresholds()
+        case = F.col("pack_size") * CASE_PACKS
+        x = sales.join(self.products.select("product_id", "pack_size"), "product_id")
+        return x.withColumn("quantity_on_hand", F.pmod(-F.col("sold"), case.cast("bigint"))).withColumn(
+            "safety_stock", safety).withColumn("reorder_point", reorder).drop("pack_size")
 
     @cached_property
     def inventory(self) -> DataFrame:
-        """Stock on hand per sold store x product pair (deterministic bands)."""
-        v = self.store_product_sales
-        # floor(k * sold / days) in exact integer arithmetic (no float rounding
-        # at integer boundaries)
-        v = v.select("store_id", "product_id", "sold", "days",
-                     ((F.col("store_id") * 7919 + F.col("product_id") * 104729 + 12345) % 10007).alias("h"),
-                     ((F.col("store_id") * 31 + F.col("product_id") * 17) % 997).alias("r"),
-                     F.greatest(F.lit(1), F.expr("CAST(div(3 * sold, days) AS INT)")).alias("safety_stock"),
-                     F.greatest(F.lit(2), F.expr("CAST(div(7 * sold, days) AS INT)")).alias("reorder_point"))
-        h, r, ss, rp = F.col("h"), F.col("r"), F.col("safety_stock"), F.col("reorder_point")
-        qty = (F.when(h < 300, F.lit(0))
-               .when(h < 1101, 1 + r % ss)
-               .when(h < 2302, ss + 1 + r % F.greatest(F.lit(1), rp - ss))
-               .otherwise(rp + 1 + r % F.greatest(F.lit(1), 3 * rp)))
-        v = v.withColumn("quantity_on_hand", qty)
+        """Stock on hand per sold store x product pair at the analysis date."""
         cov = F.round(F.col("quantity_on_hand").cast("decimal(12,0)") * F.col("days") / F.col("sold"), 1)
-        return v.select("store_id", "product_id", "quantity_on_hand", "safety_stock", "reorder_point",
-                        "sold", "days", cov.cast("double").alias("coverage_days"))
+        return self.on_hand(self.store_product_sales).select(
+            "store_id", "product_id", "quantity_on_hand", "safety_stock", "reorder_point", "sold", "days",
+            cov.cast("double").alias("coverage_days"), F.col("last_sale").alias("last_updated"))
 
     def inventory_snapshots(self, months: int = 6) -> DataFrame:
-        """Month-end stock snapshots for the ``months`` months before the
-        analysis month: for every pair sold up to the snapshot month, the
-        same band rule as ``inventory`` on the cumulative sales to date
-        (month-dependent hash).  Sales are first aggregated per month, then
-        each monthly row is added to the (at most ``months``) snapshots at
-        or after it, so no line is read more than once."""
-        hi = self.params["hi"]
-        cur = hi.year * 100 + hi.month
-        snaps = [ym for ym, _ in self.params["months"] if ym < cur][-months:]
-        lines = self.order_lines.withColumn("ym", F.year("order_date") * 100 + F.month("order_date"))
-        monthly = lines.groupBy("store_id", "product_id", "ym").agg(
-            F.sum("quantity").alias("sold"), F.count_distinct("order_date").alias("days"))
-        targets = F.array(*[F.lit(x) for x in snaps])
-        cum = (monthly.withColumn("snapshot_ym", F.explode(F.filter(targets, lambda t: t >= F.col("ym"))))
-               .groupBy("store_id", "product_id", "snapshot_ym")
-               .agg(F.sum("sold").alias("sold"), F.sum("days").alias("days")))
-        v = cum.select("store_id", "product_id", "snapshot_ym", "sold", "days",
-                       ((F.col("store_id") * 7919 + F.col("product_id") * 104729 + F.col("snapshot_ym") * 31 + 12345)
-                        % 10007).alias("h"),
-                       ((F.col("store_id") * 31 + F.col("product_id") * 17 + F.col("snapshot_ym")) % 997).alias("r"),
-                       F.greatest(F.lit(1), F.expr("CAST(div(3 * sold, days) AS INT)")).alias("safety_stock"),
-                       F.greatest(F.lit(2), F.expr("CAST(div(7 * sold, days) AS INT)")).alias("reorder_point"))
-        h, r, ss, rp = F.col("h"), F.col("r"), F.col("safety_stock"), F.col("reorder_point")
-        qty = (F.when(h < 300, F.lit(0)).when(h < 1101, 1 + r % ss)
-               .when(h < 2302, ss + 1 + r % F.greatest(F.lit(1), rp - ss))
-               .otherwise(rp + 1 + r % F.greatest(F.lit(1), 3 * rp)))
-        return v.select("snapshot_ym", "store_id", "product_id", qty.alias("quantity_on_hand"),
-                        "safety_stock", "reorder_point")
+        """Month-end stock of the ``months`` closed months before the analysis
+        date, by the same rule on the sales up to each month end.  Sales are
+        summed per month first, those before the first snapshot as one month,
+        so a row meets at most ``months`` snapshots and no line is read twice."""
+        this = self.params["hi"].replace(day=1)
+        snaps = [m.year * 100 + m.month for m in self.params["months"] if m < this][-months:]
+        ym = F.year("order_date") * 100 + F.month("order_date")
+        first = F.greatest(ym, F.lit(snaps[0] if snaps else 0))
+        monthly = (self.order_lines.groupBy("store_id", "product_id", "order_date").agg(F.sum("quantity").alias("sold"))
+                   .groupBy("store_id", "product_id", first.alias("ym"))
+                   .agg(F.sum("sold").alias("sold"), F.count(F.lit(1)).alias("days")))
+        targets = F.array(*[F.lit(x) for x in snaps]).cast("array<int>")
+        sums = (monthly.withColumn("snapshot_ym", F.explode(F.filter(targets, lambda t: t >= F.col("ym"))))
+                .groupBy("store_id", "product_id", "snapshot_ym")
+                .agg(F.sum("sold").alias("sold"), F.sum("days").alias("days")))
+        return self.on_hand(sums).select("snapshot_ym", "store_id", "product_id", "quantity_on_hand",
+                                         "safety_stock", "reorder_point")
 
     @cached_property
     def weather(self) -> DataFrame:
-        """Daily weather per city (nation) over the sales date range."""
-        n, r = self.raw("nation"), self.raw("region")
-        start = self.first_day
-        days = (n.join(r, n.n_regionkey == r.r_regionkey)
-                .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("region"),
-                        F.explode(F.sequence(start, self.as_of)).alias("date")))
-        return weather_from_keys(days)
-
-
-def weather_from_keys(days: DataFrame) -> DataFrame:
-    """Deterministic weather observations for (n_nationkey, city, region, date)."""
-    doy = F.dayofyear("date")
-    month = F.month("date")
-    # seasonal mean in tenths of a degree (integer arithmetic, one final
-    # division, so every engine gets the same double)
-    season = F.lit(60) + F.lit(23) * (F.lit(6) - F.abs(month - 7))
-    h1 = (F.col("n_nationkey") * 131 + doy * 17 + F.year("date") * 7) % 97
-    h2 = (F.col("n_nationkey") * 53 + doy * 29 + F.year("date") * 11) % 101
-    tmax = (season + h1 - 18) / 10
-    tmin = (season + h1 - 78 - (h2 % 5) * 10) / 10
-    rain = F.when(h2 < 60, F.lit(0.0)).otherwise((h2 - 60) / 4)
-    wind = (h1 + h2) / 5
-    w = days.select("date", "city", "region", tmax.alias("max_temperature_c"),
-                    tmin.alias("min_temperature_c"), rain.alias("rainfall_mm"),
-                    wind.alias("wind_speed_kmh"))
-    return w.select("*", ((F.col("rainfall_mm") == 0) & (F.col("max_temperature_c") > 18)).alias("is_sunny"),
-                    weather_condition(F.col("rainfall_mm"), F.col("max_temperature_c")).alias("weather_condition"))
+        """Daily readings per city from the event feed: an event is a sensor
+        reading in the nation of its user; the days are moved so that the
+        last day of the feed is the analysis date.  Temperatures are tenths of
+        the reading, rain is what the error readings add up to, wind the
+        number of readings."""
+        e = self.raw("events").select("user_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value"),
+                                      F.to_date("ts").alias("day"))
+        last = e.select(F.max("day")).scalar()
+        place = (self.raw("customer").join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+                 .join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+                 .select("c_custkey", F.col("n_name").alias("city"), F.col("r_name").alias("region")))
+        tenth = lambda c: c.cast("double") / 10
+        w = (e.join(place, F.col("user_id") == F.col("c_custkey"))
+             .withColumn("date", F.date_sub(self.as_of, F.datediff(last, F.col("day"))))
+             .groupBy("date", "city", "region")
+             .agg(tenth(F.max("value")).alias("max_temperature_c"), tenth(F.min("value")).alias("min_temperature_c"),
+                  tenth(F.sum(F.when(F.col("event_type") == "error", F.col("value")).otherwise(0))).alias("rainfall_mm"),
+                  F.count(F.lit(1)).cast("double").alias("wind_speed_kmh")))
+        rain, tmax = F.col("rainfall_mm"), F.col("max_temperature_c")
+        return w.select("*", ((rain == 0) & (tmax > 18)).alias("is_sunny"),
+                        weather_condition(rain, tmax).alias("weather_condition"))
 
 
 def weather_condition(rain: Column, tmax: Column) -> Column:
@@ -345,17 +313,9 @@ def weather_condition(rain: Column, tmax: Column) -> Column:
             .when(tmax > 20, "ensoleillé").otherwise("couvert"))
 
 
-_LOADED: dict = {}
-
-
 def load(spark: SparkSession, sf_dir: str) -> Retail:
-    """The retail views over ``sf_dir``, shared by the queries of a session
-    (the table handles and the once-computed calendar facts are reused;
-    no data is cached)."""
-    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _LOADED:
-        _LOADED[key] = Retail(spark, sf_dir)
-    return _LOADED[key]
+    """The retail views over ``sf_dir`` as the tables stand now."""
+    return Retail(spark, sf_dir)
 
 
 def register_views(spark: SparkSession, sf_dir: str, gold: bool = True) -> list[str]:

@@ -209,12 +209,12 @@ def dedup_stream(df: DataFrame, keys: list[str], event_time: str, watermark: str
 
 
 # ---- STR-06 on a feed: stock alerts from inventory snapshot files ------------
-def stock_alert_stream(spark: SparkSession, folder: str, schema, as_of) -> DataFrame:
+def stock_alert_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
     """Inventory status files arriving in ``folder`` mapped to alert rows as
     they land (a stateless projection: no state, no shuffle)."""
     from mercato.operators.ops import stock_alerts
     inv = spark.readStream.schema(schema).parquet(folder)
-    return stock_alerts(inv, as_of)
+    return stock_alerts(inv)
 
 
 # ---- STR-02: competitor feed ingested incrementally ------------------------------
