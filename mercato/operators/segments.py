@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from mercato.functions.exprs import SEGMENT_LABELS
 from mercato.sources.retail import Retail
 
+# The clustering features.
 FEATURES = ["recency_days", "frequency", "monetary", "avg_basket", "nb_distinct_products"]
 
 # Score cut points of the rule-based segment labels (score as in AGG-15:
@@ -21,12 +22,16 @@ def rfm_features(r: Retail, reference_date: Column | None = None) -> DataFrame:
 
     ``avg_basket`` is the mean *line* total (kept as named in the source)."""
     ref = reference_date if reference_date is not None else r.as_of
-    g = (r.order_lines.groupBy("customer_id")
-         .agg(F.max("order_date").alias("last_order_date"),
-              F.count_distinct("order_id").alias("frequency"),
-              F.sum("line_total").alias("monetary_dec"),
-              F.count(F.lit(1)).alias("n_lines"),
-              F.count_distinct("product_id").alias("nb_distinct_products")))
+    # the products are reduced per customer first, so neither distinct count expands the lines
+    products = (r.order_lines.select("customer_id", "product_id").distinct().groupBy("customer_id")
+                .agg(F.count(F.lit(1)).alias("nb_distinct_products")))
+    per_order = (r.order_lines.groupBy("customer_id", "order_id")
+                 .agg(F.max("order_date").alias("order_date"), F.sum("line_total").alias("total"),
+                      F.count(F.lit(1)).alias("lines")))
+    g = (per_order.groupBy("customer_id")
+         .agg(F.max("order_date").alias("last_order_date"), F.count(F.lit(1)).alias("frequency"),
+              F.sum("total").alias("monetary_dec"), F.sum("lines").alias("n_lines"))
+         .join(products, "customer_id"))
     return g.select("customer_id", "last_order_date",
                     F.datediff(ref, "last_order_date").alias("recency_days"), "frequency",
                     F.col("monetary_dec").cast("double").alias("monetary"),
@@ -92,13 +97,8 @@ def kmeans_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10,
                             StandardScaler(inputCol="raw", outputCol="features",
                                            withMean=True, withStd=True)])
     feats = prep.fit(w).transform(w).select("customer_id", "features")
-    # size the cached vectors' partitioning to the data (~50k rows per task):
-    # each K-Means iteration is a job over them, so empty or tiny tasks only
-    # add scheduling overhead, while large inputs keep full parallelism
-    n = feats.count()
-    cap = 2 * feats.sparkSession.sparkContext.defaultParallelism
-    parts = max(2, min(max(cap, 1), -(-n // 50_000)))
-    feats = feats.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    # ~50k vectors per task: each K-Means iteration is a job over them
+    feats = feats.repartition(max(2, -(-feats.count() // 50_000))).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(i: int):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
@@ -111,15 +111,25 @@ def kmeans_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10,
     with ThreadPoolExecutor(max_workers=min(restarts, parallel_fits)) as pool:
         fits = list(pool.map(fit, range(restarts)))
     best_cost, _, best = min(fits, key=lambda t: (t[0], t[1]))
-    assigned = best.transform(feats).select("customer_id", "segment_id")
-    seg = rfm.join(assigned, "customer_id")
-    return label_by_score(seg)
+    assigned = best.transform(feats).select("customer_id", "segment_id").checkpoint(eager=True)
+    feats.unpersist()
+    return label_by_score(rfm.join(assigned, "customer_id"), k)
 
 
-def label_by_score(seg: DataFrame) -> DataFrame:
+def assert_all_labels(seg: DataFrame, labels=SEGMENT_LABELS) -> DataFrame:
+    """ML-04: ``seg`` itself, after checking that every label occurs."""
+    found = {r[0] for r in seg.select("segment_label").distinct().limit(len(labels) + 1).toLocalIterator()}
+    if found != set(labels):
+        raise ValueError(f"segment labels {sorted(found)} instead of {sorted(labels)}")
+    return seg
+
+
+def label_by_score(seg: DataFrame, k: int = 5) -> DataFrame:
     """AGG-15 + ML-04: profile means per segment, score, rank (tie-break on
     segment_id), label; the k profile rows are joined back (broadcast, k rows)."""
     from pyspark.sql import Window
+    if k > len(SEGMENT_LABELS):
+        raise ValueError(f"{k} segments, but only {len(SEGMENT_LABELS)} labels")
     prof = seg.groupBy("segment_id").agg(*[F.avg(f).alias(f) for f in ("recency_days", "frequency", "monetary")])
     w_all = Window.partitionBy()
     s = score(F.col("recency_days"), F.col("frequency"), F.col("monetary"),
@@ -128,7 +138,7 @@ def label_by_score(seg: DataFrame) -> DataFrame:
     ranked = prof.select("segment_id", s.alias("score")).withColumn(
         "rank", F.row_number().over(Window.orderBy(F.desc("score"), "segment_id")))
     labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
-    lab = ranked.select("segment_id", F.element_at(labels, F.least(F.col("rank"), F.lit(len(SEGMENT_LABELS))))
+    lab = ranked.select("segment_id", F.element_at(labels, F.col("rank"))
                         .alias("segment_label"))
     return seg.join(F.broadcast(lab), "segment_id").select(
         "customer_id", "last_order_date", "recency_days", "frequency", "monetary", "avg_basket",

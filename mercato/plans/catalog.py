@@ -713,6 +713,14 @@ def q_weather(r: Retail):
 from mercato.streaming import jobs as S  # noqa: E402
 
 
+def _scratch(r: Retail, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    import uuid
+
+    from mercato.session import scratch_path
+    return scratch_path(r.spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def _events_stream(r: Retail):
     return S.event_stream(r.spark, r.sf_dir)
 
@@ -720,21 +728,21 @@ def _events_stream(r: Retail):
 @register("stream_sales_tumbling")
 def q_stream_sales_tumbling(r: Retail):
     """STR-03: daily tumbling windows per event type, watermark, closed windows only."""
-    path = S.run_available(S.windowed_totals(_events_stream(r), "1 day"), None, name="tumbling")
+    path = S.run_available(S.windowed_totals(_events_stream(r), "1 hour", "1 day"), None, name="tumbling")
     return r.spark.read.parquet(path)
 
 
 @register("stream_sales_sliding")
 def q_stream_sales_sliding(r: Retail):
     """STR-03: 1-day windows sliding every 6 hours."""
-    path = S.run_available(S.windowed_totals(_events_stream(r), "1 day", "6 hours"), None, name="sliding")
+    path = S.run_available(S.windowed_totals(_events_stream(r), "1 hour", "1 day", "6 hours"), None, name="sliding")
     return r.spark.read.parquet(path)
 
 
 @register("stream_pos_sessions")
 def q_stream_pos_sessions(r: Retail):
     """STR-05: POS activity sessions per store (45-minute gap)."""
-    path = S.run_available(S.pos_sessions(_events_stream(r), r.n_stores), None, name="sessions")
+    path = S.run_available(S.pos_sessions(_events_stream(r), r.n_stores, "1 hour"), None, name="sessions")
     return r.spark.read.parquet(path)
 
 
@@ -747,19 +755,29 @@ def q_cdc_state(r: Retail):
 
 @register("stream_cdc_apply")
 def q_stream_cdc_apply(r: Retail):
-    """STR-01: the change feed applied by a foreachBatch stream."""
-    import uuid
-
-    from mercato.session import scratch_path
-    target = scratch_path(r.spark, f"cdc-users-{uuid.uuid4().hex[:8]}")
-    S.cdc_apply_stream(S.change_feed(_events_stream(r)), target)
+    """STR-01: the change feed applied by a foreachBatch stream in several
+    batches that arrive out of order: the feed is dealt to six files by
+    user and sequence, so deletes are followed by older changes."""
+    feed, target = _scratch(r, "cdc-feed"), _scratch(r, "cdc-users")
+    e = r.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    part = F.pmod(F.col("event_id") * 7 + F.col("user_id"), F.lit(6))
+    e.repartitionByRange(6, part, "event_id").withColumn("part", part).write.partitionBy("part").parquet(feed)
+    files = r.spark.readStream.schema(S.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
+    S.cdc_apply_stream(S.change_feed(files.withColumn("ts", F.col("ts").cast("timestamp"))), target)
     return S.cdc_current(r.spark, target)
 
 
 @register("stream_sales_spike")
 def q_stream_sales_spike(r: Retail):
     """STR-04: spike alerts computed per micro-batch over closed daily windows."""
-    return r.spark.read.parquet(S.spike_alerts_stream(_events_stream(r), r.n_stores, None))
+    path = S.spike_alerts_stream(_events_stream(r), r.n_stores, _scratch(r, "spikes"), "1 hour")
+    return r.spark.read.parquet(path).drop("batch_id")
+
+
+@register("stream_sales_totals_merged")
+def q_stream_sales_totals_merged(r: Retail):
+    """STR-03 with every row counted, however late: partial totals per batch, summed."""
+    return S.totals_merged(_events_stream(r), _scratch(r, "totals"))
 
 
 # ---- entity model (PRJ-21/22, JOI-10..12) -----------------------------------
@@ -926,19 +944,14 @@ def q_stream_stock_alerts(r: Retail):
 @register("stream_competitor_ingest")
 def q_stream_competitor_ingest(r: Retail):
     """STR-02: competitor snapshots dropped as CSV files (the latest month
-    delivered twice) and ingested by a deduplicating stream."""
-    import uuid
-
-    from mercato.session import scratch_path
-    feed = scratch_path(r.spark, f"competitor-feed-{uuid.uuid4().hex[:6]}")
+    delivered twice, months in any order) and ingested once each."""
     from mercato.sources.files import COMPETITOR_TYPES
-    cp = X.decimals_to_double(r.competitor_prices).withColumn("source", F.lit("web_scraping")) \
-        .select(*COMPETITOR_TYPES)  # the feed's column layout
-    cp.write.option("header", True).csv(feed)
-    latest = competitor.latest_snapshot(cp)
-    latest.write.mode("append").option("header", True).csv(feed)  # re-delivered month
-    out = S.run_available(S.competitor_feed_stream(r.spark, feed), None, name="competitor-ingest")
-    return r.spark.read.parquet(out)
+    feed = _scratch(r, "competitor-feed")
+    as_feed = lambda df: X.decimals_to_double(df).withColumn("source", F.lit("web_scraping")).select(
+        *COMPETITOR_TYPES)  # the feed's column layout
+    as_feed(r.competitor_prices).write.option("header", True).csv(feed)
+    as_feed(r.competitor_latest).write.mode("append").option("header", True).csv(feed)  # re-delivered month
+    return S.ingest_feed(S.competitor_feed_stream(r.spark, feed, max_files_per_trigger=4), _scratch(r, "competitor"))
 
 
 @register("ingest_weather_roundtrip")

@@ -652,20 +652,23 @@ q("stream_sales_tumbling", """
 SELECT * FROM (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
                       COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
                FROM events GROUP BY 1, 2, 3) t
-WHERE window_end <= (SELECT MAX(ts) FROM events)""")
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
 q("stream_sales_sliding", """
 WITH s AS (SELECT ts, event_type, value, UNNEST(generate_series(0, 3)) AS k FROM events),
      w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS window_start, event_type, value FROM s)
 SELECT * FROM (SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, COUNT(*) AS n,
                       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value FROM w GROUP BY 1, 2, 3) t
-WHERE window_end <= (SELECT MAX(ts) FROM events)""")
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
+q("stream_sales_totals_merged", """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value FROM events GROUP BY 1, 2, 3""")
 q("stream_pos_sessions", """
 WITH p AS (SELECT user_id % (SELECT COUNT(*) FROM supplier) AS store_id, ts FROM events WHERE event_type = 'purchase'),
      g AS (SELECT *, CASE WHEN LAG(ts) OVER (PARTITION BY store_id ORDER BY ts) + INTERVAL 45 MINUTE > ts THEN 0 ELSE 1 END AS new_s FROM p),
      n AS (SELECT *, SUM(new_s) OVER (PARTITION BY store_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
 SELECT * FROM (SELECT store_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 45 MINUTE AS silence_from, COUNT(*) AS n_events
                FROM n GROUP BY store_id, sid) t
-WHERE silence_from <= (SELECT MAX(ts) FROM events WHERE event_type = 'purchase')""")
+WHERE silence_from <= (SELECT MAX(ts) FROM events WHERE event_type = 'purchase') - INTERVAL 1 HOUR""")
 CDC_SQL = """
 SELECT key, seq, event_type, value, ts FROM (
   SELECT user_id AS key, event_id AS seq, event_type, value, ts,
@@ -744,7 +747,7 @@ q("ingest_competitor_roundtrip", """
 SELECT snapshot_month, product_id, product_name, category, competitor, CAST(competitor_price AS DOUBLE) AS competitor_price,
        CAST(our_price AS DOUBLE) AS our_price, CAST(price_gap_pct AS DOUBLE) AS price_gap_pct, is_cheaper, 'web_scraping' AS source
 FROM v_competitor_prices""")
-q("stream_sales_spike", "SELECT * FROM v_spikes WHERE created_at <= (SELECT MAX(ts) FROM events)")
+q("stream_sales_spike", "SELECT * FROM v_spikes WHERE created_at <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR")
 q("q_20_stockout_rate_6_months", f"""
 WITH t AS (SELECT ym AS snapshot_ym FROM (SELECT DISTINCT CAST(YEAR(o_orderdate) * 100 + MONTH(o_orderdate) AS INT) AS ym FROM orders) m
            WHERE ym < (SELECT YEAR(as_of) * 100 + MONTH(as_of) FROM v_as_of) ORDER BY ym DESC LIMIT 6),

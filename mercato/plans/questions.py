@@ -270,15 +270,17 @@ def q24_promo_uplift(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     days without promotion; the orders ratio compared to the planned
     traffic boost (below_expected when the ratio is lower)."""
     g = sales.groupBy("promo_name").agg(dsum("revenue").alias("revenue"), F.sum("nb_orders").alias("orders"),
-                                        F.count_distinct("sales_date").alias("days")).cache()  # one row per event
-    b = g.where(F.col("promo_name").isNull()).first()
-    base = {"rev": F.lit(b["revenue"] / b["days"]), "ord": F.lit(b["orders"] / b["days"])}
+                                        F.count_distinct("sales_date").alias("days"))
+    # the days without promotion as columns of every row (one row per event goes through the window)
+    plain = lambda c: F.max(F.when(F.col("promo_name").isNull(), c)).over(Window.partitionBy())
+    g = g.withColumn("base_rev", plain(F.col("revenue") / F.col("days"))).withColumn(
+        "base_ord", plain(F.col("orders") / F.col("days")))
     boost = promotions.groupBy("promo_name").agg(F.max(F.col("traffic_boost").cast("double")).alias("traffic_boost"))
     p = g.where(F.col("promo_name").isNotNull()).join(boost, "promo_name", "left")
     rev_day = F.col("revenue") / F.col("days")
-    ratio = (F.col("orders") / F.col("days")) / base["ord"]
+    ratio = (F.col("orders") / F.col("days")) / F.col("base_ord")
     return p.select("promo_name", rev_day.alias("revenue_per_day"),
-                    (rev_day - base["rev"]).alias("revenue_uplift_per_day"),
+                    (rev_day - F.col("base_rev")).alias("revenue_uplift_per_day"),
                     ratio.alias("orders_ratio"), "traffic_boost",
                     (ratio < F.col("traffic_boost")).alias("below_expected"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.exprs import PROMO_EN, remap, rename_if_present
 
-# Raw weather field names and their silver names.
+# Column names and types of the feeds.
 WEATHER_RAW = ["date", "city", "region", "temp_max_c", "temp_min_c", "precipitation_mm",
                "wind_kmh", "is_sunny", "weather_label"]
 WEATHER_RENAMES = {"temp_max_c": "max_temperature_c", "temp_min_c": "min_temperature_c",
@@ -59,11 +59,16 @@ def typed(df: DataFrame, types: dict[str, str]) -> Loaded:
 def read_weather(spark: SparkSession, folder: str, suffix: str = "*.json") -> Loaded:
     """SRC-01/02 + PRJ-02: daily files, each a JSON array of records; keep
     files matching ``suffix`` only; one row per record; rename to silver
-    names; type."""
-    schema = ", ".join(f"{c} string" for c in WEATHER_RAW)
+    names; type.  Text that is no JSON, and records without date or city,
+    are rejects."""
+    schema = ", ".join(f"{c} string" for c in [*WEATHER_RAW, "_corrupt"])
     df = (spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", suffix)
-          .option("recursiveFileLookup", True).option("encoding", "UTF-8").json(folder))
-    return typed(rename_if_present(df, WEATHER_RENAMES), WEATHER_TYPES)
+          .option("recursiveFileLookup", True).option("encoding", "UTF-8")
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(folder))
+    broken = F.col("_corrupt").isNotNull() | F.col("date").isNull() | F.col("city").isNull()
+    good = typed(rename_if_present(df.where(~broken).drop("_corrupt"), WEATHER_RENAMES), WEATHER_TYPES)
+    bad = rename_if_present(df.where(broken), WEATHER_RENAMES)
+    return Loaded(good.rows, good.rejects.unionByName(bad, allowMissingColumns=True))
 
 
 def read_promotions(spark: SparkSession, path: str, as_of: Column) -> Loaded:
@@ -78,19 +83,29 @@ def read_promotions(spark: SparkSession, path: str, as_of: Column) -> Loaded:
 
 
 def read_competitor(spark: SparkSession, folder: str) -> Loaded:
-    """SRC-04/05: monthly CSVs combined by column name; a quoted field never
-    spans lines (multiLine off); echoed header rows and blank keys are
-    dropped before typing (the key is read as text)."""
-    df = (spark.read.option("header", True).option("multiLine", False).option("encoding", "UTF-8")
-          .option("pathGlobFilter", "*.csv").csv(folder))
+    """SRC-04/05: monthly CSVs combined by column name, whatever the order of
+    a file's columns; a quoted field never spans lines; echoed header rows
+    and blank keys are dropped before typing (the key is read as text).
+
+    Files are read as lines with their path; a file's header is the first of
+    its lines that names the key (one short row per file, joined back), and
+    each file is parsed by the layout of its header."""
+    lines = (spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
+             .select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "[\\r\ufeff]", "").alias("value")))
+    named = F.concat(F.lit(","), F.regexp_replace("value", '[" ]', ""), F.lit(","))
+    lines = lines.withColumn("is_header", named.contains(",product_id,"))
+    layouts = lines.where("is_header").groupBy("path").agg(F.min("value").alias("header"))
+    split = lambda c: F.split(F.regexp_replace(c, '[" ]', ""), ",")
+    rows = lines.where(~F.col("is_header") & (F.trim("value") != "")).join(layouts, "path")
+    # a quoted field keeps its commas: cut at commas outside quotes, then unquote
+    cells = F.transform(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
+                        lambda v: F.regexp_replace(F.regexp_replace(F.trim(v), '^"|"$', ""), '""', '"'))
+    cell = F.map_from_arrays(split("header"), F.slice(F.concat(cells, F.array_repeat(F.lit(None).cast("string"), F.size(split("header")))),
+                                                      F.lit(1), F.size(split("header"))))
+    df = rows.select(cell.alias("cell")).select(*[F.nullif(F.try_element_at("cell", F.lit(c)), F.lit("")).alias(c)
+                                                 for c in COMPETITOR_TYPES])
     key = F.trim(F.col("product_id"))
-    clean = df.where(key.isNotNull() & (key != "") & (key != "product_id"))
-    return typed(clean, COMPETITOR_TYPES)
-
-
-def union_by_name(frames: list[DataFrame]) -> DataFrame:
-    """SET-02: combine files whose headers differ (missing columns -> NULL)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return typed(df.where(key.isNotNull() & (key != "")), COMPETITOR_TYPES)
 
 
 def write_weather_feed(weather: DataFrame, folder: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,31 @@ def read_table(spark: SparkSession, name: str, fallback_dir: str | None = None)
 
 def overwrite_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     """SRC-10: replace a Parquet catalog table wholesale, even when ``df``
-    reads that same table.  Parquet cannot overwrite a table it is reading,
-    so the result is first written to a staging table, then swapped in."""
+    reads that same table.  The result is written to a staging table first;
+    the old table is renamed away, the new one renamed in, and only then is
+    the old one dropped, so a crash leaves a complete copy under one of the
+    three names (``recover_table`` puts it back)."""
     spark = df.sparkSession
-    stage = f"{name}__stage_{uuid.uuid4().hex[:8]}"
+    recover_table(spark, name)
+    stage, old = f"{name}__stage_{uuid.uuid4().hex[:8]}", f"{name}__old"
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def recover_table(spark: SparkSession, name: str) -> None:
+    """After a crash inside ``overwrite_table``: restore the old table if the new one never came in, else drop it."""
+    old = f"{name}__old"
+    if spark.catalog.tableExists(old):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {old}")
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
 
 
 def insert_overwrite(df: DataFrame, name: str) -> None:
@@ -47,25 +63,34 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
     df.select(*[F.col(c) for c in target_cols]).write.insertInto(name, overwrite=True)
 
 
-def append_idempotent(df: DataFrame, name: str, keys: list[str], partition_col: str) -> None:
-    """SRC-09: rerunnable append.  Rows are de-duplicated on ``keys`` and the
-    partitions they touch are replaced (dynamic partition overwrite), so a
-    rerun of the same batch does not duplicate rows."""
+def append_idempotent(df: DataFrame, name: str, keys: list[str], partition_col: str,
+                      order_col: str | None = None) -> None:
+    """SRC-09: rerunnable append: rows whose keys (nulls equal each other) are
+    in the table replace the stored ones, so a rerun duplicates nothing.  Of
+    several rows of one key the largest ``order_col``, then the largest whole
+    row, stays.  Only the partitions the batch touches are rewritten
+    (dynamic partition overwrite from a staging table, dropped in any case)."""
     spark = df.sparkSession
-    batch = df.dropDuplicates(keys)
+    rest = [c for c in df.columns if c not in keys]
+    first = [order_col] if order_col else []
+    pick = F.max(F.struct(*first, *[F.col(c).alias(f"v_{c}") for c in rest])).alias("row")
+    batch = df.groupBy(*keys).agg(pick).select(*keys, *[F.col(f"row.v_{c}").alias(c) for c in rest])
     if not spark.catalog.tableExists(name):
         batch.write.format("parquet").partitionBy(partition_col).saveAsTable(name)
         return
     existing = spark.table(name)
-    touched = batch.select(partition_col).distinct()
-    keep = existing.join(touched, partition_col, "left_semi").join(batch.select(*keys), keys, "left_anti")
+    a, b = existing.alias("a"), batch.select(*[F.col(k).alias(f"b_{k}") for k in keys])
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys])
+    touched = batch.select(F.col(partition_col).alias("b_part")).distinct()
+    keep = (a.join(b, same, "left_anti")
+            .join(touched, F.col(f"a.{partition_col}").eqNullSafe(F.col("b_part")), "left_semi"))
     merged = keep.unionByName(batch.select(*existing.columns))
+    stage = f"{name}__merge_{uuid.uuid4().hex[:8]}"
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        stage = f"{name}__merge_{uuid.uuid4().hex[:8]}"
         merged.write.format("parquet").partitionBy(partition_col).saveAsTable(stage)
         spark.table(stage).select(*existing.columns).write.insertInto(name, overwrite=True)
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.sql(f"DROP TABLE IF EXISTS {stage}")

@@ -1,8 +1,11 @@
 """Structured Streaming jobs (STR-01..05).
 
-All jobs read a file source (the event feed or dropped files), use event
-time with watermarks, and write to Parquet / catalog sinks under the shared
-checkpoint folder -- nothing is collected on the driver.  ``run_available``
+All jobs read a file source (the event feed or dropped files) and write to
+Parquet sinks under the shared checkpoint folder -- nothing is collected on
+the driver.  Jobs that emit closed windows take the lateness they wait for
+as a parameter without default, since rows later than that are left out;
+the ``*_merged`` and ingest jobs keep partial results per batch instead and
+leave nothing out.  ``run_available``
 drains everything available now and stops (the batch-equivalent run used
 by tests and registered queries); production runs use a processing-time
 trigger on the same query.
@@ -50,8 +53,8 @@ def run_available(df: DataFrame, sink: str, mode: str = "append", name: str | No
 
 
 # ---- STR-03: windowed sales totals ---------------------------------------
-def windowed_totals(events: DataFrame, window: str = "1 day", slide: str | None = None,
-                    watermark: str = "0 seconds", by: tuple = ("event_type",)) -> DataFrame:
+def windowed_totals(events: DataFrame, watermark: str, window: str = "1 day", slide: str | None = None,
+                    by: tuple = ("event_type",)) -> DataFrame:
     """Tumbling (slide None) or sliding window counts and value totals per
     key, with a watermark; late rows (older than the watermark) are dropped
     and only closed windows are emitted in append mode."""
@@ -63,9 +66,41 @@ def windowed_totals(events: DataFrame, window: str = "1 day", slide: str | None
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), *by, "n", "total_value"))
 
 
+def by_batch(stream: DataFrame, base: str, transform, partition_by: tuple = ()) -> str:
+    """Write ``transform(batch)`` of every micro-batch to its own folder
+    batch_id=N, replaced when a batch is retried, so no row counts twice;
+    returns the table's path."""
+    data = f"{base.rstrip('/')}/data"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        w = transform(batch, batch_id).write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{data}/batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base.rstrip('/')}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return data
+
+
+def totals_merged(events: DataFrame, base: str, window: str = "1 day", by: tuple = ("event_type",)) -> DataFrame:
+    """STR-03 without lateness: each batch leaves its partial totals per
+    window, and a window's total is the sum of its partials, however late
+    its rows came."""
+    cents = F.sum(F.col("value").cast("decimal(12,2)"))
+
+    def partial(batch: DataFrame, _: int) -> DataFrame:
+        return (batch.groupBy(F.window("ts", window).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"), cents.alias("total"))
+                .select("w.start", "w.end", *by, "n", "total"))
+
+    path = by_batch(events, base, partial)
+    return (events.sparkSession.read.parquet(path).groupBy("start", "end", *by)
+            .agg(F.sum("n").alias("n"), F.sum("total").cast("double").alias("total_value"))
+            .select(F.col("start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("end").cast("timestamp_ntz").alias("window_end"), *by, "n", "total_value"))
+
+
 # ---- STR-05: POS silence via session windows ---------------------------------
-def pos_sessions(events: DataFrame, n_stores: Column | int, gap: str = "45 minutes",
-                 watermark: str = "0 seconds") -> DataFrame:
+def pos_sessions(events: DataFrame, n_stores: Column | int, watermark: str, gap: str = "45 minutes") -> DataFrame:
     """Activity sessions per store: a session closes after ``gap`` without a
     purchase; its end is the moment the store has been silent for ``gap``
     (pos_silence alert time)."""
@@ -79,31 +114,29 @@ def pos_sessions(events: DataFrame, n_stores: Column | int, gap: str = "45 minut
 
 
 # ---- STR-04: sales spike, batch comparison per micro-batch --------------------
-def spike_alerts_stream(events: DataFrame, n_stores: Column | int, sink: str, k: float = 3.0,
+def spike_alerts_stream(events: DataFrame, n_stores: Column | int, base: str, watermark: str, k: float = 3.0,
                         trailing_days: int = 7) -> str:
-    """Daily purchase counts per store (closed windows) are appended; each
-    micro-batch then flags, in ``foreachBatch``, the days whose count
-    exceeds k x the trailing mean read back from the sink."""
+    """Daily purchase counts per store (closed windows) are kept per batch;
+    each micro-batch then flags the days whose count exceeds k x the mean of
+    the days before, reading back only the days its own can look at."""
     from mercato.operators.ops import spikes_from_counts
     counts = windowed_totals(events.where(F.col("event_type") == "purchase")
-                             .withColumn("store_id", F.col("user_id") % n_stores),
-                             "1 day", by=("store_id",))
+                             .withColumn("store_id", F.col("user_id") % n_stores), watermark, "1 day", by=("store_id",))
     spark = events.sparkSession
-    base = sink or scratch_path(spark, f"spikes-{uuid.uuid4().hex[:6]}")
-    days_path, alerts_path = os.path.join(base, "days"), os.path.join(base, "alerts")
+    days_path, alerts_path = f"{base.rstrip('/')}/days", f"{base.rstrip('/')}/alerts"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(days_path)
-        hist = spark.read.parquet(days_path).select(
-            "store_id", F.to_date("window_start").alias("day"), "n")
-        alerts = spikes_from_counts(hist, k, trailing_days)
-        days = batch.select("store_id", F.to_date("window_start").alias("d")).distinct()
-        new = alerts.join(days, (alerts.store_id == days.store_id)
-                          & (F.to_date(alerts.created_at) == F.date_add(days.d, 1)), "left_semi")
-        new.write.mode("append").parquet(alerts_path)
+        day = batch.select("store_id", F.to_date("window_start").alias("day"), "n")
+        day.write.mode("overwrite").partitionBy("day").parquet(f"{days_path}/batch_id={batch_id}")
+        span = day.agg(F.date_sub(F.min("day"), trailing_days).alias("lo"), F.max("day").alias("hi")).first()
+        hist = spark.read.parquet(days_path).where(F.col("day").between(F.lit(span["lo"]), F.lit(span["hi"])))
+        alerts = spikes_from_counts(hist.select("store_id", "day", "n"), k, trailing_days)
+        new = alerts.withColumn("d", F.date_sub(F.to_date("created_at"), 1)).join(
+            day.select("store_id", F.col("day").alias("d")), ["store_id", "d"], "left_semi").drop("d")
+        new.write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
 
     q = (counts.writeStream.outputMode("append").foreachBatch(on_batch)
-         .option("checkpointLocation", os.path.join(base, "_checkpoint")).trigger(availableNow=True).start())
+         .option("checkpointLocation", f"{base.rstrip('/')}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return alerts_path
 
@@ -130,52 +163,46 @@ def cdc_state(changes: DataFrame, keys=("key",), seq: str = "seq") -> DataFrame:
     return latest_per_key(changes, keys, seq).where(F.col("op") != "delete").drop("op")
 
 
-def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq",
-                     buckets: int = 64) -> str:
+def _stored_buckets(spark: SparkSession, target: str, buckets: int) -> int:
+    """The number of hash buckets of a state table, fixed when it is made."""
+    path = f"{target.rstrip('/')}/buckets"
+    spark.createDataFrame([(buckets,)], "buckets int").write.mode("ignore").parquet(path)
+    return spark.read.parquet(path).first()["buckets"]
+
+
+def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq", buckets: int = 64) -> str:
     """STR-01: apply a change stream to a Parquet table with foreachBatch.
 
-    The state is partitioned into ``buckets`` hash buckets of the key.  Each
-    micro-batch keeps the latest change per key, reads only the buckets its
-    keys fall in (partition pruning), applies upserts and deletes there, and
-    replaces just those bucket partitions (dynamic partition overwrite from
-    a staged copy -- Parquet has no MERGE and cannot overwrite what it
-    reads).  Work per batch is proportional to the touched buckets, not to
-    the whole table.  A stored seq newer than the batch's wins, so a
-    replayed batch is idempotent.  Every touched bucket keeps one marker row
-    (NULL keys), so a bucket whose keys were all deleted is still replaced;
-    ``cdc_current`` filters markers out."""
+    The state holds the latest change of every key it has seen, deletes too
+    (as tombstones), so a late change older than a delete stays without
+    effect, and a replayed batch changes nothing.  It is partitioned into
+    hash buckets of the key; their number is stored with the state, so a
+    restart with another ``buckets`` value finds every key where it was.  A
+    micro-batch reads and replaces only the buckets its keys fall in
+    (dynamic partition overwrite from a staged copy -- Parquet has no MERGE
+    and cannot overwrite what it reads).  ``cdc_current`` leaves tombstones
+    out."""
     spark = changes.sparkSession
     state = f"{target.rstrip('/')}/state"
+    buckets = _stored_buckets(spark, target, buckets)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    # the state's schema, and an empty state to start from (so the first
-    # batch reads an empty table instead of a missing path)
-    shape = latest_per_key(changes, keys, seq).drop("op")
-    schema = (shape.withColumn("_marker", F.lit(False)).withColumn("bucket", F.lit(0))).schema
+
+    def tombstoned(df: DataFrame) -> DataFrame:
+        return df.withColumn("_deleted", F.col("op") == "delete").drop("op")
+
+    schema = tombstoned(changes).withColumn("bucket", F.lit(0)).schema
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy("bucket").parquet(state)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, keys, seq).withColumn("bucket", bucket)
-        touched = latest.select("bucket").distinct()
-        # the touched buckets of the current state (partition pruning)
-        cur = (spark.read.schema(schema).parquet(state).join(F.broadcast(touched), "bucket", "left_semi")
-               .where(F.col("_marker") == F.lit(False)).drop("_marker"))
-        newer = cur.join(latest.select(*keys, F.col(seq).alias("_bseq")), list(keys)) \
-            .where(F.col(seq) >= F.col("_bseq")).select(*keys)
-        apply = latest.join(newer, list(keys), "left_anti")
-        keep = cur.join(apply.select(*keys), list(keys), "left_anti")
-        new = keep.unionByName(apply.where(F.col("op") != "delete").drop("op"))
-        cols = [c for c in new.columns if c != "bucket"]
-        markers = touched.select(*[F.lit(None).cast(new.schema[c].dataType).alias(c) for c in cols],
-                                 F.lit(True).alias("_marker"), "bucket")
-        out = new.select(*cols, F.lit(False).alias("_marker"), "bucket").unionByName(markers)
-        stage = f"{target.rstrip('/')}/_stage/b{batch_id:010d}"
-        out.write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            spark.read.parquet(stage).write.mode("overwrite").partitionBy("bucket").parquet(state)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        new = latest_per_key(tombstoned(batch), keys, seq).withColumn("bucket", bucket)
+        touched = new.select("bucket").distinct()
+        # at most ``buckets`` rows; the join prunes the other partitions of the state
+        cur = spark.read.schema(schema).parquet(state).join(F.broadcast(touched), "bucket", "left_semi")
+        merged = latest_per_key(cur.unionByName(new), (*keys, "bucket"), seq)
+        stage = f"{target.rstrip('/')}/_stage/{batch_id % 2}"
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(stage)
+        (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(state))
 
     q = (changes.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", f"{target.rstrip('/')}/_checkpoint")
@@ -184,28 +211,10 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
     return target
 
 
-def _read_state(spark: SparkSession, state: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(state)
-    except AnalysisException:
-        return None
-
-
-def cdc_current(spark: SparkSession, target: str) -> DataFrame | None:
-    """Current rows of a CDC-applied table (None before the first batch)."""
-    st = _read_state(spark, f"{target.rstrip('/')}/state")
-    if st is None:
-        return None
-    return st.where(F.col("_marker") == F.lit(False)).drop("_marker", "bucket")
-
-
-# ---- STR-02: incremental file ingestion --------------------------------------
-def dedup_stream(df: DataFrame, keys: list[str], event_time: str, watermark: str = "1 day") -> DataFrame:
-    """Drop re-delivered rows (same keys) within the watermark, so an
-    appended feed can be replayed without duplicates."""
-    return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
-
+def cdc_current(spark: SparkSession, target: str) -> DataFrame:
+    """Current rows of a CDC-applied table."""
+    st = spark.read.parquet(f"{target.rstrip('/')}/state")
+    return st.where(~F.col("_deleted")).drop("_deleted", "bucket")
 
 
 # ---- STR-06 on a feed: stock alerts from inventory snapshot files ------------
@@ -218,18 +227,43 @@ def stock_alert_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
 
 
 # ---- STR-02: competitor feed ingested incrementally ------------------------------
-def competitor_feed_stream(spark: SparkSession, folder: str, watermark: str = "62 days") -> DataFrame:
+COMPETITOR_KEYS = ("snapshot_month", "product_id", "competitor")
+
+
+def competitor_feed_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Monthly competitor CSV drops read as a stream: header echoes and blank
-    keys dropped, typed, and a re-delivered (snapshot_month, product,
-    competitor) row dropped within the watermark (event time = the month)."""
+    keys dropped, typed."""
     from mercato.sources.files import COMPETITOR_TYPES
     raw = ", ".join(f"{c} string" for c in COMPETITOR_TYPES)
     # enforceSchema off: each file's header is checked against the layout
-    df = (spark.readStream.schema(raw).option("header", True).option("enforceSchema", False)
-          .option("pathGlobFilter", "*.csv").csv(folder))
+    reader = (spark.readStream.schema(raw).option("header", True).option("enforceSchema", False)
+              .option("pathGlobFilter", "*.csv"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     key = F.trim(F.col("product_id"))
+    df = reader.csv(folder)
     clean = df.where(key.isNotNull() & (key != "") & (key != "product_id"))
-    typed = clean.select(*[F.trim(F.col(c)).try_cast(t).alias(c) if t != "string" else F.col(c)
-                           for c, t in COMPETITOR_TYPES.items()])
-    ev = typed.withColumn("month_ts", F.to_timestamp(F.concat("snapshot_month", F.lit("-01"))))
-    return dedup_stream(ev, ["snapshot_month", "product_id", "competitor"], "month_ts", watermark).drop("month_ts")
+    return clean.select(*[F.trim(F.col(c)).try_cast(t).alias(c) if t != "string" else F.col(c)
+                          for c, t in COMPETITOR_TYPES.items()])
+
+
+def ingest_feed(stream: DataFrame, base: str, keys=COMPETITOR_KEYS, partition_col: str = "snapshot_month") -> DataFrame:
+    """Append a feed, a row of known keys only once, however late it is
+    delivered again: a batch is compared with the partitions it touches of
+    what earlier batches wrote.  Returns the table."""
+    spark = stream.sparkSession
+    data = f"{base.rstrip('/')}/data"
+    shape = stream.schema
+    empty = spark.createDataFrame([], shape).withColumn("batch_id", F.lit(-1))
+
+    def new_rows(batch: DataFrame, batch_id: int) -> DataFrame:
+        batch = batch.dropDuplicates(list(keys))
+        if batch_id == 0:
+            return batch
+        done = spark.read.schema(empty.schema).parquet(data).where(F.col("batch_id") < batch_id)
+        touched = batch.select(partition_col).distinct()
+        done = done.join(touched, partition_col, "left_semi").select(*keys)
+        return batch.join(done, list(keys), "left_anti")
+
+    by_batch(stream, base, new_rows, (partition_col,))
+    return spark.read.schema(empty.schema).parquet(data).select(*shape.names)

@@ -91,23 +91,72 @@ def test_gold_build_counts_match_queries(spark, sf_dir):
     assert spark.read.parquet(f"{out}/gold_sales_daily").where("sales_year = 1998").count() > 0
 
 
-def test_incremental_ingest_drops_redelivered_rows(spark):
-    import shutil
+def test_ingest_takes_each_row_once_however_late(spark):
     from mercato.streaming import jobs as S
     d = tempfile.mkdtemp()
-    src = os.path.join(d, "in")
-    os.makedirs(src)
-    rows = [("2024-01-01", "Paris", 1.0), ("2024-01-01", "Lyon", 2.0)]
-    df = spark.createDataFrame(rows, "date string, city string, rainfall_mm double") \
-        .withColumn("ts", F.to_timestamp("date"))
-    df.coalesce(1).write.mode("overwrite").parquet(os.path.join(d, "b1"))
-    for i, name in enumerate(["b1", "b1"]):  # the same batch delivered twice
-        for f in os.listdir(os.path.join(d, name)):
-            if f.endswith(".parquet"):
-                shutil.copy(os.path.join(d, name, f), os.path.join(src, f"drop{i}_{f}"))
-    stream = spark.readStream.schema(df.schema).parquet(src)
-    out = S.run_available(S.dedup_stream(stream, ["date", "city"], "ts"), os.path.join(d, "out"))
-    assert spark.read.parquet(out).count() == 2
+    hdr = "snapshot_month,product_id,product_name,category,competitor,competitor_price,our_price,price_gap_pct,is_cheaper,source\n"
+    drops = [("2024-12", 1), ("2024-01", 1), ("2024-12", 1), ("2024-01", 2)]  # an old month after a new one, a month again
+    for i, (month, n) in enumerate(drops):
+        with open(os.path.join(d, f"drop{i}.csv"), "w", encoding="utf-8") as f:
+            f.write(hdr + "".join(f"{month},{p},p,c,BonPrix,9.0,10.0,-10.0,true,web\n" for p in range(1, n + 1)))
+        os.utime(os.path.join(d, f"drop{i}.csv"), (1000 + i, 1000 + i))
+    stream = S.competitor_feed_stream(spark, d, max_files_per_trigger=1)
+    got = S.ingest_feed(stream, tempfile.mkdtemp())
+    assert sorted((r.snapshot_month, r.product_id) for r in got.toLocalIterator()) == [
+        ("2024-01", 1), ("2024-01", 2), ("2024-12", 1)]
+
+
+def test_late_change_does_not_bring_a_deleted_key_back(spark):
+    from mercato.streaming import jobs as S
+    d, target = tempfile.mkdtemp(), tempfile.mkdtemp()
+    batches = [[(1, "upsert", 1, "first"), (1, "upsert", 2, "other")], [(10, "delete", 1, None)],
+               [(5, "upsert", 1, "late"), (7, "upsert", 2, "newer")]]
+    schema = "seq long, op string, key long, value string"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/b={i}")
+    feed = lambda: (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+                    .select("key", "seq", "op", "value"))
+    S.cdc_apply_stream(feed(), target, buckets=4)
+    want = S.cdc_state(spark.read.schema(schema).parquet(d).select("key", "seq", "op", "value"))
+    rows = lambda df: sorted((r.key, r.seq, r.value) for r in df.toLocalIterator())
+    assert rows(S.cdc_current(spark, target)) == rows(want) == [(2, 7, "newer")]
+    spark.createDataFrame([(11, "upsert", 2, "after restart")], schema).coalesce(1).write.parquet(f"{d}/b=9")
+    S.cdc_apply_stream(feed(), target, buckets=64)  # the stored number of buckets holds
+    assert rows(S.cdc_current(spark, target)) == [(2, 11, "after restart")]
+
+
+def test_competitor_files_with_other_column_order(spark):
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "a.csv"), "w", encoding="utf-8") as f:
+        f.write("snapshot_month,product_id,product_name,competitor_price,our_price\n2024-01,1,\"a, \"\"b\"\"\",9.0,10.0\n")
+    with open(os.path.join(d, "b.csv"), "w", encoding="utf-8") as f:
+        f.write("our_price,competitor_price,product_id,snapshot_month,extra\n10.0,9.0,2,2024-02,x\n10.0,oops,3,2024-02,x\n")
+    out = files.read_competitor(spark, d)
+    got = sorted((r.product_id, r.product_name, r.our_price, r.competitor_price) for r in out.rows.toLocalIterator())
+    assert got == [(1, 'a, "b"', 10.0, 9.0), (2, None, 10.0, 9.0)]
+    assert [r.product_id for r in out.rejects.toLocalIterator()] == ["3"]
+
+
+def test_truncated_json_is_rejected(spark):
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "good.json"), "w") as f:
+        json.dump([{"date": "2024-01-01", "city": "Paris"}], f)
+    with open(os.path.join(d, "cut.json"), "w") as f:
+        f.write('[{"date": "2024-01-02", "city": "Ly')
+    out = files.read_weather(spark, d)
+    assert [r.city for r in out.rows.toLocalIterator()] == ["Paris"]
+    assert out.rejects.count() == 1
+
+
+def test_totals_count_late_rows(spark):
+    from mercato.streaming import jobs as S
+    d = tempfile.mkdtemp()
+    for i, day in enumerate(("2024-01-05", "2024-01-01")):
+        spark.createDataFrame([(i, day, 1, "view", 2.0, "")], "event_id long, ts string, user_id long, event_type string, value double, props string") \
+            .withColumn("ts", F.to_timestamp_ntz("ts")).coalesce(1).write.parquet(f"{d}/events-{i}")
+    s = spark.readStream.schema(S.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(d)
+    got = S.totals_merged(s.withColumn("ts", F.col("ts").cast("timestamp")), tempfile.mkdtemp())
+    assert sorted((str(r.window_start.date()), r.n) for r in got.toLocalIterator()) == [("2024-01-01", 1), ("2024-01-05", 1)]
 
 
 def test_table_audit_reports_missing(spark, sf_dir):

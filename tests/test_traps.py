@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mercato.functions import exprs as X
 from mercato.operators import cross, measures as M, timeintel as T
 from mercato.plans.joins import join_promotions
+from mercato.operators.competitor import latest_snapshot
 from mercato.operators.quality import promo_overlap
 
 D = dt.date
@@ -82,7 +83,7 @@ def test_double_risk_keeps_every_cheaper_competitor(spark):
                                 ("2024-01", 1, "Z", True, 7.0, -30.0), ("2023-12", 1, "W", True, 1.0, -90.0),
                                 ("2024-01", 1, "V", False, 11.0, 10.0)],
                                "snapshot_month string, product_id long, competitor string, is_cheaper boolean, competitor_price double, price_gap_pct double")
-    dr = cross.double_risk(products, inv, cp)
+    dr = cross.double_risk(products, inv, latest_snapshot(cp))
     assert sorted(r.cheapest_competitor for r in dr.collect()) == ["X", "Y", "Z"]  # latest month only
     best = cross.double_risk_cheapest(dr).collect()
     assert len(best) == 1 and best[0].cheapest_competitor == "Z" and best[0].n_cheaper == 3
@@ -99,6 +100,7 @@ def test_champion_alert_store_mismatch(spark):
     loose = cross.champion_stockout_alert(seg, lines, products, stores, inv).collect()
     strict = cross.champion_stockout_alert(seg, lines, products, stores, inv, same_store=True).collect()
     assert len(loose) == 1 and loose[0].store_name == "A"  # status comes from store B
+    assert loose[0].n_stores == 1
     assert strict == []
 
 
@@ -209,3 +211,72 @@ def test_relationships_refuse_forbidden_keys(spark):
         check_relationship("sales", "category", "products", "category")
     with _pytest.raises(ValueError):
         check_relationship("sales", "store_id", "promotions", "store_id")
+
+
+def test_a_sixth_segment_has_no_label(spark):
+    import pytest as _pytest
+    from mercato.operators.segments import assert_all_labels, label_by_score
+    seg = spark.createDataFrame(
+        [(i, D(2024, 1, 1), 10, 2, 100.0, 50.0, 2, i % 4) for i in range(8)],
+        "customer_id long, last_order_date date, recency_days int, frequency long, monetary double, avg_basket double, nb_distinct_products long, segment_id int")
+    with _pytest.raises(ValueError):
+        label_by_score(seg, 6)
+    with _pytest.raises(ValueError):
+        assert_all_labels(label_by_score(seg))  # four of five labels
+
+
+def test_append_with_null_keys_and_duplicates(spark):
+    from mercato.sources.tables import append_idempotent
+    spark.sql("DROP TABLE IF EXISTS t_null_keys")
+    schema = "k string, v int, part string"
+    append_idempotent(spark.createDataFrame([(None, 1, "a"), ("x", 1, "a"), ("x", 3, "a"), ("y", 1, "b")], schema), "t_null_keys", ["k"], "part")
+    append_idempotent(spark.createDataFrame([(None, 2, "a"), ("z", 9, "a")], schema), "t_null_keys", ["k"], "part", order_col="v")
+    got = sorted(map(str, spark.table("t_null_keys").select("k", "v", "part").toLocalIterator()))
+    assert got == sorted(map(str, spark.createDataFrame([(None, 2, "a"), ("x", 3, "a"), ("y", 1, "b"), ("z", 9, "a")], schema).toLocalIterator()))
+    assert not [t.name for t in spark.catalog.listTables() if "__merge_" in t.name]
+
+
+def test_overwrite_recovers_a_table_left_between_renames(spark):
+    from mercato.sources.tables import overwrite_table, recover_table
+    spark.range(3).write.mode("overwrite").saveAsTable("t_crash")
+    spark.sql("ALTER TABLE t_crash RENAME TO t_crash__old")  # as a crash would leave it
+    recover_table(spark, "t_crash")
+    assert spark.table("t_crash").count() == 3
+    overwrite_table(spark.range(5), "t_crash")
+    assert spark.table("t_crash").count() == 5 and not spark.catalog.tableExists("t_crash__old")
+
+
+def test_transfers_give_each_unit_once(spark):
+    from mercato.operators.ops import transfer_proposals
+    rows = [(1, 7, "N", "stockout", 0, 10), (2, 7, "N", "critical", 1, 10), (3, 7, "N", "normal", 22, 10),
+            (4, 7, "S", "normal", 13, 10), (5, 7, "S", "critical", 2, 4), (6, 8, "N", "stockout", 0, 5)]
+    inv = spark.createDataFrame([(*r, D(2024, 1, 1)) for r in rows],
+                                "store_id long, product_id long, region string, stock_status string, quantity_on_hand int, reorder_point int, last_updated date")
+    got = sorted((r.from_store_id, r.to_store_id, r.product_id, r.quantity) for r in
+                 transfer_proposals(inv, F.lit(D(2024, 1, 5))).toLocalIterator())
+    # store 3 can give 12: 10 to store 1, 2 of 9 to store 2; store 4 gives 2 of its 3 at home, then the last one
+    assert got == [(3, 1, 7, 10), (3, 2, 7, 2), (4, 2, 7, 1), (4, 5, 7, 2)]
+
+
+def test_no_donor_gives_more_than_its_excess(spark, sf_dir):
+    import __spark_entry__ as E
+    t = E.queries()["transfer_proposals"](spark, sf_dir)
+    inv = E.queries()["inventory_status"](spark, sf_dir)
+    gave = t.groupBy("from_store_id", "product_id").agg(F.sum("quantity").alias("gave"))
+    over = gave.join(inv, (gave.from_store_id == inv.store_id) & (gave.product_id == inv.product_id)).where(
+        "gave > quantity_on_hand - reorder_point")
+    assert t.count() > 0 and over.count() == 0
+
+
+def test_load_sees_appended_orders(spark, sf_dir):
+    import shutil
+    import tempfile
+    from mercato.sources.retail import load
+    d = tempfile.mkdtemp(prefix="mercato-append-")
+    for t in ("orders", "supplier"):
+        os.makedirs(f"{d}/{t}.parquet")
+        shutil.copy(f"{sf_dir}/{t}.parquet", f"{d}/{t}.parquet/part-0.parquet")
+    before = load(spark, d).params["hi"]
+    late = spark.read.parquet(f"{d}/orders.parquet").limit(1).withColumn("o_orderdate", F.lit("2005-01-01").cast("timestamp_ntz"))
+    late.write.mode("append").parquet(f"{d}/orders.parquet")
+    assert before < D(2005, 1, 1) == load(spark, d).params["hi"]
