@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 from mercato.functions.dax import blank_sub, div, dsum
 
 
-def daily_revenue(sales: DataFrame, calendar: DataFrame, as_of: Column, by=()) -> DataFrame:
+def daily_revenue(sales: DataFrame, calendar: DataFrame, as_of: Column, by=(), since: Column | None = None) -> DataFrame:
     """Calendar days up to ``as_of`` with the revenue of that day (NULL = BLANK).
-    With ``by`` the series holds only days with sales of each group."""
+    With ``by`` every group that ever sold has a row for every day from
+    ``since`` on, so running totals have no gaps."""
     # exact DECIMAL day totals so running sums do not depend on addition order
     day = sales.groupBy(*by, F.col("sales_date").alias("date")).agg(
         F.sum(F.col("revenue").cast("decimal(18,2)")).alias("revenue"))
     if by:
-        return day.join(calendar.select("date", "year", "month_num", "quarter"), "date")
+        every = sales.select(*by).distinct().withColumn("date", F.explode(F.sequence(since, as_of)))
+        return (every.join(calendar.select("date", "year", "month_num", "quarter"), "date")
+                .join(day, [*by, "date"], "left"))
     cal = calendar.where(F.col("date") <= as_of).select("date", "year", "month_num", "quarter")
     return cal.join(day, "date", "left")
 

@@ -356,8 +356,9 @@ def q_mea_vs_ly_monthly(r: Retail):
 
 @register("mea_time_intel_region")
 def q_mea_time_intel_region(r: Retail):
-    """WIN-03/04 per region on the days with sales."""
-    s = T.daily_revenue(sales.gold_sales_daily(r), dims.dim_calendar(r), r.as_of, by=["region"])
+    """WIN-03/04 per region, every calendar day."""
+    since = F.make_date(F.year(r.first_day), F.lit(1), F.lit(1))
+    s = T.daily_revenue(sales.gold_sales_daily(r), dims.dim_calendar(r), r.as_of, by=["region"], since=since)
     return T.period_to_date(s, by=["region"])
 
 
@@ -549,7 +550,7 @@ def q_25(r: Retail):
 
 @register("q_29_urgent_stores")
 def q_29(r: Retail):
-    return Q.q29_urgent_stores(_inv(r), rate=0.015)
+    return Q.q29_urgent_stores(_inv(r), rate=0.006)
 
 
 # ---- operational tables (STR-04..08, AGG-18..20, Q-06/26/27/28) -----------
@@ -979,3 +980,243 @@ def q_ingest_promotions_roundtrip(r: Retail):
     feed = scratch_path(r.spark, f"promo-feed-{uuid.uuid4().hex[:6]}")
     r.promotions.withColumn("is_active", F.lit(False)).write.option("header", True).csv(feed)
     return FL.read_promotions(r.spark, feed, _sale_day(r)).rows
+
+
+# ---- matrices, cards, orders, flags, relationships, catalog ------------------
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+@register("rpt_05_matrix")
+def q_rpt_05_matrix(r: Retail):
+    """RPT-05 as a matrix: average coverage, categories down, regions across."""
+    return R.pivot_wide(R.rpt05_category_region_matrix(_inv(r)), ["category"], "region", "avg_coverage_days", REGIONS)
+
+
+@register("rpt_12_matrix")
+def q_rpt_12_matrix(r: Retail):
+    """RPT-12 as a matrix: stockout rate, categories down, store formats across."""
+    return R.pivot_wide(R.rpt12_format_category_stockout(_inv(r), r.stores), ["category"], "store_type", "stockout_rate",
+                        list(quality.DOMAINS["store_type"]))
+
+
+@register("rpt_13_matrix")
+def q_rpt_13_matrix(r: Retail):
+    """RPT-13 as a matrix: average gap, categories down, competitors across."""
+    from mercato.sources.retail import COMPETITORS
+    return R.pivot_wide(R.rpt13_gap_category_competitor(r.competitor_prices), ["category"], "competitor", "avg_price_gap",
+                        COMPETITORS)
+
+
+@register("rpt_14_store_kpis")
+def q_rpt_14_store_kpis(r: Retail):
+    """RPT-14: KPI cards of every store, sliced to one year."""
+    return R.rpt14_store_kpis(_sales(r), _inv(r), year=2000)
+
+
+@register("rpt_08_worst_first")
+def q_rpt_08(r: Retail):
+    return R.rpt08_worst_first(_fva(r))
+
+
+@register("srt_03_months_in_order")
+def q_srt_03(r: Retail):
+    """SRT-03: month labels with their place by the numeric key."""
+    from pyspark.sql import Window
+    months = _sales(r).select("sales_date").distinct().join(
+        dims.dim_calendar(r).select(F.col("date").alias("sales_date"), "month_name", "year", "year_month_sort"), "sales_date")
+    g = months.groupBy("year_month_sort", "month_name", "year").agg(F.count(F.lit(1)).alias("days_with_sales"))
+    return g.withColumn("place", F.row_number().over(Window.orderBy("year_month_sort"))).orderBy("year_month_sort")
+
+
+@register("alerts_in_severity_order")
+def q_alerts_in_order(r: Retail):
+    """SRT-02: alert groups, most severe first, with their place."""
+    from pyspark.sql import Window
+    g = ops.alerts_by_severity(ops.active_alerts(r, _inv(r)))
+    place = F.row_number().over(Window.orderBy("severity_rank", F.desc("cnt"), "alert_type"))
+    return g.withColumn("place", place).orderBy("place")
+
+
+@register("product_flags")
+def q_product_flags(r: Retail):
+    """PRJ-19: retrain and high-confidence flags of every forecast product."""
+    return Q.q12_product_accuracy(_fva(r)).select(
+        "product_id", "forecast_accuracy", X.retrain_needed().alias("retrain_needed"), X.high_confidence().alias("high_confidence"))
+
+
+@register("customer_flags")
+def q_customer_flags(r: Retail):
+    """PRJ-19: retention priority and win-back flags of every customer."""
+    return segments.rule_segments(r).select(
+        "customer_id", "segment_label", X.retention_priority().alias("retention_priority"), X.win_back().alias("win_back"))
+
+
+@register("undercut_flags")
+def q_undercut_flags(r: Retail):
+    """PRJ-19: products undercut by a competitor in the latest month."""
+    return r.competitor_latest.select("product_id", "competitor", X.undercut().alias("undercut"))
+
+
+@register("q_13_demand_by_product")
+def q_13c(r: Retail):
+    """Q-13 with the product's name and category."""
+    top = Q.q13_top(forecast.forecast_baseline(r), F.date_add(forecast.cutoff_of(r), 1))
+    return top.join(r.products.select("product_id", F.col("name").alias("product_name"), "category"), "product_id")
+
+
+@register("q_25_critical_undercut_bonprix")
+def q_25b(r: Retail):
+    """Q-25 for one competitor."""
+    return Q.q25_critical_undercut(_double_risk(r), "BonPrix")
+
+
+@register("q_21_top_stores_year")
+def q_21d(r: Retail):
+    """Q-21 for one year."""
+    return Q.q21_top_stores(R.slice_sales(_sales(r), year=2000))
+
+
+def _model_tables(r: Retail) -> dict:
+    return {"sales": _sales(r), "forecast_vs_actual": _fva(r), "inventory": _inv(r), "stores": r.stores, "products": r.products,
+            "calendar": dims.dim_calendar(r), "demand_forecast": forecast.forecast_baseline(r),
+            "competitor_prices": r.competitor_prices, "weather": r.weather}
+
+
+@register("model_relationships")
+def q_model_relationships(r: Retail):
+    """JOI-10: every relationship of the model followed: fact rows and those that found their dimension row."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+    t, out = _model_tables(r), []
+    for fact, fact_col, dim, dim_col in EN.MODEL_RELATIONSHIPS:
+        keys = t[dim].select(F.col(dim_col)).distinct().withColumn("found", F.lit(1))  # a city has several stores
+        x = EN.relate(t[fact].select(fact_col), keys, fact_col, dim_col, fact, dim)
+        out.append(x.agg(F.lit(f"{fact}.{fact_col}").alias("fact"), F.lit(f"{dim}.{dim_col}").alias("dimension"),
+                         F.count(F.lit(1)).alias("n_rows"), F.count("found").alias("n_found")))
+    return reduce(_DF.unionAll, out)
+
+
+@register("entity_relationships")
+def q_entity_relationships(r: Retail):
+    """JOI-12: every entity relationship traversed: the pairs it connects."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+    day = F.col("date") == r.as_of
+    t = {"InventoryStatus": _inv(r), "Store": r.stores, "Product": r.products, "ForecastVsActual": _fva(r),
+         "CompetitorPrice": r.competitor_latest, "DemandForecast": forecast.forecast_baseline(r),
+         "WeatherObservation": r.weather.where(day), "Calendar": dims.dim_calendar(r), "Promotion": r.promotions}
+    out = []
+    for name, (src, src_col, dst, dst_col) in EN.RELATIONSHIPS.items():
+        x = EN.traverse(t[src].select(src_col), name, t[dst].select(dst_col))
+        out.append(x.agg(F.lit(name).alias("relationship"), F.count(F.lit(1)).alias("n_pairs")))
+    return reduce(_DF.unionAll, out)
+
+
+@register("refused_relationships", rows_only=True)
+def q_refused_relationships(r: Retail):
+    """JOI-11: relationships on shared column names that the model refuses, over the columns of its tables."""
+    t, rows = _model_tables(r) | {"promotions": r.promotions}, []
+    names = sorted(t)
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            for c in sorted(set(t[a].columns) & set(t[b].columns)):
+                try:
+                    EN.check_relationship(a, c, b, c)
+                except ValueError as e:
+                    rows.append((a, b, c, "standalone" if "standalone" in str(e) else "key"))
+    refused = r.spark.createDataFrame(rows, "a string, b string, col string, reason string")
+    return refused.groupBy("col", "reason").agg(F.count(F.lit(1)).alias("n_refused"))
+
+
+@register("catalog_tables")
+def q_catalog_tables(r: Retail):
+    """SRC-07..12: a day's stores appended twice, replaced by a reading of
+    themselves, and overwritten by position; the rows after each step, a
+    fallback read, and the audit of a table that is there and one that isn't."""
+    import uuid
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+
+    from mercato.sources import tables as TB
+    name, spark = f"mercato_{uuid.uuid4().hex[:12]}", r.spark
+    rows = r.stores.select("store_id", "name", "region")
+    steps = []
+
+    def note(step: str, df) -> None:
+        # counted now, as the next step changes the table
+        steps.append(spark.createDataFrame([(step, df.count())], "step string, n_rows long"))
+
+    for _ in range(2):
+        TB.append_idempotent(rows, name, ["store_id"], "region")
+    note("append twice", TB.read_table(spark, name))
+    TB.overwrite_table(TB.read_table(spark, name).where(F.col("region") != "ASIA"), name)
+    note("overwrite from itself", TB.read_table(spark, name))
+    TB.insert_overwrite(rows.where(F.col("region") == "ASIA").select("region", "name", "store_id"), name)
+    note("overwrite contents", spark.table(name).where(F.col("region") == "ASIA"))
+    note("fallback", TB.read_table(spark, "mercato_no_such_table", None) or TB.read_table(spark, "nation", r.sf_dir))
+    audit = quality.table_audit(spark, [name, "mercato_no_such_table"])
+    steps.append(audit.select(F.when(F.col("exists"), "audit: there").otherwise("audit: missing").alias("step"), F.col("rows").alias("n_rows")))
+    spark.sql(f"DROP TABLE {name}")
+    return reduce(_DF.unionAll, steps)
+
+
+@register("views_in_sql")
+def q_views_in_sql(r: Retail):
+    """SRC-16: retail and gold tables as temporary views, read by spark.sql."""
+    from mercato.sources.retail import register_views
+    register_views(r.spark, r.sf_dir)
+    return r.spark.sql("""
+        SELECT s.region, count(*) AS n_rows, CAST(sum(i.quantity_on_hand) AS BIGINT) AS units
+        FROM gold_inventory_status i JOIN stores s USING (store_id) GROUP BY s.region""")
+
+
+@register("gold_kpis")
+def q_gold_kpis(r: Retail):
+    """Q-15 from stored gold: the facts are built once, the KPIs read them."""
+    from mercato.plans.gold import build_facts
+    g = build_facts(r, _scratch(r, "gold"))
+    return Q.q15_kpis(g.sales, g.inventory, g.forecast_vs_actual, g.competitor_prices, r.as_of)
+
+
+@register("gold_top_stores_2000")
+def q_gold_top_stores(r: Retail):
+    """RPT-02 with slicers from stored gold: the year is a partition."""
+    from mercato.plans.gold import Gold, write_table
+    out = _scratch(r, "gold")
+    write_table(sales.gold_sales_daily(r), out, "gold_sales_daily")
+    return R.rpt02_top_stores(Gold(r.spark, out).sales, year=2000, channel="in_store")
+
+
+@register("segment_check")
+def q_segment_check(r: Retail):
+    """ML-02..05 checked: every customer labelled once, five labels, and the
+    labels in the order of the segments' scores."""
+    from pyspark.sql import Window
+    seg = segments.assert_all_labels(segments.kmeans_segments(r))
+    prof = seg.groupBy("segment_label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("d"),
+        *[F.avg(c).alias(c) for c in ("recency_days", "frequency", "monetary")])
+    every = Window.partitionBy()
+    top = lambda c: F.max(c).over(every)
+    s = segments.score(F.col("recency_days"), F.col("frequency"), F.col("monetary"), top("recency_days"), top("frequency"), top("monetary"))
+    rank = F.row_number().over(Window.orderBy(F.desc("score")))
+    named = F.element_at(F.array(*[F.lit(x) for x in X.SEGMENT_LABELS]), F.col("rank"))
+    return (prof.withColumn("score", s).withColumn("rank", rank)
+            .agg(F.sum("n").alias("n_customers"), F.sum("d").alias("n_distinct"), F.count(F.lit(1)).alias("n_labels"),
+                 F.count_if(named == F.col("segment_label")).alias("n_in_order")))
+
+
+@register("forecast_check")
+def q_forecast_check(r: Retail):
+    """ML-06 checked: 90 days for every product of enough history among the
+    top 200, no negative value, bounds around the forecast."""
+    fc = forecast.demand_forecast(r, cutoff=forecast.cutoff_of(r))
+    per = fc.where("status = 'ok'").groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count_if((F.col("forecast_qty") < 0) | (F.col("forecast_qty_lower") > F.col("forecast_qty"))
+                   | (F.col("forecast_qty") > F.col("forecast_qty_upper"))).alias("out_of_order"))
+    return per.agg(F.count(F.lit(1)).alias("n_products"), F.count_if(F.col("days") != 90).alias("n_other_length"),
+                   F.coalesce(F.sum("out_of_order"), F.lit(0)).alias("n_out_of_order"))

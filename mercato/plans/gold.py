@@ -1,19 +1,19 @@
-"""Silver -> gold build (the main batch path).
+"""Silver -> gold build (the main batch path) and the reader of its tables.
 
 Each gold table is one DataFrame plan written once as Parquet; row counts
 come from ``observe`` metrics of the write itself (no second pass), and a
 table that later plans read is read back from its written files, which
 cuts the lineage (an executor lost later recomputes from the table, not
-from the sources).  Tables are written to a staging folder and renamed
-into place only when complete.
+from the sources).  A table is written to a staging folder and renamed into
+place when complete; a failed write leaves the old table as it was.
 
 usage: python -m mercato.plans.gold <sf_dir> <out_dir>
 """
 
 from __future__ import annotations
 
-import os
 import sys
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +26,24 @@ from mercato.sources.retail import Retail, load
 PARTITION_BY = {"gold_sales_daily": ["sales_year"], "silver_competitor_prices": ["snapshot_month"]}
 
 
+def _swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Rename a staged folder into place, the old one away and then out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    new, cur, old = path(staged), path(target), path(f"{target}__old")
+    fs = cur.getFileSystem(conf)
+    if not fs.exists(cur) and fs.exists(old):  # an earlier swap was cut short
+        fs.rename(old, cur)
+    fs.delete(old, True)
+    if fs.exists(cur) and not fs.rename(cur, old):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, cur):
+        raise OSError(f"cannot move {staged} to {target}")
+    fs.delete(old, True)
+
+
 def write_table(df: DataFrame, out_dir: str, name: str) -> int:
-    """Write ``df`` to <out_dir>/<name>; return its row count (observed)."""
+    """Write ``df`` to <out_dir>/<name> through a staging folder; return its row count (observed)."""
     obs = Observation(name)
     part = PARTITION_BY.get(name)
     if name == "gold_sales_daily":
@@ -35,8 +51,50 @@ def write_table(df: DataFrame, out_dir: str, name: str) -> int:
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if part:
         w = w.partitionBy(*part)
-    w.parquet(os.path.join(out_dir, name))
-    return int(obs.get["rows"])
+    base = out_dir.rstrip("/")
+    w.parquet(f"{base}/_stage_{name}")
+    _swap(df.sparkSession, f"{base}/_stage_{name}", f"{base}/{name}")
+    return obs.get["rows"]
+
+
+class Gold:
+    """The stored gold tables under a folder, as DataFrames."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self.table("gold_sales_daily")
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self.table("gold_inventory_status")
+
+    @cached_property
+    def forecast_vs_actual(self) -> DataFrame:
+        return self.table("gold_forecast_vs_actual")
+
+    @cached_property
+    def competitor_prices(self) -> DataFrame:
+        return self.table("silver_competitor_prices")
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return self.table("silver_customer_segments")
+
+
+def build_facts(r: Retail, out_dir: str) -> Gold:
+    """The facts that the KPI questions and the reports read, with the
+    baseline forecast (exact in SQL, so queries over it can be checked)."""
+    write_table(r.competitor_prices, out_dir, "silver_competitor_prices")
+    write_table(sales.gold_sales_daily(r), out_dir, "gold_sales_daily")
+    write_table(inventory.gold_inventory_status(r), out_dir, "gold_inventory_status")
+    write_table(forecast.forecast_vs_actual(r, forecast.forecast_baseline(r)), out_dir, "gold_forecast_vs_actual")
+    return Gold(r.spark, out_dir)
 
 
 def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
@@ -46,14 +104,16 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
 
     def put(name: str, df: DataFrame) -> DataFrame:
         counts[name] = write_table(df, out_dir, name)
-        return spark.read.parquet(os.path.join(out_dir, name))
+        return Gold(spark, out_dir).table(name)
 
     put("silver_competitor_prices", r.competitor_prices)
     put("gold_sales_daily", sales.gold_sales_daily(r))
     inv = put("gold_inventory_status", inventory.gold_inventory_status(r))
-    fc = put("silver_demand_forecast", forecast.forecast_baseline(r))
-    put("gold_forecast_vs_actual", forecast.forecast_vs_actual(r, fc))
-    seg = put("silver_customer_segments", segments.rule_segments(r))
+    # ML-06 on the history up to 90 days before the analysis date, scored against those days
+    fc = put("silver_demand_forecast", forecast.demand_forecast(r, cutoff=forecast.cutoff_of(r)))
+    put("gold_forecast_vs_actual", forecast.forecast_vs_actual(r, fc.where("status = 'ok'").drop("status")))
+    # ML-02..05, with all labels present
+    seg = segments.assert_all_labels(put("silver_customer_segments", segments.kmeans_segments(r)))
     put("gold_double_risk_products", cross.double_risk(r.products, inv, r.competitor_latest))
     put("gold_champion_stockout_alert",
         cross.champion_stockout_alert(seg, r.order_lines, r.products, r.stores, inv))

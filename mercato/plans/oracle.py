@@ -403,9 +403,11 @@ SELECT m.year, m.month_num, m.year || '-' || LPAD(CAST(m.month_num AS VARCHAR),
 FROM v_month_rev m LEFT JOIN v_month_rev l ON l.year = m.year - 1 AND l.month_num = m.month_num""")
 q("mea_time_intel_region", """
 SELECT region, date, """ + PTD_SQL.format(p="region,", pp="PARTITION BY region") + """
-FROM (SELECT d.region, d.date, c.year, c.month_num, c.quarter, d.revenue
-      FROM (SELECT region, sales_date AS date, SUM(CAST(revenue AS DECIMAL(18,2))) AS revenue FROM g_sales GROUP BY 1, 2) d
-      JOIN dim_calendar c ON c.date = d.date) s""")
+FROM (SELECT g.region, c.date, c.year, c.month_num, c.quarter, d.revenue
+      FROM dim_calendar c CROSS JOIN (SELECT DISTINCT region FROM g_sales) g
+      LEFT JOIN (SELECT region, sales_date AS date, SUM(CAST(revenue AS DECIMAL(18,2))) AS revenue FROM g_sales GROUP BY 1, 2) d
+           ON d.date = c.date AND d.region = g.region
+      WHERE c.date <= (SELECT as_of FROM v_as_of)) s""")
 
 # ---- questions ------------------------------------------------------------
 GM_PCT = DIV(DSUM("gross_margin"), DSUM("revenue"))
@@ -504,8 +506,13 @@ WITH y AS (SELECT promo_name, CAST(YEAR(sales_date) AS INT) AS year, {DSUM('reve
 SELECT y.promo_name, y.year, y.revenue, y.nb_orders, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
 FROM y LEFT JOIN y p ON p.promo_name = y.promo_name AND p.year + 1 = y.year""")
 q("q_21_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 5")
-q("q_21_regions_by_stockout", f"""SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout FROM g_inventory GROUP BY 1""")
-q("q_21_categories_by_margin", f"SELECT category, {GM_PCT} AS gross_margin_pct, {DSUM('gross_margin')} AS total_margin FROM g_sales GROUP BY 1")
+q("q_21_regions_by_stockout", f"""
+SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY stockout_rate DESC NULLS LAST, region) AS INT) AS rank FROM (
+  SELECT region, {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout FROM g_inventory GROUP BY 1) g) t
+WHERE rank <= 3""")
+q("q_21_categories_by_margin", f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY gross_margin_pct DESC NULLS LAST, category) AS INT) AS rank
+FROM (SELECT category, {GM_PCT} AS gross_margin_pct, {DSUM('gross_margin')} AS total_margin FROM g_sales GROUP BY 1) g""")
 q("q_22_low_coverage_stores", f"""
 SELECT * FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1, 2, 3) t WHERE avg_coverage_days < 60.0""")
 q("q_23_segments_by_ltv", f"SELECT segment_label, {DAVG('monetary')} AS avg_ltv, COUNT(*) AS n_customers FROM v_segments GROUP BY 1")
@@ -518,10 +525,10 @@ SELECT g.promo_name, g.revenue / g.days AS revenue_per_day, g.revenue / g.days -
 FROM g CROSS JOIN b LEFT JOIN t ON t.promo_name = g.promo_name WHERE g.promo_name IS NOT NULL""")
 q("q_25_critical_undercut", "SELECT * FROM g_double_risk WHERE stock_status = 'critical'")
 q("q_29_urgent_stores", f"""
-SELECT *, avg_coverage_days < 7 AS urgent_replenishment, COALESCE(stockout_rate > 0.015, FALSE) AS critical_situation
+SELECT *, avg_coverage_days < 7 AS urgent_replenishment, COALESCE(stockout_rate > 0.006, FALSE) AS critical_situation
 FROM (SELECT store_id, store_name, region, {DAVG('coverage_days', 1)} AS avg_coverage_days,
              {DIV(CNT("stock_status = 'stockout'"), 'COUNT(*)')} AS stockout_rate FROM g_inventory GROUP BY 1, 2, 3) t
-WHERE avg_coverage_days < 7 OR COALESCE(stockout_rate > 0.015, FALSE)""")
+WHERE avg_coverage_days < 7 OR COALESCE(stockout_rate > 0.006, FALSE)""")
 
 # ---- operational tables -----------------------------------------------------
 view("v_stock_alerts", """
@@ -766,3 +773,83 @@ q("ingest_promotions_roundtrip", """
 SELECT promo_name, start_date, end_date, category, CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(traffic_boost AS DOUBLE) AS traffic_boost,
        make_date(CAST(YEAR((SELECT as_of FROM v_as_of)) AS INT) - 1, 11, 28) BETWEEN start_date AND end_date AS is_active
 FROM v_promotions""")
+
+
+# ---- matrices, cards, orders, flags, relationships, catalog -------------------
+def MATRIX(source: str, row: str, col: str, value: str, names: list[str]) -> str:
+    cells = ", ".join(f"MAX(CASE WHEN {col} = '{n}' THEN {value} END) AS \"{n}\"" for n in names)
+    return f"SELECT {row}, {cells} FROM ({source}) x GROUP BY 1"
+
+
+q("rpt_05_matrix", MATRIX(QUERIES["rpt_05_category_region"], "category", "region", "avg_coverage_days",
+                          ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]))
+q("rpt_12_matrix", MATRIX(QUERIES["rpt_12_format_category_stockout"], "category", "store_type", "stockout_rate",
+                          ["hypermarket", "supermarket", "convenience"]))
+q("rpt_13_matrix", MATRIX(QUERIES["rpt_13_gap_category_competitor"], "category", "competitor", "avg_price_gap",
+                          ["MaxiMarché", "PrimoShop", "BonPrix", "NeoShop", "TendancePlus"]))
+q("rpt_14_store_kpis", f"""
+WITH s AS (SELECT store_id, {DSUM('revenue')} AS total_revenue, {GM_PCT} AS gross_margin_pct, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders
+           FROM g_sales WHERE YEAR(sales_date) = 2000 GROUP BY 1),
+     i AS (SELECT store_id, CAST(COUNT_IF(stock_status = 'stockout') AS BIGINT) AS nb_stockout, {DAVG('coverage_days', 1)} AS avg_coverage_days FROM g_inventory GROUP BY 1)
+SELECT s.*, i.nb_stockout, i.avg_coverage_days FROM s LEFT JOIN i USING (store_id)""")
+q("rpt_08_worst_first", f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY forecast_accuracy, category) AS INT) AS rank
+FROM (SELECT category, 1 - COALESCE({DIV(DSUM('ABS(actual_qty - forecast_qty)'), 'SUM(actual_qty)')}, 0) AS forecast_accuracy FROM g_fva GROUP BY 1) g""")
+q("srt_03_months_in_order", """
+WITH m AS (SELECT CAST(YEAR(d) * 100 + MONTH(d) AS INT) AS year_month_sort, strftime(d, '%B') AS month_name, CAST(YEAR(d) AS INT) AS year, COUNT(*) AS days_with_sales
+           FROM (SELECT DISTINCT sales_date AS d FROM g_sales) x GROUP BY 1, 2, 3)
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY year_month_sort) AS INT) AS place FROM m""")
+q("alerts_in_severity_order", f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY severity_rank, cnt DESC, alert_type) AS INT) AS place FROM ({QUERIES["alerts_by_severity"]}) g""")
+q("product_flags", "SELECT product_id, forecast_accuracy, forecast_accuracy < 0.75 AS retrain_needed, forecast_accuracy > 0.90 AS high_confidence FROM v_prod_acc")
+q("customer_flags", """
+SELECT customer_id, segment_label, segment_label = 'At Risk' AND recency_days > 90 AS retention_priority,
+       segment_label = 'Inactive' AND monetary > 500 AS win_back FROM v_segments""")
+q("undercut_flags", """
+SELECT product_id, competitor, price_gap_pct < 0 AS undercut FROM v_competitor_prices
+WHERE snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices)""")
+q("q_13_demand_by_product", """
+SELECT t.*, p.name AS product_name, p.category FROM (SELECT * FROM v_fc30 ORDER BY forecast_units DESC, product_id LIMIT 10) t
+JOIN v_products p USING (product_id)""")
+q("q_25_critical_undercut_bonprix", "SELECT * FROM g_double_risk WHERE stock_status = 'critical' AND cheapest_competitor = 'BonPrix'")
+q("q_21_top_stores_year", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales WHERE YEAR(sales_date) = 2000 GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 5")
+q("model_relationships", " UNION ALL ".join(
+    f"SELECT '{fact}.{c}' AS fact, '{dim}.{d}' AS dimension, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE {c} IN (SELECT {d} FROM {dim_sql})) AS n_found FROM {fact_sql}"
+    for fact, c, dim, d, fact_sql, dim_sql in [
+        ("sales", "sales_date", "calendar", "date", "g_sales", "dim_calendar"), ("sales", "store_id", "stores", "store_id", "g_sales", "v_stores"),
+        ("forecast_vs_actual", "forecast_date", "calendar", "date", "g_fva", "dim_calendar"),
+        ("forecast_vs_actual", "product_id", "products", "product_id", "g_fva", "v_products"),
+        ("inventory", "store_id", "stores", "store_id", "g_inventory", "v_stores"),
+        ("inventory", "product_id", "products", "product_id", "g_inventory", "v_products"),
+        ("demand_forecast", "product_id", "products", "product_id", "v_forecast", "v_products"),
+        ("competitor_prices", "product_id", "products", "product_id", "v_competitor_prices", "v_products"),
+        ("weather", "city", "stores", "city", "v_weather", "v_stores")]))
+LATEST_SQL = "(SELECT * FROM v_competitor_prices WHERE snapshot_month = (SELECT MAX(snapshot_month) FROM v_competitor_prices))"
+TODAY_SQL = "(SELECT * FROM v_weather WHERE date = (SELECT as_of FROM v_as_of))"
+q("entity_relationships", " UNION ALL ".join(
+    f"SELECT '{name}' AS relationship, COUNT(*) AS n_pairs FROM {a} a JOIN {b} b ON a.{c} = b.{d}"
+    for name, a, c, b, d in [
+        ("holds_inventory", "g_inventory", "store_id", "v_stores", "store_id"), ("located_in", "g_inventory", "store_id", "v_stores", "store_id"),
+        ("tracked_in_inventory", "g_inventory", "product_id", "v_products", "product_id"),
+        ("has_product", "g_inventory", "product_id", "v_products", "product_id"),
+        ("is_forecasted_for", "g_fva", "product_id", "v_products", "product_id"),
+        ("benchmarked_against", LATEST_SQL, "product_id", "v_products", "product_id"),
+        ("in_demand_forecast", "v_forecast", "product_id", "v_products", "product_id"),
+        ("observed_at", "v_stores", "city", TODAY_SQL, "city"), ("occurs_on", "g_fva", "forecast_date", "dim_calendar", "date"),
+        ("starts_on", "v_promotions", "start_date", "dim_calendar", "date"), ("at_location", TODAY_SQL, "city", "v_stores", "city")]))
+q("catalog_tables", """
+SELECT 'append twice' AS step, COUNT(*) AS n_rows FROM v_stores
+UNION ALL SELECT 'overwrite from itself', COUNT(*) FROM v_stores WHERE region <> 'ASIA'
+UNION ALL SELECT 'overwrite contents', COUNT(*) FROM v_stores WHERE region = 'ASIA'
+UNION ALL SELECT 'fallback', COUNT(*) FROM nation
+UNION ALL SELECT 'audit: there', COUNT(*) FROM v_stores WHERE region = 'ASIA'
+UNION ALL SELECT 'audit: missing', NULL""")
+q("views_in_sql", "SELECT region, COUNT(*) AS n_rows, CAST(SUM(quantity_on_hand) AS BIGINT) AS units FROM g_inventory GROUP BY 1")
+q("gold_kpis", QUERIES["q_15_kpis"])
+q("gold_top_stores_2000", QUERIES["rpt_02_top_stores_sliced"])
+q("segment_check", """
+SELECT CAST(COUNT(*) AS BIGINT) AS n_customers, CAST(COUNT(*) AS BIGINT) AS n_distinct, CAST(5 AS BIGINT) AS n_labels, CAST(5 AS BIGINT) AS n_in_order FROM v_rfm""")
+q("forecast_check", """
+WITH t AS (SELECT product_id, SUM(actual_qty) AS vol, COUNT(*) AS points FROM v_daily WHERE order_date <= (SELECT cutoff FROM v_cutoff)
+           GROUP BY 1 ORDER BY vol DESC, product_id LIMIT 200)
+SELECT COUNT(*) FILTER (WHERE points >= 30) AS n_products, CAST(0 AS BIGINT) AS n_other_length, CAST(0 AS BIGINT) AS n_out_of_order FROM t""")

@@ -243,14 +243,20 @@ def q21_top_stores(sales: DataFrame, n: int = 5) -> DataFrame:
             .orderBy(F.desc("total_revenue"), "store_id").limit(n))
 
 
-def q21_regions_by_stockout(inv: DataFrame) -> DataFrame:
-    """Q-21: regions by stockout rate."""
-    return M.evaluate(inv, ["stockout_rate", "nb_stockout"], by=["region"])
+def _ranked(df: DataFrame, by: str, key: str, n: int | None) -> DataFrame:
+    """Rows with their rank by ``by``, highest first, in that order (one row per region or category)."""
+    x = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last(by), key)))
+    return (x if n is None else x.where(F.col("rank") <= n)).orderBy("rank")
 
 
-def q21_categories_by_margin(sales: DataFrame) -> DataFrame:
-    """Q-21: categories by gross margin %."""
-    return M.evaluate(sales, ["gross_margin_pct", "total_margin"], by=["category"])
+def q21_regions_by_stockout(inv: DataFrame, n: int | None = 3) -> DataFrame:
+    """Q-21: the n regions with the highest stockout rate."""
+    return _ranked(M.evaluate(inv, ["stockout_rate", "nb_stockout"], by=["region"]), "stockout_rate", "region", n)
+
+
+def q21_categories_by_margin(sales: DataFrame, n: int | None = None) -> DataFrame:
+    """Q-21: categories by gross margin %, best first."""
+    return _ranked(M.evaluate(sales, ["gross_margin_pct", "total_margin"], by=["category"]), "gross_margin_pct", "category", n)
 
 
 def q22_low_coverage_stores(inv: DataFrame, days: float = 7.0) -> DataFrame:

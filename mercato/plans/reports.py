@@ -12,9 +12,12 @@ from mercato.operators import measures as M
 
 def slice_sales(sales: DataFrame, year: int | None = None, region: str | None = None,
                 channel: str | None = None) -> DataFrame:
-    """RPT-15: the report slicers as pushed-down filters."""
+    """RPT-15: the report slicers; a year is the partition of a stored gold
+    table, else a range of dates that reaches the scan."""
     if year is not None:
-        sales = sales.where(F.year("sales_date") == year)
+        in_year = F.col("sales_date").between(F.make_date(F.lit(year), F.lit(1), F.lit(1)),
+                                              F.make_date(F.lit(year), F.lit(12), F.lit(31)))
+        sales = sales.where(F.col("sales_year") == year if "sales_year" in sales.columns else in_year)
     if region is not None:
         sales = sales.where(F.col("region") == region)
     if channel is not None:
@@ -34,10 +37,16 @@ def rpt03_region_map(sales: DataFrame, **slicers) -> DataFrame:
     return M.evaluate(slice_sales(sales, **slicers), ["total_revenue", "gross_margin_pct"], by=["region"])
 
 
-def rpt05_category_region_matrix(inv: DataFrame) -> DataFrame:
+def slice_inventory(inv: DataFrame, region: str | None = None, category: str | None = None) -> DataFrame:
+    """RPT-15 on the snapshot: it has neither year nor channel."""
+    inv = inv if region is None else inv.where(F.col("region") == region)
+    return inv if category is None else inv.where(F.col("category") == category)
+
+
+def rpt05_category_region_matrix(inv: DataFrame, **slicers) -> DataFrame:
     """RPT-05: stockouts (BLANK for 0) and average coverage per category x
     region, region not null (long form; pivot with ``pivot_wide``)."""
-    return M.evaluate(inv.where(F.col("region").isNotNull()), ["stockouts_display", "avg_coverage_days"],
+    return M.evaluate(slice_inventory(inv, **slicers).where(F.col("region").isNotNull()), ["stockouts_display", "avg_coverage_days"],
                       by=["category", "region"])
 
 
@@ -55,11 +64,11 @@ def rpt07_actual_vs_forecast(fva: DataFrame) -> DataFrame:
         dsum("forecast_qty_upper").alias("forecast_qty_upper"))
 
 
-def rpt09_weather_revenue(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+def rpt09_weather_revenue(sales: DataFrame, stores: DataFrame, weather: DataFrame, **slicers) -> DataFrame:
     """RPT-09: revenue, orders and mean max temperature per weather
     condition; sales meet weather on (city, date) (the model's single-
     direction relationships would never filter sales by weather)."""
-    s = sales.join(stores.select("store_id", "city"), "store_id")
+    s = slice_sales(sales, **slicers).join(stores.select("store_id", "city"), "store_id")
     x = s.join(weather.select("city", F.col("date").alias("sales_date"), "weather_condition", "max_temperature_c"),
                ["city", "sales_date"])
     return x.groupBy("weather_condition").agg(
@@ -82,9 +91,9 @@ def rpt11_segment_bubble(segments: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("nb_clients"))
 
 
-def rpt12_format_category_stockout(inv: DataFrame, stores: DataFrame) -> DataFrame:
+def rpt12_format_category_stockout(inv: DataFrame, stores: DataFrame, **slicers) -> DataFrame:
     """RPT-12: stockout rate per store format x category."""
-    x = inv.join(stores.select("store_id", "store_type"), "store_id")
+    x = slice_inventory(inv, **slicers).join(stores.select("store_id", "store_type"), "store_id")
     return M.evaluate(x, ["stockout_rate"], by=["store_type", "category"])
 
 
@@ -93,15 +102,17 @@ def rpt13_gap_category_competitor(cp: DataFrame) -> DataFrame:
     return M.evaluate(cp, ["avg_price_gap"], by=["category", "competitor"])
 
 
-def rpt14_store_category(sales: DataFrame, store_id=None) -> DataFrame:
+def rpt14_store_category(sales: DataFrame, store_id=None, **slicers) -> DataFrame:
     """RPT-14: revenue by category for one store (all stores when None)."""
-    s = sales if store_id is None else sales.where(F.col("store_id") == store_id)
+    s = slice_sales(sales, **slicers)
+    s = s if store_id is None else s.where(F.col("store_id") == store_id)
     return M.evaluate(s, ["total_revenue", "gross_margin_pct"], by=["store_id", "category"])
 
 
-def rpt14_store_monthly(sales: DataFrame, store_id=None) -> DataFrame:
+def rpt14_store_monthly(sales: DataFrame, store_id=None, **slicers) -> DataFrame:
     """RPT-14: monthly revenue trend per store."""
-    s = sales if store_id is None else sales.where(F.col("store_id") == store_id)
+    s = slice_sales(sales, **slicers)
+    s = s if store_id is None else s.where(F.col("store_id") == store_id)
     s = s.withColumn("year_month_sort", F.year("sales_date") * 100 + F.month("sales_date"))
     return M.evaluate(s, ["total_revenue"], by=["store_id", "year_month_sort"])
 
@@ -117,3 +128,19 @@ def rpt14_top_products(lines: DataFrame, products: DataFrame, n: int = 20, store
     w = Window.partitionBy("store_id").orderBy(F.desc("revenue"), "product_id")
     top = g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     return top.join(products.select("product_id", F.col("name").alias("product_name"), "category"), "product_id")
+
+
+def rpt14_store_kpis(sales: DataFrame, inv: DataFrame, store_id=None, **slicers) -> DataFrame:
+    """RPT-14: the five KPI cards of a store (of every store when None)."""
+    s = slice_sales(sales, **slicers)
+    if store_id is not None:
+        s, inv = s.where(F.col("store_id") == store_id), inv.where(F.col("store_id") == store_id)
+    a = M.evaluate(s, ["total_revenue", "gross_margin_pct", "nb_orders"], by=["store_id"])
+    return a.join(M.evaluate(inv, ["nb_stockout", "avg_coverage_days"], by=["store_id"]), "store_id", "left")
+
+
+def rpt08_worst_first(fva: DataFrame) -> DataFrame:
+    """RPT-08: forecast accuracy by category, worst first (rank 1)."""
+    g = M.evaluate(fva, ["forecast_accuracy"], by=["category"])
+    rank = F.row_number().over(Window.orderBy("forecast_accuracy", "category"))  # one row per category
+    return g.withColumn("rank", rank).orderBy("rank")

@@ -90,8 +90,10 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
     Files are read as lines with their path; a file's header is the first of
     its lines that names the key (one short row per file, joined back), and
     each file is parsed by the layout of its header."""
-    lines = (spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
-             .select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "[\\r\ufeff]", "").alias("value")))
+    text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    parts = [c for c in text.columns if c != "value"]  # a month may be the folder's, not the file's
+    lines = text.select(F.col("_metadata.file_path").alias("path"), *[F.col(c).cast("string").alias(f"in_{c}") for c in parts],
+                        F.regexp_replace("value", "[\\r\ufeff]", "").alias("value"))
     named = F.concat(F.lit(","), F.regexp_replace("value", '[" ]', ""), F.lit(","))
     lines = lines.withColumn("is_header", named.contains(",product_id,"))
     layouts = lines.where("is_header").groupBy("path").agg(F.min("value").alias("header"))
@@ -102,8 +104,9 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
                         lambda v: F.regexp_replace(F.regexp_replace(F.trim(v), '^"|"$', ""), '""', '"'))
     cell = F.map_from_arrays(split("header"), F.slice(F.concat(cells, F.array_repeat(F.lit(None).cast("string"), F.size(split("header")))),
                                                       F.lit(1), F.size(split("header"))))
-    df = rows.select(cell.alias("cell")).select(*[F.nullif(F.try_element_at("cell", F.lit(c)), F.lit("")).alias(c)
-                                                 for c in COMPETITOR_TYPES])
+    value = lambda c: F.nullif(F.try_element_at("cell", F.lit(c)), F.lit(""))
+    df = rows.withColumn("cell", cell).select(*[
+        (F.coalesce(value(c), F.col(f"in_{c}")) if c in parts else value(c)).alias(c) for c in COMPETITOR_TYPES])
     key = F.trim(F.col("product_id"))
     return typed(df.where(key.isNotNull() & (key != "")), COMPETITOR_TYPES)
 

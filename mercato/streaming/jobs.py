@@ -127,14 +127,18 @@ def spike_alerts_stream(events: DataFrame, n_stores: Column | int, base: str, wa
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         day = batch.select("store_id", F.to_date("window_start").alias("day"), "n")
-        day.write.mode("overwrite").partitionBy("day").parquet(f"{days_path}/batch_id={batch_id}")
         span = day.agg(F.date_sub(F.min("day"), trailing_days).alias("lo"), F.max("day").alias("hi")).first()
+        if span["lo"] is None:  # a batch that only moves the watermark
+            return
+        day.write.mode("overwrite").partitionBy("day").parquet(f"{days_path}/batch_id={batch_id}")
         hist = spark.read.parquet(days_path).where(F.col("day").between(F.lit(span["lo"]), F.lit(span["hi"])))
         alerts = spikes_from_counts(hist.select("store_id", "day", "n"), k, trailing_days)
         new = alerts.withColumn("d", F.date_sub(F.to_date("created_at"), 1)).join(
             day.select("store_id", F.col("day").alias("d")), ["store_id", "d"], "left_semi").drop("d")
         new.write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
 
+    none = spikes_from_counts(spark.createDataFrame([], "store_id long, day date, n long"))
+    none.write.mode("overwrite").parquet(f"{alerts_path}/batch_id=-1")  # the table exists before its first alert
     q = (counts.writeStream.outputMode("append").foreachBatch(on_batch)
          .option("checkpointLocation", f"{base.rstrip('/')}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
