@@ -7,9 +7,13 @@ when they agree in k-mers and in their order, as texts of small edit
 distance do.  Texts that share a sketch form a bucket.
 
 Inside a bucket nobody is paired with everybody: all members are aligned
-with the bucket's first text; those that are not similar to it stay and
-are aligned with the first of the rest, until no member is left over.
-Links of equal texts are not made: equal texts are one node.
+with the bucket's first text; those that are not similar to it are aligned
+with the first of the rest, and so on for a few rounds.  What is left then
+are texts that share a passage and little else.  Two of them can be similar
+only if they share one of their rarest words (a fifth of the words and one
+more, in a fixed order from rare to frequent), so exactly such pairs are
+aligned and no similar pair is lost.  Links of equal texts are not made:
+equal texts are one node.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercato.llm.alignment import similar
 from mercato.llm.common import arrow_batches, text_of, written
@@ -31,6 +35,7 @@ K = 5           # words in a k-mer
 SKETCHES = 24
 MINIMA = 2      # k-mers in a sketch
 THRESHOLD = 0.8
+ROUNDS = 3      # texts of a bucket that its other members are aligned with, before the rest is joined by rare words
 PLACE_BITS = 28  # a sketch value is a hash above the k-mer's place in its text
 M64 = 0xFFFFFFFFFFFFFFFF
 
@@ -149,6 +154,33 @@ def verified(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataF
             .mapInArrow(run, "node long, centre long, similar boolean"))
 
 
+def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(node, word, n) for the words of each node that a similar text must share one of.
+
+    Words are labelled with their occurrence, so that shared words count as
+    often as both texts have them; n is the number of words of the node.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, packed in zip(b.column("node").to_pylist(), b.column("tokens").to_pylist()):
+                w = np.sort(np.frombuffer(packed, np.uint32).astype(np.uint64))
+                new = np.concatenate([[True], w[1:] != w[:-1]]) if len(w) else np.empty(0, bool)
+                at = np.arange(len(w))
+                nth = at - np.maximum.accumulate(np.where(new, at, 0))
+                label = (w << np.uint64(31)) + nth.astype(np.uint64)
+                for s in range(0, len(w), 1 << 16):
+                    part = label[s:s + (1 << 16)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node)), pa.array(part),
+                                                      pa.array(np.full(len(part), len(w)))], names=["node", "word", "n"])
+
+    words = written(token_rows.join(nodes, "node", "left_semi").mapInArrow(run, "node long, word long, n long"), "words")
+    count = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
+    most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
+    return (words.join(count, "word").withColumn("rank", rank).filter(F.col("rank") <= most)
+            .select("node", "word", "n"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, sketches: int = SKETCHES,
                minima: int = MINIMA, threshold: float = THRESHOLD) -> DataFrame:
     """Classes of documents linked by edit similarity of at least ``threshold`` (over lower-case words).
@@ -178,20 +210,33 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     token_rows = written(token_table(texts).dropDuplicates(["node"]), "tokens")
 
     links, open_, tested = [], members, None
-    while True:
-        centres = (open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
-                   .filter("n > 1").select("bucket", "centre"))
-        asked = written(open_.join(centres, "bucket").filter("node <> centre"), "asked")
-        if asked.isEmpty():
-            break
-        pairs = asked.select("node", "centre").distinct()
+
+    def test(pairs: DataFrame) -> None:
+        nonlocal tested
         if tested is not None:
             pairs = pairs.join(tested, ["node", "centre"], "left_anti")
         found = written(verified(pairs, token_rows, threshold), "verified")
         links.append(found.filter("similar").select(F.col("node").alias("u"), F.col("centre").alias("v")))
         tested = found if tested is None else tested.union(found)
+
+    for _ in range(ROUNDS):
+        centres = (open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+                   .filter("n > 1").select("bucket", "centre"))
+        asked = written(open_.join(centres, "bucket").filter("node <> centre"), "asked")
+        if asked.isEmpty():
+            break
+        test(asked.select("node", "centre").distinct())
         linked = tested.filter("similar").select("node", "centre")
         open_ = written(asked.join(linked, ["node", "centre"], "left_anti").select("node", "bucket"), "open")
+    else:
+        crowded = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+        rest = open_.join(crowded, "bucket")
+        rare = rest.join(rare_words(token_rows, rest.select("node").distinct(), threshold), "node")
+        a = rare.select("bucket", "word", "node", "n")
+        b = rare.select("bucket", "word", F.col("node").alias("centre"), F.col("n").alias("m"))
+        near = (F.col("n") >= F.col("m") * threshold) & (F.col("m") >= F.col("n") * threshold)
+        test(a.join(b, ["bucket", "word"]).filter((F.col("node") > F.col("centre")) & near)
+             .select("node", "centre").distinct())
     if links:
         edges = links[0]
         for x in links[1:]:
