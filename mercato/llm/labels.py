@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mercato.llm.common import text_of
+from mercato.llm.common import hash_sample, text_of
 
 PER_LABEL = 1500       # labelled rows of each label a classifier learns from, at most
 LONGEST_CHARS = 50000  # longest text that may be in the sample
@@ -29,7 +29,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, may_lear
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).filter(
         F.col("__y").isin(0, 1) & F.col("__id").isNotNull())
     known = known.filter(may_learn)
-    parts = [known.filter(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(per_label) for y in (0, 1)]
+    parts = [hash_sample(known.filter(F.col("__y") == y), per_label, F.xxhash64("__id")) for y in (0, 1)]
     texts = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__text")).filter(
         F.length("__text") <= LONGEST_CHARS)
     rows = (texts.join(F.broadcast(parts[0].union(parts[1])), F.col("__doc") == F.col("__id"))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mercato.llm.common import written
+from mercato.llm.common import hash_sample, written
 from mercato.llm.cover_tree import search
 
 SCALE = 256
@@ -99,7 +99,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     vecs = written(integer_vectors(vectors, id_col, vector_col), "vectors")
     n = vecs.count()
     wanted = min(MOST_PIVOTS, max(16, n // CELL_ROWS))
-    pivots = Pivots(vecs.orderBy(F.xxhash64("v"), "row").limit(wanted).select("row", "v").collect())
+    pivots = Pivots(hash_sample(vecs, wanted, F.xxhash64("row")).select("row", "v").collect())
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -23,7 +23,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm.common import arrow_batches, text_of
+from mercato.llm.common import arrow_batches, hash_sample, text_of
 
 # Fixed values of the WARC 1.1 and Zstandard formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -155,10 +155,10 @@ def frames(stream) -> Iterator[tuple[int, bytes]]:
 
 
 def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
-    """A dictionary from a bounded sample: the SAMPLE_PAGES pages of up to SAMPLE_CHARS with the smallest hash."""
+    """A dictionary from a bounded sample: SAMPLE_PAGES pages of up to SAMPLE_CHARS, by a hash of the row number."""
     body = text_of(html_col)
-    rows = (pages.select(body.alias("body")).filter(F.length("body") <= SAMPLE_CHARS)
-            .orderBy(F.xxhash64("body"), "body").limit(SAMPLE_PAGES).collect())
+    short = pages.select(body.alias("body")).filter(F.length("body") <= SAMPLE_CHARS)
+    rows = hash_sample(short, SAMPLE_PAGES, F.xxhash64(F.monotonically_increasing_id())).collect()
     samples = [record_bytes(i, f"http://www.example.org/{i}", p := r["body"].encode("utf-8", "replace"), None, None,
                             bare_digest(p), False) for i, r in enumerate(rows)]
     try:
