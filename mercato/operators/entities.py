@@ -36,14 +36,6 @@ ENTITY_PROPERTIES = {
                   "budget_eur": "Budget_EUR", "is_active": "Is_Active"},
 }
 
-# True keys of each entity (the declared single-column keys are not unique).
-ENTITY_KEYS = {
-    "Store": ["store_id"], "Product": ["product_id"], "InventoryStatus": ["store_id", "product_id"],
-    "ForecastVsActual": ["product_id", "forecast_date"], "DemandForecast": ["product_id", "forecast_date"],
-    "CustomerSegment": ["customer_id"], "CompetitorPrice": ["snapshot_month", "product_id", "competitor"],
-    "WeatherObservation": ["date", "city"], "Promotion": ["promo_name", "start_date", "category"],
-}
-
 # Entity relationships (name: source entity, source column,
 # target entity, target column).
 RELATIONSHIPS = {

@@ -132,15 +132,3 @@ def demand_forecast(r: Retail, horizon: int = 90, top_n: int | None = 200, min_p
               "forecast_qty_upper double, status string")
     return act.groupBy("product_id").applyInPandas(
         lambda pdf: fit_predict(pdf, horizon, min_points), schema)
-
-
-def forecast_summary(fc: DataFrame) -> DataFrame:
-    """Rows per status of a forecast run (ok / skipped / error)."""
-    return fc.groupBy(F.split("status", ":").getItem(0).alias("status")).agg(
-        F.count_distinct("product_id").alias("n_products"), F.count(F.lit(1)).alias("n_rows"))
-
-
-def future_rows(fc: DataFrame, as_of: Column) -> DataFrame:
-    """RPT-10 / SRT-05: forecast rows strictly after the analysis date."""
-    return fc.where(F.col("forecast_date") > as_of)
-
