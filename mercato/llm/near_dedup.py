@@ -35,6 +35,7 @@ K = 5           # words in a k-mer
 SKETCHES = 24
 MINIMA = 2      # k-mers in a sketch
 THRESHOLD = 0.8
+PREV_WORDS = 256
 ROUNDS = 3      # texts of a bucket that its other members are aligned with, before the rest is joined by rare words
 PLACE_BITS = 28  # a sketch value is a hash above the k-mer's place in its text
 M64 = 0xFFFFFFFFFFFFFFFF
@@ -155,10 +156,14 @@ def verified(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataF
 
 
 def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(node, word, n) for the words of each node that a similar text must share one of.
+    """(node, word, n, prev) for the words of each node that a similar text must share one of.
 
     Words are labelled with their occurrence, so that shared words count as
     often as both texts have them; n is the number of words of the node.
+    ``prev`` are the rarer words of the node: a pair is made at the first
+    word it shares, not at every one.  A node of more than PREV_WORDS such
+    words has none and may be paired more than once.  Words of one text are
+    left out after the choice.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -177,8 +182,12 @@ def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> Dat
     count = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
     most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    return (words.join(count, "word").withColumn("rank", rank).filter(F.col("rank") <= most)
-            .select("node", "word", "n"))
+    chosen = words.join(count, "word").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("texts") > 1))
+    # a list is bounded by the words of one text
+    lists = chosen.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("texts", "word"))).alias("rare"))
+    return (lists.select("node", "n", F.col("rare.word").alias("rare"))
+            .select("node", "n", "rare", F.posexplode("rare").alias("at", "word"))
+            .select("node", "word", "n", F.when(F.size("rare") <= PREV_WORDS, F.slice("rare", F.lit(1), F.col("at"))).alias("prev")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, sketches: int = SKETCHES,
@@ -231,12 +240,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         crowded = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
         rest = open_.join(crowded, "bucket")
-        rare = rest.join(rare_words(token_rows, rest.select("node").distinct(), threshold), "node")
-        a = rare.select("bucket", "word", "node", "n")
-        b = rare.select("bucket", "word", F.col("node").alias("centre"), F.col("n").alias("m"))
+        rare = written(rare_words(token_rows, rest.select("node").distinct(), threshold), "rare")
+        a = rare.select("word", "node", "n", F.col("prev").alias("a_prev"))
+        b = rare.select("word", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("prev").alias("b_prev"))
         near = (F.col("n") >= F.col("m") * threshold) & (F.col("m") >= F.col("n") * threshold)
-        test(a.join(b, ["bucket", "word"]).filter((F.col("node") > F.col("centre")) & near)
-             .select("node", "centre").distinct())
+        first = ~F.coalesce(F.arrays_overlap("a_prev", "b_prev"), F.lit(False))
+        test(a.join(b, "word").filter((F.col("node") > F.col("centre")) & near & first).select("node", "centre").distinct())
     if links:
         edges = links[0]
         for x in links[1:]:
