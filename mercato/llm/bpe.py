@@ -38,7 +38,7 @@ WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 
 BLOCK_CHARS = 6 << 20  # characters after which a block of documents is closed
 DEAL = 64               # word buckets: tasks that can encode words at the same time, at most
-BLOCK_ROWS = 4          # blocks in an Arrow batch
+BLOCK_ROWS = 2          # blocks in an Arrow batch
 
 BLOCK_SCHEMA = ("block long, ids array<{id}>, words array<int>, ranks binary, buckets binary, "
                 "parts array<struct<bucket:int,pack:binary>>")
@@ -145,6 +145,7 @@ def blocks(docs: DataFrame, content: str, deal: int) -> DataFrame:
                 if held >= BLOCK_CHARS:
                     yield close(ids, codes, known)
                     ids, codes, held, known = [], [], 0, defaultdict(itertools.count().__next__)
+                    pa.default_memory_pool().release_unused()
         if ids:
             yield close(ids, codes, known)
 
@@ -230,6 +231,8 @@ def assembled(joined: DataFrame, content: str, id_type: str, with_ids: bool) ->
                 step = 512 if with_ids else 8192
                 for s in range(0, out.num_rows, step):
                     yield out.slice(s, step)
+                del cols, out, run_, data, view, text, ids
+                pa.default_memory_pool().release_unused()
 
     return joined.select("ids", "words", "ranks", "buckets", "packs").mapInArrow(run, schema)
 
