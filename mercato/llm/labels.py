@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.common import hash_sample, text_of
 
-PER_LABEL = 1500       # labelled rows of each label a classifier learns from, at most
+PER_LABEL = 1000       # labelled rows of each label a classifier learns from, at most
 LONGEST_CHARS = 50000  # longest text that may be in the sample
 
 
