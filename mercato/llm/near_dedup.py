@@ -206,10 +206,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     base = base.withColumn("sha", F.sha2("text", 256))
     rows = written(sketched(base, k, sketches, minima).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    nodes = rows.groupBy("sha").agg(F.min("row").alias("node"))
+    # sums that are joined back are written, so that the joins read plain shuffles and hot keys can be split
+    nodes = written(rows.groupBy("sha").agg(F.min("row").alias("node")), "nodes")
     names = (rows.join(nodes, (rows["row"] == nodes["node"]) & (rows["sha"] == nodes["sha"]), "left_semi")
              .select(F.col("row").alias("node"), F.explode("sketches").alias("bucket")))
-    crowded = names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    crowded = written(names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "crowded")
     members = written(names.join(crowded, "bucket"), "members")
 
     needed = (rows.join(members.select("node").distinct(), F.col("row") == F.col("node"))
@@ -229,8 +230,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         tested = found if tested is None else tested.union(found)
 
     for _ in range(ROUNDS):
-        centres = (open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
-                   .filter("n > 1").select("bucket", "centre"))
+        centres = written(open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+                          .filter("n > 1").select("bucket", "centre"), "centres")
         asked = written(open_.join(centres, "bucket").filter("node <> centre"), "asked")
         if asked.isEmpty():
             break
@@ -259,7 +260,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("sha", F.coalesce("root", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     named = written(rows.select("id", "row", "sha").join(classes, "sha"), "classes")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    heads = named.groupBy("class").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("class_size"))
+    heads = written(named.groupBy("class").agg(F.min(order).alias("head"), F.count(F.lit(1)).alias("class_size")), "heads")
     return named.join(heads, "class").select(
         F.col("id").alias(id_col), F.col("head.id").alias("class_id"), "class_size",
         F.col("n_links").cast("long").alias("n_links"), (F.col("row") == F.col("head.row")).alias("kept"),
