@@ -114,8 +114,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seeds += 1
     recipes = written(parts.select("id", "sha256", F.transform("chunks", lambda c: name(c, seeds)).alias("recipe"))
                       .withColumn("row", F.monotonically_increasing_id()), "recipes")
-    groups = recipes.groupBy("recipe").agg(F.max(F.struct("id", "row")).alias("stays"),
-                                           F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join below reads two plain shuffles and a hot recipe's rows can be split
+    groups = written(recipes.groupBy("recipe").agg(F.max(F.struct("id", "row")).alias("stays"),
+                                                   F.count(F.lit(1)).alias("group_size")), "groups")
     return recipes.join(groups, "recipe").select(
         F.col("id").alias(id_col), F.col("stays.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("stays.row")).alias("kept"), F.col("sha256").alias("text_sha256"))
