@@ -121,7 +121,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scanned = written(scan(base, id_type).withColumn("row", F.monotonically_increasing_id()), "secrets")
     found = scanned.select("row", "owner", "repository", F.explode("found").alias("s")).select(
         "row", "owner", "repository", "s.*")
-    verdicts = ownership(found).select("hash", (F.col("owners") <= max_owners).alias("live"))
+    # written, so that the join reads two plain shuffles and the rows of a hot value can be split
+    verdicts = written(ownership(found).select("hash", (F.col("owners") <= max_owners).alias("live")), "verdicts")
     marks = (found.join(verdicts, "hash").groupBy("row")
              .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("marks")))
     kind = lambda m: F.element_at(F.array(*map(F.lit, KINDS)), m["kind"] + 1)

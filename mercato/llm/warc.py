@@ -23,7 +23,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm.common import arrow_batches, hash_sample, text_of
+from mercato.llm.common import arrow_batches, hash_sample, text_of, written
 
 # Fixed values of the WARC 1.1 and Zstandard formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -186,8 +186,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     base = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         text_of(html_col).alias("html"))
     base = base.withColumn("key", F.sha2("html", 256))
-    groups = base.filter(F.octet_length("html") >= revisit_from_bytes).groupBy("key").agg(
-        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "url"))).alias("first"))
+    # written, so that the join reads two plain shuffles and the rows of a hot payload can be split
+    groups = written(base.filter(F.octet_length("html") >= revisit_from_bytes).groupBy("key").agg(
+        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "url"))).alias("first")), "payloads")
     rows = (base.join(groups, "key", "left")
             .select("id", "url", "html", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"))
             .sortWithinPartitions("id", "url", "html"))  # the same archives on every attempt
