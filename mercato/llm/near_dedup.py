@@ -1,11 +1,15 @@
 """Near-dedup by Order MinHash, candidates verified by banded alignment.
 
-The k-mers of a text are runs of five words, labelled with the number of
+The k-mers of a text are runs of three words, labelled with the number of
 their occurrence.  A sketch holds the few k-mers with the smallest hashes
 in the order in which they stand in the text, so two texts share a sketch
 when they agree in k-mers and in their order, as texts of small edit
 distance do.  Texts that share a sketch form a bucket.
 
+A short text has too few k-mers for that.  Instead all its runs of a few
+words are names of buckets: ``e`` edits leave one of ``e + 1`` pieces of the
+shorter text whole, so short similar texts always share such a run.
+
 Inside a bucket nobody is paired with everybody: all members are aligned
 with the bucket's first text; those that are not similar to it are aligned
 with the first of the rest, and so on for a few rounds.  What is left then
@@ -26,15 +30,17 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mercato.llm.alignment import similar
+from mercato.llm.alignment import allowed_edits, similar
 from mercato.llm.common import arrow_batches, text_of, written
 from mercato.llm.components import components
 from mercato.llm.words import tokens
 
-K = 5           # words in a k-mer
-SKETCHES = 24
+K = 3           # words in a k-mer
+SKETCHES = 48
 MINIMA = 2      # k-mers in a sketch
 THRESHOLD = 0.8
+SHORT = 50      # two similar texts of at most so many words share a run of words
+RUN = 3         # words of such a run, or fewer where the threshold asks for it
 PREV_WORDS = 256
 ROUNDS = 3      # texts of a bucket that its other members are aligned with, before the rest is joined by rare words
 PLACE_BITS = 28  # a sketch value is a hash above the k-mer's place in its text
@@ -108,18 +114,64 @@ def order_minhash(kmers: np.ndarray, upto: np.ndarray, sketches: int, minima: in
     return out
 
 
-def sketched(docs: DataFrame, k: int, sketches: int, minima: int) -> DataFrame:
+def run_widths(threshold: float) -> np.ndarray:
+    """[words of a text, width]: whether the text's runs of that width are names.
+
+    Of two similar texts, the longer with ``m`` words, the shorter has a
+    piece of (m - e) // (e + 1) words or more that none of the ``e`` allowed
+    edits touches.  Both texts name all their runs of that width.
+    """
+    out = np.zeros((SHORT + 1, RUN + 1), bool)
+    for m in range(1, SHORT + 1):
+        e = allowed_edits(m, m, threshold)
+        out[m - e:m + 1, min(RUN, max(1, (m - e) // (e + 1)))] = True
+    out[0] = False
+    return out
+
+
+def _some(tok: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and offsets of the texts ``docs`` alone."""
+    lengths = np.diff(offsets)
+    take = np.zeros(len(lengths), bool)
+    take[docs] = True
+    return tok[np.repeat(take, lengths)], np.concatenate([[0], np.cumsum(lengths[docs])])
+
+
+def bucket_names(tok: np.ndarray, offsets: np.ndarray, k: int, sketches: int, minima: int,
+                 threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The names of all texts one after the other, and their offsets; an empty text has none."""
+    lengths = np.diff(offsets)
+    # a pair whose longer text is not short has two texts of at least this many words
+    least = SHORT + 1 - allowed_edits(SHORT + 1, SHORT + 1, threshold)
+    long = np.flatnonzero(lengths >= max(1, least))
+    docs, names = [], []
+    if len(long):
+        rows = order_minhash(*labelled_kmers(*_some(tok, offsets, long), k), sketches, minima)
+        docs.append(np.repeat(long, sketches))
+        names.append(rows.ravel())
+    widths = run_widths(threshold)
+    for w in range(1, RUN + 1):
+        mine = np.flatnonzero((lengths <= SHORT) & widths[np.minimum(lengths, SHORT), w])
+        if len(mine):
+            kmers, upto = labelled_kmers(*_some(tok, offsets, mine), w)
+            docs.append(np.repeat(mine, np.diff(upto)))
+            names.append(_mix(kmers + np.uint64(w)).view(np.int64))
+    if not docs:
+        return np.empty(0, np.int64), np.zeros(len(lengths) + 1, np.int64)
+    doc = np.concatenate(docs)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(lengths)))])
+    return np.concatenate(names)[np.argsort(doc, kind="stable")], ends
+
+
+def sketched(docs: DataFrame, k: int, sketches: int, minima: int, threshold: float) -> DataFrame:
     """(id, sha, text) -> (id, sha, sketches array<long>); an empty text has no sketches."""
     arrow_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kmers, upto = labelled_kmers(*token_hashes(b.column("text")), k)
-            full = np.diff(upto) > 0
-            rows = order_minhash(kmers, upto, sketches, minima).ravel() if full.any() else np.empty(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum(full * sketches)]).astype(np.int32)
+            names, ends = bucket_names(*token_hashes(b.column("text")), k, sketches, minima, threshold)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("sha"), pa.ListArray.from_arrays(pa.array(ends), pa.array(rows))],
+                [b.column("id"), b.column("sha"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(names))],
                 names=["id", "sha", "sketches"])
 
     id_type = docs.schema["id"].dataType.simpleString()
@@ -198,14 +250,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class_size (rows), n_links (verified links of the row's text to other
     texts), kept (one row of each class: the smallest id, of repeated rows
     one), text_sha256.  A null text counts as empty; all empty texts are one
-    class, as equal texts always are.  A null id sorts after all others.  A
-    text of fewer than five words is one k-mer and is near only to texts of
-    the same words.  An empty table gives an empty result; other columns are
-    ignored.
+    class, as equal texts always are.  A null id sorts after all others.  Texts
+    of up to SHORT words are compared wherever they can be similar, longer
+    ones where they share a sketch.  An empty table gives an empty result;
+    other columns are ignored.
     """
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     base = base.withColumn("sha", F.sha2("text", 256))
-    rows = written(sketched(base, k, sketches, minima).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    rows = written(sketched(base, k, sketches, minima, threshold).withColumn("row", F.monotonically_increasing_id()), "sketches")
     # sums that are joined back are written, so that the joins read plain shuffles and hot keys can be split
     nodes = written(rows.groupBy("sha").agg(F.min("row").alias("node")), "nodes")
     names = (rows.join(nodes, (rows["row"] == nodes["node"]) & (rows["sha"] == nodes["sha"]), "left_semi")

@@ -123,3 +123,39 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {n: 0 for n in [*range(1, 31), *range(100, 140)]}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def planted(r, n, similarity):
+    """A text of n words and a copy with as many other words as the similarity allows, spread over it."""
+    a = [f"w{r.randrange(20000)}" for _ in range(n)]
+    b = list(a)
+    for i in r.sample(range(n), int((1 - similarity) * n + 1e-9)):
+        b[i] = f"x{r.randrange(20000)}"
+    return " ".join(a), " ".join(b)
+
+
+def test_pairs_at_the_threshold_and_short_pairs_are_found(spark):
+    r = random.Random(11)
+    short = [planted(r, n, 0.8) for n in range(5, 13) for _ in range(12)]
+    short += [(" ".join(w), " ".join(w[:i] + w[i + 1:])) for w in ([f"v{r.randrange(20000)}" for _ in range(n)]
+                                                                   for n in range(5, 13)) for i in (0, len(w) // 2)]
+    long = [planted(r, r.randrange(60, 250), s) for s in (0.8, 0.82, 0.85) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(t for pair in short + long for t in pair)]
+    got = {x.doc_id: x.class_id for x in check(spark.createDataFrame(rows, "doc_id long, text string"), rows)}
+    found = [got[2 * i] == got[2 * i + 1] for i in range(len(rows) // 2)]
+    assert all(found[:len(short)])
+    assert np.mean(found[len(short):]) >= 0.97
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=N.SHORT),
+       st.lists(st.tuples(st.integers(0, N.SHORT), st.integers(0, 30), st.sampled_from("sdi")), max_size=9))
+def test_similar_short_texts_share_a_name(a, changes):
+    b = list(a)
+    for at, x, what in changes:
+        if at < len(b):
+            b[at:at + 1] = {"s": [x], "d": [], "i": [x, b[at]]}[what]
+    if b and max(len(a), len(b)) <= N.SHORT and edits(a, b) <= allowed_edits(len(a), len(b), 0.8):
+        tok, off = N.token_hashes(pa.array([" ".join(f"w{x}" for x in t) for t in (a, b)], pa.large_string()))
+        names, ends = N.bucket_names(tok, off, N.K, N.SKETCHES, N.MINIMA, N.THRESHOLD)
+        assert set(names[:ends[1]]) & set(names[ends[1]:])
