@@ -12,17 +12,21 @@ shorter text whole, so short similar texts always share such a run.
 
 Inside a bucket nobody is paired with everybody: all members are aligned
 with the bucket's first text; those that are not similar to it are aligned
-with the first of the rest, and so on for a few rounds.  What is left then
-are texts that share a passage and little else.  Two of them can be similar
-only if they share one of their rarest words (a fifth of the words and one
-more, in a fixed order from rare to frequent), so exactly such pairs are
-aligned and no similar pair is lost.  Links of equal texts are not made:
-equal texts are one node.
+with the first of the rest, and so on for a few rounds.  Similarity is not
+transitive, so members that left with a centre may be similar to others of
+the bucket.  The links found so far form components; all members, centres
+too, of a bucket that still spans several are joined by words.  Two of them
+can be similar only if they share one of their rarest words (a fifth of the
+words and one more, in a fixed order from rare to frequent), so exactly such
+pairs of different components are aligned, and texts of one bucket that are
+similar end in one class.  Links of equal texts are not made: equal texts
+are one node.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -208,14 +212,15 @@ def verified(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataF
 
 
 def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(node, word, n, prev) for the words of each node that a similar text must share one of.
-
-    Words are labelled with their occurrence, so that shared words count as
-    often as both texts have them; n is the number of words of the node.
-    ``prev`` are the rarer words of the node: a pair is made at the first
-    word it shares, not at every one.  A node of more than PREV_WORDS such
-    words has none and may be paired more than once.  Words of one text are
-    left out after the choice.
+    """(node, word, n, prev, c, groups) for the words of each node that a similar text must share one of.
+
+    Nodes come with their component (node, comp).  Words are labelled with
+    their occurrence, so that shared words count as often as both texts have
+    them; n is the number of words of the node.  ``prev`` are the rarer words
+    of the node: a pair is made at the first word it shares, not at every
+    one.  A node of more than PREV_WORDS such words has none and may be
+    paired more than once.  Words of one component are left out after the
+    choice; the ``groups`` components that hold a word are numbered by ``c``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,12 +239,39 @@ def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> Dat
     count = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
     most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    chosen = words.join(count, "word").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("texts") > 1))
+    chosen = written(words.join(count, "word").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("texts") > 1))
+                     .join(nodes, "node").select("node", "comp", "n", "word", "texts"), "chosen")
+    held = chosen.select("word", "comp").distinct()
+    by_word = Window.partitionBy("word")
+    held = written(held.withColumn("c", F.row_number().over(by_word.orderBy("comp")) - 1)
+                   .withColumn("groups", F.count(F.lit(1)).over(by_word)).filter("groups > 1"), "held")
     # a list is bounded by the words of one text
-    lists = chosen.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("texts", "word"))).alias("rare"))
-    return (lists.select("node", "n", F.col("rare.word").alias("rare"))
-            .select("node", "n", "rare", F.posexplode("rare").alias("at", "word"))
-            .select("node", "word", "n", F.when(F.size("rare") <= PREV_WORDS, F.slice("rare", F.lit(1), F.col("at"))).alias("prev")))
+    lists = chosen.join(held, ["word", "comp"]).groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "word", "c", "groups"))).alias("rare"))
+    return (lists.select("node", "n", "rare", F.col("rare.word").alias("all"), F.posexplode("rare").alias("at", "one"))
+            .select("node", "one.word", "n", "one.c", "one.groups",
+                    F.when(F.size("all") <= PREV_WORDS, F.slice("all", F.lit(1), F.col("at"))).alias("prev")))
+
+
+def joined_by_words(rare: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (node, centre) of different components that share a rare word and could be similar by their lengths.
+
+    Two numbers of components differ first at one of their bits, and a pair
+    meets at that bit alone; members of one component never meet, however
+    many of them share a word.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("groups") - 1)) - 1))
+    rows = written(rare.withColumn("level", level).withColumn("above", F.expr("shiftright(c, level + 1)"))
+                   .withColumn("bit", F.expr("shiftright(c, level) & 1"))
+                   # a number with the other bit is there
+                   .filter("bit = 1 OR shiftleft(2 * above + 1, level) < groups").drop("c", "groups"), "rare")
+    key = ["word", "level", "above"]
+    a = rows.filter("bit = 1").select(*key, F.col("node").alias("x"), "n", F.col("prev").alias("a_prev"))
+    b = rows.filter("bit = 0").select(*key, F.col("node").alias("y"), F.col("n").alias("m"), F.col("prev").alias("b_prev"))
+    near = (F.col("n") >= F.col("m") * threshold) & (F.col("m") >= F.col("n") * threshold)
+    first = ~F.coalesce(F.arrays_overlap("a_prev", "b_prev"), F.lit(False))
+    return a.join(b, key).filter(near & first).select(
+        F.greatest("x", "y").alias("node"), F.least("x", "y").alias("centre")).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, sketches: int = SKETCHES,
@@ -290,22 +322,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         test(asked.select("node", "centre").distinct())
         linked = tested.filter("similar").select("node", "centre")
         open_ = written(asked.join(linked, ["node", "centre"], "left_anti").select("node", "bucket"), "open")
-    else:
-        crowded = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-        rest = open_.join(crowded, "bucket")
-        rare = written(rare_words(token_rows, rest.select("node").distinct(), threshold), "rare")
-        a = rare.select("word", "node", "n", F.col("prev").alias("a_prev"))
-        b = rare.select("word", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("prev").alias("b_prev"))
-        near = (F.col("n") >= F.col("m") * threshold) & (F.col("m") >= F.col("n") * threshold)
-        first = ~F.coalesce(F.arrays_overlap("a_prev", "b_prev"), F.lit(False))
-        test(a.join(b, "word").filter((F.col("node") > F.col("centre")) & near & first).select("node", "centre").distinct())
-    if links:
-        edges = links[0]
-        for x in links[1:]:
-            edges = edges.union(x)
-    else:
-        edges = rows.sparkSession.createDataFrame([], "u long, v long")
-    roots = components(edges)
+
+    def edges_of(found: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, found) if found else rows.sparkSession.createDataFrame([], "u long, v long")
+
+    roots = components(edges_of(links))
+    placed = written(members.join(roots, "node", "left").select("node", "bucket", F.coalesce("root", "node").alias("comp")),
+                     "placed")
+    # the rounds have tested every pair of a small bucket without links
+    spans = (placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+             .agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n"))
+             .filter((F.col("comps") > 1) & ((F.col("comps") < F.col("n")) | (F.col("n") > ROUNDS + 1))))
+    rest = written(placed.join(written(spans.select("bucket"), "spans"), "bucket").select("node", "comp").distinct(), "rest")
+    if not rest.isEmpty():
+        test(joined_by_words(rare_words(token_rows, rest, threshold), threshold))
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links[-1]))
+    edges = edges_of(links)
     degrees = (edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
                .groupBy("u").agg(F.count(F.lit(1)).alias("n_links")))
     classes = (nodes.join(roots, "node", "left").join(degrees, F.col("node") == F.col("u"), "left")

@@ -159,3 +159,29 @@ def test_similar_short_texts_share_a_name(a, changes):
         tok, off = N.token_hashes(pa.array([" ".join(f"w{x}" for x in t) for t in (a, b)], pa.large_string()))
         names, ends = N.bucket_names(tok, off, N.K, N.SKETCHES, N.MINIMA, N.THRESHOLD)
         assert set(names[:ends[1]]) & set(names[ends[1]:])
+
+
+def test_a_text_similar_to_a_matched_member_only(spark):
+    """x is similar to the bucket's first text c and to y, c and y are not similar: one class all the same."""
+    r = random.Random(2)
+    while True:
+        x = [f"w{r.randrange(20000)}" for _ in range(100)]
+        c = [f"c{i}" if i < 18 else w for i, w in enumerate(x)]
+        y = [f"y{i}" if 90 <= i else w for i, w in enumerate(x)]
+        tok, off = N.token_hashes(pa.array([" ".join(t) for t in (c, x, y)], pa.large_string()))
+        names, _ = N.bucket_names(tok, off, N.K, 1, 1, N.THRESHOLD)
+        if len(set(names.tolist())) == 1:  # the only bucket holds all three
+            break
+    assert (edits(c, x), edits(x, y), edits(c, y)) == (18, 10, 28)
+    rows = [(i, " ".join(t)) for i, t in enumerate((c, x, y))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = N.near_dedup(docs, sketches=1, minima=1).collect()
+    assert {g.class_id for g in got} == {0} and {g.doc_id: g.n_links for g in got} == {0: 1, 1: 2, 2: 1}
+
+
+def test_members_of_one_component_are_not_paired_by_words(spark):
+    rare = spark.createDataFrame([(n, 7, 10, c, 4, []) for n, c in enumerate([0] * 5 + [1, 1, 2, 3])],
+                                 "node long, word long, n long, c int, groups long, prev array<long>")
+    comp = dict(enumerate([0] * 5 + [1, 1, 2, 3]))
+    got = sorted((p.node, p.centre) for p in N.joined_by_words(rare, 0.8).collect())
+    assert got == sorted((i, j) for i in comp for j in comp if i > j and comp[i] != comp[j])
