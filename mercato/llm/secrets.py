@@ -3,8 +3,9 @@
 Every text is scanned for three kinds of credentials (assignments, access
 keys, long hexadecimal strings) and for other random-looking tokens.  The
 hashes of all candidates are counted over the whole corpus by distinct
-repositories and owners.  A value that many owners hold is an example
-copied around; one that few owners hold looks live.  Random-looking tokens
+repositories and owners.  A value that many owners or many repositories
+hold is an example copied around; one that few owners hold in few
+repositories looks live.  Random-looking tokens
 are reported (kind ``owned``) only when they look live; the three base
 kinds are always reported, with the number that look live beside them.
 Only hashes of values leave the scan.
@@ -34,6 +35,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_ENTROPY = 3.0  # bits a character
 MAX_OWNERS = 2     # a value held by more owners is a copied example
+MAX_REPOSITORIES = 3  # so is one in more repositories, as in all four languages of one source
 
 SCAN_SCHEMA = ("id {id}, owner string, repository string, n_assign long, n_access long, n_hex long, "
                "base_sha256 string, found array<struct<start:long,kind:int,end:long,hash:string>>")
@@ -102,14 +104,17 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repository_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
+                 repository_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS,
+                 max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """Secrets of every document, with ownership over the whole corpus.
 
     Returns one row per input row: id, n_assign, n_access, n_hex,
     base_sha256, spans (kind:start:end of every span by start, then kind;
-    code points, end exclusive; empty when there is none), n_live and
-    n_copied (spans whose value at most, or more than, ``max_owners`` owners
-    hold).  Null text is empty; null owners and repositories are one owner
+    code points, end exclusive; empty when there is none), n_live (spans whose
+    value at most ``max_owners`` owners hold in at most ``max_repositories``
+    repositories), n_copied (the other spans), span_owners and
+    span_repositories (counts of each span's value, in the order of spans).
+    Null text is empty; null owners and repositories are one owner
     and one repository.  Repeated rows are separate documents of one owner.
     An empty table gives an empty result.  Other columns are ignored.
     """
@@ -122,16 +127,18 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = scanned.select("row", "owner", "repository", F.explode("found").alias("s")).select(
         "row", "owner", "repository", "s.*")
     # written, so that the join reads two plain shuffles and the rows of a hot value can be split
-    verdicts = written(ownership(found).select("hash", (F.col("owners") <= max_owners).alias("live")), "verdicts")
+    verdicts = written(ownership(found).withColumn(
+        "live", (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)), "verdicts")
     marks = (found.join(verdicts, "hash").groupBy("row")
-             .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("marks")))
+             .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("marks")))
     kind = lambda m: F.element_at(F.array(*map(F.lit, KINDS)), m["kind"] + 1)
-    shown = F.filter(F.coalesce("marks", F.array().cast("array<struct<start:long,kind:int,end:long,live:boolean>>")),
-                     lambda m: (m["kind"] < 3) | m["live"])
+    none = F.array().cast("array<struct<start:long,kind:int,end:long,live:boolean,owners:long,repositories:long>>")
+    shown = F.filter(F.coalesce("marks", none), lambda m: (m["kind"] < 3) | m["live"])
     out = scanned.drop("found").join(marks, "row", "left").withColumn("shown", shown)
     return out.select(
         F.col("id").alias(id_col), "n_assign", "n_access", "n_hex", "base_sha256",
         F.array_join(F.transform("shown", lambda m: F.concat_ws(":", kind(m), m["start"].cast("string"),
                                                                 m["end"].cast("string"))), ",").alias("spans"),
         F.size(F.filter("shown", lambda m: m["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("shown", lambda m: ~m["live"])).cast("long").alias("n_copied"))
+        F.size(F.filter("shown", lambda m: ~m["live"])).cast("long").alias("n_copied"),
+        F.col("shown.owners").alias("span_owners"), F.col("shown.repositories").alias("span_repositories"))

@@ -54,3 +54,19 @@ def test_ownership_tells_copied_examples_from_live_values(spark):
     assert got[2].spans == f"assign:0:21,owned:22:{22 + len(token)}" and got[2].n_live == 2
     assert got[10].spans.startswith("assign") and "owned" not in got[10].spans
     assert (got[10].n_live, got[10].n_copied) == (0, 1)
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
+    token, two = "Zk3xQ9vLmT7wRb2YpN5sHd8c", "Qm8vT2xWnB5kLr7YcJ4pZs9d"
+    rows = [(i, f"use {token} password=changeme123", "a", f"l{i}") for i in range(4)]
+    rows += [(10 + i, f"use {two}", "b", f"l{i % 2}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r for r in find_secrets(df).collect()}
+    for i in range(4):
+        assert got[i].spans == "assign:29:49" and (got[i].n_live, got[i].n_copied) == (0, 1)
+        assert (got[i].span_owners, got[i].span_repositories) == ([1], [4])
+    for i in range(6):  # many documents of two repositories
+        assert got[10 + i].spans == "owned:4:28" and (got[10 + i].n_live, got[10 + i].n_copied) == (1, 0)
+        assert (got[10 + i].span_owners, got[10 + i].span_repositories) == ([1], [2])
+    live = find_secrets(df, max_repositories=4).filter("doc_id = 0").first()
+    assert (live.n_live, live.span_repositories) == (2, [4, 4])
