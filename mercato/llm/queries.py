@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mercato.llm.bpe import encode
 from mercato.llm.common import scratch_dir, table
 from mercato.llm.exact_dedup import exact_dedup
+from mercato.llm.lexical import lexical_search
 from mercato.llm.mixing import mix
 from mercato.llm.near_dedup import near_dedup
+from mercato.llm.packing import pack
 from mercato.llm.quality import quality
 from mercato.llm.search import top_k
 from mercato.llm.secrets import find_secrets
 from mercato.llm.sharding import place
+from mercato.llm.spelling import spelling_variants
 from mercato.llm.toxicity import toxicity
 from mercato.llm.warc import round_trip
 
@@ -62,6 +65,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("text_sha256")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_near_dedup": op10_near_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_packing": op13_packing,
 }
 
 OP1_SQL = """
@@ -147,9 +165,77 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
 FROM h
 """
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {LOWER} AS body FROM documents),
+words AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(body, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+tf AS (SELECT rid, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY rid, term),
+size AS (SELECT rid, sum(tf)::BIGINT AS n FROM tf GROUP BY rid),
+total AS (SELECT count(*)::BIGINT AS cn, sum(n)::BIGINT AS cl FROM size),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * cn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, total GROUP BY term, cn),
+norm AS (SELECT rid, 100 - 75 + (75 * n * cn) // cl AS m FROM size, total),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+times AS (SELECT item_id, term, count(*)::BIGINT AS times FROM asked GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, rid, any_value(doc_id) AS doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM times JOIN tf USING (term) JOIN weight USING (term) JOIN norm USING (rid) GROUP BY item_id, rid),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# The checksum goes byte by byte through the table of its polynomial (fixed value).
+OP12_SQL = rf"""
+WITH RECURSIVE poly AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*)::BIGINT AS n FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hex FROM counted),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(0, len(hex) // 2), lambda i: ('0x' || substr(hex, 2 * i::INT + 1, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM bytes, poly),
+noisy AS (
+  SELECT CASE WHEN h % 97 = 0
+         THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM noisy WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS gap
+  FROM (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.gap = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.gap = b.word),
+best AS (
+  SELECT word, count(*)::BIGINT AS n_near, arg_min(other, (-n, encode(other))) AS form, max(n) AS form_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.at = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.at AS root FROM chain c JOIN forms f ON c.at = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_mix_sources": OP2_SQL,
     "op3_top_k_search": OP3_SQL,
     "op4_warc_archives": OP4_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }

@@ -15,9 +15,9 @@ def test_matches_sql(spark, sf_dir, name):
     assert rows_of(df.columns, df.collect()) == rows_of([d[0] for d in res.description], res.fetchall())
 
 
-def test_all_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(Q.QUERIES) | {"pipeline"} <= set(names)
 
 
@@ -31,6 +31,11 @@ CONTRACT = {
                         "base_sha256": "string", "spans": "string"},
     "op7_bpe_round_trip": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_spelling_variants": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint",
+                               "form_n": "bigint"},
+    "op13_packing": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
+                     "sequence_id": "bigint", "offset": "bigint"},
     "op9_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
 }
 
