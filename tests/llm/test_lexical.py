@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 
@@ -69,11 +70,17 @@ def test_ties_go_by_id_and_repeated_rows_take_ranks(spark):
 def test_blocks_are_equal_in_m_and_postings_descend(documents):
     index = X.build_index(documents, block_rows=5)
     ids = {(r.m, r.slice): r.ids for r in index.blocks.collect()}
-    size = {r.id: r.n for r in X.term_counts(documents.selectExpr("doc_id id", "coalesce(text, '') text")).collect()}
+    size = {r.doc_id: len(terms(r.text)) for r in documents.collect()}
     for (m, _), docs in ids.items():
         assert {25 + 75 * size[d] * index.documents // index.terms for d in docs} == {m}
+    held = Counter()
     for r in index.postings.collect():
-        assert r.tfs == sorted(set(r.tfs), reverse=True) and r.tfs[0] == r.max_tf and sum(r.runs) == r.df == len(r.docs)
+        tfs, runs = np.frombuffer(r.runs, "<u4").reshape(-1, 2).T.tolist()
+        docs = np.frombuffer(r.docs, "<u2").tolist()
+        assert tfs == sorted(set(tfs), reverse=True) and tfs[0] == r.max_tf and sum(runs) == r.df == len(set(docs))
+        for d, tf in zip(docs, np.repeat(tfs, runs).tolist()):
+            held[ids[r.m, r.slice][d]] += tf
+    assert held == {d: n for d, n in size.items() if n}
 
 
 def test_blocks_below_the_floor_are_not_scored(spark, monkeypatch):
