@@ -62,12 +62,37 @@ def monthly_revenue(sales: DataFrame, by=()) -> DataFrame:
         .agg(dsum("revenue").alias("revenue"))  # exact sum, as double
 
 
-def vs_last_year_monthly(monthly: DataFrame, by=()) -> DataFrame:
-    """MEA-11 at month grain: the same month of the previous year."""
-    prev = monthly.select(*by, (F.col("year") + 1).alias("year"), "month_num",
-                          F.col("revenue").alias("revenue_ly"))
-    x = monthly.join(prev, [*by, "year", "month_num"], "left")
-    return x.select(*by, "year", "month_num",
-                    F.concat(F.col("year"), F.lit("-"), F.lpad(F.col("month_num").cast("string"), 2, "0")).alias("year_month"),
-                    "revenue", "revenue_ly",
-                    div(blank_sub(F.col("revenue"), F.col("revenue_ly")), F.col("revenue_ly")).alias("revenue_vs_ly"))
+def with_prior(df: DataFrame, period: str, step: int, value: str, prior: str, by=(), last: Column | None = None) -> DataFrame:
+    """``value`` of every period next to that of ``step`` periods before, as ``prior``.
+
+    ``period`` is a number that grows by one from period to period.  A period
+    without rows of its own is listed when the one before it has some and it
+    lies not after ``last``, so what vanished shows.  Every row serves its own
+    period and the later one; there is no self-join."""
+    own = [c for c in df.columns if c not in (*by, period)]
+    shared = F.array(F.struct(F.col(period).alias("p"), *[F.col(c).alias(c) for c in own], F.lit(None).cast(df.schema[value].dataType).alias(prior)),
+                     F.struct((F.col(period) + step).alias("p"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in own],
+                              F.col(value).alias(prior)))
+    x = df.select(*by, F.explode(shared).alias("e")).select(*by, F.col("e.p").alias(period), *[f"e.{c}" for c in (*own, prior)])
+    if last is not None:
+        x = x.where(F.col(period) <= last)
+    return x.groupBy(*by, period).agg(*[F.max(c).alias(c) for c in (*own, prior)])
+
+
+def growth(value: str, prior: str) -> Column:
+    """Change relative to the earlier period: -1 for a vanished one, BLANK without an earlier one."""
+    return div(blank_sub(F.col(value), F.col(prior)), F.col(prior))
+
+
+def month_index(date: Column | str) -> Column:
+    return F.year(date) * 12 + F.month(date) - 1
+
+
+def vs_last_year_monthly(monthly: DataFrame, as_of: Column, by=()) -> DataFrame:
+    """MEA-11 at month grain: the same month of the previous year, up to the month of ``as_of``."""
+    m = monthly.withColumn("mi", F.col("year") * 12 + F.col("month_num") - 1).select(*by, "mi", "revenue")
+    x = with_prior(m, "mi", 12, "revenue", "revenue_ly", by, month_index(as_of))
+    year, month = F.expr("CAST(mi div 12 AS INT)"), F.expr("CAST(mi % 12 + 1 AS INT)")
+    return x.select(*by, year.alias("year"), month.alias("month_num"),
+                    F.concat(year, F.lit("-"), F.lpad(month.cast("string"), 2, "0")).alias("year_month"),
+                    "revenue", "revenue_ly", growth("revenue", "revenue_ly").alias("revenue_vs_ly"))

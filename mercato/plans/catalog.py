@@ -351,7 +351,7 @@ def q_mea_vs_ly_daily(r: Retail):
 @register("mea_vs_ly_monthly")
 def q_mea_vs_ly_monthly(r: Retail):
     """MEA-11 at month grain (RPT-01 line chart data)."""
-    return T.vs_last_year_monthly(T.monthly_revenue(sales.gold_sales_daily(r)))
+    return T.vs_last_year_monthly(T.monthly_revenue(sales.gold_sales_daily(r)), r.as_of)
 
 
 @register("mea_time_intel_region")
@@ -485,12 +485,12 @@ def q_15(r: Retail):
 
 @register("q_16_year_over_year")
 def q_16(r: Retail):
-    return Q.q16_year_over_year(_sales(r))
+    return Q.q16_year_over_year(_sales(r), r.as_of)
 
 
 @register("q_16_quarter_over_quarter")
 def q_16b(r: Retail):
-    return Q.q16_quarter_over_quarter(_sales(r))
+    return Q.q16_quarter_over_quarter(_sales(r), r.as_of)
 
 
 @register("q_17_best_periods")
@@ -500,7 +500,7 @@ def q_17(r: Retail):
 
 @register("q_18_month_over_month")
 def q_18(r: Retail):
-    return Q.q18_month_over_month(_sales(r))
+    return Q.q18_month_over_month(_sales(r), r.as_of)
 
 
 @register("q_18_ytd_vs_ly")
@@ -510,7 +510,7 @@ def q_18b(r: Retail):
 
 @register("q_19_promo_yoy")
 def q_19(r: Retail):
-    return Q.q19_promo_year_over_year(_sales(r))
+    return Q.q19_promo_year_over_year(_sales(r), r.as_of)
 
 
 @register("q_21_top_stores")

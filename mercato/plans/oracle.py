@@ -310,14 +310,17 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, store_id, stock_stat
       FROM g_double_risk) t WHERE rn = 1""")
 q("champion_stockout_alert", "SELECT * FROM g_champion")
 q("champion_alert_same_store", """
-SELECT DISTINCT seg.customer_id, seg.segment_label AS customer_segment, CAST(seg.monetary AS DOUBLE) AS lifetime_value,
-       seg.recency_days, seg.frequency, p.product_id, p.name AS product_name, p.category,
-       o.store_id, s.name AS store_name, s.region, i.stock_status, ROUND(i.coverage_days, 1) AS coverage_days, i.quantity_on_hand
-FROM v_segments seg JOIN v_orders o ON o.customer_id = seg.customer_id
-JOIN v_order_items oi ON oi.order_id = o.order_id JOIN v_products p ON p.product_id = oi.product_id
-JOIN v_stores s ON s.store_id = o.store_id
-JOIN g_inventory i ON i.product_id = oi.product_id AND i.store_id = o.store_id
-WHERE seg.segment_label = 'Champions' AND i.stock_status IN ('stockout', 'critical')""")
+WITH short AS (SELECT store_id, product_id, stock_status, quantity_on_hand, ROUND(coverage_days, 1) AS coverage_days
+               FROM g_inventory WHERE stock_status IN ('critical', 'stockout')),
+     champions AS (SELECT customer_id, segment_label AS customer_segment, CAST(monetary AS DOUBLE) AS lifetime_value, recency_days, frequency
+                   FROM v_segments WHERE segment_label = 'Champions'),
+     bought AS (SELECT DISTINCT customer_id, store_id, product_id
+                FROM v_orders NATURAL JOIN (SELECT order_id, product_id FROM v_order_items) lines
+                WHERE customer_id IN (SELECT customer_id FROM champions))
+SELECT champions.*, product_id, pr.name AS product_name, pr.category, store_id, st.name AS store_name, st.region,
+       short.stock_status, short.coverage_days, short.quantity_on_hand
+FROM bought JOIN champions USING (customer_id) JOIN short USING (store_id, product_id)
+     JOIN v_products pr USING (product_id) JOIN v_stores st USING (store_id)""")
 
 
 # ---- measure helpers (DAX semantics in SQL) -------------------------------
@@ -398,9 +401,11 @@ SELECT c.date, CAST(c.revenue AS DOUBLE) AS revenue, CAST(l.revenue AS DOUBLE) A
 FROM v_day_series c LEFT JOIN v_day_series l ON l.date = CAST(c.date - INTERVAL 12 MONTH AS DATE)""")
 view("v_month_rev", f"SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(MONTH(sales_date) AS INT) AS month_num, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1, 2")
 q("mea_vs_ly_monthly", """
-SELECT m.year, m.month_num, m.year || '-' || LPAD(CAST(m.month_num AS VARCHAR), 2, '0') AS year_month, m.revenue, l.revenue AS revenue_ly,
-       """ + DIV(BSUB("m.revenue", "l.revenue"), "l.revenue") + """ AS revenue_vs_ly
-FROM v_month_rev m LEFT JOIN v_month_rev l ON l.year = m.year - 1 AND l.month_num = m.month_num""")
+WITH m AS (SELECT year * 12 + month_num - 1 AS mi, revenue FROM v_month_rev),
+     x AS (SELECT COALESCE(m.mi, l.mi + 12) AS mi, m.revenue, l.revenue AS revenue_ly FROM m FULL JOIN m l ON m.mi = l.mi + 12)
+SELECT CAST(mi // 12 AS INT) AS year, CAST(mi % 12 + 1 AS INT) AS month_num, (mi // 12) || '-' || LPAD(CAST(mi % 12 + 1 AS VARCHAR), 2, '0') AS year_month,
+       revenue, revenue_ly, """ + DIV(BSUB("revenue", "revenue_ly"), "revenue_ly") + """ AS revenue_vs_ly
+FROM x WHERE mi <= (SELECT YEAR(as_of) * 12 + MONTH(as_of) - 1 FROM v_as_of)""")
 q("mea_time_intel_region", """
 SELECT region, date, """ + PTD_SQL.format(p="region,", pp="PARTITION BY region") + """
 FROM (SELECT g.region, c.date, c.year, c.month_num, c.quarter, d.revenue
@@ -472,13 +477,15 @@ SELECT {GM_PCT} AS gross_margin_pct, {DIV(DSUM('revenue'), 'SUM(nb_orders)')} AS
        (SELECT {DSUM('revenue')} FROM g_sales WHERE YEAR(sales_date) = YEAR((SELECT as_of FROM v_as_of)) AND sales_date <= (SELECT as_of FROM v_as_of)) AS revenue_ytd
 FROM g_sales""")
 q("q_16_year_over_year", f"""
-WITH y AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1)
-SELECT y.year, y.revenue, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
-FROM y LEFT JOIN y p ON p.year + 1 = y.year""")
+WITH y AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1),
+     x AS (SELECT COALESCE(y.year, p.year + 1) AS year, y.revenue, p.revenue AS revenue_ly FROM y FULL JOIN y p ON p.year + 1 = y.year)
+SELECT *, {DIV(BSUB('revenue', 'revenue_ly'), 'revenue_ly')} AS growth FROM x WHERE year <= (SELECT YEAR(as_of) FROM v_as_of)""")
 q("q_16_quarter_over_quarter", f"""
-WITH y AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(QUARTER(sales_date) AS INT) AS quarter, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1, 2)
-SELECT y.year, y.quarter, y.revenue, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
-FROM y LEFT JOIN y p ON p.year + 1 = y.year AND p.quarter = y.quarter""")
+WITH y AS (SELECT YEAR(sales_date) * 4 + QUARTER(sales_date) - 1 AS qi, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1),
+     x AS (SELECT COALESCE(y.qi, p.qi + 4) AS qi, y.revenue, p.revenue AS revenue_ly FROM y FULL JOIN y p ON p.qi + 4 = y.qi)
+SELECT CAST(qi // 4 AS INT) AS year, CAST(qi % 4 + 1 AS INT) AS quarter, revenue, revenue_ly,
+       {DIV(BSUB('revenue', 'revenue_ly'), 'revenue_ly')} AS growth
+FROM x WHERE qi <= (SELECT YEAR(as_of) * 4 + QUARTER(as_of) - 1 FROM v_as_of)""")
 q("q_17_best_periods", f"""
 WITH m AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(MONTH(sales_date) AS INT) AS month, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1, 2),
      bm AS (SELECT year, month AS best_month, revenue AS best_month_revenue FROM
@@ -489,10 +496,11 @@ WITH m AS (SELECT CAST(YEAR(sales_date) AS INT) AS year, CAST(MONTH(sales_date)
 SELECT bm.year, bm.best_month, bm.best_month_revenue, bq.best_margin_quarter, bq.best_quarter_margin_pct
 FROM bm JOIN bq ON bm.year = bq.year""")
 q("q_18_month_over_month", f"""
-WITH m AS (SELECT YEAR(sales_date) * 12 + MONTH(sales_date) - 1 AS mi, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1)
-SELECT CAST(m.mi // 12 AS INT) AS year, CAST(m.mi % 12 + 1 AS INT) AS month, m.revenue, p.revenue AS revenue_prev_month,
-       {DIV('m.revenue - p.revenue', 'p.revenue')} AS growth
-FROM m LEFT JOIN m p ON p.mi + 1 = m.mi""")
+WITH m AS (SELECT YEAR(sales_date) * 12 + MONTH(sales_date) - 1 AS mi, {DSUM('revenue')} AS revenue FROM g_sales GROUP BY 1),
+     x AS (SELECT COALESCE(m.mi, p.mi + 1) AS mi, m.revenue, p.revenue AS revenue_prev_month FROM m FULL JOIN m p ON p.mi + 1 = m.mi)
+SELECT CAST(mi // 12 AS INT) AS year, CAST(mi % 12 + 1 AS INT) AS month, revenue, revenue_prev_month,
+       {DIV(BSUB('revenue', 'revenue_prev_month'), 'revenue_prev_month')} AS growth
+FROM x WHERE mi <= (SELECT YEAR(as_of) * 12 + MONTH(as_of) - 1 FROM v_as_of)""")
 q("q_18_ytd_vs_ly", f"""
 WITH a AS (SELECT as_of, CAST(as_of - INTERVAL 12 MONTH AS DATE) AS ly_end FROM v_as_of),
      x AS (SELECT {DSUM("CASE WHEN YEAR(sales_date) = YEAR(a.as_of) AND sales_date <= a.as_of THEN revenue END")} AS revenue_ytd,
@@ -502,9 +510,11 @@ WITH a AS (SELECT as_of, CAST(as_of - INTERVAL 12 MONTH AS DATE) AS ly_end FROM
 SELECT *, {DIV('revenue_ytd - revenue_ytd_ly', 'revenue_ytd_ly')} AS growth FROM x""")
 q("q_19_promo_yoy", f"""
 WITH y AS (SELECT promo_name, CAST(YEAR(sales_date) AS INT) AS year, {DSUM('revenue')} AS revenue, CAST(SUM(nb_orders) AS BIGINT) AS nb_orders
-           FROM g_sales WHERE promo_name IS NOT NULL GROUP BY 1, 2)
-SELECT y.promo_name, y.year, y.revenue, y.nb_orders, p.revenue AS revenue_ly, {DIV('y.revenue - p.revenue', 'p.revenue')} AS growth
-FROM y LEFT JOIN y p ON p.promo_name = y.promo_name AND p.year + 1 = y.year""")
+           FROM g_sales WHERE promo_name IS NOT NULL GROUP BY 1, 2),
+     x AS (SELECT COALESCE(y.promo_name, p.promo_name) AS promo_name, COALESCE(y.year, p.year + 1) AS year, y.revenue, y.nb_orders,
+                  p.revenue AS revenue_ly
+           FROM y FULL JOIN y p ON p.promo_name = y.promo_name AND p.year + 1 = y.year)
+SELECT *, {DIV(BSUB('revenue', 'revenue_ly'), 'revenue_ly')} AS growth FROM x WHERE year <= (SELECT YEAR(as_of) FROM v_as_of)""")
 q("q_21_top_stores", f"SELECT store_id, store_name, region, {DSUM('revenue')} AS total_revenue FROM g_sales GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, store_id LIMIT 5")
 q("q_21_regions_by_stockout", f"""
 SELECT * FROM (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY stockout_rate DESC NULLS LAST, region) AS INT) AS rank FROM (

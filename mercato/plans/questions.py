@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mercato.functions import exprs as X
 from mercato.functions.dax import davg, div, dsum
 from mercato.operators import measures as M
+from mercato.operators import timeintel as T
 
 
 def q01_stores_at_risk(inv: DataFrame, region: str | None = None, statuses=X.AT_RISK) -> DataFrame:
@@ -26,10 +27,8 @@ def q02_margin_by_category_year(sales: DataFrame) -> DataFrame:
     """Q-02: gross margin % by category and year vs the prior year, with a
     declining flag."""
     g = sales.groupBy("category", F.year("sales_date").alias("year")).agg(
-        M.measure("gross_margin_pct"))
-    prev = g.select("category", (F.col("year") + 1).alias("year"),
-                    F.col("gross_margin_pct").alias("gross_margin_pct_ly"))
-    x = g.join(prev, ["category", "year"], "left")
+        M.measure("gross_margin_pct"), F.lit(True).alias("sold"))
+    x = T.with_prior(g, "year", 1, "gross_margin_pct", "gross_margin_pct_ly", ["category"]).where(F.col("sold"))
     return x.select("category", "year", "gross_margin_pct", "gross_margin_pct_ly",
                     (F.col("gross_margin_pct") < F.col("gross_margin_pct_ly")).alias("declining"))
 
@@ -171,23 +170,20 @@ def q15_kpis(sales: DataFrame, inv: DataFrame, fva: DataFrame, cp: DataFrame, as
                        "pct_cheaper", "revenue_ytd")
 
 
-def q16_year_over_year(sales: DataFrame) -> DataFrame:
-    """Q-16: revenue per year vs the previous year."""
+def q16_year_over_year(sales: DataFrame, as_of: Column) -> DataFrame:
+    """Q-16: revenue per year vs the previous year; a year without sales after one with some is listed."""
     y = sales.groupBy(F.year("sales_date").alias("year")).agg(dsum("revenue").alias("revenue"))
-    p = y.select((F.col("year") + 1).alias("year"), F.col("revenue").alias("revenue_ly"))
-    x = y.join(p, "year", "left")
-    return x.select("year", "revenue", "revenue_ly",
-                    div(F.col("revenue") - F.col("revenue_ly"), F.col("revenue_ly")).alias("growth"))
+    x = T.with_prior(y, "year", 1, "revenue", "revenue_ly", last=F.year(as_of))
+    return x.select("year", "revenue", "revenue_ly", T.growth("revenue", "revenue_ly").alias("growth"))
 
 
-def q16_quarter_over_quarter(sales: DataFrame) -> DataFrame:
-    """Q-16: revenue per quarter vs the same quarter last year."""
-    y = sales.groupBy(F.year("sales_date").alias("year"), F.quarter("sales_date").alias("quarter")) \
-        .agg(dsum("revenue").alias("revenue"))
-    p = y.select((F.col("year") + 1).alias("year"), "quarter", F.col("revenue").alias("revenue_ly"))
-    x = y.join(p, ["year", "quarter"], "left")
-    return x.select("year", "quarter", "revenue", "revenue_ly",
-                    div(F.col("revenue") - F.col("revenue_ly"), F.col("revenue_ly")).alias("growth"))
+def q16_quarter_over_quarter(sales: DataFrame, as_of: Column) -> DataFrame:
+    """Q-16: revenue per quarter vs the same quarter last year, vanished quarters too."""
+    qi = lambda d: F.year(d) * 4 + F.quarter(d) - 1
+    y = sales.groupBy(qi("sales_date").alias("qi")).agg(dsum("revenue").alias("revenue"))
+    x = T.with_prior(y, "qi", 4, "revenue", "revenue_ly", last=qi(as_of))
+    return x.select(F.expr("CAST(qi div 4 AS INT)").alias("year"), F.expr("CAST(qi % 4 + 1 AS INT)").alias("quarter"),
+                    "revenue", "revenue_ly", T.growth("revenue", "revenue_ly").alias("growth"))
 
 
 def q17_best_periods(sales: DataFrame) -> DataFrame:
@@ -204,16 +200,12 @@ def q17_best_periods(sales: DataFrame) -> DataFrame:
     return bm.join(bq, "year")
 
 
-def q18_month_over_month(sales: DataFrame) -> DataFrame:
-    """Q-18: revenue per month vs the previous month (self-join on the
-    month index, no global window)."""
-    m = sales.groupBy((F.year("sales_date") * 12 + F.month("sales_date") - 1).alias("mi")) \
-        .agg(dsum("revenue").alias("revenue"))
-    p = m.select((F.col("mi") + 1).alias("mi"), F.col("revenue").alias("revenue_prev_month"))
-    x = m.join(p, "mi", "left")
-    return x.select(F.floor(F.col("mi") / 12).cast("int").alias("year"), (F.col("mi") % 12 + 1).cast("int").alias("month"),
-                    "revenue", "revenue_prev_month",
-                    div(F.col("revenue") - F.col("revenue_prev_month"), F.col("revenue_prev_month")).alias("growth"))
+def q18_month_over_month(sales: DataFrame, as_of: Column) -> DataFrame:
+    """Q-18: revenue per month vs the previous month, the first month without sales too."""
+    m = sales.groupBy(T.month_index("sales_date").alias("mi")).agg(dsum("revenue").alias("revenue"))
+    x = T.with_prior(m, "mi", 1, "revenue", "revenue_prev_month", last=T.month_index(as_of))
+    return x.select(F.expr("CAST(mi div 12 AS INT)").alias("year"), F.expr("CAST(mi % 12 + 1 AS INT)").alias("month"),
+                    "revenue", "revenue_prev_month", T.growth("revenue", "revenue_prev_month").alias("growth"))
 
 
 def q18_ytd_vs_ly(sales: DataFrame, as_of: Column) -> DataFrame:
@@ -227,14 +219,14 @@ def q18_ytd_vs_ly(sales: DataFrame, as_of: Column) -> DataFrame:
     return x.withColumn("growth", div(F.col("revenue_ytd") - F.col("revenue_ytd_ly"), F.col("revenue_ytd_ly")))
 
 
-def q19_promo_year_over_year(sales: DataFrame) -> DataFrame:
-    """Q-19: revenue and orders of each promotion event per year vs last year."""
+def q19_promo_year_over_year(sales: DataFrame, as_of: Column) -> DataFrame:
+    """Q-19: revenue and orders of each promotion event per year vs last year,
+    events that did not sell again too."""
     y = sales.where(F.col("promo_name").isNotNull()).groupBy("promo_name", F.year("sales_date").alias("year")) \
         .agg(dsum("revenue").alias("revenue"), F.sum("nb_orders").alias("nb_orders"))
-    p = y.select("promo_name", (F.col("year") + 1).alias("year"), F.col("revenue").alias("revenue_ly"))
-    x = y.join(p, ["promo_name", "year"], "left")
+    x = T.with_prior(y, "year", 1, "revenue", "revenue_ly", ["promo_name"], F.year(as_of))
     return x.select("promo_name", "year", "revenue", "nb_orders", "revenue_ly",
-                    div(F.col("revenue") - F.col("revenue_ly"), F.col("revenue_ly")).alias("growth"))
+                    T.growth("revenue", "revenue_ly").alias("growth"))
 
 
 def q21_top_stores(sales: DataFrame, n: int = 5) -> DataFrame:

@@ -89,7 +89,9 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
 
     Files are read as lines with their path; a file's header is the first of
     its lines that names the key (one short row per file, joined back), and
-    each file is parsed by the layout of its header."""
+    each file is parsed by the layout of its header; of a name that a header
+    repeats the first column counts.  The lines of a file without header
+    are rejects, whole in the column ``line``."""
     text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
     parts = [c for c in text.columns if c != "value"]  # a month may be the folder's, not the file's
     lines = text.select(F.col("_metadata.file_path").alias("path"), *[F.col(c).cast("string").alias(f"in_{c}") for c in parts],
@@ -98,17 +100,19 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
     lines = lines.withColumn("is_header", named.contains(",product_id,"))
     layouts = lines.where("is_header").groupBy("path").agg(F.min("value").alias("header"))
     split = lambda c: F.split(F.regexp_replace(c, '[" ]', ""), ",")
-    rows = lines.where(~F.col("is_header") & (F.trim("value") != "")).join(layouts, "path")
+    every = lines.where(~F.col("is_header") & (F.trim("value") != "")).join(layouts, "path", "left")
+    rows = every.where(F.col("header").isNotNull())
     # a quoted field keeps its commas: cut at commas outside quotes, then unquote
     cells = F.transform(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
                         lambda v: F.regexp_replace(F.regexp_replace(F.trim(v), '^"|"$', ""), '""', '"'))
-    cell = F.map_from_arrays(split("header"), F.slice(F.concat(cells, F.array_repeat(F.lit(None).cast("string"), F.size(split("header")))),
-                                                      F.lit(1), F.size(split("header"))))
-    value = lambda c: F.nullif(F.try_element_at("cell", F.lit(c)), F.lit(""))
-    df = rows.withColumn("cell", cell).select(*[
+    value = lambda c: F.nullif(F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1), F.lit(""))
+    df = rows.withColumns({"cells": cells, "names": split("header")}).select(*[
         (F.coalesce(value(c), F.col(f"in_{c}")) if c in parts else value(c)).alias(c) for c in COMPETITOR_TYPES])
     key = F.trim(F.col("product_id"))
-    return typed(df.where(key.isNotNull() & (key != "")), COMPETITOR_TYPES)
+    good = typed(df.where(key.isNotNull() & (key != "")), COMPETITOR_TYPES)
+    bare = every.where(F.col("header").isNull()).select(*[F.col(f"in_{c}").alias(c) for c in parts if c in COMPETITOR_TYPES],
+                                                        F.col("value").alias("line"))
+    return Loaded(good.rows, good.rejects.unionByName(bare, allowMissingColumns=True))
 
 
 def write_weather_feed(weather: DataFrame, folder: str) -> None:

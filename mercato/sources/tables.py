@@ -66,10 +66,13 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 def append_idempotent(df: DataFrame, name: str, keys: list[str], partition_col: str,
                       order_col: str | None = None) -> None:
     """SRC-09: rerunnable append: rows whose keys (nulls equal each other) are
-    in the table replace the stored ones, so a rerun duplicates nothing.  Of
+    in the table replace the stored ones, wherever those are, so a rerun
+    duplicates nothing and a key that moves leaves its old partition.  Of
     several rows of one key the largest ``order_col``, then the largest whole
-    row, stays.  Only the partitions the batch touches are rewritten
-    (dynamic partition overwrite from a staging table, dropped in any case)."""
+    row, stays.  Rewritten are the partitions of the batch and those in which
+    its keys are stored (dynamic partition overwrite from a staging table,
+    dropped in any case); partitions that become empty are dropped last, so
+    a run cut short is mended by a rerun."""
     spark = df.sparkSession
     rest = [c for c in df.columns if c not in keys]
     first = [order_col] if order_col else []
@@ -79,18 +82,28 @@ def append_idempotent(df: DataFrame, name: str, keys: list[str], partition_col:
         batch.write.format("parquet").partitionBy(partition_col).saveAsTable(name)
         return
     existing = spark.table(name)
-    a, b = existing.alias("a"), batch.select(*[F.col(k).alias(f"b_{k}") for k in keys])
-    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b_{k}")) for k in keys])
-    touched = batch.select(F.col(partition_col).alias("b_part")).distinct()
-    keep = (a.join(b, same, "left_anti")
-            .join(touched, F.col(f"a.{partition_col}").eqNullSafe(F.col("b_part")), "left_semi"))
-    merged = keep.unionByName(batch.select(*existing.columns))
-    stage = f"{name}__merge_{uuid.uuid4().hex[:8]}"
+    part = F.col(partition_col)
+    null_safe = lambda left, right, cols: reduce(
+        lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
+    a, b = existing.alias("a"), batch.select(*keys).alias("b")
+    stored = a.join(b, null_safe("a", "b", keys), "left_semi").select(part)
+    stage, touched = (f"{name}__{x}_{uuid.uuid4().hex[:8]}" for x in ("merge", "touched"))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        merged.write.format("parquet").partitionBy(partition_col).saveAsTable(stage)
+        # one row per partition of the batch or of its keys, with whether the table has it
+        (stored.withColumn("old", F.lit(True)).unionByName(batch.select(part, F.lit(False).alias("old")))
+         .groupBy(partition_col).agg(F.bool_or("old").alias("old")).write.format("parquet").saveAsTable(touched))
+        keep = (a.join(b, null_safe("a", "b", keys), "left_anti")
+                .alias("a").join(spark.table(touched).alias("t"), null_safe("a", "t", [partition_col]), "left_semi"))
+        keep.unionByName(batch.select(*existing.columns)).write.format("parquet").partitionBy(partition_col).saveAsTable(stage)
         spark.table(stage).select(*existing.columns).write.insertInto(name, overwrite=True)
+        emptied = (spark.table(touched).where("old").alias("t")
+                   .join(spark.table(stage).select(partition_col).distinct().alias("s"), null_safe("t", "s", [partition_col]), "left_anti"))
+        for row in emptied.select(part.cast("string")).toLocalIterator():
+            value = "null" if row[0] is None else "'" + row[0].replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_col} = {value})")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        spark.sql(f"DROP TABLE IF EXISTS {touched}")
