@@ -1220,3 +1220,29 @@ def q_forecast_check(r: Retail):
                    | (F.col("forecast_qty") > F.col("forecast_qty_upper"))).alias("out_of_order"))
     return per.agg(F.count(F.lit(1)).alias("n_products"), F.count_if(F.col("days") != 90).alias("n_other_length"),
                    F.coalesce(F.sum("out_of_order"), F.lit(0)).alias("n_out_of_order"))
+
+
+# ---- expectations of the gold writes --------------------------------------------
+@register("gold_checks")
+def q_gold_checks(r: Retail):
+    """DQ-01/DQ-03: the facts written under their expectations; what each rule
+    observed in the write, and whether it held."""
+    from mercato.operators import expectations as E
+    from mercato.plans.gold import build_facts
+    out = _scratch(r, "gold")
+    build_facts(r, out)
+    return E.checks(r.spark, out).select("tbl", "rule", "action", F.round("observed", 6).alias("observed"), "passed")
+
+
+@register("quarantined_events")
+def q_quarantined_events(r: Retail):
+    """DQ-01: the event feed stored under its domain rule; rows with another
+    type are set apart by the same write."""
+    from mercato.operators import expectations as E
+    events, out = r.raw("events"), _scratch(r, "silver")
+    rules = [E.RowRule("event_type_known", f"event_type IN ({', '.join(repr(v) for v in quality.DOMAINS['event_type'])})"),
+             E.RowRule("value_known", "value IS NOT NULL"), E.TableRule("rows", E.rows, low=1)]
+    E.checked_write(events, out, "silver_events", rules)
+    stored = r.spark.read.parquet(f"{out}/silver_events").select("event_type", F.lit("stored").alias("place"))
+    apart = E.quarantined(r.spark, out, "silver_events", events.schema).select("event_type", F.col("_failed").alias("place"))
+    return stored.unionAll(apart).groupBy("place", "event_type").agg(F.count(F.lit(1)).alias("n"))

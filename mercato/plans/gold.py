@@ -1,11 +1,13 @@
 """Silver -> gold build (the main batch path) and the reader of its tables.
 
 Each gold table is one DataFrame plan written once as Parquet; row counts
-come from ``observe`` metrics of the write itself (no second pass), and a
+and the table's expectations (``expectations``) come from ``observe`` metrics
+of the write itself (no second pass), and a
 table that later plans read is read back from its written files, which
 cuts the lineage (an executor lost later recomputes from the table, not
 from the sources).  A table is written to a staging folder and renamed into
-place when complete; a failed write leaves the old table as it was.
+place when complete and as expected; a failed write or a breached
+expectation leaves the old table as it was.
 
 usage: python -m mercato.plans.gold <sf_dir> <out_dir>
 """
@@ -13,48 +15,58 @@ usage: python -m mercato.plans.gold <sf_dir> <out_dir>
 from __future__ import annotations
 
 import sys
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators import cross, dims, forecast, inventory, sales, segments
-from mercato.sources.retail import Retail, load
+from mercato.operators import expectations as E
+from mercato.operators.expectations import RowRule, TableRule
+from mercato.operators.quality import DOMAINS
+from mercato.sources.retail import COMPETITORS, Retail, load
+
+EPOCH = date(1970, 1, 1)
 
 # partition columns of the larger gold tables (partition pruning on the
 # usual date / month filters)
 PARTITION_BY = {"gold_sales_daily": ["sales_year"], "silver_competitor_prices": ["snapshot_month"]}
 
 
-def _swap(spark: SparkSession, staged: str, target: str) -> None:
-    """Rename a staged folder into place, the old one away and then out."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    new, cur, old = path(staged), path(target), path(f"{target}__old")
-    fs = cur.getFileSystem(conf)
-    if not fs.exists(cur) and fs.exists(old):  # an earlier swap was cut short
-        fs.rename(old, cur)
-    fs.delete(old, True)
-    if fs.exists(cur) and not fs.rename(cur, old):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(new, cur):
-        raise OSError(f"cannot move {staged} to {target}")
-    fs.delete(old, True)
-
-
-def write_table(df: DataFrame, out_dir: str, name: str) -> int:
-    """Write ``df`` to <out_dir>/<name> through a staging folder; return its row count (observed)."""
-    obs = Observation(name)
-    part = PARTITION_BY.get(name)
+def expectations(r: Retail) -> dict[str, list]:
+    """DQ-01/DQ-03: what each gold table must hold, from the calendar facts of
+    the sales history and the domains; no table is scanned for it."""
+    known = lambda c: f"{c} IN ({', '.join(repr(v) for v in DOMAINS[c])})"
+    first, last = r.params["lo"], r.params["hi"]
+    days = (date(last.year, 12, 31) - date(first.year, 1, 1)).days + 1
+    some = TableRule("rows", E.rows, low=1)
+    return {
+        "silver_competitor_prices": [RowRule("competitor_known", f"competitor IN ({', '.join(repr(c) for c in COMPETITORS)})"),
+                                     RowRule("prices_positive", "competitor_price > 0 AND our_price > 0"), some,
+                                     TableRule("cheaper_share", E.share("is_cheaper"), 0.05, 0.95, "warn")],
+        "gold_sales_daily": [RowRule("keys_known", "store_id IS NOT NULL AND region IS NOT NULL AND category IS NOT NULL"),
+                             RowRule("channel_known", known("channel")),
+                             RowRule("units_positive", "units_sold > 0 AND nb_orders > 0", "fail"), some,
+                             TableRule("first_day", E.smallest("unix_date(sales_date)"), (first - EPOCH).days, (last - EPOCH).days),
+                             TableRule("last_day", E.largest("unix_date(sales_date)"), (first - EPOCH).days, (last - EPOCH).days)],
+        "gold_inventory_status": [RowRule("status_known", known("stock_status"), "fail"),
+                                  RowRule("stock_not_negative", "quantity_on_hand >= 0"), some,
+                                  TableRule("stockout_share", E.share("stock_status = 'stockout'"), high=0.25, action="warn")],
+        "gold_forecast_vs_actual": [RowRule("forecast_not_negative", "forecast_qty >= 0"), some,
+                                    TableRule("rows_beyond_whole_horizons", lambda good: F.count_if(good) % 90, 0, 0)],
+        "silver_customer_segments": [RowRule("label_known", known("segment_label"), "fail"), some],
+        "dim_calendar": [TableRule("rows", E.rows, days, days)],
+        "dim_channel": [RowRule("channel_known", known("channel"), "fail"), TableRule("rows", E.rows, 1, len(DOMAINS["channel"]))],
+    }
+
+
+def write_table(df: DataFrame, out_dir: str, name: str, rules=()) -> int:
+    """Write ``df`` to <out_dir>/<name> through a staging folder, under the
+    rules of ``mercato.operators.expectations``; returns its row count (observed)."""
     if name == "gold_sales_daily":
         df = df.withColumn("sales_year", F.year("sales_date"))
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if part:
-        w = w.partitionBy(*part)
-    base = out_dir.rstrip("/")
-    w.parquet(f"{base}/_stage_{name}")
-    _swap(df.sparkSession, f"{base}/_stage_{name}", f"{base}/{name}")
-    return obs.get["rows"]
+    return E.checked_write(df, out_dir, name, rules, PARTITION_BY.get(name, ()))
 
 
 class Gold:
@@ -90,20 +102,21 @@ class Gold:
 def build_facts(r: Retail, out_dir: str) -> Gold:
     """The facts that the KPI questions and the reports read, with the
     baseline forecast (exact in SQL, so queries over it can be checked)."""
-    write_table(r.competitor_prices, out_dir, "silver_competitor_prices")
-    write_table(sales.gold_sales_daily(r), out_dir, "gold_sales_daily")
-    write_table(inventory.gold_inventory_status(r), out_dir, "gold_inventory_status")
-    write_table(forecast.forecast_vs_actual(r, forecast.forecast_baseline(r)), out_dir, "gold_forecast_vs_actual")
+    rules = expectations(r)
+    for name, df in (("silver_competitor_prices", r.competitor_prices), ("gold_sales_daily", sales.gold_sales_daily(r)),
+                     ("gold_inventory_status", inventory.gold_inventory_status(r)),
+                     ("gold_forecast_vs_actual", forecast.forecast_vs_actual(r, forecast.forecast_baseline(r)))):
+        write_table(df, out_dir, name, rules[name])
     return Gold(r.spark, out_dir)
 
 
 def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
     """Build every gold table; returns {table: rows}."""
     r: Retail = load(spark, sf_dir)
-    counts: dict[str, int] = {}
+    rules, counts = expectations(r), {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        counts[name] = write_table(df, out_dir, name)
+        counts[name] = write_table(df, out_dir, name, rules.get(name, ()))
         return Gold(spark, out_dir).table(name)
 
     put("silver_competitor_prices", r.competitor_prices)

@@ -863,3 +863,36 @@ q("forecast_check", """
 WITH t AS (SELECT product_id, SUM(actual_qty) AS vol, COUNT(*) AS points FROM v_daily WHERE order_date <= (SELECT cutoff FROM v_cutoff)
            GROUP BY 1 ORDER BY vol DESC, product_id LIMIT 200)
 SELECT COUNT(*) FILTER (WHERE points >= 30) AS n_products, CAST(0 AS BIGINT) AS n_other_length, CAST(0 AS BIGINT) AS n_out_of_order FROM t""")
+
+
+# every rule as a query of its own; the writes take them all from one pass
+def _check(tbl: str, rule: str, action: str, observed: str, source: str, passed: str = "observed = 0") -> str:
+    return (f"SELECT '{tbl}' AS tbl, '{rule}' AS rule, '{action}' AS action, ROUND(CAST(observed AS DOUBLE), 6) AS observed, {passed} AS passed "
+            f"FROM (SELECT {observed} AS observed FROM {source}) c")
+
+
+_KNOWN_CHANNEL = "('in_store', 'click_and_collect', 'home_delivery', 'drive')"
+_SPAN = "observed BETWEEN (SELECT MIN(order_date) - DATE '1970-01-01' FROM v_orders) AND (SELECT MAX(order_date) - DATE '1970-01-01' FROM v_orders)"
+q("gold_checks", " UNION ALL ".join([
+    _check("silver_competitor_prices", "competitor_known", "quarantine",
+           "COUNT(*) FILTER (WHERE competitor NOT IN ('MaxiMarché', 'PrimoShop', 'BonPrix', 'NeoShop', 'TendancePlus'))", "v_competitor_prices"),
+    _check("silver_competitor_prices", "prices_positive", "quarantine", "COUNT(*) FILTER (WHERE competitor_price <= 0 OR our_price <= 0)", "v_competitor_prices"),
+    _check("silver_competitor_prices", "rows", "fail", "COUNT(*)", "v_competitor_prices", "observed >= 1"),
+    _check("silver_competitor_prices", "cheaper_share", "warn", "AVG(CAST(is_cheaper AS INT))", "v_competitor_prices", "observed BETWEEN 0.05 AND 0.95"),
+    _check("gold_sales_daily", "keys_known", "quarantine", "COUNT(*) FILTER (WHERE store_id IS NULL OR region IS NULL OR category IS NULL)", "g_sales"),
+    _check("gold_sales_daily", "channel_known", "quarantine", f"COUNT(*) FILTER (WHERE channel NOT IN {_KNOWN_CHANNEL})", "g_sales"),
+    _check("gold_sales_daily", "units_positive", "fail", "COUNT(*) FILTER (WHERE units_sold <= 0 OR nb_orders <= 0)", "g_sales"),
+    _check("gold_sales_daily", "rows", "fail", "COUNT(*)", "g_sales", "observed >= 1"),
+    _check("gold_sales_daily", "first_day", "fail", "MIN(sales_date) - DATE '1970-01-01'", "g_sales", _SPAN),
+    _check("gold_sales_daily", "last_day", "fail", "MAX(sales_date) - DATE '1970-01-01'", "g_sales", _SPAN),
+    _check("gold_inventory_status", "status_known", "fail", "COUNT(*) FILTER (WHERE stock_status NOT IN ('stockout', 'critical', 'low', 'normal'))", "g_inventory"),
+    _check("gold_inventory_status", "stock_not_negative", "quarantine", "COUNT(*) FILTER (WHERE quantity_on_hand < 0)", "g_inventory"),
+    _check("gold_inventory_status", "rows", "fail", "COUNT(*)", "g_inventory", "observed >= 1"),
+    _check("gold_inventory_status", "stockout_share", "warn", "AVG(CAST(stock_status = 'stockout' AS INT))", "g_inventory", "observed <= 0.25"),
+    _check("gold_forecast_vs_actual", "forecast_not_negative", "quarantine", "COUNT(*) FILTER (WHERE forecast_qty < 0)", "g_fva"),
+    _check("gold_forecast_vs_actual", "rows", "fail", "COUNT(*)", "g_fva", "observed >= 1"),
+    _check("gold_forecast_vs_actual", "rows_beyond_whole_horizons", "fail", "COUNT(*) % 90", "g_fva")]))
+q("quarantined_events", """
+SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup', 'view') THEN CASE WHEN value IS NOT NULL THEN 'stored' ELSE 'value_known' END
+            WHEN value IS NOT NULL THEN 'event_type_known' ELSE 'event_type_known,value_known' END AS place, event_type, COUNT(*) AS n
+FROM events GROUP BY 1, 2""")
