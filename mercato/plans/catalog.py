@@ -1246,3 +1246,41 @@ def q_quarantined_events(r: Retail):
     stored = r.spark.read.parquet(f"{out}/silver_events").select("event_type", F.lit("stored").alias("place"))
     apart = E.quarantined(r.spark, out, "silver_events", events.schema).select("event_type", F.col("_failed").alias("place"))
     return stored.unionAll(apart).groupBy("place", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- exact distinct counts by any slicer -----------------------------------------
+def _stored_bitmaps(r: Retail):
+    from mercato.operators.distinct import slicer_bitmaps
+    from mercato.plans.gold import Gold, write_table
+    out = _scratch(r, "gold")
+    write_table(slicer_bitmaps(r), out, "gold_slicer_bitmaps")
+    return Gold(r.spark, out).slicer_bitmaps
+
+
+@register("mea_distinct_by_year")
+def q_mea_distinct_by_year(r: Retail):
+    """MEA-04 (true orders) and MEA-25 per year, from stored bitmaps."""
+    from mercato.operators.distinct import distinct_counts
+    return distinct_counts(_stored_bitmaps(r).withColumn("year", F.year("sales_month")), ["year"])
+
+
+@register("mea_distinct_by_region_channel")
+def q_mea_distinct_by_region_channel(r: Retail):
+    """MEA-04 and MEA-25 per region and channel."""
+    from mercato.operators.distinct import distinct_counts
+    return distinct_counts(_stored_bitmaps(r), ["region", "channel"])
+
+
+@register("mea_distinct_by_category_sliced")
+def q_mea_distinct_by_category_sliced(r: Retail):
+    """MEA-04 and MEA-25 per category under three slicers: last full year, supermarkets, in store."""
+    from mercato.operators.distinct import distinct_counts
+    where = ((F.year("sales_month") == F.year(r.as_of) - 1) & (F.col("store_type") == "supermarket") & (F.col("channel") == "in_store"))
+    return distinct_counts(_stored_bitmaps(r), ["category"], where)
+
+
+@register("mea_distinct_total")
+def q_mea_distinct_total(r: Retail):
+    """MEA-04 and MEA-25 without filter (cards)."""
+    from mercato.operators.distinct import distinct_counts
+    return distinct_counts(_stored_bitmaps(r))

@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import cross, dims, forecast, inventory, sales, segments
+from mercato.operators import cross, dims, distinct, forecast, inventory, sales, segments
 from mercato.operators import expectations as E
 from mercato.operators.expectations import RowRule, TableRule
 from mercato.operators.quality import DOMAINS
@@ -56,6 +56,7 @@ def expectations(r: Retail) -> dict[str, list]:
         "gold_forecast_vs_actual": [RowRule("forecast_not_negative", "forecast_qty >= 0"), some,
                                     TableRule("rows_beyond_whole_horizons", lambda good: F.count_if(good) % 90, 0, 0)],
         "silver_customer_segments": [RowRule("label_known", known("segment_label"), "fail"), some],
+        "gold_slicer_bitmaps": [RowRule("no_empty_set", "bitmap_count(ids) > 0", "fail"), some],
         "dim_calendar": [TableRule("rows", E.rows, days, days)],
         "dim_channel": [RowRule("channel_known", known("channel"), "fail"), TableRule("rows", E.rows, 1, len(DOMAINS["channel"]))],
     }
@@ -94,6 +95,10 @@ class Gold:
     def competitor_prices(self) -> DataFrame:
         return self.table("silver_competitor_prices")
 
+    @cached_property
+    def slicer_bitmaps(self) -> DataFrame:
+        return self.table("gold_slicer_bitmaps")
+
     @cached_property
     def segments(self) -> DataFrame:
         return self.table("silver_customer_segments")
@@ -130,6 +135,7 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
     put("gold_double_risk_products", cross.double_risk(r.products, inv, r.competitor_latest))
     put("gold_champion_stockout_alert",
         cross.champion_stockout_alert(seg, r.order_lines, r.products, r.stores, inv))
+    put("gold_slicer_bitmaps", distinct.slicer_bitmaps(r))
     put("dim_calendar", dims.dim_calendar(r))
     put("dim_category", dims.dim_category(r))
     put("dim_region", dims.dim_region(r))

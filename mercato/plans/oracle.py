@@ -896,3 +896,16 @@ q("quarantined_events", """
 SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup', 'view') THEN CASE WHEN value IS NOT NULL THEN 'stored' ELSE 'value_known' END
             WHEN value IS NOT NULL THEN 'event_type_known' ELSE 'event_type_known,value_known' END AS place, event_type, COUNT(*) AS n
 FROM events GROUP BY 1, 2""")
+
+
+# distinct counts straight from the lines; the Spark side counts bits of stored bitmaps
+view("v_sold", """
+SELECT o.order_id, o.customer_id, o.order_date, o.channel, s.region, s.store_type, p.category
+FROM v_order_items i JOIN v_orders o USING (order_id) JOIN v_products p USING (product_id) JOIN v_stores s USING (store_id)""")
+_DISTINCT = "COUNT(DISTINCT order_id) AS nb_orders_distinct, COUNT(DISTINCT customer_id) AS nb_clients FROM v_sold"
+q("mea_distinct_by_year", f"SELECT CAST(YEAR(order_date) AS INT) AS year, {_DISTINCT} GROUP BY 1")
+q("mea_distinct_by_region_channel", f"SELECT region, channel, {_DISTINCT} GROUP BY 1, 2")
+q("mea_distinct_by_category_sliced", f"""
+SELECT category, {_DISTINCT} WHERE YEAR(order_date) = (SELECT YEAR(as_of) - 1 FROM v_as_of) AND store_type = 'supermarket' AND channel = 'in_store'
+GROUP BY 1""")
+q("mea_distinct_total", f"SELECT {_DISTINCT}")
