@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.functions.sketches import sketched_quantiles, sketches
 from mercato.sources.retail import dec
 
 
-def latest_snapshot(cp: DataFrame) -> DataFrame:
-    """PRJ-24 on a snapshot table whose months aren't known beforehand: rows of
-    the latest snapshot_month ('yyyy-MM' strings sort chronologically).
-    ``Retail.competitor_latest`` reads that month alone."""
-    latest = cp.select(F.max("snapshot_month")).scalar()
-    return cp.where(F.col("snapshot_month") == latest)
-
-
 def price_gap(cp: DataFrame, floor: str = "0.50") -> DataFrame:
     """PRJ-12: clamp the competitor price at a floor, then gap % and flag
     from the clamped price."""
@@ -43,10 +36,17 @@ def summary(cp: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("is_cheaper"), 1).otherwise(0)).alias("cheaper_count"))
 
 
-def median_prices(cp: DataFrame) -> DataFrame:
-    """AGG-22: medians of our and competitor prices per category, exact, with
-    bounded memory per group (``functions.quantile.grouped_exact_quantile``)."""
-    from mercato.functions.quantile import grouped_exact_quantile
-    ours = grouped_exact_quantile(cp, ["category"], "our_price", 0.5, "median_our_price")
-    theirs = grouped_exact_quantile(cp, ["category"], "competitor_price", 0.5, "median_competitor_price")
-    return ours.join(theirs, "category")
+PRICE_KEYS = ["snapshot_month", "category"]
+PRICES = {"our_price": "median_our_price", "competitor_price": "median_competitor_price"}
+
+
+def price_sketches(cp: DataFrame) -> DataFrame:
+    """Quantile sketches of our and competitor prices per month and category."""
+    return sketches(cp, PRICE_KEYS, list(PRICES))
+
+
+def median_prices(cp: DataFrame, stored: DataFrame, by=("category",), where: Column | None = None) -> DataFrame:
+    """AGG-22 / RPT-06: exact medians of our and competitor prices per category
+    (or ``by``), for any months and categories, from stored sketches and one
+    scan of the selected snapshots."""
+    return sketched_quantiles(cp, stored, list(by), PRICES, 0.5, where)

@@ -155,7 +155,28 @@ def q_competitor_reprice(r: Retail):
 @register("median_prices")
 def q_median_prices(r: Retail):
     """AGG-22 / RPT-06: median our vs competitor price per category (latest month)."""
-    return competitor.median_prices(r.competitor_latest)
+    from mercato.plans.gold import Gold, write_table
+    # the month is written once; its sketches and the refining scan read it back
+    out = _scratch(r, "gold")
+    write_table(r.competitor_latest, out, "silver_competitor_prices")
+    g = Gold(r.spark, out)
+    write_table(competitor.price_sketches(g.competitor_prices), out, "gold_price_sketches")
+    return competitor.median_prices(g.competitor_prices, g.price_sketches)
+
+
+@register("median_prices_last_quarter")
+def q_median_prices_last_quarter(r: Retail):
+    """AGG-22 over the last three closed months: their sketches merge, and
+    their snapshots alone are scanned."""
+    from mercato.plans.gold import Gold, write_table
+    out = _scratch(r, "gold")
+    this = r.params["hi"].replace(day=1)
+    months = [m for m in r.params["months"] if m < this][-3:]
+    write_table(r.competitor_prices, out, "silver_competitor_prices")
+    g = Gold(r.spark, out)
+    write_table(competitor.price_sketches(g.competitor_prices), out, "gold_price_sketches")
+    where = F.col("snapshot_month").isin(*[m.strftime("%Y-%m") for m in months])
+    return competitor.median_prices(g.competitor_prices, g.price_sketches, where=where)
 
 
 # ---- customers -----------------------------------------------------------

@@ -21,7 +21,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators import cross, dims, distinct, forecast, inventory, sales, segments
+from mercato.operators import competitor, cross, dims, distinct, forecast, inventory, sales, segments
 from mercato.operators import expectations as E
 from mercato.operators.expectations import RowRule, TableRule
 from mercato.operators.quality import DOMAINS
@@ -31,7 +31,8 @@ EPOCH = date(1970, 1, 1)
 
 # partition columns of the larger gold tables (partition pruning on the
 # usual date / month filters)
-PARTITION_BY = {"gold_sales_daily": ["sales_year"], "silver_competitor_prices": ["snapshot_month"]}
+PARTITION_BY = {"gold_sales_daily": ["sales_year"], "silver_competitor_prices": ["snapshot_month"],
+                "gold_price_sketches": ["snapshot_month"]}
 
 
 def expectations(r: Retail) -> dict[str, list]:
@@ -56,6 +57,7 @@ def expectations(r: Retail) -> dict[str, list]:
         "gold_forecast_vs_actual": [RowRule("forecast_not_negative", "forecast_qty >= 0"), some,
                                     TableRule("rows_beyond_whole_horizons", lambda good: F.count_if(good) % 90, 0, 0)],
         "silver_customer_segments": [RowRule("label_known", known("segment_label"), "fail"), some],
+        "gold_price_sketches": [RowRule("sketch_of_values", "n > 0 AND kll_sketch_get_n_double(sketch) = n", "fail"), some],
         "gold_slicer_bitmaps": [RowRule("no_empty_set", "bitmap_count(ids) > 0", "fail"), some],
         "dim_calendar": [TableRule("rows", E.rows, days, days)],
         "dim_channel": [RowRule("channel_known", known("channel"), "fail"), TableRule("rows", E.rows, 1, len(DOMAINS["channel"]))],
@@ -95,6 +97,10 @@ class Gold:
     def competitor_prices(self) -> DataFrame:
         return self.table("silver_competitor_prices")
 
+    @cached_property
+    def price_sketches(self) -> DataFrame:
+        return self.table("gold_price_sketches")
+
     @cached_property
     def slicer_bitmaps(self) -> DataFrame:
         return self.table("gold_slicer_bitmaps")
@@ -124,7 +130,8 @@ def build(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, int]:
         counts[name] = write_table(df, out_dir, name, rules.get(name, ()))
         return Gold(spark, out_dir).table(name)
 
-    put("silver_competitor_prices", r.competitor_prices)
+    prices = put("silver_competitor_prices", r.competitor_prices)
+    put("gold_price_sketches", competitor.price_sketches(prices))
     put("gold_sales_daily", sales.gold_sales_daily(r))
     inv = put("gold_inventory_status", inventory.gold_inventory_status(r))
     # ML-06 on the history up to 90 days before the analysis date, scored against those days

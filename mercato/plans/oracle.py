@@ -909,3 +909,8 @@ q("mea_distinct_by_category_sliced", f"""
 SELECT category, {_DISTINCT} WHERE YEAR(order_date) = (SELECT YEAR(as_of) - 1 FROM v_as_of) AND store_type = 'supermarket' AND channel = 'in_store'
 GROUP BY 1""")
 q("mea_distinct_total", f"SELECT {_DISTINCT}")
+
+q("median_prices_last_quarter", """
+SELECT category, median(CAST(our_price AS DOUBLE)) AS median_our_price, median(CAST(competitor_price AS DOUBLE)) AS median_competitor_price
+FROM v_competitor_prices
+WHERE snapshot_month IN (SELECT snapshot_month FROM v_competitor_prices GROUP BY 1 ORDER BY 1 DESC LIMIT 3) GROUP BY category""")
