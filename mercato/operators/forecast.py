@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.functions.dax import davg, div, dsum
 from mercato.sources.retail import Retail, dec
 
 FORECAST_COLS = ["product_id", "forecast_date", "forecast_qty", "forecast_qty_lower", "forecast_qty_upper"]
@@ -68,11 +69,16 @@ def forecast_vs_actual(r: Retail, forecast: DataFrame) -> DataFrame:
                     F.when(fq == 0, None).otherwise(F.round(1 - err, 4)).cast("double").alias("forecast_accuracy"))
 
 
-# ---- ML-06: per-SKU seasonal regression ----------------------------------
-Z80 = 1.2815515655446004  # two-sided 80 % normal interval
+# ---- ML-06: per-SKU seasonal model with a sparse trend -------------------
+# Prior scales, changepoints and interval of the source's model.
+CHANGEPOINT_SCALE, SEASON_SCALE, SLOPE_SCALE = 0.05, 10.0, 5.0
+N_CHANGEPOINTS, HISTORY_SHARE = 25, 0.8
+INTERVAL = 0.8
+SAMPLES = 500  # simulated futures of an interval
 
 
 def _design(t: np.ndarray, changepoints: np.ndarray, n_days: float) -> np.ndarray:
+    """Level (first), slope, one hinge per changepoint, then weekly and yearly Fourier terms."""
     cols = [np.ones_like(t), t / n_days]
     cols += [np.maximum(0.0, t - c) / n_days for c in changepoints]
     for period, order in ((7.0, 3), (365.25, 10)):
@@ -82,10 +88,60 @@ def _design(t: np.ndarray, changepoints: np.ndarray, n_days: float) -> np.ndarra
     return np.column_stack(cols)
 
 
-def fit_predict(pdf: pd.DataFrame, horizon: int, min_points: int, n_changepoints: int = 10,
-                ridge: float = 1.0, z: float = Z80) -> pd.DataFrame:
-    """Trend with hinge changepoints + weekly and yearly Fourier terms,
-    ridge-penalised least squares; interval = yhat +- z * residual std."""
+def sparse_fit(x: np.ndarray, y: np.ndarray, l1: np.ndarray, l2: np.ndarray, rounds: int = 5, sweeps: int = 200,
+               tol: float = 1e-5) -> tuple[np.ndarray, float]:
+    """Posterior mode under Laplace (``l1``) and normal (``l2``) priors, and the noise.
+
+    Cyclic coordinate descent on the normal equations, alternating with the
+    noise variance; a coefficient whose pull stays below its Laplace
+    penalty is exactly zero."""
+    gram, xy = x.T @ x, x.T @ y
+    # from the level alone: what the data don't ask for stays zero
+    beta = np.zeros(x.shape[1])
+    beta[0] = y.mean()
+    var = max(float(np.mean((y - x @ beta) ** 2)), 1e-8)
+    for _ in range(rounds):
+        den, cut = np.diag(gram) + var * l2 + 1e-12, var * l1
+        rest = xy - gram @ beta
+        for _ in range(sweeps):
+            moved = 0.0
+            for j in range(len(beta)):
+                pull = rest[j] + gram[j, j] * beta[j]
+                new = (np.sign(pull) * max(abs(pull) - cut[j], 0.0)) / den[j] if cut[j] else pull / den[j]
+                step = new - beta[j]
+                if step:
+                    rest -= gram[:, j] * step
+                    beta[j] = new
+                    moved = max(moved, abs(step))
+            if moved < tol:
+                break
+        before, var = var, max(float(np.mean((y - x @ beta) ** 2)), 1e-8)
+        if abs(var - before) < 1e-4 * before:
+            break
+    return beta, float(np.sqrt(var))
+
+
+def trend_changes(rng: np.random.Generator, hinges: np.ndarray, n_days: float, horizon: int, samples: int) -> np.ndarray:
+    """(samples, horizon): what the trend may gain or lose beyond the history.
+
+    Slopes change as often as the history had changepoints, by Laplace
+    steps of the size that its hinges have on average."""
+    size = float(np.mean(np.abs(hinges))) if len(hinges) else 0.0
+    happens = rng.random((samples, horizon)) < len(hinges) / n_days
+    steps = np.where(happens, rng.laplace(0.0, size + 1e-12, (samples, horizon)), 0.0)
+    slope = np.cumsum(steps, axis=1)
+    return np.cumsum(np.hstack([np.zeros((samples, 1)), slope[:, :-1]]), axis=1) / n_days
+
+
+def fit_predict(pdf: pd.DataFrame, horizon: int, min_points: int, n_changepoints: int = N_CHANGEPOINTS,
+                interval: float = INTERVAL, samples: int = SAMPLES, last=None, zero_days: bool = True) -> pd.DataFrame:
+    """One SKU's forecast for the ``horizon`` days after its history.
+
+    ``min_points`` counts selling days; with ``zero_days`` the days without a
+    sale from the first sale to ``last`` (else the last sale) count as zero,
+    as they do in the comparison with actual units.  The interval holds the
+    central share of simulated futures: trend changes plus noise, drawn with
+    the product id as seed, so a retried task gives the same rows."""
     pid = pdf["product_id"].iloc[0]
     out_cols = FORECAST_COLS + ["status"]
     if len(pdf) < min_points:
@@ -93,24 +149,27 @@ def fit_predict(pdf: pd.DataFrame, horizon: int, min_points: int, n_changepoints
     try:
         ds = pd.to_datetime(pdf["order_date"]).values.astype("datetime64[D]")
         y = pdf["y"].astype(float).clip(lower=0).values
-        t0 = ds.min()
-        t = (ds - t0).astype(float)
-        n_days = max(t.max(), 1.0)
-        cps = np.linspace(0, 0.8 * n_days, n_changepoints + 2)[1:-1]
-        X = _design(t, cps, n_days)
-        pen = np.full(X.shape[1], ridge)
-        pen[:2] = 1e-6
-        beta = np.linalg.solve(X.T @ X + np.diag(pen), X.T @ y)
-        sigma = float(np.std(y - X @ beta))
-        last = ds.max()
-        fut = last + np.arange(1, horizon + 1).astype("timedelta64[D]")
+        t0, end = ds.min(), np.datetime64(last, "D") if last is not None else ds.max()
+        t = (ds - t0).astype(int)
+        n_days = float(max((end - t0).astype(int), 1))
+        if zero_days:
+            y, t = np.bincount(t, weights=y, minlength=int(n_days) + 1), np.arange(int(n_days) + 1)
+        scale = max(float(y.max()), 1e-9)
+        cps = np.linspace(0, HISTORY_SHARE * n_days, n_changepoints + 1)[1:]
+        x = _design(t.astype(float), cps, n_days)
+        hinge, season = slice(2, 2 + n_changepoints), slice(2 + n_changepoints, x.shape[1])
+        l1, l2 = np.zeros(x.shape[1]), np.full(x.shape[1], 1 / SLOPE_SCALE ** 2)
+        l1[hinge], l2[hinge], l2[season] = 1 / CHANGEPOINT_SCALE, 0.0, 1 / SEASON_SCALE ** 2
+        beta, sigma = sparse_fit(x, y / scale, l1, l2)
+        fut = end + np.arange(1, horizon + 1).astype("timedelta64[D]")
         yhat = _design((fut - t0).astype(float), cps, n_days) @ beta
+        rng = np.random.default_rng(abs(int(pid)))
+        paths = yhat + trend_changes(rng, beta[hinge], n_days, horizon, samples) + rng.normal(0.0, sigma, (samples, horizon))
+        lower, upper = np.quantile(paths, [(1 - interval) / 2, (1 + interval) / 2], axis=0)
+        units = lambda v: np.round(np.clip(v * scale, 0, None), 2)
         res = pd.DataFrame({
-            "product_id": pid, "forecast_date": fut.astype("datetime64[ns]"),
-            "forecast_qty": np.round(np.clip(yhat, 0, None), 2),
-            "forecast_qty_lower": np.round(np.clip(yhat - z * sigma, 0, None), 2),
-            "forecast_qty_upper": np.round(np.clip(yhat + z * sigma, 0, None), 2),
-            "status": "ok"})
+            "product_id": pid, "forecast_date": fut.astype("datetime64[ns]"), "forecast_qty": units(yhat),
+            "forecast_qty_lower": units(np.minimum(lower, yhat)), "forecast_qty_upper": units(np.maximum(upper, yhat)), "status": "ok"})
         res["forecast_date"] = res["forecast_date"].dt.date
         return res[out_cols]
     except Exception as e:  # a failed SKU is reported, not fatal
@@ -118,17 +177,39 @@ def fit_predict(pdf: pd.DataFrame, horizon: int, min_points: int, n_changepoints
 
 
 def demand_forecast(r: Retail, horizon: int = 90, top_n: int | None = 200, min_points: int = 30,
-                    cutoff: Column | None = None) -> DataFrame:
+                    cutoff: Column | None = None, zero_days: bool = True) -> DataFrame:
     """ML-06: one model per SKU via applyInPandas; each group is one SKU's
     daily series (bounded by the calendar, not by the data volume)."""
     act = daily_actuals(r).withColumnRenamed("actual_qty", "y")
     if cutoff is not None:
         act = act.where(F.col("order_date") <= cutoff)
+    # the history ends on the same day for every SKU
+    act = act.withColumn("last", cutoff if cutoff is not None else r.as_of)
     if top_n is not None:
         top = (act.groupBy("product_id").agg(F.sum("y").alias("vol"))
                .orderBy(F.desc("vol"), "product_id").limit(top_n).select("product_id"))
-        act = act.join(F.broadcast(top), "product_id")  # bounded: top_n rows
+        act = act.join(F.broadcast(top) if top_n <= 100_000 else top, "product_id")
     schema = ("product_id long, forecast_date date, forecast_qty double, forecast_qty_lower double, "
               "forecast_qty_upper double, status string")
     return act.groupBy("product_id").applyInPandas(
-        lambda pdf: fit_predict(pdf, horizon, min_points), schema)
+        lambda pdf: fit_predict(pdf, horizon, min_points, last=pdf["last"].iloc[0], zero_days=zero_days), schema)
+
+
+def scores(fva: DataFrame, by=()) -> DataFrame:
+    """Held-out quality of a forecast: mean absolute error, error relative to
+    the actual units, and the share of days inside the interval."""
+    err = F.abs(F.col("actual_qty") - F.col("forecast_qty"))
+    aggs = [F.count(F.lit(1)).alias("n_days"), davg(err).alias("mae"), div(dsum(err), F.sum("actual_qty")).alias("relative_error"),
+            F.avg(F.col("actual_qty").between(F.col("forecast_qty_lower"), F.col("forecast_qty_upper")).cast("int")).alias("coverage")]
+    return fva.groupBy(*by).agg(*aggs) if by else fva.agg(*aggs)
+
+
+def both_models(r: Retail, horizon: int = 90) -> DataFrame:
+    """Forecasts of ML-06 and ML-07 with the actual units, for the products and days that both forecast."""
+    model = demand_forecast(r, horizon, cutoff=cutoff_of(r, horizon)).where("status = 'ok'").drop("status").checkpoint(eager=True)
+    base = forecast_baseline(r, horizon).join(model.select("product_id", "forecast_date"), ["product_id", "forecast_date"], "left_semi")
+    model = model.join(base.select("product_id").distinct(), "product_id", "left_semi")
+    every = model.withColumn("model", F.lit("ML-06")).unionByName(base.withColumn("model", F.lit("ML-07")))
+    act = daily_actuals(r).withColumnRenamed("order_date", "forecast_date")
+    return (every.join(act, ["product_id", "forecast_date"], "left")
+            .withColumn("actual_qty", F.coalesce("actual_qty", F.lit(0))))

@@ -1305,3 +1305,23 @@ def q_mea_distinct_total(r: Retail):
     """MEA-04 and MEA-25 without filter (cards)."""
     from mercato.operators.distinct import distinct_counts
     return distinct_counts(_stored_bitmaps(r))
+
+
+# ---- held-out quality of the forecasts --------------------------------------------
+@register("forecast_scores", rows_only=True)
+def q_forecast_scores(r: Retail):
+    """ML-06 next to ML-07 on the 90 held-out days: error and interval coverage of both."""
+    return forecast.scores(forecast.both_models(r), ["model"])
+
+
+@register("forecast_quality")
+def q_forecast_quality(r: Retail):
+    """ML-07's held-out error and coverage on the products of ML-06, and
+    whether ML-06 errs no more and covers its 80 % at least."""
+    s = forecast.scores(forecast.both_models(r), ["model"])
+    of = lambda model, c: F.max(F.when(F.col("model") == model, F.col(c)))
+    return s.agg(of("ML-07", "n_days").alias("n_days"), of("ML-07", "mae").alias("baseline_mae"),
+                 of("ML-07", "coverage").alias("baseline_coverage"),
+                 (of("ML-06", "n_days") == of("ML-07", "n_days")).alias("same_days"),
+                 (of("ML-06", "mae") <= of("ML-07", "mae")).alias("model_errs_no_more"),
+                 (of("ML-06", "coverage") >= 0.8).alias("model_covers"))

