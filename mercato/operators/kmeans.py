@@ -4,8 +4,9 @@ One job per iteration: every task holds the centres of all running
 restarts (restarts x k points), assigns each of its rows once per restart
 and hands on sums per (restart, cluster), so at most restarts x k short
 rows per task are shuffled and that many meet on the driver, whatever the
-number of rows.  A restart stops when none of its centres moves any more
-(a fixed point), or after ``max_iter`` iterations.
+number of rows.  A restart rests when its centres move by no more than
+``tol``; the one of least cost then goes on until none of its centres
+moves any more (a fixed point).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED_ROWS = 4096  # rows of the sample, chosen by hash, that the first centres come from
+TOL = 1e-4        # squared shift of the centres, in standard units, at which a restart rests
 ROUNDING = 12     # digits of a centre, so that the order of additions doesn't show
 
 
@@ -28,7 +30,7 @@ class Model:
     cost: float            # sum of squared distances to the nearest centre
     iterations: int
     converged: bool
-    costs: tuple[float, ...]  # of every restart
+    costs: tuple[float, ...]  # of every restart as it rested
     mean: dict[str, float]
     std: dict[str, float]
 
@@ -85,7 +87,18 @@ def _sums(df: DataFrame, features: list[str], centres: dict[int, np.ndarray]) ->
             for row in added.toLocalIterator()}
 
 
-def fit(df: DataFrame, key: str, features: list[str], k: int = 5, seed: int = 42, restarts: int = 10, max_iter: int = 300) -> Model:
+def _advanced(df: DataFrame, features: list[str], running: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, float, float]]:
+    """One iteration of every restart: its new centres, the cost under the old ones, and the squared shift."""
+    sums, out = _sums(df, features, running), {}
+    for r, old in running.items():
+        parts = [sums[r, i] for i in range(len(old))]
+        new = np.array([old[i] if n == 0 else np.round(total / n, ROUNDING) for i, (total, n, _) in enumerate(parts)])
+        out[r] = new, sum(cost for _, _, cost in parts), float(((new - old) ** 2).sum())
+    return out
+
+
+def fit(df: DataFrame, key: str, features: list[str], k: int = 5, seed: int = 42, restarts: int = 10, max_iter: int = 300,
+        tol: float = TOL) -> Model:
     """The best of ``restarts`` fits of k centres to the standardised ``features``.
 
     ``df`` is read once per iteration: hand in a stored table.  An empty
@@ -94,24 +107,23 @@ def fit(df: DataFrame, key: str, features: list[str], k: int = 5, seed: int = 42
     sample = np.array([tuple(row) for row in x.orderBy(F.xxhash64(key), key).limit(SEED_ROWS).select(*features).toLocalIterator()], float)
     if not len(sample):
         raise ValueError("no rows to cluster")
-    centres = {r: _first_centres(sample, k, seed + r) for r in range(restarts)}
-    done: dict[int, tuple[np.ndarray, float, int, bool]] = {}
-    for iteration in range(1, max_iter + 1):
-        sums = _sums(x, features, centres)
-        for r, old in list(centres.items()):
-            parts = [sums[r, i] for i in range(k)]
-            new = np.array([old[i] if n == 0 else np.round(total / n, ROUNDING) for i, (total, n, _) in enumerate(parts)])
-            cost = sum(c for _, _, c in parts)  # of the centres that the rows were assigned to
-            if iteration == max_iter or np.array_equal(new, old):
-                done[r] = (old, cost, iteration, bool(np.array_equal(new, old)))
-                del centres[r]
-            else:
-                centres[r] = new
-        if not centres:
-            break
-    best = min(done, key=lambda r: (round(done[r][1], 6), r))
-    c, cost, iterations, converged = done[best]
-    return Model(c, cost, iterations, converged, tuple(done[r][1] for r in range(restarts)), mean, std)
+    running = {r: _first_centres(sample, k, seed + r) for r in range(restarts)}
+    resting: dict[int, tuple[np.ndarray, float]] = {}
+    iteration = 0
+    while running and iteration < max_iter:
+        iteration += 1
+        for r, (centres, cost, shift) in _advanced(x, features, running).items():
+            running[r] = centres
+            if shift <= tol or iteration == max_iter:
+                resting[r] = running.pop(r), cost
+    best = min(resting, key=lambda r: (round(resting[r][1], 6), r))
+    centres, cost = resting[best]
+    shift = 1.0
+    while shift and iteration < 2 * max_iter:
+        iteration += 1
+        before = centres
+        centres, cost, shift = _advanced(x, features, {best: before})[best]
+    return Model(centres, cost, iteration, not shift, tuple(resting[r][1] for r in range(restarts)), mean, std)
 
 
 def distances(df: DataFrame, model: Model, features: list[str]) -> DataFrame:
