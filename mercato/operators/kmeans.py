@@ -46,7 +46,7 @@ def standardised(df: DataFrame, features: list[str]) -> tuple[DataFrame, dict[st
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of every row the nearest centre (ties: the first) and its squared distance."""
-    d = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(-1)
+    d = np.stack([np.einsum("ij,ij->i", x - c, x - c) for c in centres], 1)
     at = d.argmin(1)
     return at, d[np.arange(len(x)), at]
 
@@ -70,7 +70,8 @@ def _sums(df: DataFrame, features: list[str], centres: dict[int, np.ndarray]) ->
             for r, c in centres.items():
                 at, d = _nearest(x, c)
                 total, n, cost = sums[r]
-                np.add.at(total, at, x)
+                for j in range(x.shape[1]):
+                    total[:, j] += np.bincount(at, weights=x[:, j], minlength=len(c))
                 n += np.bincount(at, minlength=len(c))
                 cost += np.bincount(at, weights=d, minlength=len(c))
         rows = [(r, i, total[i].tolist(), int(n[i]), float(cost[i])) for r, (total, n, cost) in sums.items() for i in range(len(n))]
@@ -84,7 +85,7 @@ def _sums(df: DataFrame, features: list[str], centres: dict[int, np.ndarray]) ->
     added = parts.groupBy("restart", "cluster").agg(
         *[F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(len(features))], F.sum("n").alias("n"), F.sum("cost").alias("cost"))
     return {(row["restart"], row["cluster"]): (np.array([row[f"t{i}"] for i in range(len(features))]), row["n"], row["cost"])
-            for row in added.toLocalIterator()}
+            for row in added.take(sum(map(len, centres.values())))}
 
 
 def _advanced(df: DataFrame, features: list[str], running: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, float, float]]:
