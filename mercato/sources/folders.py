@@ -40,3 +40,30 @@ def swap(spark: SparkSession, staged: str, target: str) -> None:
     if not fs.rename(new, cur):
         raise OSError(f"cannot move {staged} to {target}")
     fs.delete(old, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all; an existing one stays."""
+    fs, (final, part) = _fs(spark, path, f"{path}.part")
+    fs.mkdirs(final.getParent())
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.exists(final):
+        fs.rename(part, final)
+    fs.delete(part, False)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, (p,) = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, none if there is no folder."""
+    fs, (p,) = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

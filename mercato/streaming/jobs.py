@@ -13,14 +13,18 @@ trigger on the same query.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from mercato.session import scratch_path
+from mercato.sources import folders
+from mercato.streaming.changelog import DELETED, ChangeLog
 
 EVENTS_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, "
                  "value double, props string")
@@ -167,48 +171,29 @@ def cdc_state(changes: DataFrame, keys=("key",), seq: str = "seq") -> DataFrame:
     return latest_per_key(changes, keys, seq).where(F.col("op") != "delete").drop("op")
 
 
-def _stored_buckets(spark: SparkSession, target: str, buckets: int) -> int:
-    """The number of hash buckets of a state table, fixed when it is made."""
-    path = f"{target.rstrip('/')}/buckets"
-    spark.createDataFrame([(buckets,)], "buckets int").write.mode("ignore").parquet(path)
-    return spark.read.parquet(path).first()["buckets"]
+def _change_log(spark: SparkSession, target: str, schema, **how) -> ChangeLog:
+    return ChangeLog(spark, f"{target.rstrip('/')}/table", schema, **how)
 
 
-def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq", buckets: int = 64) -> str:
+def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str = "seq", share: float = 0.5,
+                     most_logs: int = 32) -> str:
     """STR-01: apply a change stream to a Parquet table with foreachBatch.
 
-    The state holds the latest change of every key it has seen, deletes too
-    (as tombstones), so a late change older than a delete stays without
-    effect, and a replayed batch changes nothing.  It is partitioned into
-    hash buckets of the key; their number is stored with the state, so a
-    restart with another ``buckets`` value finds every key where it was.  A
-    micro-batch reads and replaces only the buckets its keys fall in
-    (dynamic partition overwrite from a staged copy -- Parquet has no MERGE
-    and cannot overwrite what it reads).  ``cdc_current`` leaves tombstones
-    out."""
+    The table is a change log with compaction (``mercato.streaming.changelog``):
+    a micro-batch adds the latest change of each of its keys and becomes
+    visible by one commit, so a replayed batch changes nothing, a job that
+    dies anywhere loses nothing, and a small batch rewrites nothing else.
+    Deletes stay as tombstones; ``cdc_current`` leaves them out."""
     spark = changes.sparkSession
-    state = f"{target.rstrip('/')}/state"
-    buckets = _stored_buckets(spark, target, buckets)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
     def tombstoned(df: DataFrame) -> DataFrame:
-        return df.withColumn("_deleted", F.col("op") == "delete").drop("op")
+        return df.withColumn(DELETED, F.col("op") == "delete").drop("op")
 
-    schema = tombstoned(changes).withColumn("bucket", F.lit(0)).schema
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("bucket").parquet(state)
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        new = latest_per_key(tombstoned(batch), keys, seq).withColumn("bucket", bucket)
-        touched = new.select("bucket").distinct()
-        # at most ``buckets`` rows; the join prunes the other partitions of the state
-        cur = spark.read.schema(schema).parquet(state).join(F.broadcast(touched), "bucket", "left_semi")
-        merged = latest_per_key(cur.unionByName(new), (*keys, "bucket"), seq)
-        stage = f"{target.rstrip('/')}/_stage/{batch_id % 2}"
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(stage)
-        (spark.read.schema(merged.schema).parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(state))
-
-    q = (changes.writeStream.foreachBatch(on_batch)
+    schema = tombstoned(changes).schema
+    log = _change_log(spark, target, schema, keys=keys, seq=seq, share=share, most_logs=most_logs)
+    # the reader finds columns and keys beside the table
+    folders.put_text(spark, f"{log.path}/_schema", json.dumps({"schema": schema.json(), "keys": list(keys), "seq": seq}))
+    q = (changes.writeStream.foreachBatch(lambda batch, batch_id: log.apply(tombstoned(batch), batch_id))
          .option("checkpointLocation", f"{target.rstrip('/')}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -217,8 +202,9 @@ def cdc_apply_stream(changes: DataFrame, target: str, keys=("key",), seq: str =
 
 def cdc_current(spark: SparkSession, target: str) -> DataFrame:
     """Current rows of a CDC-applied table."""
-    st = spark.read.parquet(f"{target.rstrip('/')}/state")
-    return st.where(~F.col("_deleted")).drop("_deleted", "bucket")
+    spec = json.loads(folders.get_text(spark, f"{target.rstrip('/')}/table/_schema"))
+    schema = StructType.fromJson(json.loads(spec["schema"]))
+    return _change_log(spark, target, schema, keys=spec["keys"], seq=spec["seq"]).current()
 
 
 # ---- STR-06 on a feed: stock alerts from inventory snapshot files ------------
