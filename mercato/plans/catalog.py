@@ -1342,3 +1342,22 @@ def q_segment_fixed_point(r: Retail):
     scale = fitted.agg(F.array_min(F.array(*scaled)).alias("standardised")).withColumn("one", F.lit(1))
     return point.withColumn("one", F.lit(1)).join(scale, "one").drop("one") \
         .withColumn("best_of_restarts", F.lit(len(model.costs) == 10 and model.converged and model.cost <= min(model.costs) + 1e-6))
+
+
+# ---- POS silence by slices and timers -----------------------------------------
+@register("pos_sessions")
+def q_pos_sessions(r: Retail):
+    """STR-05: sessions of sales per store, stitched from time slices."""
+    from mercato.streaming import silence
+    return silence.sessions(silence.store_sales(r.raw("events"), r.n_stores))
+
+
+@register("stream_silence_alarms")
+def q_stream_silence_alarms(r: Retail):
+    """STR-05: alarms raised by timers 45 minutes after a store's last sale,
+    for every silence that the clock of the feed (an hour behind its last event) has passed."""
+    from mercato.streaming import jobs as S
+    from mercato.streaming import silence
+    alarms = silence.silence_alarms(S.event_stream(r.spark, r.sf_dir), r.n_stores, "1 hour")
+    path = silence.with_rocksdb(r.spark, lambda: S.run_available(alarms, ""))
+    return r.spark.read.parquet(path).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "last_sale", "alarm_at")})

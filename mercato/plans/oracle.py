@@ -927,3 +927,16 @@ FROM f""")
 q("segment_fixed_point", """
 SELECT COUNT(*) AS n_customers, CAST(5 AS BIGINT) AS n_segments, CAST(0 AS BIGINT) AS n_nearer_elsewhere, CAST(0 AS BIGINT) AS n_centres_off,
        TRUE AS standardised, TRUE AS best_of_restarts FROM v_rfm""")
+
+view("v_pos_sessions", """
+SELECT store_id, MIN(ts) AS first_ts, MAX(ts) AS last_ts, COUNT(*) AS n_sales
+FROM (SELECT *, SUM(CASE WHEN ts <= before + INTERVAL 45 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY store_id ORDER BY ts, event_id) AS run
+      FROM (SELECT event_id, ts, user_id % (SELECT COUNT(*) FROM supplier) AS store_id,
+                   LAG(ts) OVER (PARTITION BY user_id % (SELECT COUNT(*) FROM supplier) ORDER BY ts, event_id) AS before
+            FROM events WHERE event_type = 'purchase') p) q
+GROUP BY store_id, run""")
+q("pos_sessions", "SELECT * FROM v_pos_sessions")
+q("stream_silence_alarms", """
+SELECT store_id, first_ts AS session_start, last_ts AS last_sale, last_ts + INTERVAL 45 MINUTE AS alarm_at, n_sales
+FROM v_pos_sessions
+WHERE time_bucket(INTERVAL 5 MINUTE, last_ts + INTERVAL 45 MINUTE) + INTERVAL 5 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
