@@ -90,7 +90,9 @@ def search(queries: np.ndarray, own: np.ndarray, points: np.ndarray, ids: np.nda
     """
     top = TopK(floors, k)
     qf, pf = queries.astype(float), points.astype(float)
-    exact = (queries, points) if _wide(queries, points) else (qf, pf)
+    most = _largest(queries, points)
+    # doubles hold the scores exactly, else 64-bit integers, else integers of any size
+    exact = (qf, pf) if most < 2 ** 52 else (queries, points) if most < 2 ** 62 else (queries.astype(object), points.astype(object))
     qn, pn = np.sqrt((qf * qf).sum(axis=1)), np.sqrt((pf * pf).sum(axis=1))
     qt, pt = build(qf), build(pf)
     if qt is None or pt is None:
@@ -107,14 +109,14 @@ def search(queries: np.ndarray, own: np.ndarray, points: np.ndarray, ids: np.nda
             continue
         if not a.children and not b.children:
             scores = exact[0][a.rows] @ exact[1][b.rows].T
-            hit = scores >= top.worst[a.rows][:, None]
+            hit = (scores >= top.worst[a.rows][:, None]).astype(bool)
             for i in np.flatnonzero(hit.any(axis=1)).tolist():
                 q = int(a.rows[i])
                 at = np.flatnonzero(hit[i])
-                if len(at) > 4 * k + 1:  # the best of them by score keep every tie at the edge
+                if len(at) > 4 * k + 1 and most < 2 ** 62:  # the best of them by score keep every tie at the edge
                     edge = np.partition(scores[i, at], -(k + 1))[-(k + 1)]
                     at = at[scores[i, at] >= edge]
-                if len(at) > 4 * k + 1:  # many ties: the smallest ids
+                if len(at) > 4 * k + 1 and most < 2 ** 62:  # many ties: the smallest ids
                     r = b.rows[at]
                     at = at[np.lexsort((rows[r], ids[r], -scores[i, at]))[:k + 1]]
                 r = b.rows[at]
@@ -129,7 +131,7 @@ def search(queries: np.ndarray, own: np.ndarray, points: np.ndarray, ids: np.nda
     return top.best
 
 
-def _wide(q: np.ndarray, p: np.ndarray) -> bool:
-    """Whether inner products may exceed the exact integers of a double."""
-    biggest = lambda v: float(np.abs(v).max(initial=0))
-    return biggest(q) * biggest(p) * max(1, q.shape[1]) >= 2 ** 52
+def _largest(q: np.ndarray, p: np.ndarray) -> float:
+    """What no inner product of the two sides exceeds."""
+    biggest = lambda v: float(np.abs(v.astype(float)).max(initial=0))
+    return biggest(q) * biggest(p) * max(1, q.shape[1])

@@ -23,19 +23,23 @@ from mercato.llm.common import hash_sample, written
 from mercato.llm.cover_tree import search
 
 SCALE = 256
-LARGEST = 1 << 28     # components beyond this could overflow a score; such vectors take no part
 CELL_ROWS = 2048      # vectors a cell should have
 MOST_PIVOTS = 4096    # pivots, whatever the data: they are broadcast
 BLOCK_ROWS = 8192     # vectors of a block
 QUERY_ROWS = 65536    # queries that meet a block in one task
+PIVOT_ROWS = 1024     # vectors compared with all pivots at a time
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(row, id, v) of the vectors that take part: no null, no component null, non-finite or too large."""
-    whole = F.transform(vector_col, lambda x: F.floor(SCALE * x.cast("double")))
-    fine = F.forall(vector_col, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < LARGEST / SCALE))
+    """(row, id, v, dim) of the vectors that take part: no null, no component null or non-finite.
+
+    A component that is no long after scaling raises an error, as its scores are none either."""
+    x = lambda c: c.cast("double")
+    fine = F.forall(vector_col, lambda c: c.isNotNull() & ~F.isnan(x(c)) & (F.abs(x(c)) < float("inf")))
+    scaled = F.transform(vector_col, lambda c: F.when(F.abs(x(c)) < 2.0 ** 54, F.floor(SCALE * x(c)))
+                         .otherwise(F.raise_error(F.lit("a vector component is too large for scores of 64 bits")).cast("long")))
     return (vectors.filter(F.col(vector_col).isNotNull() & F.coalesce(fine, F.lit(False)))
-            .select(F.col(id_col).cast("long").alias("id"), whole.cast("array<int>").alias("v"))
+            .select(F.col(id_col).cast("long").alias("id"), scaled.cast("array<long>").alias("v"))
             .withColumn("row", F.monotonically_increasing_id()).withColumn("dim", F.size("v")))
 
 
@@ -70,16 +74,20 @@ class Pivots:
         if v.shape[1] not in self.by_dim or len(self.by_dim[v.shape[1]][0]) <= k:
             return np.full(len(v), -np.inf)
         p, rows = self.by_dim[v.shape[1]]
-        s = (v @ p.T).astype(float)
+        x, y = v.astype(float), p.astype(float)
+        s = x @ y.T
         s[own[:, None] == rows] = -np.inf
         worst = np.partition(s, -k, axis=1)[:, -k]
-        return np.nextafter(worst, -np.inf)
+        # below the exact score, whatever the rounding of the sums
+        return worst - 1e-9 * np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1).max()) - 1e-6
 
 
 def _by_dim(batch: pa.RecordBatch):
     dims = np.asarray(batch.column("dim"))
     for d in np.unique(dims).tolist():
-        yield d, batch.filter(pa.array(dims == d))
+        part = batch.filter(pa.array(dims == d))
+        for at in range(0, part.num_rows, PIVOT_ROWS):
+            yield d, part.slice(at, PIVOT_ROWS)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
@@ -87,9 +95,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     """The k rows of largest inner product for each query row, exactly.
 
     Components are floor(256 x); a query's own row is no candidate, rows of
-    equal id are.  Vectors that are null or hold a null, non-finite or
-    excessive component take no part, and vectors of different length are
-    not compared.  Returns query_id, rank (from 1), vec_id, score; ties go to
+    equal id are.  Vectors that are null or hold a null or non-finite
+    component take no part, and vectors of different length are
+    not compared.  Vectors of any size are scored exactly; a component or a
+    score in the result that is no 64-bit integer raises an error.  Returns query_id, rank (from 1), vec_id, score; ties go to
     the smaller id (a null id is larger than any), and a query with fewer
     than k candidates has them all.  An empty table gives an empty result.
     """
@@ -97,6 +106,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
     vecs = written(integer_vectors(vectors, id_col, vector_col), "vectors")
+    # 32 bits a component where the whole table fits
+    kind = "int" if vecs.filter(F.exists("v", lambda c: F.abs(c) >= 2 ** 31)).isEmpty() else "long"
+    vecs = vecs.withColumn("v", F.col("v").cast(f"array<{kind}>"))
     n = vecs.count()
     wanted = min(MOST_PIVOTS, max(16, n // CELL_ROWS))
     pivots = Pivots(hash_sample(vecs, wanted, F.xxhash64("row")).select("row", "v").collect())
@@ -110,7 +122,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                                                  names=["row", "id", "dim", "cell", "far", "v"])
 
     cells = written(vecs.select("row", "id", "dim", "v").mapInArrow(
-        assign, "row long, id long, dim int, cell int, far double, v array<int>"), "cells")
+        assign, f"row long, id long, dim int, cell int, far double, v array<{kind}>"), "cells")
     queries = cells.withColumnRenamed("id", id_col).filter(is_query).withColumnRenamed(id_col, "id")
     # one row per cell: at most MOST_PIVOTS, and one for each further dimension
     stats = {(r["dim"], r["cell"]): (r["n"], r["radius"]) for r in
@@ -148,14 +160,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                              pa.array(floors[[i for i, _, _ in some]]), part.column("v").take(take)],
                             names=["row", "id", "dim", "cell", "block", "floor", "v"])
 
-    asked = queries.select("row", "id", "dim", "cell", "far", "v").mapInArrow(
-        reach, "row long, id long, dim int, cell int, block int, floor double, v array<int>").withColumn(
-        "chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int"))
+    asked = written(queries.select("row", "id", "dim", "cell", "far", "v").mapInArrow(
+        reach, f"row long, id long, dim int, cell int, block int, floor double, v array<{kind}>").withColumn(
+        "chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int")), "asked")
     counts = spark.createDataFrame([(d, c, b) for (d, c), b in blocks.items()], "dim int, cell int, blocks int")
+    # a block goes to the chunks of queries that reach it, and nowhere else
+    met = asked.select(*[F.col(c).alias(c) for c in ("dim", "cell", "block", "chunk")]).distinct()
     data = (cells.select("row", "id", "dim", "cell", "v").join(F.broadcast(counts), ["dim", "cell"])
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-            .withColumn("chunk", F.explode(F.array(*[F.lit(i) for i in range(chunks)])))
-            .select("row", "id", "dim", "cell", "block", "chunk", "v"))
+            .join(met, ["dim", "cell", "block"]).select("row", "id", "dim", "cell", "block", "chunk", "v"))
 
     def walk(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         d = key[0].as_py()

@@ -76,3 +76,33 @@ def test_wide_integers_are_exact():
     p = np.array([[2 ** 27, 1], [2 ** 27, 2], [2 ** 27, 0]], np.int64)
     best = search(q, np.array([-1]), p, np.arange(3), np.arange(3), np.array([-np.inf]), 3)[0]
     assert [b[1] for b in best] == [1, 0, 2]
+
+
+def test_wide_vectors_take_part(spark):
+    """One component of 2^20 and more: the best match, not a left-out one."""
+    assert run(spark, [(0, [1.0, 1.0]), (1, [2.0, 1.0]), (2, [float(2 ** 20), 1.0])]) == [
+        (0, 1, 2, 256 * 256 * (2 ** 20 + 1)), (0, 2, 1, 256 * 256 * 3)]
+    rng = np.random.default_rng(4)
+    size = 10.0 ** rng.uniform(-2, 7, 400)  # scores beyond the integers of a double
+    rows = [(i, [float(np.float32(x)) for x in s * rng.normal(size=4)]) for i, s in enumerate(size)]
+    assert run(spark, rows) == brute(rows, 5)
+
+
+def test_scores_beyond_64_bits(spark):
+    # products of 2^80 that don't reach a result are no error
+    rows = [(0, [2.0 ** 32, 1.0]), (1, [-(2.0 ** 32), 0.0])] + [(i, [1.0, float(i)]) for i in range(2, 9)]
+    assert run(spark, rows) == brute(rows, 5)
+    with pytest.raises(Exception):
+        run(spark, [(0, [2.0 ** 32]), (1, [2.0 ** 32])])
+    with pytest.raises(Exception, match="too large"):
+        run(spark, [(0, [2.0 ** 60]), (1, [1.0])])
+
+
+@pytest.mark.parametrize("query_rows", [1, 3])
+def test_chunks_of_queries(spark, monkeypatch, query_rows):
+    monkeypatch.setattr(S, "QUERY_ROWS", query_rows)
+    monkeypatch.setattr(S, "CELL_ROWS", 16)
+    monkeypatch.setattr(S, "PIVOT_ROWS", 7)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6)]) for i in range(0, 700, 5)]
+    assert run(spark, rows) == brute(rows, 5)
