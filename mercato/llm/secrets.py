@@ -58,12 +58,17 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def random_tokens(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Random-looking tokens outside the base spans."""
-    out = []
+    """Random-looking tokens outside the base spans.
+
+    Tokens and spans both come by start, so one walk along the spans serves
+    all tokens; ``reach`` is the largest end of the spans passed."""
+    out, k, reach = [], 0, 0
     for m in TOKEN.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            reach = max(reach, taken[k][2])
+            k += 1
         v = m[0]
-        if (any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and entropy(v) >= MIN_ENTROPY
-                and not any(s < m.end() and m.start() < e for s, _, e, _ in taken)):
+        if (reach <= m.start() and any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and entropy(v) >= MIN_ENTROPY):
             out.append((m.start(), 3, m.end(), v))
     return out
 

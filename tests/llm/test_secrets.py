@@ -4,6 +4,7 @@ import re
 from edge import edge_texts
 from hypothesis import given, settings, strategies as st
 
+from mercato.llm import secrets as S
 from mercato.llm.secrets import base_spans, find_secrets
 
 
@@ -70,3 +71,27 @@ def test_a_value_in_many_repositories_of_one_owner_is_copied(spark):
         assert (got[10 + i].span_owners, got[10 + i].span_repositories) == ([1], [2])
     live = find_secrets(df, max_repositories=4).filter("doc_id = 0").first()
     assert (live.n_live, live.span_repositories) == (2, [4, 4])
+
+
+def test_tokens_outside_spans_as_by_comparing_all_pairs():
+    import random
+    r = random.Random(6)
+    parts = ["password: hunter2hunter2", "AKIA" + "B7" * 9, "0f" * 20, "xY7-kk3_Zq9pLm2Vt8Wn4", "token=abc", "plain words", "a" * 30,
+             "secret='Zq9pLm2Vt8Wn4xY7kk3'", "Q1w2E3r4T5y6U7i8O9p0"]
+    for _ in range(300):
+        text = "".join(r.choice(parts) + r.choice([" ", "", "\n", ", "]) for _ in range(r.randint(1, 12)))
+        base = S.base_spans(text)
+        want = [(m.start(), 3, m.end(), m[0]) for m in S.TOKEN.finditer(text)
+                if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and S.entropy(m[0]) >= S.MIN_ENTROPY
+                and not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
+        assert S.random_tokens(text, base) == want
+
+
+def test_a_long_text_of_secrets_takes_seconds():
+    import time
+    text = "".join(f"password = hunter{i}hunter{i} and Zq9pLm2Vt8Wn4xY7k{i}\n" for i in range(200_000))
+    assert len(text) > 10_000_000
+    began = time.perf_counter()
+    base = S.base_spans(text)
+    found = S.random_tokens(text, base)
+    assert len(base) == 200_000 and len(found) == 199_900 and time.perf_counter() - began < 60
