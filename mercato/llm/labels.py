@@ -23,8 +23,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, may_lear
     """Texts and labels to learn from: of each label the ``per_label`` rows with the smallest hash of the id.
 
     ``may_learn`` (over the labels table) says which rows may be used.  The
-    label sample is bounded, so it is broadcast against the documents; the
-    texts that come to the driver are bounded in number and length.
+    label sample is bounded, so it is broadcast against the documents; of an
+    id that documents repeat one text is taken (by hash), so the texts that
+    come to the driver are bounded in number and length.
     """
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).filter(
         F.col("__y").isin(0, 1) & F.col("__id").isNotNull())
@@ -33,7 +34,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, may_lear
     texts = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__text")).filter(
         F.length("__text") <= LONGEST_CHARS)
     rows = (texts.join(F.broadcast(parts[0].union(parts[1])), F.col("__doc") == F.col("__id"))
-            .select("__id", "__y", "__text").collect())
+            .groupBy("__id", "__y").agg(F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text")).collect())
     rows.sort(key=lambda r: (r["__id"], r["__y"], r["__text"]))
     return [r["__text"] for r in rows], [r["__y"] for r in rows]
 

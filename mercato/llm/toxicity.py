@@ -10,6 +10,7 @@ marginals give its score and the offending offsets.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -141,8 +142,9 @@ def learn(texts: list[str], labels: list[int]) -> Tagger | None:
     has[doc[tag == 1]] = True
     fit_docs = (y == 0) | has  # a toxic document without a marked token says nothing about its tokens
     length = np.diff(offsets)
-    for k in (0, 1):  # half of the tokens from either label, whole documents
-        mine = np.flatnonzero(fit_docs & (y == k))
+    mixed = np.argsort([zlib.crc32(t.encode("utf-8", "replace")) for t in texts], kind="stable")
+    for k in (0, 1):  # half of the tokens from either label, whole documents, in the order of a hash of the text
+        mine = mixed[(fit_docs & (y == k))[mixed]]
         fit_docs[mine[1:][np.cumsum(length[mine])[:-1] >= TRAIN_TOKENS // 2]] = False
     use = fit_docs[doc]
     both = count[0] + count[1]

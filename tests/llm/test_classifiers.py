@@ -100,3 +100,14 @@ def test_lines_of_any_text():
 def test_copies_count_once():
     a, b = "some words that are copied all over the place again", "entirely different words stand here for once in a while"
     assert without_copies([a, a, b, a + " tail"], [1, 1, 0, 1]) == ([a, b], [1, 0])
+
+
+def test_an_id_that_documents_repeat_brings_one_text(spark):
+    from pyspark.sql import functions as F
+
+    from mercato.llm.labels import labelled_sample
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    docs = docs.union(spark.createDataFrame([(8, "another")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0)], "doc_id long, toxic int")
+    a, b = (labelled_sample(docs.repartition(n), labels, "toxic", F.lit(True)) for n in (2, 5))
+    assert a == b and len(a[0]) == 2 and sorted(a[1]) == [0, 1]
