@@ -37,7 +37,8 @@ from mercato.llm.common import arrow_batches, scratch_dir, text_of
 WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 BLOCK_CHARS = 6 << 20  # characters after which a block of documents is closed
-DEAL = 64               # word buckets: tasks that can encode words at the same time, at most
+DEAL = 64               # word buckets: tasks that can encode words at the same time, at least
+BUCKET_WORDS = 1 << 18  # distinct words a bucket should have, about
 BLOCK_ROWS = 2          # blocks in an Arrow batch
 
 BLOCK_SCHEMA = ("block long, ids array<{id}>, words array<int>, ranks binary, buckets binary, "
@@ -103,6 +104,12 @@ def unpack_lists(b: bytes) -> tuple[np.ndarray, bytes]:
     return unpack_numbers(b[4:k]), zstandard.decompress(b[k:])
 
 
+def word_buckets(docs: DataFrame) -> int:
+    """Buckets for the distinct words of all texts, whose number a sketch over every word estimates."""
+    words = docs.select(F.explode(F.split("text", " ")).alias("word")).agg(F.approx_count_distinct("word")).first()[0]
+    return max(DEAL, -(-words // BUCKET_WORDS))
+
+
 def blocks(docs: DataFrame, content: str, deal: int) -> DataFrame:
     """(id, text) -> blocks of documents; see BLOCK_SCHEMA."""
     id_type = docs.schema["id"].dataType.simpleString()
@@ -238,7 +245,7 @@ def assembled(joined: DataFrame, content: str, id_type: str, with_ids: bool) ->
 
 
 def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
-           with_ids: bool = False, deal: int = DEAL) -> DataFrame:
+           with_ids: bool = False, deal: int | None = None) -> DataFrame:
     """Encode and decode every text with a byte-level BPE tokenizer file.
 
     Returns one row per input row: id, n_tokens, ids_sha256 (of the decimal
@@ -248,7 +255,9 @@ def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     Rows are encoded one by one, so repeated rows and null ids need no care;
     an empty table gives an empty result; other columns are ignored.  The
     blocks are a bucketed table in the shared folder, so the join that
-    brings the ids back moves the id lists alone.
+    brings the ids back moves the id lists alone.  ``deal`` is the number of
+    word buckets; by default it follows the number of distinct words, so
+    that the words of one task stay bounded.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -258,7 +267,7 @@ def encode(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     name = f"llm_bpe_{uuid.uuid4().hex}"
-    (blocks(base, content, deal).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    (blocks(base, content, deal or word_buckets(base)).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
      .option("path", scratch_dir(spark, "bpe")).option("compression", "zstd").format("parquet").saveAsTable(name))
     table = spark.table(name)
     arrow_batches(spark, BLOCK_ROWS)  # from here on a row is a block, or the words of one

@@ -61,3 +61,14 @@ def test_documents(documents, library):
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         B.Vocabulary(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+
+
+def test_buckets_follow_the_distinct_words(spark, edges, library, monkeypatch):
+    monkeypatch.setattr(B, "DEAL", 2)
+    monkeypatch.setattr(B, "BUCKET_WORDS", 100)
+    many = spark.range(300).selectExpr("concat_ws(' ', transform(sequence(0, 19), i -> concat('w', id * 20 + i))) AS text")
+    assert 50 <= B.word_buckets(many) <= 70 and B.word_buckets(many.limit(0)) == 2
+    assert B.word_buckets(many.limit(1).crossJoin(spark.range(50)).select("text")) == 2  # repeats add none
+    texts = {t[0]: t[1] for t in edge_texts()}
+    for r in B.encode(edges, PATH).collect():
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(library, texts[r.doc_id])[:3]
