@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.plans.joins import promo_days
+from mercato.plans.joins import overlaps
 from mercato.sources.retail import Retail
 
 # Allowed domain values (DQ-01).
@@ -21,16 +21,21 @@ DOMAINS = {
 }
 
 
-def promo_overlap(promotions: DataFrame, lead_days: int = 0) -> DataFrame:
-    """DQ-06: (category, day) covered by more than one promotion -- the rows
-    the promotion join would fan out; with ``lead_days`` a promotion counts
-    from its announcement that many days before.  Day-level grouping, no
-    pairwise join."""
+def promo_overlap_stretches(promotions: DataFrame, lead_days: int = 0, longest_days: int | None = None) -> DataFrame:
+    """DQ-06: stretches of days on which a category has more than one
+    promotion, by a sweep over starts and ends; with ``lead_days`` a promotion
+    counts from its announcement that many days before."""
     announced = promotions.withColumn("start_date", F.date_sub("start_date", lead_days))
-    return (promo_days(announced).groupBy("category", "promo_date")
-            .agg(F.count(F.lit(1)).alias("n_promos"),
-                 F.array_join(F.sort_array(F.collect_list("promo_name")), "|").alias("promo_names"))
-            .where(F.col("n_promos") > 1))
+    longest = None if longest_days is None else longest_days + lead_days
+    return overlaps(announced, "promo_name", "start_date", "end_date", ["category"], longest).select(
+        "category", "from_date", "to_date", F.col("n").alias("n_promos"), F.array_join("names", "|").alias("promo_names"))
+
+
+def promo_overlap(promotions: DataFrame, lead_days: int = 0, longest_days: int | None = None) -> DataFrame:
+    """DQ-06 per day: the rows the promotion join would fan out.  Only the
+    stretches that overlap are listed day by day."""
+    x = promo_overlap_stretches(promotions, lead_days, longest_days)
+    return x.select("category", F.explode(F.sequence("from_date", "to_date")).alias("promo_date"), "n_promos", "promo_names")
 
 
 def distributions(r: Retail) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
 from mercato.plans.joins import join_promotions
-from mercato.sources.retail import Retail
+from mercato.sources.retail import LONGEST_PROMO_DAYS, Retail
 
 FACT_KEYS = ["store_id", "sales_date", "channel", "category", "subcategory", "promo_name"]
 SALES_COLUMNS = ["store_id", "store_name", "region", "surface_m2", "store_type", "sales_date", "channel", "category",
@@ -18,7 +18,7 @@ SALES_COLUMNS = ["store_id", "store_name", "region", "surface_m2", "store_type",
 def sales_lines(r: Retail) -> DataFrame:
     """Order lines with product and promotion attributes (JOI-01, 03, 04)."""
     lines = r.priced_lines.join(r.orders, "order_id").withColumnRenamed("order_date", "sales_date")
-    return join_promotions(lines, r.promotions, "sales_date")
+    return join_promotions(lines, r.promotions, "sales_date", LONGEST_PROMO_DAYS)
 
 
 def gold_sales_daily(r: Retail) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from mercato.operators import dims, inventory, sales
 from mercato.plans.registry import register
-from mercato.sources.retail import Retail
+from mercato.sources.retail import LONGEST_PROMO_DAYS, Retail
 
 
 # ---- sales ---------------------------------------------------------------
@@ -87,7 +87,7 @@ def q_promo_active(r: Retail):
 @register("promo_overlap")
 def q_promo_overlap(r: Retail):
     """DQ-06: category-days covered by more than one promotion, announced a week ahead."""
-    return quality.promo_overlap(r.promotions, lead_days=7)
+    return quality.promo_overlap(r.promotions, lead_days=7, longest_days=LONGEST_PROMO_DAYS)
 
 
 @register("store_format")
@@ -1361,3 +1361,9 @@ def q_stream_silence_alarms(r: Retail):
     alarms = silence.silence_alarms(S.event_stream(r.spark, r.sf_dir), r.n_stores, "1 hour")
     path = silence.with_rocksdb(r.spark, lambda: S.run_available(alarms, ""))
     return r.spark.read.parquet(path).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "last_sale", "alarm_at")})
+
+
+@register("promo_overlap_stretches")
+def q_promo_overlap_stretches(r: Retail):
+    """DQ-06: stretches of overlapping promotions, announced thirty days ahead."""
+    return quality.promo_overlap_stretches(r.promotions, lead_days=30, longest_days=LONGEST_PROMO_DAYS)

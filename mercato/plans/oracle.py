@@ -940,3 +940,11 @@ q("stream_silence_alarms", """
 SELECT store_id, first_ts AS session_start, last_ts AS last_sale, last_ts + INTERVAL 45 MINUTE AS alarm_at, n_sales
 FROM v_pos_sessions
 WHERE time_bucket(INTERVAL 5 MINUTE, last_ts + INTERVAL 45 MINUTE) + INTERVAL 5 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
+
+q("promo_overlap_stretches", """
+WITH p AS (SELECT category, promo_name, start_date - 30 AS start_date, end_date FROM v_promotions),
+     days AS (SELECT category, CAST(d AS DATE) AS d, COUNT(*) AS n, STRING_AGG(promo_name, '|' ORDER BY promo_name) AS names,
+                     STRING_AGG(promo_name || start_date, '|' ORDER BY promo_name, start_date) AS who
+              FROM (SELECT *, UNNEST(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS d FROM p) x GROUP BY 1, 2),
+     runs AS (SELECT *, d - CAST(ROW_NUMBER() OVER (PARTITION BY category, who ORDER BY d) AS INT) AS run FROM days WHERE n > 1)
+SELECT category, MIN(d) AS from_date, MAX(d) AS to_date, n AS n_promos, names AS promo_names FROM runs GROUP BY category, who, run, n, names""")

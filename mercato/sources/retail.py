@@ -33,6 +33,9 @@ PROMO_EVENTS = [
     ("Christmas", 12, 20, 12, 24, 15, "2.20"),
 ]
 
+# The longest of them, in days (as a bound: months counted as 31 days).
+LONGEST_PROMO_DAYS = max(31 * (em - sm) + ed - sd + 1 for _, sm, sd, em, ed, _, _ in PROMO_EVENTS)
+
 # The five tracked competitors.
 COMPETITORS = ["MaxiMarché", "PrimoShop", "BonPrix", "NeoShop", "TendancePlus"]
 
