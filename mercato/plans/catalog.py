@@ -1339,8 +1339,8 @@ def q_segment_fixed_point(r: Retail):
     # the scale in which distances were taken is that of the features themselves
     close = lambda a, b: F.abs(a - F.lit(b)) <= 1e-9 * F.abs(F.lit(b))
     scaled = [close(F.avg(f), model.mean[f]) & close(F.stddev_pop(f), model.std[f]) for f in segments.FEATURES]
-    scale = fitted.agg(F.array_min(F.array(*scaled)).alias("standardised")).withColumn("one", F.lit(1))
-    return point.withColumn("one", F.lit(1)).join(scale, "one").drop("one") \
+    in_scale = fitted.agg(F.array_min(F.array(*scaled))).first()[0]
+    return point.withColumn("standardised", F.lit(in_scale)) \
         .withColumn("best_of_restarts", F.lit(len(model.costs) == 10 and model.converged and model.cost <= min(model.costs) + 1e-6))
 
 
