@@ -14,7 +14,7 @@ import hashlib
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 PRODUCTION_SIZE = 65537
 PRODUCTION_SHARDS = tuple(f"shard-{i:03d}" for i in range(128))
@@ -31,21 +31,21 @@ def lookup_table(shards: Sequence[str], size: int = PRODUCTION_SIZE) -> np.ndarr
         raise ValueError("shard names must be distinct and at least one")
     if not _is_prime(size) or size > LARGEST_SIZE or size < len(shards):
         raise ValueError(f"size must be a prime from the number of shards to {LARGEST_SIZE}")
-    prefer = []
+    # a shard's order of preference is start, start + step, ... modulo the size: its next choice is all that is kept
+    choice, step = [], []
     for s in shards:
         d = hashlib.sha256(s.encode()).digest()
-        start, step = int.from_bytes(d[:8], "big") % size, int.from_bytes(d[8:16], "big") % (size - 1 or 1) + 1
-        prefer.append((start + step * np.arange(size, dtype=np.int64)) % size)
-    owner, at, left = np.full(size, -1, np.int32), [0] * len(shards), size
+        choice.append(int.from_bytes(d[:8], "big") % size)
+        step.append(int.from_bytes(d[8:16], "big") % (size - 1 or 1) + 1)
+    owner, left = [-1] * size, size
     while left:
-        for i, order in enumerate(prefer):
-            while owner[order[at[i]]] >= 0:
-                at[i] += 1
-            owner[order[at[i]]] = i
+        for i in range(min(len(shards), left)):
+            at = choice[i]
+            while owner[at] >= 0:
+                at = (at + step[i]) % size
+            owner[at], choice[i] = i, at
             left -= 1
-            if not left:
-                break
-    return owner
+    return np.array(owner, np.int32)
 
 
 def place(df: DataFrame, key_cols: Sequence[str], shards: Sequence[str] = PRODUCTION_SHARDS,
@@ -59,13 +59,12 @@ def place(df: DataFrame, key_cols: Sequence[str], shards: Sequence[str] = PRODUC
     """
     spark = df.sparkSession
     owner = lookup_table(shards, size)
-    slots = spark.createDataFrame([(i, shards[o]) for i, o in enumerate(owner.tolist())],
-                                  T.StructType([T.StructField("__slot", T.IntegerType(), False),
-                                                T.StructField("__shard", T.StringType(), False)]))
+    slots = spark.createDataFrame([(i, shards[o]) for i, o in enumerate(owner.tolist())], "slot int, shard string")
     slot = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(size)).cast("int")
-    out = df.withColumn("__at", slot).join(F.broadcast(slots), F.col("__at") == F.col("__slot"))
-    rest = [F.col(c) for c in df.columns if c not in (slot_col, shard_col)]
-    return out.select(*rest, F.col("__slot").alias(slot_col), F.col("__shard").alias(shard_col))
+    # the row stands as one value beside the slot, so no name of its columns can clash
+    out = df.select(slot.alias("slot"), F.struct(*df.columns).alias("row")).join(F.broadcast(slots), "slot")
+    rest = [F.col("row")[c].alias(c) for c in df.columns if c not in (slot_col, shard_col)]
+    return out.select(*rest, F.col("slot").alias(slot_col), F.col("shard").alias(shard_col))
 
 
 def write_shards(placed: DataFrame, path: str, files_per_shard: int = 8, shard_col: str = "shard") -> None:
