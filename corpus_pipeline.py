@@ -19,7 +19,11 @@ from mercato.llm.mixing import mix
 from mercato.llm.near_dedup import near_dedup
 from mercato.llm.quality import THRESHOLD, quality_model, score_quality
 
-KEY = "__key"
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores as long as ``docs`` has such a column."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
 def _key(digest: Column) -> Column:
@@ -27,39 +31,48 @@ def _key(digest: Column) -> Column:
     return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), digest)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, _key(F.sha2(text_of("text"), 256)))
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    return docs.withColumn(key, _key(F.sha2(text_of("text"), 256)))
 
 
 def _kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decisions`` keep, each once."""
-    keys = decisions.filter("kept").select(_key(F.col("text_sha256")).alias(KEY))
-    return _keyed(docs).join(keys, KEY).dropDuplicates([KEY]).select(*docs.columns)
+    key = _free(docs, "__key")
+    keys = decisions.filter("kept").select(_key(F.col("text_sha256")).alias(key))
+    return _keyed(docs, key).join(keys, key).dropDuplicates([key]).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject; a document without a verdict (no labels at all) stays."""
+    """Documents that the classifier doesn't reject; a document without a verdict (no labels at all) stays.
+
+    Null texts count as empty and are judged like any; repeated rows and ids,
+    texts of any length and columns of any name pass through; an empty table stays empty."""
+    score = _free(docs, "__quality")
     model = quality_model(docs, table(spark, sf_dir, "labels"))
-    scored = score_quality(docs, model, score_col="__quality", keep_columns=True)
-    return scored.filter(F.col("__quality") >= THRESHOLD).select(*docs.columns)
+    scored = score_quality(docs, model, score_col=score, keep_columns=True)
+    return scored.filter(F.col(score) >= THRESHOLD).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each distinct text: the one with the largest id."""
+    """One row of each distinct text: the one with the largest id.  Null texts
+    equal empty ones; rows that repeat id and text are one; an empty table stays empty."""
     return _kept(docs, exact_dedup(docs))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies: the one with the smallest id."""
+    """One row of each class of near copies: the one with the smallest id.  Rows
+    that repeat id and text are one; an empty table stays empty."""
     return _kept(docs, near_dedup(docs))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, or up to three times."""
-    keyed = _keyed(docs)
-    copies = mix(keyed, carry=(KEY,)).groupBy(KEY).agg(F.sum("copies").cast("int").alias("__copies"))
-    out = keyed.dropDuplicates([KEY]).join(copies.filter("__copies > 0"), KEY)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """Each document as often as the mix takes it: not at all, or up to three
+    times.  Texts without words are not taken; a null source is a source; an empty table stays empty."""
+    key, copies, copy = (_free(docs, c) for c in ("__key", "__copies", "__copy"))
+    keyed = _keyed(docs, key)
+    taken = mix(keyed, carry=(key,)).groupBy(key).agg(F.sum("copies").cast("int").alias(copies))
+    out = keyed.dropDuplicates([key]).join(taken.filter(F.col(copies) > 0), key)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
