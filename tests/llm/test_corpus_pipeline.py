@@ -84,6 +84,16 @@ def test_edges(spark, sf_dir, edges, name, stage):
         assert len(got) == len({t for _, t in texts})
 
 
+@pytest.mark.parametrize("name, stage", P.STAGES[:4])
+def test_names_used_inside_are_free(spark, sf_dir, documents, name, stage):
+    docs = documents.filter("doc_id < 100")
+    inside = ("__key", "__KEY_", "__quality", "__copy", "__copies")
+    wide = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS {c}" for c in inside])
+    got, want = stage(spark, wide, sf_dir), stage(spark, docs, sf_dir)
+    assert got.columns == wide.columns and rows(got.select(*docs.columns)) == rows(want)
+    assert all(r[c] == f"{c}{r.doc_id}" for r in got.collect() for c in inside)
+
+
 def test_run(spark, sf_dir, steps):
     got = P.run(spark, sf_dir)
     assert rows(got.select("doc_id", "n_tokens", "ids_sha256")) == rows(steps[-1][1].select("doc_id", "n_tokens", "ids_sha256"))
