@@ -15,11 +15,12 @@ with the bucket's first text; those that are not similar to it are aligned
 with the first of the rest, and so on for a few rounds.  Similarity is not
 transitive, so members that left with a centre may be similar to others of
 the bucket.  The links found so far form components; all members, centres
-too, of a bucket that still spans several are joined by words.  Two of them
-can be similar only if they share one of their rarest words (a fifth of the
-words and one more, in a fixed order from rare to frequent), so exactly such
-pairs of different components are aligned, and texts of one bucket that are
-similar end in one class.  Links of equal texts are not made: equal texts
+too, of a bucket that still spans several are joined by pairs of words.  Two
+of them can be similar only if they share one of their rarest pairs of words
+(two fifths of the pairs and a few more, in a fixed order from rare to
+frequent), or of their rarest words, so exactly such pairs of texts of
+different components are aligned, and texts of one bucket that are similar
+end in one class.  Links of equal texts are not made: equal texts
 are one node.
 """
 
@@ -45,7 +46,7 @@ MINIMA = 2      # k-mers in a sketch
 THRESHOLD = 0.8
 SHORT = 50      # two similar texts of at most so many words share a run of words
 RUN = 3         # words of such a run, or fewer where the threshold asks for it
-PREV_WORDS = 256
+CROWD = 32      # components that share a rare pair of words; the texts of more of them meet by single words
 ROUNDS = 3      # texts of a bucket that its other members are aligned with, before the rest is joined by rare words
 PLACE_BITS = 28  # a sketch value is a hash above the k-mer's place in its text
 M64 = 0xFFFFFFFFFFFFFFFF
@@ -211,67 +212,108 @@ def verified(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataF
             .mapInArrow(run, "node long, centre long, similar boolean"))
 
 
-def rare_words(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(node, word, n, prev, c, groups) for the words of each node that a similar text must share one of.
+def needed(n: int, width: int, threshold: float) -> int:
+    """How many runs of ``width`` words a text of ``n`` words shares, at least, with any similar text.
 
-    Nodes come with their component (node, comp).  Words are labelled with
-    their occurrence, so that shared words count as often as both texts have
-    them; n is the number of words of the node.  ``prev`` are the rarer words
-    of the node: a pair is made at the first word it shares, not at every
-    one.  A node of more than PREV_WORDS such words has none and may be
-    paired more than once.  Words of one component are left out after the
-    choice; the ``groups`` components that hold a word are numbered by ``c``.
+    Of the longer text, with m words, each edit spoils at most ``width`` of its m - width + 1 runs.
+    """
+    m = np.arange(n, int(n / threshold + 1e-9) + 1)
+    edits = np.array((1 - threshold) * m + 1e-9, np.int64)
+    return max(1, int((m - width + 1 - width * edits).min()))
+
+
+def run_width(threshold: float) -> int:
+    """Pairs of words where similar texts of any length share one; single words below such thresholds."""
+    # m - 1 - 2 edits is at least 1 for every m from 2 on
+    return 2 if threshold >= 0.75 else 1
+
+
+def runs(token_rows: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(node, comp, tokens) -> (node, comp, word, n, most): every run of ``width`` words.
+
+    Runs are labelled with their occurrence, so that shared ones count as
+    often as both texts have them.  ``n`` is the number of words of the
+    node; among its ``most`` rarest runs is one that a similar text shares.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for node, packed in zip(b.column("node").to_pylist(), b.column("tokens").to_pylist()):
-                w = np.sort(np.frombuffer(packed, np.uint32).astype(np.uint64))
-                new = np.concatenate([[True], w[1:] != w[:-1]]) if len(w) else np.empty(0, bool)
-                at = np.arange(len(w))
-                nth = at - np.maximum.accumulate(np.where(new, at, 0))
-                label = (w << np.uint64(31)) + nth.astype(np.uint64)
-                for s in range(0, len(w), 1 << 16):
-                    part = label[s:s + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node)), pa.array(part),
-                                                      pa.array(np.full(len(part), len(w)))], names=["node", "word", "n"])
-
-    words = written(token_rows.join(nodes, "node", "left_semi").mapInArrow(run, "node long, word long, n long"), "words")
-    count = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("texts", "word"))
-    most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    chosen = written(words.join(count, "word").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("texts") > 1))
-                     .join(nodes, "node").select("node", "comp", "n", "word", "texts"), "chosen")
+            texts = [np.frombuffer(x, np.uint32) for x in b.column("tokens").to_pylist()]
+            if not texts:
+                continue
+            lengths = np.array([len(t) for t in texts])
+            label, upto = labelled_kmers(np.concatenate(texts).astype(np.uint64), np.concatenate([[0], np.cumsum(lengths)]), width)
+            most = np.array([c - needed(n, width, threshold) + 1 for c, n in zip(np.diff(upto).tolist(), lengths.tolist())])
+            of = np.repeat(np.arange(len(texts)), np.diff(upto))
+            for s in range(0, len(label), 1 << 16):
+                at = pa.array(of[s:s + (1 << 16)])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node").take(at), b.column("comp").take(at), pa.array(label[s:s + (1 << 16)].view(np.int64)),
+                     pa.array(lengths.astype(np.int32)).take(at), pa.array(most.astype(np.int32)).take(at)],
+                    names=["node", "comp", "word", "n", "most"])
+
+    return token_rows.select("node", "comp", "tokens").mapInArrow(run, "node long, comp long, word long, n int, most int")
+
+
+def rare_words(token_rows: DataFrame, nodes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(node, word, n, c, groups) for the rarest runs of each node, one of which a similar text has among its rarest.
+
+    Nodes come with their component (node, comp).  A text's runs are ordered
+    from rare to frequent; those that no other text has come first and are
+    only counted.  Runs of one component are left out after the choice; the
+    ``groups`` components that hold a run are numbered by ``c``.
+    """
+    every = runs(token_rows.join(nodes, "node"), width, threshold)
+    met = written(every.groupBy("word").agg(F.count(F.lit(1)).alias("texts"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+                  .filter("texts > 1"), "met")
+    shared = every.join(met, "word")
+    by_node = Window.partitionBy("node")
+    alone = F.greatest(F.col("n") - (width - 1), F.lit(1)) - F.count(F.lit(1)).over(by_node)
+    rank = alone + F.row_number().over(by_node.orderBy("texts", "word"))
+    chosen = written(shared.withColumn("rank", rank).filter("rank <= most AND low < high").select("node", "comp", "n", "word"),
+                     "chosen")
     held = chosen.select("word", "comp").distinct()
     by_word = Window.partitionBy("word")
     held = written(held.withColumn("c", F.row_number().over(by_word.orderBy("comp")) - 1)
                    .withColumn("groups", F.count(F.lit(1)).over(by_word)).filter("groups > 1"), "held")
-    # a list is bounded by the words of one text
-    lists = chosen.join(held, ["word", "comp"]).groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("texts", "word", "c", "groups"))).alias("rare"))
-    return (lists.select("node", "n", "rare", F.col("rare.word").alias("all"), F.posexplode("rare").alias("at", "one"))
-            .select("node", "one.word", "n", "one.c", "one.groups",
-                    F.when(F.size("all") <= PREV_WORDS, F.slice("all", F.lit(1), F.col("at"))).alias("prev")))
+    return chosen.join(held, ["word", "comp"]).select("node", "word", "n", "c", "groups")
 
 
 def joined_by_words(rare: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (node, centre) of different components that share a rare word and could be similar by their lengths.
+    """Pairs (node, centre) of different components that share a rare run and could be similar by their lengths.
 
     Two numbers of components differ first at one of their bits, and a pair
     meets at that bit alone; members of one component never meet, however
-    many of them share a word.
+    many of them share a run.
     """
     level = F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col("groups") - 1)) - 1))
-    rows = written(rare.withColumn("level", level).withColumn("above", F.expr("shiftright(c, level + 1)"))
-                   .withColumn("bit", F.expr("shiftright(c, level) & 1"))
-                   # a number with the other bit is there
-                   .filter("bit = 1 OR shiftleft(2 * above + 1, level) < groups").drop("c", "groups"), "rare")
+    rows = (rare.withColumn("level", level).withColumn("above", F.expr("shiftright(c, level + 1)"))
+            .withColumn("bit", F.expr("shiftright(c, level) & 1"))
+            # a number with the other bit is there
+            .filter("bit = 1 OR shiftleft(2 * above + 1, level) < groups"))
     key = ["word", "level", "above"]
-    a = rows.filter("bit = 1").select(*key, F.col("node").alias("x"), "n", F.col("prev").alias("a_prev"))
-    b = rows.filter("bit = 0").select(*key, F.col("node").alias("y"), F.col("n").alias("m"), F.col("prev").alias("b_prev"))
+    a = rows.filter("bit = 1").select(*key, F.col("node").alias("x"), "n")
+    b = rows.filter("bit = 0").select(*key, F.col("node").alias("y"), F.col("n").alias("m"))
     near = (F.col("n") >= F.col("m") * threshold) & (F.col("m") >= F.col("n") * threshold)
-    first = ~F.coalesce(F.arrays_overlap("a_prev", "b_prev"), F.lit(False))
-    return a.join(b, key).filter(near & first).select(
-        F.greatest("x", "y").alias("node"), F.least("x", "y").alias("centre")).distinct()
+    return a.join(b, key).filter(near).select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("centre")).distinct()
+
+
+def pairs_of_the_rest(token_rows: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """All pairs (node, centre) of different components of ``nodes`` (node, comp) that can be similar.
+
+    Texts meet at a rare pair of words.  A pair of words that more than
+    CROWD components hold (a passage that many documents share) makes no
+    pairs: its texts meet at rare single words of theirs instead, among
+    which the passage's are the frequent ones.  Either way is exact.
+    """
+    width = run_width(threshold)
+    rare = written(rare_words(token_rows, nodes, width, threshold), "rare")
+    if width == 1:
+        return joined_by_words(rare, threshold)
+    crowd = written(rare.filter(F.col("groups") > CROWD).select("node").distinct().join(nodes, "node"), "crowd")
+    pairs = joined_by_words(rare.filter(F.col("groups") <= CROWD), threshold)
+    if crowd.isEmpty():
+        return pairs
+    return pairs.union(joined_by_words(written(rare_words(token_rows, crowd, 1, threshold), "rare"), threshold)).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, sketches: int = SKETCHES,
@@ -335,7 +377,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .filter((F.col("comps") > 1) & ((F.col("comps") < F.col("n")) | (F.col("n") > ROUNDS + 1))))
     rest = written(placed.join(written(spans.select("bucket"), "spans"), "bucket").select("node", "comp").distinct(), "rest")
     if not rest.isEmpty():
-        test(joined_by_words(rare_words(token_rows, rest, threshold), threshold))
+        test(pairs_of_the_rest(token_rows, rest, threshold))
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links[-1]))
     edges = edges_of(links)
     degrees = (edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()

@@ -185,3 +185,36 @@ def test_members_of_one_component_are_not_paired_by_words(spark):
     comp = dict(enumerate([0] * 5 + [1, 1, 2, 3]))
     got = sorted((p.node, p.centre) for p in N.joined_by_words(rare, 0.8).collect())
     assert got == sorted((i, j) for i in comp for j in comp if i > j and comp[i] != comp[j])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=80),
+       st.lists(st.tuples(st.integers(0, 80), st.integers(0, 30), st.sampled_from("sdi")), max_size=16),
+       st.sampled_from([0.75, 0.8, 0.9]))
+def test_similar_texts_share_as_many_runs_as_needed(a, changes, threshold):
+    b = list(a)
+    for at, x, what in changes:
+        if at < len(b):
+            b[at:at + 1] = {"s": [x], "d": [], "i": [x, b[at]]}[what]
+    if b and edits(a, b) <= allowed_edits(len(a), len(b), threshold):
+        for width in {1, N.run_width(threshold)}:
+            tok = np.array(a + b, np.uint64)
+            runs, upto = N.labelled_kmers(tok, np.array([0, len(a), len(a) + len(b)]), width)
+            both = set(runs[:upto[1]].tolist()) & set(runs[upto[1]:].tolist())
+            assert len(both) >= max(N.needed(len(a), width, threshold), N.needed(len(b), width, threshold))
+
+
+def test_the_join_of_the_rest_finds_every_similar_pair(spark):
+    """Texts around one passage and near copies of some, each a component of its own, against all pairs."""
+    r = random.Random(3)
+    passage = [f"p{i}" for i in range(70)]
+    texts = [passage + [f"w{r.randrange(300)}" for _ in range(30)] for _ in range(60)]  # crowded pairs of words
+    texts += [[w if r.random() > 0.08 else f"x{r.randrange(300)}" for w in t] for t in texts[:20]]
+    texts += [[f"y{r.randrange(40)}" for _ in range(n)] for n in (1, 2, 5, 10, 40) for _ in range(4)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    tokens = N.token_table(spark.createDataFrame(rows, "node long, text string"))
+    nodes = spark.createDataFrame([(i, i) for i in range(len(texts))], "node long, comp long")
+    found = {(p.node, p.centre) for p in N.pairs_of_the_rest(tokens, nodes, 0.8).collect()}
+    want = {(i, j) for i in range(len(texts)) for j in range(i)
+            if edits(texts[i], texts[j]) <= allowed_edits(len(texts[i]), len(texts[j]), 0.8)}
+    assert len(want) > 15 and want <= found and len(found) < len(texts) * (len(texts) - 1) / 4
