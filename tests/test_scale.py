@@ -58,3 +58,14 @@ def test_daily_sales_sum_integers(spark, shop):
         F.round(F.sum(X.gross_margin()), 2).cast("double").alias("gm"), F.round(F.avg("discount_pct"), 2).cast("double").alias("disc"))
     rows = lambda x, *c: sorted(map(tuple, x.select("store_id", "sales_date", *c).toLocalIterator()))
     assert rows(df, "nb_orders", "revenue", "gross_margin", "avg_discount_pct") == rows(want, "n", "rev", "gm", "disc")
+
+
+def test_bitmaps_of_few_ids_are_small(spark):
+    ids = [*range(-130, 130), 10**15, None]
+    stored = D.bitmaps(spark.createDataFrame([("orders", i) for i in ids] * 2, "id_kind string, id long"), "id", ["id_kind"])
+    size = stored.agg(F.max(F.length("ids")), F.min(F.length("ids")), F.sum(F.bitmap_count("ids"))).first()
+    assert tuple(size) == (8, 8, 261)
+    assert D.distinct_counts(stored).first() == (261, 0)
+    full = D.bitmaps(spark.createDataFrame([("orders", i) for i in range(64)], "id_kind string, id long"), "id", ["id_kind"])
+    assert D.distinct_counts(D.appended(stored, full)).first() == (261, 0)
+    assert "SortAggregate" not in plan_of(D.distinct_counts(stored))
