@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.functions.exprs import PROMO_EN, remap, rename_if_present
+from mercato.sources import folders
 
 # Column names and types of the feeds.
 WEATHER_RAW = ["date", "city", "region", "temp_max_c", "temp_min_c", "precipitation_mm",
@@ -88,29 +89,35 @@ def read_competitor(spark: SparkSession, folder: str) -> Loaded:
     and blank keys are dropped before typing (the key is read as text).
 
     Files are read as lines with their path; a file's header is the first of
-    its lines that names the key (one short row per file, joined back), and
+    its lines that names the key (one short row per file, stored and joined back), and
     each file is parsed by the layout of its header; of a name that a header
     repeats the first column counts.  The lines of a file without header
     are rejects, whole in the column ``line``."""
     text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
     parts = [c for c in text.columns if c != "value"]  # a month may be the folder's, not the file's
     lines = text.select(F.col("_metadata.file_path").alias("path"), *[F.col(c).cast("string").alias(f"in_{c}") for c in parts],
-                        F.regexp_replace("value", "[\\r\ufeff]", "").alias("value"))
-    named = F.concat(F.lit(","), F.regexp_replace("value", '[" ]', ""), F.lit(","))
-    lines = lines.withColumn("is_header", named.contains(",product_id,"))
-    layouts = lines.where("is_header").groupBy("path").agg(F.min("value").alias("header"))
-    split = lambda c: F.split(F.regexp_replace(c, '[" ]', ""), ",")
+                        F.translate("value", "\r\ufeff", "").alias("value"))
+    bare_names = lambda c: F.translate(c, '" ', "")
+    lines = lines.withColumn("is_header", F.concat(F.lit(","), bare_names("value"), F.lit(",")).contains(",product_id,"))
+    names = F.split(bare_names(F.min("value")), ",")
+    places = F.array(*[F.array_position("names", F.lit(c)).cast("int") - 1 for c in COMPETITOR_TYPES])
+    # stored, so that its size is known before the lines are joined to it
+    layouts = folders.stored(lines.where("is_header").groupBy("path").agg(names.alias("names")).select("path", places.alias("places")),
+                             "layouts")
     every = lines.where(~F.col("is_header") & (F.trim("value") != "")).join(layouts, "path", "left")
-    rows = every.where(F.col("header").isNotNull())
-    # a quoted field keeps its commas: cut at commas outside quotes, then unquote
-    cells = F.transform(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
-                        lambda v: F.regexp_replace(F.regexp_replace(F.trim(v), '^"|"$', ""), '""', '"'))
-    value = lambda c: F.nullif(F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1), F.lit(""))
-    df = rows.withColumns({"cells": cells, "names": split("header")}).select(*[
-        (F.coalesce(value(c), F.col(f"in_{c}")) if c in parts else value(c)).alias(c) for c in COMPETITOR_TYPES])
+    rows = every.where(F.col("places").isNotNull())
+    # a quoted field keeps its commas: cut at commas outside quotes, then unquote; lines without quotes are cut at once
+    quoted = F.transform(F.split("value", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
+                         lambda v: F.regexp_replace(F.regexp_replace(F.trim(v), '^"|"$', ""), '""', '"'))
+    cells = F.when(F.col("value").contains('"'), quoted).otherwise(F.transform(F.split("value", ","), lambda v: F.trim(v)))
+    # cut once for each line: what is asked of the cells below isn't asked of the line again
+    cut = rows.select("places", *[f"in_{c}" for c in parts], F.explode(F.array(cells)).alias("cells"))
+    place = {c: F.col("places")[i] for i, c in enumerate(COMPETITOR_TYPES)}
+    value = lambda c: F.nullif(F.get("cells", place[c]), F.lit(""))
+    df = cut.select(*[(F.coalesce(value(c), F.col(f"in_{c}")) if c in parts else value(c)).alias(c) for c in COMPETITOR_TYPES])
     key = F.trim(F.col("product_id"))
     good = typed(df.where(key.isNotNull() & (key != "")), COMPETITOR_TYPES)
-    bare = every.where(F.col("header").isNull()).select(*[F.col(f"in_{c}").alias(c) for c in parts if c in COMPETITOR_TYPES],
+    bare = every.where(F.col("places").isNull()).select(*[F.col(f"in_{c}").alias(c) for c in parts if c in COMPETITOR_TYPES],
                                                         F.col("value").alias("line"))
     return Loaded(good.rows, good.rejects.unionByName(bare, allowMissingColumns=True))
 

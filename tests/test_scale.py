@@ -69,3 +69,25 @@ def test_bitmaps_of_few_ids_are_small(spark):
     full = D.bitmaps(spark.createDataFrame([("orders", i) for i in range(64)], "id_kind string, id long"), "id", ["id_kind"])
     assert D.distinct_counts(D.appended(stored, full)).first() == (261, 0)
     assert "SortAggregate" not in plan_of(D.distinct_counts(stored))
+
+
+def test_competitor_feed_is_cut_once_and_has_few_files(spark, shop, tmp_path):
+    import __spark_entry__ as E
+    from mercato.sources import files
+    text = 'product_id,competitor,product_name,our_price,snapshot_month\r\n1,X,"a, ""b"" ", 2.0 ,2024-01\n\n2, Y ,c d,x,2024-01\n,Z,e,2.0,2024-01\n'
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.csv").write_text(text)
+    out = files.read_competitor(spark, str(tmp_path / "feed"))
+    assert [(r.product_id, r.competitor, r.product_name, r.our_price, r.is_cheaper) for r in out.rows.toLocalIterator()] == [(1, "X", 'a, "b" ', 2.0, None)]
+    assert [(r.product_id, r.competitor, r.our_price) for r in out.rejects.toLocalIterator()] == [("2", "Y", "x")]
+    assert plan_of(out.rows).count("split(value") == 2  # one of the two ways, for each line once
+    more = spark.createDataFrame([(1, 1, "F", dt.datetime(1995, 6, 1), "2-HIGH")], spark.read.parquet(f"{shop}/orders.parquet").schema)
+    more.write.mode("append").parquet(f"{shop}/orders.parquet")
+    df = E.queries()["ingest_competitor_roundtrip"](spark, shop)
+    assert df.count() == 2 and len(df.inputFiles()) <= 2
+
+
+def test_transfers_read_the_inventory_once(spark, sf_dir):
+    import __spark_entry__ as E
+    for name in ("q_28_regions_stockout_transfers", "transfer_proposals"):
+        assert "lineitem.parquet" not in "".join(E.queries()[name](spark, sf_dir).inputFiles())
