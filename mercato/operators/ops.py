@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
+from mercato.sources import folders
 from mercato.sources.retail import Retail, dec
 
 ALERT_COLS = ["store_id", "product_id", "alert_type", "severity", "message", "created_at", "status"]
@@ -77,7 +78,7 @@ def transfer_proposals(inv: DataFrame, as_of: Column, pending_days: int = 7, tra
     donors = inv.where(F.col("quantity_on_hand") > F.col("reorder_point")).select(
         F.col("store_id").alias("from_store_id"), "product_id", "region",
         (F.col("quantity_on_hand") - F.col("reorder_point")).alias("excess"))
-    near = _allocate(short, donors, ["product_id", "region"])
+    near = folders.stored(_allocate(short, donors, ["product_id", "region"]), "transfers")  # read three times
     got = near.groupBy("product_id", "to_store_id").agg(F.sum("quantity").alias("got"))
     gave = near.groupBy("product_id", "from_store_id").agg(F.sum("quantity").alias("gave"))
     rest = (short.join(got, ["product_id", "to_store_id"], "left")
