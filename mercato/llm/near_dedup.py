@@ -254,15 +254,15 @@ def runs(token_rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return token_rows.select("node", "comp", "tokens").mapInArrow(run, "node long, comp long, word long, n int, most int")
 
 
-def rare_words(token_rows: DataFrame, nodes: DataFrame, width: int, threshold: float) -> DataFrame:
+def rare_words(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """(node, word, n, c, groups) for the rarest runs of each node, one of which a similar text has among its rarest.
 
-    Nodes come with their component (node, comp).  A text's runs are ordered
-    from rare to frequent; those that no other text has come first and are
-    only counted.  Runs of one component are left out after the choice; the
-    ``groups`` components that hold a run are numbered by ``c``.
+    Texts come with their component (node, comp, tokens).  A text's runs are
+    ordered from rare to frequent; those that no other text has come first
+    and are only counted.  Runs of one component are left out after the
+    choice; the ``groups`` components that hold a run are numbered by ``c``.
     """
-    every = runs(token_rows.join(nodes, "node"), width, threshold)
+    every = runs(texts, width, threshold)
     met = written(every.groupBy("word").agg(F.count(F.lit(1)).alias("texts"), F.min("comp").alias("low"), F.max("comp").alias("high"))
                   .filter("texts > 1"), "met")
     shared = every.join(met, "word")
@@ -306,14 +306,15 @@ def pairs_of_the_rest(token_rows: DataFrame, nodes: DataFrame, threshold: float)
     which the passage's are the frequent ones.  Either way is exact.
     """
     width = run_width(threshold)
-    rare = written(rare_words(token_rows, nodes, width, threshold), "rare")
+    texts = written(token_rows.join(nodes, "node"), "rest-tokens")
+    rare = written(rare_words(texts, width, threshold), "rare")
     if width == 1:
         return joined_by_words(rare, threshold)
-    crowd = written(rare.filter(F.col("groups") > CROWD).select("node").distinct().join(nodes, "node"), "crowd")
+    crowd = written(texts.join(rare.filter(F.col("groups") > CROWD).select("node").distinct(), "node"), "crowd")
     pairs = joined_by_words(rare.filter(F.col("groups") <= CROWD), threshold)
     if crowd.isEmpty():
         return pairs
-    return pairs.union(joined_by_words(written(rare_words(token_rows, crowd, 1, threshold), "rare"), threshold)).distinct()
+    return pairs.union(joined_by_words(written(rare_words(crowd, 1, threshold), "rare"), threshold)).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, sketches: int = SKETCHES,
@@ -337,7 +338,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = (rows.join(nodes, (rows["row"] == nodes["node"]) & (rows["sha"] == nodes["sha"]), "left_semi")
              .select(F.col("row").alias("node"), F.explode("sketches").alias("bucket")))
     crowded = written(names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "crowded")
-    members = written(names.join(crowded, "bucket"), "members")
+    members = written(names.join(crowded, "bucket"), "gathered")
+    # of buckets with the same members one is enough
+    same = [F.count(F.lit(1)).alias("n"), F.min("node").alias("first"), F.max("node").alias("last"),
+            F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    distinct = written(members.groupBy("bucket").agg(*same).groupBy("n", "first", "last", "x", "y").agg(F.min("bucket").alias("bucket"))
+                       .select("bucket"), "distinct")
+    members = written(members.join(distinct, "bucket"), "members")
 
     needed = (rows.join(members.select("node").distinct(), F.col("row") == F.col("node"))
               .select("node", F.col("sha").alias("its_sha"), F.col("id").alias("its_id")))
@@ -355,13 +362,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         links.append(found.filter("similar").select(F.col("node").alias("u"), F.col("centre").alias("v")))
         tested = found if tested is None else tested.union(found)
 
-    for _ in range(ROUNDS):
+    for left in reversed(range(ROUNDS)):
         centres = written(open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
                           .filter("n > 1").select("bucket", "centre"), "centres")
         asked = written(open_.join(centres, "bucket").filter("node <> centre"), "asked")
         if asked.isEmpty():
             break
         test(asked.select("node", "centre").distinct())
+        if not left:  # what is open then is not asked again
+            break
         linked = tested.filter("similar").select("node", "centre")
         open_ = written(asked.join(linked, ["node", "centre"], "left_anti").select("node", "bucket"), "open")
 

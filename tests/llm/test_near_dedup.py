@@ -218,3 +218,14 @@ def test_the_join_of_the_rest_finds_every_similar_pair(spark):
     want = {(i, j) for i in range(len(texts)) for j in range(i)
             if edits(texts[i], texts[j]) <= allowed_edits(len(texts[i]), len(texts[j]), 0.8)}
     assert len(want) > 15 and want <= found and len(found) < len(texts) * (len(texts) - 1) / 4
+
+
+def test_of_buckets_with_the_same_members_one_is_enough(spark, monkeypatch):
+    r = random.Random(4)
+    texts = [planted(r, 100, 0.97)[0] for _ in range(20)]
+    rows = list(enumerate(texts + [t + " end" for t in texts]))  # a pair shares most of its 48 sketches
+    sizes, write = {}, N.written
+    monkeypatch.setattr(N, "written", lambda df, name: sizes.setdefault(name, []).append((x := write(df, name)).count()) or x)
+    got = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert {g.class_id for g in got} == set(range(20)) and {g.n_links for g in got} == {1}
+    assert sizes["members"] == [40] and sizes["asked"][0] == 20
