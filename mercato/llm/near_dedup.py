@@ -228,12 +228,11 @@ def run_width(threshold: float) -> int:
     return 2 if threshold >= 0.75 else 1
 
 
-def runs(token_rows: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(node, comp, tokens) -> (node, comp, word, n, most): every run of ``width`` words.
+def runs(token_rows: DataFrame, width: int) -> DataFrame:
+    """(node, tokens) -> (node, word): every run of ``width`` words, and nothing else, as each is shuffled.
 
     Runs are labelled with their occurrence, so that shared ones count as
-    often as both texts have them.  ``n`` is the number of words of the
-    node; among its ``most`` rarest runs is one that a similar text shares.
+    often as both texts have them.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,16 +241,29 @@ def runs(token_rows: DataFrame, width: int, threshold: float) -> DataFrame:
                 continue
             lengths = np.array([len(t) for t in texts])
             label, upto = labelled_kmers(np.concatenate(texts).astype(np.uint64), np.concatenate([[0], np.cumsum(lengths)]), width)
-            most = np.array([c - needed(n, width, threshold) + 1 for c, n in zip(np.diff(upto).tolist(), lengths.tolist())])
             of = np.repeat(np.arange(len(texts)), np.diff(upto))
             for s in range(0, len(label), 1 << 16):
                 at = pa.array(of[s:s + (1 << 16)])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("node").take(at), b.column("comp").take(at), pa.array(label[s:s + (1 << 16)].view(np.int64)),
-                     pa.array(lengths.astype(np.int32)).take(at), pa.array(most.astype(np.int32)).take(at)],
-                    names=["node", "comp", "word", "n", "most"])
+                yield pa.RecordBatch.from_arrays([b.column("node").take(at), pa.array(label[s:s + (1 << 16)].view(np.int64))],
+                                                 names=["node", "word"])
 
-    return token_rows.select("node", "comp", "tokens").mapInArrow(run, "node long, comp long, word long, n int, most int")
+    return token_rows.select("node", "tokens").mapInArrow(run, "node long, word long")
+
+
+def run_counts(token_rows: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(node, comp, tokens) -> (node, comp, n, n_runs, most): words and runs of a node.
+
+    Among the ``most`` rarest runs of a node is one that a similar text shares.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [x // 4 for x in pc.binary_length(b.column("tokens")).to_pylist()]
+            n_runs = [max(1, x - width + 1) if x else 0 for x in n]
+            most = [r - needed(x, width, threshold) + 1 for r, x in zip(n_runs, n)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("comp"), *(pa.array(c, pa.int32()) for c in (n, n_runs, most))],
+                                             names=["node", "comp", "n", "n_runs", "most"])
+
+    return token_rows.select("node", "comp", "tokens").mapInArrow(run, "node long, comp long, n int, n_runs int, most int")
 
 
 def rare_words(texts: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -261,16 +273,16 @@ def rare_words(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     ordered from rare to frequent; those that no other text has come first
     and are only counted.  Runs of one component are left out after the
     choice; the ``groups`` components that hold a run are numbered by ``c``.
+    What is known of a node joins its runs after the two shuffles.
     """
-    every = runs(texts, width, threshold)
-    met = written(every.groupBy("word").agg(F.count(F.lit(1)).alias("texts"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-                  .filter("texts > 1"), "met")
+    every = runs(texts, width)
+    met = written(every.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "met")
     shared = every.join(met, "word")
     by_node = Window.partitionBy("node")
-    alone = F.greatest(F.col("n") - (width - 1), F.lit(1)) - F.count(F.lit(1)).over(by_node)
-    rank = alone + F.row_number().over(by_node.orderBy("texts", "word"))
-    chosen = written(shared.withColumn("rank", rank).filter("rank <= most AND low < high").select("node", "comp", "n", "word"),
-                     "chosen")
+    ranked = (shared.withColumn("rank", F.row_number().over(by_node.orderBy("texts", "word")))
+              .withColumn("met", F.count(F.lit(1)).over(by_node)))
+    counts = written(run_counts(texts, width, threshold), "run-counts")
+    chosen = written(ranked.join(counts, "node").filter("n_runs - met + rank <= most").select("node", "comp", "n", "word"), "chosen")
     held = chosen.select("word", "comp").distinct()
     by_word = Window.partitionBy("word")
     held = written(held.withColumn("c", F.row_number().over(by_word.orderBy("comp")) - 1)
@@ -335,8 +347,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(sketched(base, k, sketches, minima, threshold).withColumn("row", F.monotonically_increasing_id()), "sketches")
     # sums that are joined back are written, so that the joins read plain shuffles and hot keys can be split
     nodes = written(rows.groupBy("sha").agg(F.min("row").alias("node")), "nodes")
-    names = (rows.join(nodes, (rows["row"] == nodes["node"]) & (rows["sha"] == nodes["sha"]), "left_semi")
-             .select(F.col("row").alias("node"), F.explode("sketches").alias("bucket")))
+    # written, as the names are read twice and the sketches are shuffled for it
+    own = written(rows.join(nodes, (rows["row"] == nodes["node"]) & (rows["sha"] == nodes["sha"]), "left_semi")
+                  .select(F.col("row").alias("node"), "sketches"), "own")
+    names = own.select("node", F.explode("sketches").alias("bucket"))
     crowded = written(names.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"), "crowded")
     members = written(names.join(crowded, "bucket"), "gathered")
     # of buckets with the same members one is enough

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 from edge import edge_texts
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from mercato.llm import near_dedup as N
 from mercato.llm.alignment import allowed_edits, similar
@@ -229,3 +230,17 @@ def test_of_buckets_with_the_same_members_one_is_enough(spark, monkeypatch):
     got = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
     assert {g.class_id for g in got} == set(range(20)) and {g.n_links for g in got} == {1}
     assert sizes["members"] == [40] and sizes["asked"][0] == 20
+
+
+def test_what_near_dedup_shuffles_is_narrow(spark, monkeypatch):
+    plans, write = {}, N.written
+    monkeypatch.setattr(N, "written", lambda df, name: plans.setdefault(name, []).append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    rows = [(0, "a b c d e f"), (1, "a b c d e g"), (2, "a b c d e f")]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    # the sketches meet the distinct texts once
+    assert "LeftSemi" in plans["own"][0] and not any("LeftSemi" in p for p in plans["crowded"] + plans["gathered"])
+    tokens = N.token_table(spark.createDataFrame([(7, "a b c"), (8, "a")], "node long, text string"))
+    assert [(r.node, set(r.asDict())) for r in N.runs(tokens, 2).collect()] == [(7, {"node", "word"})] * 2 + [(8, {"node", "word"})]
+    counts = N.run_counts(tokens.withColumn("comp", F.col("node") + 1), 2, 0.8).collect()
+    assert sorted(map(tuple, counts)) == [(7, 8, 3, 2, 1), (8, 9, 1, 1, 1)]
