@@ -39,18 +39,19 @@ def forecast_baseline(r: Retail, horizon: int = 90) -> DataFrame:
     cutoff = cutoff_of(r, horizon)
     lines = r.order_lines.where((F.col("order_date") > F.date_sub(cutoff, 56))
                                 & (F.col("order_date") <= cutoff))
-    sums = lines.groupBy("product_id", F.dayofweek("order_date").alias("dow")) \
-        .agg(F.sum("quantity").alias("qty"))
-    days = (sums.select("product_id").distinct()
-            .select("product_id", F.explode(F.sequence(F.date_add(cutoff, 1), F.date_add(cutoff, horizon)))
-                    .alias("forecast_date"))
-            .withColumn("dow", F.dayofweek("forecast_date")))
-    f = F.coalesce(F.col("qty"), F.lit(0)).cast("decimal(18,0)") * dec("0.125", 4, 3)
-    return (days.join(sums, ["product_id", "dow"], "left")
-            .select("product_id", "forecast_date",
-                    F.round(f, 2).cast("double").alias("forecast_qty"),
-                    F.round(f * dec("0.8", 2, 1), 2).cast("double").alias("forecast_qty_lower"),
-                    F.round(f * dec("1.2", 2, 1), 2).cast("double").alias("forecast_qty_upper")))
+    # the sums of the seven weekdays in one row: the lines are read and shuffled once, the days are not joined
+    sums = lines.groupBy("product_id").agg(
+        *[F.sum(F.when(F.dayofweek("order_date") == d, F.col("quantity"))).alias(f"qty_{d}") for d in range(1, 8)])
+    week = F.array(*[F.struct(F.round(x, 2).cast("double").alias("qty"),
+                              F.round(x * dec("0.8", 2, 1), 2).cast("double").alias("lower"),
+                              F.round(x * dec("1.2", 2, 1), 2).cast("double").alias("upper"))
+                     for x in (F.coalesce(F.col(f"qty_{d}"), F.lit(0)).cast("decimal(18,0)") * dec("0.125", 4, 3) for d in range(1, 8))])
+    # a select of its own, so that the week is worked out before its product has a row per day
+    days = sums.select("product_id", week.alias("week")).select(
+        "product_id", "week", F.explode(F.sequence(F.date_add(cutoff, 1), F.date_add(cutoff, horizon))).alias("forecast_date"))
+    of = F.element_at("week", F.dayofweek("forecast_date"))
+    return days.select("product_id", "forecast_date", of["qty"].alias("forecast_qty"), of["lower"].alias("forecast_qty_lower"),
+                       of["upper"].alias("forecast_qty_upper"))
 
 
 def forecast_vs_actual(r: Retail, forecast: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.functions import exprs as X
-from mercato.operators import distinct as D, measures as M, sales
+from mercato.operators import distinct as D, forecast, measures as M, sales
 from mercato.sources import retail
 from mercato.sources.retail import load
 
@@ -92,3 +92,13 @@ def test_transfers_read_the_inventory_once(spark, sf_dir):
     import __spark_entry__ as E
     for name in ("q_28_regions_stockout_transfers", "transfer_proposals"):
         assert "lineitem.parquet" not in "".join(E.queries()[name](spark, sf_dir).inputFiles())
+
+
+def test_baseline_forecast_reads_the_lines_once(spark, shop):
+    r = load(spark, shop)
+    r.as_of = F.lit(dt.date(1995, 2, 10))  # sales on Monday to Friday of the week before
+    df = forecast.forecast_baseline(r, horizon=7)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey") == 1
+    day = lambda i: dt.date(1995, 2, 4) + dt.timedelta(days=i)
+    want = [(p, day(i), *((0.0, 0.0, 0.0) if i < 2 else (6.0, 4.8, 7.2))) for p in (0, 1) for i in range(7)]
+    assert sorted(map(tuple, df.collect())) == want
