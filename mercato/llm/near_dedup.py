@@ -14,14 +14,19 @@ Inside a bucket nobody is paired with everybody: all members are aligned
 with the bucket's first text; those that are not similar to it are aligned
 with the first of the rest, and so on for a few rounds.  Similarity is not
 transitive, so members that left with a centre may be similar to others of
-the bucket.  The links found so far form components; all members, centres
-too, of a bucket that still spans several are joined by pairs of words.  Two
+the bucket.  The links found so far form components.  In a bucket of a few
+members that still spans several, all pairs of different components meet.
+All members, centres too, of a larger one are joined by pairs of words.  Two
 of them can be similar only if they share one of their rarest pairs of words
 (two fifths of the pairs and a few more, in a fixed order from rare to
 frequent), or of their rarest words, so exactly such pairs of texts of
 different components are aligned, and texts of one bucket that are similar
 end in one class.  Links of equal texts are not made: equal texts
 are one node.
+
+Wherever two texts meet, their numbers of words and a small set of marks of
+their words are compared first.  Both bound the edits from below, so only
+pairs that cannot be similar are left out, before their words are moved.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.llm.alignment import allowed_edits, similar
 from mercato.llm.common import arrow_batches, text_of, written
@@ -47,6 +52,8 @@ THRESHOLD = 0.8
 SHORT = 50      # two similar texts of at most so many words share a run of words
 RUN = 3         # words of such a run, or fewer where the threshold asks for it
 CROWD = 32      # components that share a rare pair of words; the texts of more of them meet by single words
+FEW = 32        # members of a bucket whose pairs all meet; the members of larger ones are joined by rare words
+MARKS = 512     # bits of a text's marks: one per word, by its hash
 ROUNDS = 3      # texts of a bucket that its other members are aligned with, before the rest is joined by rare words
 PLACE_BITS = 28  # a sketch value is a hash above the k-mer's place in its text
 M64 = 0xFFFFFFFFFFFFFFFF
@@ -183,22 +190,83 @@ def sketched(docs: DataFrame, k: int, sketches: int, minima: int, threshold: flo
     return docs.select("id", "sha", "text").mapInArrow(run, f"id {id_type}, sha string, sketches array<long>")
 
 
+def marks_of(packed: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One row of MARKS bits per text, as 64-bit integers: those of its words' 32-bit hashes."""
+    bits = np.zeros((len(offsets) - 1, MARKS), bool)
+    bits[np.repeat(np.arange(len(bits)), np.diff(offsets)), packed % MARKS] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def token_table(texts: DataFrame) -> DataFrame:
-    """(node, text) -> (node, tokens): 32-bit hashes of the lower-case words, packed."""
+    """(node, text) -> (node, tokens, n, marks): 32-bit hashes of the lower-case words, packed, their number and marks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tok, offsets = token_hashes(b.column("text"))
             packed = (tok >> np.uint64(32)).astype(np.uint32)
             rows = [packed[a:e].tobytes() for a, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(rows, pa.binary())], names=["node", "tokens"])
+            marks = marks_of(packed, offsets)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), pa.array(rows, pa.binary()), pa.array(np.diff(offsets), pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * marks.shape[1], pa.int32()), pa.array(marks.ravel()))],
+                names=["node", "tokens", "n", "marks"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, tokens binary, n int, marks array<long>")
+
+
+def could_be_similar(threshold: float) -> Column:
+    """Whether texts of ``n`` and ``m`` words with ``marks`` and ``centre_marks`` can be similar.
+
+    An edit changes the number of words by one at most, and takes away and
+    adds at most one mark.
+    """
+    # as alignment.allowed_edits
+    edits = F.floor(F.lit(1 - threshold) * F.greatest("n", "m") + F.lit(1e-9))
+
+    def without(a: str, b: str) -> Column:
+        return reduce(Column.__add__, [F.bit_count(F.col(a)[i].bitwiseAND(F.bitwise_not(F.col(b)[i]))) for i in range(MARKS // 64)])
+
+    return ((F.abs(F.col("n") - F.col("m")) <= edits) & (without("marks", "centre_marks") <= edits)
+            & (without("centre_marks", "marks") <= edits))
+
+
+def as_centre(rows: DataFrame, *others: str) -> DataFrame:
+    """(node, n, marks) and the columns ``others`` -> (centre, m, centre_marks) and those."""
+    return rows.select(F.col("node").alias("centre"), F.col("n").alias("m"), F.col("marks").alias("centre_marks"), *others)
 
-    return texts.select("node", "text").mapInArrow(run, "node long, tokens binary")
+
+def asked_of(open_: DataFrame, centres: DataFrame, token_rows: DataFrame, threshold: float) -> DataFrame:
+    """Members (node, bucket) with the (bucket, centre) of their bucket that they could be similar to."""
+    known = token_rows.select("node", "n", "marks")
+    first = as_centre(centres.withColumnRenamed("centre", "node").join(known, "node"), "bucket")
+    return (open_.join(known, "node").join(first, "bucket").filter(F.col("node") != F.col("centre"))
+            .filter(could_be_similar(threshold)).select("node", "bucket", "centre"))
+
+
+def pairs_of_small_buckets(placed: DataFrame, token_rows: DataFrame, threshold: float) -> DataFrame:
+    """All pairs (node, centre) of different components of a bucket of (node, bucket, comp) that could be similar.
+
+    Buckets have FEW members at most, so the pairs grow with the members.
+    """
+    members = written(placed.join(token_rows.select("node", "n", "marks"), "node"), "few")
+    others = as_centre(members, "bucket", F.col("comp").alias("centre_comp"))
+    return (members.join(others, "bucket").filter((F.col("node") > F.col("centre")) & (F.col("comp") != F.col("centre_comp")))
+            .filter(could_be_similar(threshold)).select("node", "centre").distinct())
+
+
+def possible(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs (node, centre) that could be similar."""
+    known = token_rows.select("node", "n", "marks")
+    return (pairs.join(known, "node").join(as_centre(known), "centre").filter(could_be_similar(threshold))
+            .select("node", "centre"))
 
 
 def verified(pairs: DataFrame, token_rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, centre) pairs -> (node, centre, similar)."""
-    a = token_rows.select("node", F.col("tokens").alias("a"))
-    b = token_rows.select(F.col("node").alias("centre"), F.col("tokens").alias("b"))
+    """(node, centre) pairs, as written -> (node, centre, similar).
+
+    Of the tokens only those of the pairs' texts are moved.
+    """
+    a, b = (token_rows.select(F.col("node").alias(key), F.col("tokens").alias(name)).join(pairs.select(key).distinct(), key, "left_semi")
+            for key, name in (("node", "a"), ("centre", "b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +386,7 @@ def pairs_of_the_rest(token_rows: DataFrame, nodes: DataFrame, threshold: float)
     which the passage's are the frequent ones.  Either way is exact.
     """
     width = run_width(threshold)
-    texts = written(token_rows.join(nodes, "node"), "rest-tokens")
+    texts = written(token_rows.select("node", "tokens").join(nodes, "node"), "rest-tokens")
     rare = written(rare_words(texts, width, threshold), "rare")
     if width == 1:
         return joined_by_words(rare, threshold)
@@ -372,21 +440,24 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         nonlocal tested
         if tested is not None:
             pairs = pairs.join(tested, ["node", "centre"], "left_anti")
-        found = written(verified(pairs, token_rows, threshold), "verified")
+        found = written(verified(written(pairs, "pairs"), token_rows, threshold), "verified")
         links.append(found.filter("similar").select(F.col("node").alias("u"), F.col("centre").alias("v")))
         tested = found if tested is None else tested.union(found)
 
     for left in reversed(range(ROUNDS)):
-        centres = written(open_.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
-                          .filter("n > 1").select("bucket", "centre"), "centres")
-        asked = written(open_.join(centres, "bucket").filter("node <> centre"), "asked")
-        if asked.isEmpty():
-            break
-        test(asked.select("node", "centre").distinct())
+        centres = written(open_.groupBy("bucket").agg(F.min("node").alias("centre")), "centres")
+        asked = written(asked_of(open_, centres, token_rows, threshold), "asked")
+        if not asked.isEmpty():
+            test(asked.select("node", "centre").distinct())
         if not left:  # what is open then is not asked again
             break
-        linked = tested.filter("similar").select("node", "centre")
-        open_ = written(asked.join(linked, ["node", "centre"], "left_anti").select("node", "bucket"), "open")
+        done = centres.select(F.col("centre").alias("node"), "bucket")
+        if tested is not None:
+            linked = tested.filter("similar").select("node", "centre")
+            done = done.union(asked.join(linked, ["node", "centre"], "left_semi").select("node", "bucket"))
+        open_ = written(open_.join(done, ["node", "bucket"], "left_anti"), "open")
+        if open_.isEmpty():
+            break
 
     def edges_of(found: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.union, found) if found else rows.sparkSession.createDataFrame([], "u long, v long")
@@ -394,13 +465,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(edges_of(links))
     placed = written(members.join(roots, "node", "left").select("node", "bucket", F.coalesce("root", "node").alias("comp")),
                      "placed")
-    # the rounds have tested every pair of a small bucket without links
-    spans = (placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-             .agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n"))
-             .filter((F.col("comps") > 1) & ((F.col("comps") < F.col("n")) | (F.col("n") > ROUNDS + 1))))
-    rest = written(placed.join(written(spans.select("bucket"), "spans"), "bucket").select("node", "comp").distinct(), "rest")
-    if not rest.isEmpty():
-        test(pairs_of_the_rest(token_rows, rest, threshold))
+    # the rounds have tested every pair of a bucket of ROUNDS + 1 members without links
+    spans = written(placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+                    .agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("members"))
+                    .filter((F.col("comps") > 1) & ((F.col("comps") < F.col("members")) | (F.col("members") > ROUNDS + 1)))
+                    .select("bucket", "members"), "spans")
+    spanned = written(placed.join(spans, "bucket"), "spanned")
+    if not spanned.isEmpty():
+        few = F.col("members") <= FEW
+        pairs = pairs_of_small_buckets(spanned.filter(few), token_rows, threshold)
+        rest = written(spanned.filter(~few).select("node", "comp").distinct(), "rest")
+        if not rest.isEmpty():
+            pairs = pairs.union(possible(pairs_of_the_rest(token_rows, rest, threshold), token_rows, threshold)).distinct()
+        test(pairs)
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links[-1]))
     edges = edges_of(links)
     degrees = (edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()

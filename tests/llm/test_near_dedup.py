@@ -244,3 +244,50 @@ def test_what_near_dedup_shuffles_is_narrow(spark, monkeypatch):
     assert [(r.node, set(r.asDict())) for r in N.runs(tokens, 2).collect()] == [(7, {"node", "word"})] * 2 + [(8, {"node", "word"})]
     counts = N.run_counts(tokens.withColumn("comp", F.col("node") + 1), 2, 0.8).collect()
     assert sorted(map(tuple, counts)) == [(7, 8, 3, 2, 1), (8, 9, 1, 1, 1)]
+
+
+def test_marks_leave_out_no_similar_pair(spark):
+    r = random.Random(6)
+    texts = []
+    for n in (1, 4, 5, 9, 30, 60, 200, 700):
+        for _ in range(6):
+            a = [f"w{r.randrange(3000)}" for _ in range(n)]
+            b = list(a)
+            for _ in range(r.randrange(n // 4 + 2)):
+                at = r.randrange(n)
+                b[at:at + 1] = r.choice([[], [f"x{r.randrange(3000)}"], [a[at], f"x{r.randrange(3000)}"]])
+                b += ["x"] * (n - len(b)) if r.random() < 0.5 else []
+            texts += [a, b]
+    tokens = N.token_table(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string"))
+    every = [(i, j) for i in range(len(texts)) for j in range(i)]
+    got = {(p.node, p.centre) for p in N.possible(spark.createDataFrame(every, "node long, centre long"), tokens, 0.8).collect()}
+    near = [(i, j) for i, j in every if abs(len(texts[i]) - len(texts[j])) <= allowed_edits(len(texts[i]), len(texts[j]), 0.8)]
+    want = {(i, j) for i, j in near if edits(texts[i], texts[j]) <= allowed_edits(len(texts[i]), len(texts[j]), 0.8)}
+    assert len(want) > 20 and want <= got and len(got) < len(near) / 4
+
+
+def test_members_that_cannot_be_similar_do_not_meet(spark, monkeypatch):
+    """Texts around a passage share many buckets: the rounds ask none of them, and of small buckets only possible pairs are aligned."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(5000)}"
+    passage = [word() for _ in range(60)]
+    texts = [passage + [word() for _ in range(90)] for _ in range(24)]
+    near = [[*t[:100], "other", *t[101:]] for t in texts[:6]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts + near)]
+    sizes, write = defaultdict(list), N.written
+    monkeypatch.setattr(N, "written", lambda df, name: sizes[name].append((x := write(df, name)).count()) or x)
+    got = {g.doc_id: (g.class_id, g.n_links) for g in check(spark.createDataFrame(rows, "doc_id long, text string"), rows)}
+    assert got == {i: (i % 24, 1 if i % 24 < 6 else 0) for i in range(30)}
+    assert sizes["members"][0] > 200 and sum(sizes["asked"]) < sizes["members"][0] / 4
+    assert sum(sizes["verified"]) <= 12 and sum(sizes["rest"]) == 0
+
+
+def test_all_pairs_of_components_of_a_small_bucket_meet(spark):
+    r = random.Random(9)
+    base = [f"w{r.randrange(3000)}" for _ in range(40)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1:]])) for i in range(8)] + [(8, "a b c"), (9, " ".join(base[:20]))]
+    tokens = N.token_table(spark.createDataFrame(rows, "node long, text string"))
+    comp = {i: i // 2 for i in range(10)}
+    placed = spark.createDataFrame([(i, b, c) for b in (1, 2) for i, c in comp.items()], "node long, bucket long, comp long")
+    got = sorted((p.node, p.centre) for p in N.pairs_of_small_buckets(placed, tokens, 0.8).collect())
+    assert got == sorted((i, j) for i in range(8) for j in range(i) if comp[i] != comp[j])
