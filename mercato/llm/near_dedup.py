@@ -338,13 +338,16 @@ def rare_words(texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """(node, word, n, c, groups) for the rarest runs of each node, one of which a similar text has among its rarest.
 
     Texts come with their component (node, comp, tokens).  A text's runs are
-    ordered from rare to frequent; those that no other text has come first
-    and are only counted.  Runs of one component are left out after the
-    choice; the ``groups`` components that hold a run are numbered by ``c``.
+    ordered from rare to frequent; those that no text of another component
+    has come first and are only counted, as texts of different components
+    alone are asked for.  The ``groups`` components that hold a run are
+    numbered by ``c``; a run that only one of them chose is left out.
     What is known of a node joins its runs after the two shuffles.
     """
     every = runs(texts, width)
-    met = written(every.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "met")
+    of_comps = runs(texts.select(F.col("comp").alias("node"), "tokens"), width)
+    met = written(of_comps.groupBy("word").agg(F.count(F.lit(1)).alias("texts"), F.min("node").alias("low"), F.max("node").alias("high"))
+                  .filter("low < high").select("word", "texts"), "met")
     shared = every.join(met, "word")
     by_node = Window.partitionBy("node")
     ranked = (shared.withColumn("rank", F.row_number().over(by_node.orderBy("texts", "word")))

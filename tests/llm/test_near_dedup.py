@@ -291,3 +291,21 @@ def test_all_pairs_of_components_of_a_small_bucket_meet(spark):
     placed = spark.createDataFrame([(i, b, c) for b in (1, 2) for i, c in comp.items()], "node long, bucket long, comp long")
     got = sorted((p.node, p.centre) for p in N.pairs_of_small_buckets(placed, tokens, 0.8).collect())
     assert got == sorted((i, j) for i in range(8) for j in range(i) if comp[i] != comp[j])
+
+
+def test_runs_of_one_component_are_not_chosen(spark, monkeypatch):
+    """Near copies of one component share rare runs with a text of another one: those alone are chosen."""
+    r = random.Random(10)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1:]])) for i in range(6)] + [(6, " ".join(["y", *base[1:38], "z", "z"]))]
+    rows += [(7 + i, " ".join(f"v{r.randrange(10 ** 6)}" for _ in range(40))) for i in range(3)]
+    sizes, write = defaultdict(list), N.written
+    monkeypatch.setattr(N, "written", lambda df, name: sizes[name].append((x := write(df, name)).count()) or x)
+    comp = {i: 0 if i < 6 else i for i in range(10)}
+    texts = N.token_table(spark.createDataFrame(rows, "node long, text string")).join(
+        spark.createDataFrame(list(comp.items()), "node long, comp long"), "node")
+    pairs = N.joined_by_words(N.rare_words(texts, 2, 0.8), 0.8).collect()
+    assert {(p.node, p.centre) for p in pairs} == {(6, i) for i in range(6)}
+    words = dict(rows)
+    pairs_of = {n: set(zip(words[n].split(), words[n].split()[1:])) for n in words}
+    assert sizes["met"] == [len(set().union(*(pairs_of[i] for i in range(6))) & pairs_of[6])]
